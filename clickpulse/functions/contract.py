@@ -53,27 +53,40 @@ def _type_ok(k: Column, types) -> Column:
     return ok
 
 
-def _msg(path: str, text: Column) -> Column:
-    return F.concat(F.lit(f"[{path}]: "), text)
+# Messages of a property carry this marker where the value's Python repr
+# goes; the repr is rendered once per property, only when it has errors.
+VALUE_MARK = "\u0000"
 
 
-def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool) -> list[Rule]:
-    """Rules of one (sub)schema applied to the variant ``v`` (null = absent)."""
+TAG_SEP = "\u0001"
+
+
+def _msg(path: str, text: Column, kw: str = "") -> Column:
+    """``<path:keyword>SEP[path]: text`` - the tag travels with the message so
+    messages and violated-rule tags come from one evaluation."""
+    tag = (path if path != "root" or kw else path) + ":" + kw
+    return F.concat(F.lit(f"{tag}{TAG_SEP}[{path}]: "), text)
+
+
+def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool,
+                 k: Column | None = None) -> list[Rule]:
+    """Rules of one (sub)schema applied to the variant ``v`` (null = absent);
+    ``k`` is its precomputed kind."""
     rules: list[Rule] = []
-    k = J.kind(v)
+    k = J.kind(v) if k is None else k
     present = v.isNotNull()
     for kw, arg in schema.items():
         if kw == "type":
             types = arg if isinstance(arg, list) else [arg]
-            txt = F.concat(J.py_repr(v), F.lit(" is not of type " + ", ".join(_py_literal(t) for t in types)))
-            rules.append(Rule(path, kw, F.when(present & ~_type_ok(k, arg), _msg(path, txt))))
+            txt = F.lit(VALUE_MARK + " is not of type " + ", ".join(_py_literal(t) for t in types))
+            rules.append(Rule(path, kw, F.when(present & ~_type_ok(k, arg), _msg(path, txt, kw))))
         elif kw == "const":
             same = (k == "string") & (J.as_string(v) == F.lit(arg)) if isinstance(arg, str) else F.lit(False)
-            rules.append(Rule(path, kw, F.when(present & ~same, _msg(path, F.lit(_py_literal(arg) + " was expected")))))
+            rules.append(Rule(path, kw, F.when(present & ~same, _msg(path, F.lit(_py_literal(arg) + " was expected"), kw))))
         elif kw == "enum":
             ok = (k == "string") & J.as_string(v).isin(*arg)
-            txt = F.concat(J.py_repr(v), F.lit(" is not one of " + _py_literal(arg)))
-            rules.append(Rule(path, kw, F.when(present & ~ok, _msg(path, txt))))
+            txt = F.lit(VALUE_MARK + " is not one of " + _py_literal(arg))
+            rules.append(Rule(path, kw, F.when(present & ~ok, _msg(path, txt, kw))))
         elif kw in ("minLength", "maxLength"):
             n = F.char_length(J.as_string(v))
             bad = (n < arg) if kw == "minLength" else (n > arg)
@@ -82,12 +95,12 @@ def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool) ->
             else:
                 word = " is too long"
             rules.append(Rule(path, kw, F.when(present & (k == "string") & bad,
-                                               _msg(path, F.concat(J.py_repr(v), F.lit(word))))))
+                                               _msg(path, F.lit(VALUE_MARK + word), kw))))
         elif kw == "minimum":
             num = F.variant_get(v, "$", "double")
             bad = k.isin("integer", "number") & (num < F.lit(arg))
-            txt = F.concat(J.py_repr(v), F.lit(f" is less than the minimum of {arg!r}"))
-            rules.append(Rule(path, kw, F.when(present & bad, _msg(path, txt))))
+            txt = F.lit(VALUE_MARK + f" is less than the minimum of {arg!r}")
+            rules.append(Rule(path, kw, F.when(present & bad, _msg(path, txt, kw))))
         elif kw == "format":
             s = J.as_string(v)
             if arg == "uuid":
@@ -98,8 +111,8 @@ def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool) ->
                 ok = is_rfc3339(s)
             else:
                 continue
-            txt = F.concat(J.py_repr(v), F.lit(f" is not a {arg!r}"))
-            rules.append(Rule(path, kw, F.when(present & (k == "string") & ~ok, _msg(path, txt))))
+            txt = F.lit(VALUE_MARK + f" is not a {arg!r}")
+            rules.append(Rule(path, kw, F.when(present & (k == "string") & ~ok, _msg(path, txt, kw))))
         elif kw == "items":
             # One message per offending item, path "<array> -> <index>".
             items = F.try_variant_get(v, "$", "array<variant>")
@@ -117,7 +130,7 @@ def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool) ->
 
 def _item_error(x, i, sub, base):
     xk = J.kind(x)
-    ipath = F.concat(F.lit(f"[{base} -> "), i.cast("string"), F.lit("]: "))
+    ipath = F.concat(F.lit(f"{base}:items{TAG_SEP}[{base} -> "), i.cast("string"), F.lit("]: "))
     t = sub.get("type")
     if t is None:
         return F.lit(None).cast("string")
@@ -132,9 +145,24 @@ def value_columns(contract: dict, doc: Column) -> dict:
     cols = {"_root_kind": J.kind(doc)}
     for name in contract.get("properties", {}):
         cols["_v_" + name] = J.field(doc, name)
+        cols["_k_" + name] = J.kind(J.field(doc, name))
     return cols
 
 
+def _property_rules(v: Column, sub: dict, name: str, enforce_datetime: bool,
+                    k: Column | None = None) -> list[Rule]:
+    """Rules of one property with the value repr substituted once."""
+    rules = _value_rules(v, sub, name, enforce_datetime, k)
+    plain = [r for r in rules if not r.many]
+    many = [r for r in rules if r.many]
+    if not plain:
+        return many
+    errs = F.filter(F.array(*[r.error for r in plain]), lambda e: e.isNotNull())
+    shown = F.when(F.size(errs) > 0,
+                   F.transform(errs, lambda e: F.replace(e, F.lit(VALUE_MARK), J.py_repr(v))))
+    return [Rule(name, "*", shown, many=True)] + many
+
+
 def compile_contract(contract: dict, doc: Column, enforce_datetime: bool = True,
                      values: dict | None = None) -> list[Rule]:
     """Rules of an object contract over the document variant ``doc``.
@@ -148,16 +176,17 @@ def compile_contract(contract: dict, doc: Column, enforce_datetime: bool = True,
     for kw, arg in contract.items():
         if kw == "type":
             txt = F.concat(J.py_repr(doc), F.lit(f" is not of type {_py_literal(arg)}"))
-            rules.append(Rule("root", kw, F.when(doc.isNotNull() & (root_kind != arg), _msg("root", txt))))
+            rules.append(Rule("root", kw, F.when(doc.isNotNull() & (root_kind != arg), _msg("root", txt, kw))))
         elif kw == "required":
             for f in arg:
                 fv = values.get("_v_" + f, J.field(doc, f))
                 rules.append(Rule("root", kw, F.when(is_obj & fv.isNull(),
-                                                     F.lit(f"[root]: '{f}' is a required property"))))
+                                                     F.lit(f"root:required{TAG_SEP}[root]: '{f}' is a required property"))))
         elif kw == "properties":
             for name, sub in arg.items():
                 v = F.when(is_obj, values["_v_" + name])
-                rules.extend(_value_rules(v, sub, name, enforce_datetime))
+                k = F.when(is_obj, values["_k_" + name]) if "_k_" + name in values else None
+                rules.extend(_property_rules(v, sub, name, enforce_datetime, k))
         elif kw == "additionalProperties" and arg is False:
             keys = F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>"))
             extra = F.array_except(keys, F.array(*[F.lit(p) for p in props]))
@@ -165,26 +194,30 @@ def compile_contract(contract: dict, doc: Column, enforce_datetime: bool = True,
             listed = F.array_join(F.transform(extra, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
             txt = F.concat(F.lit("Additional properties are not allowed ("), listed,
                            F.when(n == 1, F.lit(" was unexpected)")).otherwise(F.lit(" were unexpected)")))
-            rules.append(Rule("root", kw, F.when(is_obj & (n > 0), _msg("root", txt))))
+            rules.append(Rule("root", kw, F.when(is_obj & (n > 0), _msg("root", txt, kw))))
     return rules
 
 
-def contract_errors(contract: dict, doc: Column, enforce_datetime: bool = True,
-                    values: dict | None = None) -> Column:
-    """ARRAY<STRING> of every violation, in keyword order (empty = valid)."""
+def tagged_errors(contract: dict, doc: Column, enforce_datetime: bool = True,
+                  values: dict | None = None) -> Column:
+    """ARRAY<STRING> of ``tag SEP message`` for every violation, in keyword
+    order (empty = valid)."""
     parts = []
     for r in compile_contract(contract, doc, enforce_datetime, values):
         parts.append(F.coalesce(r.error, F.array().cast("array<string>")) if r.many
                      else F.array(r.error))
-    allv = F.flatten(F.array(*parts))
-    return F.filter(allv, lambda e: e.isNotNull())
+    return F.filter(F.flatten(F.array(*parts)), lambda e: e.isNotNull())
 
 
-def violated_keywords(contract: dict, doc: Column, enforce_datetime: bool = True,
-                      values: dict | None = None) -> Column:
-    """ARRAY<STRING> of ``path:keyword`` tags of the violated rules."""
-    tags = []
-    for r in compile_contract(contract, doc, enforce_datetime, values):
-        hit = (F.size(r.error) > 0) if r.many else r.error.isNotNull()
-        tags.append(F.when(hit, F.lit(f"{r.path}:{r.keyword}")))
-    return F.filter(F.array(*tags), lambda e: e.isNotNull())
+def messages_of(tagged: Column) -> Column:
+    return F.transform(tagged, lambda e: F.substring_index(e, TAG_SEP, -1))
+
+
+def tags_of(tagged: Column) -> Column:
+    return F.transform(tagged, lambda e: F.substring_index(e, TAG_SEP, 1))
+
+
+def contract_errors(contract: dict, doc: Column, enforce_datetime: bool = True,
+                    values: dict | None = None) -> Column:
+    """ARRAY<STRING> of every violation message (empty = valid)."""
+    return messages_of(tagged_errors(contract, doc, enforce_datetime, values))

@@ -43,23 +43,24 @@ def field(doc: Column, name: str) -> Column:
     return F.variant_get(doc, "$['" + name.replace("'", "\\'") + "']", "variant")
 
 
-# Variant type name (normalized) -> JSON-Schema type name.
-_KIND_OF = {"STRING": "string", "BIGINT": "integer", "INTEGER": "integer",
-            "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number",
-            "BOOLEAN": "boolean", "VOID": "null", "ARRAY": "array", "OBJECT": "object"}
+# First character of a value's JSON text -> JSON-Schema type name.
+_KIND_BY_FIRST_CHAR = {'"': "string", "{": "object", "[": "array", "t": "boolean",
+                       "f": "boolean", "n": "null"}
 
 
 def kind(v: Column) -> Column:
-    """JSON-Schema type name of a variant value (``integer`` covers numbers
-    with no fractional part, as Draft-07 does); null when ``v`` is null.
+    """JSON-Schema type name of a variant value; null when ``v`` is null.
 
-    ``v`` is referenced once: nested uses do not multiply the expression.
+    The first character of the value's JSON text decides every kind but
+    numbers; a number is ``integer`` when it has no fractional part (Draft-07
+    counts 1.0 as an integer).  ``v`` appears twice, so nested uses do not
+    blow up the expression, and no type-name string is built per value.
     """
-    t = F.schema_of_variant(v)
-    t = F.regexp_replace(t, r"^DECIMAL\(\d+,0\)$", "BIGINT")
-    t = F.regexp_replace(t, r"^(OBJECT|ARRAY|DECIMAL)[<(].*$", "$1")
-    m = F.create_map(*[F.lit(x) for kv in _KIND_OF.items() for x in kv])
-    return F.try_element_at(m, t)
+    m = F.create_map(*[F.lit(x) for kv in _KIND_BY_FIRST_CHAR.items() for x in kv])
+    by_char = F.try_element_at(m, F.substring(F.to_json(v), 1, 1))
+    d = F.variant_get(v, "$", "double")
+    num = F.when(v.isNotNull(), F.when(d == F.floor(d), F.lit("integer")).otherwise(F.lit("number")))
+    return F.coalesce(by_char, num)
 
 
 def as_string(v: Column) -> Column:
@@ -68,29 +69,27 @@ def as_string(v: Column) -> Column:
 
 
 def _render_scalar(v: Column, quote_strings: bool) -> Column:
-    k = kind(v)
-    s = F.variant_get(v, "$", "string")
     t = F.schema_of_variant(v)
+    s = F.variant_get(v, "$", "string")
     # Python floats print with a fraction (2999.0); an integral variant
     # decimal can come from "2999.00", so only BIGINT prints as an integer.
-    num = F.when(t == "BIGINT", F.variant_get(v, "$", "bigint").cast("string")) \
-        .otherwise(F.variant_get(v, "$", "double").cast("string"))
-    return (F.when(k == "string", F.concat(F.lit("'"), s, F.lit("'")) if quote_strings else s)
-            .when(k.isin("integer", "number"), num)
-            .when(k == "boolean", F.when(F.variant_get(v, "$", "boolean"), "True").otherwise("False"))
-            .when(k == "null", "None"))
+    return (F.when(t == "STRING", F.concat(F.lit("'"), s, F.lit("'")) if quote_strings else s)
+            .when(t == "BIGINT", s)
+            .when(t.startswith("DECIMAL") | (t == "DOUBLE"), F.variant_get(v, "$", "double").cast("string"))
+            .when(t == "BOOLEAN", F.when(F.variant_get(v, "$", "boolean"), "True").otherwise("False"))
+            .when(t == "VOID", "None"))
 
 
 def _render(v: Column, quote_strings: bool) -> Column:
     """Python-style text of a JSON value (str() or repr()).  Scalars and
     lists of scalars print as Python does; deeper values fall back to JSON."""
+    t = F.schema_of_variant(v)
     items = F.try_variant_get(v, "$", "array<variant>")
     shown = F.transform(items, lambda x: _render_scalar(x, True))
     list_text = F.concat(F.lit("["), F.array_join(shown, ", "), F.lit("]"))
     all_scalar = F.size(F.filter(shown, lambda x: x.isNull())) == 0
-    return (F.when(kind(v) == "array",
-                   F.when(all_scalar, list_text).otherwise(F.to_json(v)))
-            .when(kind(v) == "object", F.to_json(v))
+    return (F.when(t.startswith("ARRAY"), F.when(all_scalar, list_text).otherwise(F.to_json(v)))
+            .when(t.startswith("OBJECT"), F.to_json(v))
             .otherwise(_render_scalar(v, quote_strings)))
 
 

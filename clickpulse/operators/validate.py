@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from clickpulse import contracts as C
 from clickpulse.functions import jsonval as J
 from clickpulse.functions import with_fenced
-from clickpulse.functions.contract import contract_errors, value_columns, violated_keywords
+from clickpulse.functions.contract import messages_of, tagged_errors, tags_of, value_columns
 from clickpulse.functions.timefmt import event_time
 
 DOC = "_doc"  # VARIANT of the parsed payload, carried for downstream parsing
@@ -109,10 +109,12 @@ def with_contract_errors(df: DataFrame, contract: dict = C.EVENT_CONTRACT, raw:
     vals = value_columns(contract, doc)
     d = with_fenced(d, **vals)
     vals = {k: F.col(k) for k in vals}
-    errs = F.when(doc.isNotNull(), contract_errors(contract, doc, enforce_datetime, vals))
-    tags = F.when(doc.isNotNull(), violated_keywords(contract, doc, enforce_datetime, vals))
-    return (with_fenced(d, validation_errors=errs, violated=tags)
+    tagged = F.when(doc.isNotNull(), tagged_errors(contract, doc, enforce_datetime, vals))
+    return (with_fenced(d, _tagged=tagged)
              .drop(*vals)
+             .withColumn("validation_errors", messages_of(F.col("_tagged")))
+             .withColumn("violated", tags_of(F.col("_tagged")))
+             .drop("_tagged")
              .withColumn("contract_status",
                          F.when(F.col("validation_errors").isNull(), "unparseable")
                           .when(F.size("validation_errors") == 0, "valid").otherwise("invalid")))

@@ -122,5 +122,19 @@ def raw_records(events: DataFrame) -> DataFrame:
     return decode_records(kafka_records(events))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance an input that arrives in fewer splits than there are cores.
+
+    A single-row-group parquet file is one task; validation is CPU work per
+    row, so a round-robin rebalance lets every core take part.  On a cluster
+    the scan already has thousands of splits and this is a no-op.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_records(load_table(spark, sf_dir, "events"))
+    return raw_records(spread(load_table(spark, sf_dir, "events")))
