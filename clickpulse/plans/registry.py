@@ -260,3 +260,80 @@ def q_active_users_approx(spark, sf):
 def q_page_metrics_approx(spark, sf):
     return _metric_cols(K.metrics(spark, sf, distinct="approx", updated_at=None),
                         "active_users", "cart_additions", "purchases", "cart_abandonment_rate")
+
+
+# ---------------------------------------------------------------- 2.6 serving
+
+from clickpulse.plans import serving as S  # noqa: E402
+
+
+def _served_metrics(spark, sf):
+    return K.metrics(spark, sf)
+
+
+def _as_of(m: DataFrame):
+    """Midnight after the newest update: a fixed 'now' for the dashboards."""
+    return m.select(F.date_trunc("day", F.max("updated_at")) + F.expr("INTERVAL 1 DAY")).scalar()
+
+
+MS = (O.ADAPTER, O.STREAM, O.EVENTS, O.metrics(60, 10),
+      "nowt AS (SELECT date_trunc('day', max(updated_at)) + INTERVAL 1 DAY AS as_of FROM m)",
+      "lw AS (SELECT * FROM m WHERE window_end = (SELECT max(window_end) FROM m WHERE window_end <= (SELECT as_of FROM nowt)))",
+      "rng AS (SELECT * FROM m WHERE window_end <= (SELECT as_of FROM nowt))")
+
+
+def _serve(name, fn, sql, **kw):
+    def q(spark, sf):
+        m = _served_metrics(spark, sf)
+        out = fn(m, as_of=_as_of(m), **kw)
+        return out.select(*[K.ntz(c) if t == "timestamp" else (K.r6(c) if t == "double" else c)
+                            for c, t in out.dtypes])
+    register(name, W(*MS) + " " + sql)(q)
+
+
+_serve("latest_active_users", S.latest_active_users,
+       "SELECT CAST(coalesce(sum(active_users), 0) AS BIGINT) AS users FROM lw")
+_serve("latest_cart_adds", S.latest_cart_adds,
+       "SELECT CAST(coalesce(sum(cart_additions), 0) AS BIGINT) AS cart_adds FROM lw")
+_serve("latest_purchases", S.latest_purchases,
+       "SELECT CAST(coalesce(sum(purchases), 0) AS BIGINT) AS purchases FROM lw")
+_serve("latest_abandonment", S.latest_abandonment,
+       "SELECT coalesce(CAST(sum(cart_additions) - sum(purchases) AS DOUBLE) / nullif(sum(cart_additions), 0), 0.0) AS abandonment FROM lw")
+_serve("funnel_series", S.funnel_series,
+       "SELECT window_end AS time, CAST(sum(cart_additions) AS BIGINT) AS cart_additions, "
+       "CAST(sum(purchases) AS BIGINT) AS purchases FROM rng GROUP BY 1 ORDER BY 1", whole=True)
+_serve("top_pages", S.top_pages,
+       "SELECT page_url, active_users, cart_additions, purchases, round(cart_abandonment_rate, 3) AS abandonment "
+       "FROM lw ORDER BY active_users DESC, page_url LIMIT 15")
+_serve("freshness_seconds", S.freshness_seconds,
+       "SELECT coalesce(epoch((SELECT as_of FROM nowt) - max(updated_at)), 0.0) AS seconds FROM m")
+_serve("latest_page_count", S.latest_page_count, "SELECT count(*) AS pages FROM lw")
+_serve("rows_last_24h", S.rows_last_24h,
+       "SELECT count(*) AS rows FROM m WHERE window_start > (SELECT as_of FROM nowt) - INTERVAL 24 HOURS")
+_serve("pages_per_window", S.pages_per_window,
+       "SELECT window_end AS time, count(DISTINCT page_url) AS pages FROM rng GROUP BY 1 ORDER BY 1", whole=True)
+
+
+@register("abandonment_trend", W(*MS) + """
+SELECT window_end AS time, round(CAST(sum(cart_additions) - sum(purchases) AS DOUBLE) / nullif(sum(cart_additions), 0), 6)
+  AS abandonment FROM rng GROUP BY 1 ORDER BY 1""")
+def q_abandonment_trend(spark, sf):
+    m = _served_metrics(spark, sf)
+    t = S.abandonment_trend(m, as_of=_as_of(m), whole=True)
+    return t.select(K.ntz("time"), K.r6("abandonment"))
+
+
+@register("upserts_per_minute", W(*MS) + """
+SELECT date_trunc('minute', updated_at) AS time, count(*) AS rows FROM m
+WHERE updated_at <= (SELECT as_of FROM nowt) GROUP BY 1 ORDER BY 1""")
+def q_upserts_per_minute(spark, sf):
+    m = _served_metrics(spark, sf)
+    return S.upserts_per_minute(m, as_of=_as_of(m), whole=True).select(K.ntz("time"), "rows")
+
+
+@register("recent_upserts", W(*EV, O.metrics(60, 10)) + """
+SELECT window_start, window_end, page_url, active_users, cart_additions, purchases,
+  round(cart_abandonment_rate, 6) AS cart_abandonment_rate, updated_at FROM m
+ORDER BY updated_at DESC, window_start DESC, window_end DESC, page_url LIMIT 5""")
+def q_recent_upserts(spark, sf):
+    return _metric_cols(S.recent_upserts(_served_metrics(spark, sf)), *ALL_METRICS)
