@@ -208,12 +208,12 @@ gate AS (SELECT *, CASE
    WHEN contract_status = 'invalid' THEN 'rejected' ELSE 'accepted' END AS gate_status FROM cv)"""
 
 
-def windows(length_s: int, slide_s: int) -> str:
+def windows(length_s: int, slide_s: int, src: str = "ev") -> str:
     k = length_s // slide_s
     return f"""
-win AS (SELECT ev.*, CAST(time_bucket(INTERVAL '{slide_s} seconds', event_time, TIMESTAMP '1970-01-01')
+win AS (SELECT {src}.*, CAST(time_bucket(INTERVAL '{slide_s} seconds', event_time, TIMESTAMP '1970-01-01')
           - i * INTERVAL '{slide_s} seconds' AS TIMESTAMP) AS window_start
-  FROM ev, range(0, {k}) t(i)),
+  FROM {src}, range(0, {k}) t(i)),
 winx AS (SELECT *, window_start + INTERVAL '{length_s} seconds' AS window_end,
   coalesce(nullif(page_url, ''), '/unknown') AS page_key FROM win)"""
 
@@ -232,3 +232,19 @@ m AS (SELECT *, CASE WHEN cart_additions > 0 THEN (cart_additions - purchases) /
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+BATCH_OFFSETS = 50  # offsets per emulated micro-batch (per partition)
+
+CHANGELOG = f"""
+evb AS (SELECT *, "offset" // {BATCH_OFFSETS} AS batch_id FROM ev),""" + windows(60, 10, "evb") + """,
+pu AS (SELECT window_start, window_end, page_key, user_id, min(batch_id) AS fb FROM winx GROUP BY ALL),
+nu AS (SELECT window_start, window_end, page_key, fb AS batch_id, count(*) AS n FROM pu GROUP BY ALL),
+cnt AS (SELECT window_start, window_end, page_key, batch_id,
+  sum(CASE WHEN event_type = 'cart_add' THEN 1 ELSE 0 END) AS a,
+  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS p, max(event_time) AS u FROM winx GROUP BY ALL),
+cj AS (SELECT cnt.*, coalesce(nu.n, 0) AS n FROM cnt LEFT JOIN nu USING (window_start, window_end, page_key, batch_id)),
+cl AS (SELECT window_start, window_end, page_key AS page_url, batch_id,
+  CAST(sum(n) OVER w AS BIGINT) AS active_users, CAST(sum(a) OVER w AS BIGINT) AS cart_additions,
+  CAST(sum(p) OVER w AS BIGINT) AS purchases, max(u) OVER w AS updated_at FROM cj
+  WINDOW w AS (PARTITION BY window_start, window_end, page_key ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""

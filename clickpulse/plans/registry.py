@@ -337,3 +337,84 @@ SELECT window_start, window_end, page_url, active_users, cart_additions, purchas
 ORDER BY updated_at DESC, window_start DESC, window_end DESC, page_url LIMIT 5""")
 def q_recent_upserts(spark, sf):
     return _metric_cols(S.recent_upserts(_served_metrics(spark, sf)), *ALL_METRICS)
+
+
+# ---------------------------------------------------------------- 2.1 storage
+
+from clickpulse.streaming import sink as SK  # noqa: E402
+from clickpulse.streaming import storage as ST  # noqa: E402
+
+
+def _changelog(spark, sf):
+    ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS).cast("bigint"))
+    return SK.update_mode_changelog(ev, "batch_id")
+
+
+@register("metrics_changelog", W(*EV, O.CHANGELOG) + """
+SELECT window_start, window_end, page_url, batch_id, active_users, cart_additions, purchases,
+  round(CASE WHEN cart_additions > 0 THEN (cart_additions - purchases) / cart_additions ELSE 0.0 END, 6)
+  AS cart_abandonment_rate, updated_at FROM cl""")
+def q_metrics_changelog(spark, sf):
+    """Update-mode output per emulated micro-batch (what the sink receives)."""
+    c = _changelog(spark, sf)
+    return c.select(K.ntz("window_start"), K.ntz("window_end"), "page_url", "batch_id",
+                    "active_users", "cart_additions", "purchases", K.r6("cart_abandonment_rate"),
+                    K.ntz("updated_at"))
+
+
+@register("metrics_latest", _metric_oracle(60, 10, *ALL_METRICS))
+def q_metrics_latest(spark, sf):
+    """Changelog folded latest-wins per PK == the batch aggregate."""
+    latest = SK.latest_metrics(_changelog(spark, sf))
+    return _metric_cols(latest, *ALL_METRICS)
+
+
+@register("metrics_table", W(*EV, O.metrics(60, 10)) + """
+SELECT window_start, window_end, page_url, active_users, cart_additions, purchases,
+  round(cart_abandonment_rate, 6) AS cart_abandonment_rate, updated_at,
+  CAST(window_start AS DATE) AS window_date FROM m""")
+def q_metrics_table(spark, sf):
+    rows = SK.to_table_rows(K.metrics(spark, sf))
+    return _metric_cols(rows, *ALL_METRICS, "window_date")
+
+
+def _run_days(spark, sf):
+    return K.events(spark, sf).select(F.to_date("event_time").alias("day")).distinct()
+
+
+@register("partition_calendar", W(*EV) + """,
+days AS (SELECT DISTINCT CAST(event_time AS DATE) AS d FROM ev),
+cal AS (SELECT DISTINCT CAST(d + INTERVAL (i) DAY AS DATE) AS range_from FROM days, range(-1, 4) t(i))
+SELECT 'windowed_user_metrics_' || strftime(range_from, '%Y%m%d') AS "partition", range_from,
+  CAST(range_from + INTERVAL 1 DAY AS DATE) AS range_to FROM cal""")
+def q_partition_calendar(spark, sf):
+    """Partitions ensured by a daily run on every day the stream had events."""
+    return ST.partition_calendar_for(_run_days(spark, sf), "day", 3)
+
+
+@register("unroutable_metrics", W(*EV, O.metrics(60, 10)) + """,
+d0 AS (SELECT min(CAST(event_time AS DATE)) AS d FROM ev),
+cal AS (SELECT CAST(d + INTERVAL (i) DAY AS DATE) AS range_from FROM d0, range(-1, 4) t(i))
+SELECT window_start, window_end, page_url, 'no partition for window_start' AS reason FROM m
+WHERE CAST(window_start AS DATE) NOT IN (SELECT range_from FROM cal)
+UNION ALL
+SELECT window_start, window_end, page_url, 'page_url longer than column width' FROM m
+WHERE CAST(window_start AS DATE) IN (SELECT range_from FROM cal) AND length(page_url) > 512""")
+def q_unroutable(spark, sf):
+    """Windows that would fail the insert if maintenance ran only at start-up
+    (calendar of the first day)."""
+    m = K.metrics(spark, sf)
+    first = _run_days(spark, sf).agg(F.min("day").alias("day"))
+    cal = ST.partition_calendar_for(first, "day", 3)
+    return ST.unroutable_metrics(m, cal).select(K.ntz("window_start"), K.ntz("window_end"), "page_url", "reason")
+
+
+@register("retention_prune", W(*EV, O.metrics(60, 10)) + """,
+t AS (SELECT CAST(window_start AS DATE) AS partition_date FROM m)
+SELECT partition_date, count(*) AS rows,
+  CASE WHEN partition_date < (SELECT max(partition_date) FROM t) - INTERVAL 7 DAY THEN 'drop' ELSE 'keep' END AS action
+FROM t GROUP BY 1""")
+def q_retention(spark, sf):
+    rows = SK.to_table_rows(K.metrics(spark, sf))
+    as_of = rows.select(F.max("window_date")).scalar()
+    return ST.retention_prune(rows, "window_date", as_of, 7)
