@@ -22,7 +22,16 @@ def strict_json(raw: Column) -> Column:
     acceptance equal to Python's ``json.loads`` except for duplicate keys and
     bare NaN (rejected here, accepted there).
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    return single_document(wrapped_json(raw))
+
+
+def wrapped_json(raw: Column) -> Column:
+    """The one parse: ``raw`` wrapped in ``[ ]`` as a VARIANT (or null)."""
+    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+
+
+def single_document(wrapped: Column) -> Column:
+    """The document of a wrapped parse when it holds exactly one element."""
     first = F.variant_get(wrapped, "$[0]", "variant")
     second = F.variant_get(wrapped, "$[1]", "variant")
     return F.when(first.isNotNull() & second.isNull(), first)

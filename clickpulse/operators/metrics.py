@@ -147,7 +147,8 @@ def _page_metrics_bucketed(events: DataFrame, L: int, S: int, distinct: str,
     else:
         s1 = base.groupBy(bucket.alias("bucket"), page.alias("page_url")) \
                  .agg(adds.alias("a"), purch.alias("p"), F.max("event_time").alias("u"),
-                      F.hll_sketch_agg("user_id").alias("h"))
+                      # hashed: the sketch skips empty strings, "" is a user
+                      F.hll_sketch_agg(F.xxhash64("user_id")).alias("h"))
     s2 = s1.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))) \
            .withColumn("ws", F.col("bucket") - F.col("i") * S)
     users = (F.count_distinct("user_id") if distinct == "exact"

@@ -42,7 +42,8 @@ def with_doc(df: DataFrame, raw: str = "raw_value") -> DataFrame:
     """Add the strict-parsed payload as a VARIANT column (one parse per row)."""
     if DOC in df.columns:
         return df
-    return with_fenced(df, **{DOC: J.strict_json(F.col(raw))})
+    d = with_fenced(df, _wrapped=J.wrapped_json(F.col(raw)))
+    return with_fenced(d, **{DOC: J.single_document(F.col("_wrapped"))}).drop("_wrapped")
 
 
 def _required_kinds(doc: Column) -> dict:
