@@ -16,3 +16,21 @@ def with_fenced(df: DataFrame, **cols: Column) -> DataFrame:
     once per row.  Streaming-safe (stateless).
     """
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
+
+
+_MEMO: dict = {}
+
+
+def memo_column(key, build):
+    """Build a (large) Column expression once per SparkContext and reuse it.
+
+    Expressions here reference columns by name only, so one unresolved
+    expression serves every DataFrame; building the rule cascades through
+    Py4J costs seconds, reusing them costs nothing.
+    """
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    k = (id(sc), key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clickpulse import contracts as C
 from clickpulse.functions import jsonval as J
-from clickpulse.functions import with_fenced
+from clickpulse.functions import memo_column, with_fenced
 from clickpulse.functions.contract import messages_of, tagged_errors, tags_of, value_columns
 from clickpulse.functions.timefmt import event_time
 
@@ -42,8 +42,10 @@ def with_doc(df: DataFrame, raw: str = "raw_value") -> DataFrame:
     """Add the strict-parsed payload as a VARIANT column (one parse per row)."""
     if DOC in df.columns:
         return df
-    d = with_fenced(df, _wrapped=J.wrapped_json(F.col(raw)))
-    return with_fenced(d, **{DOC: J.single_document(F.col("_wrapped"))}).drop("_wrapped")
+    w, doc = memo_column(("doc", raw), lambda: (J.wrapped_json(F.col(raw)),
+                                                J.single_document(F.col("_wrapped"))))
+    d = with_fenced(df, _wrapped=w)
+    return with_fenced(d, **{DOC: doc}).drop("_wrapped")
 
 
 def _required_kinds(doc: Column) -> dict:
@@ -74,10 +76,14 @@ def stream_error(raw: Column, doc: Column, kinds: dict | None = None) -> Column:
 def with_stream_validation(df: DataFrame, raw: str = "raw_value") -> DataFrame:
     """Add ``validation_error`` (null = valid) and the parsed ``_doc``."""
     d = with_doc(df, raw)
-    kinds = _required_kinds(F.col(DOC))
+
+    def build():
+        kinds = _required_kinds(F.col(DOC))
+        err = stream_error(F.col(raw), F.col(DOC), {k: F.col(k) for k in kinds})
+        return kinds, err
+    kinds, err = memo_column(("stream_error", raw), build)
     d = with_fenced(d, **kinds)
-    d = with_fenced(d, validation_error=stream_error(F.col(raw), F.col(DOC),
-                                                       {k: F.col(k) for k in kinds}))
+    d = with_fenced(d, validation_error=err)
     return d.drop(*kinds)
 
 
@@ -106,11 +112,14 @@ def with_contract_errors(df: DataFrame, contract: dict = C.EVENT_CONTRACT, raw:
     payload is empty or not parseable), ``violated`` rule tags and
     ``contract_status`` in {valid, invalid, unparseable}."""
     d = df if doc_col else with_doc(df, raw)
-    doc = F.col(doc_col or DOC)
-    vals = value_columns(contract, doc)
+
+    def build():
+        doc = F.col(doc_col or DOC)
+        vals = value_columns(contract, doc)
+        refs = {k: F.col(k) for k in vals}
+        return vals, F.when(doc.isNotNull(), tagged_errors(contract, doc, enforce_datetime, refs))
+    vals, tagged = memo_column(("contract", contract.get("$id"), doc_col, enforce_datetime), build)
     d = with_fenced(d, **vals)
-    vals = {k: F.col(k) for k in vals}
-    tagged = F.when(doc.isNotNull(), tagged_errors(contract, doc, enforce_datetime, vals))
     return (with_fenced(d, _tagged=tagged)
              .drop(*vals)
              .withColumn("validation_errors", messages_of(F.col("_tagged")))

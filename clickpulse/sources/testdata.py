@@ -50,7 +50,13 @@ def kafka_records(events: DataFrame) -> DataFrame:
 
     Pure projection: no shuffle, runs in one codegen stage per partition.
     """
+    from clickpulse.functions import memo_column
+    stage_a, stage_b, stage_c = memo_column("kafka_records", _adapter_columns)
     e = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return e.select(*stage_a).select(*stage_b).select(*stage_c)
+
+
+def _adapter_columns():
     cls = F.col("cls")
     uid_md5 = F.md5(F.col("event_id").cast("string"))
     uid = F.concat_ws("-", F.substring(uid_md5, 1, 8), F.substring(uid_md5, 9, 4),
@@ -61,7 +67,7 @@ def kafka_records(events: DataFrame) -> DataFrame:
     for src, dst in EVENT_TYPE_MAP.items():
         mapped = F.when(et == src, dst) if mapped is None else mapped.when(et == src, dst)
     mapped = mapped.otherwise(et)
-    a = e.select(
+    stage_a = [
         "event_id", "user_id", "value", "ts",
         _damage_class(F.col("event_id")).alias("cls"),
         uid.alias("uid"),
@@ -70,7 +76,7 @@ def kafka_records(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyyMMdd").alias("dd"),
         F.get_json_object("props", "$.k").alias("k"),
         mapped.alias("et"),
-    )
+    ]
     user = F.col("user_id").cast("string")
     session = F.concat(F.lit("ses_"), user, F.lit("_"), F.col("dd"))
     prod = F.col("et").isin("cart_add", "purchase")
@@ -106,13 +112,14 @@ def kafka_records(events: DataFrame) -> DataFrame:
            .when(cls == "not_object", "[1,2]")
            .when(cls == "trailing", F.concat(F.col("__full"), F.lit(" x")))
            .otherwise(F.col("__full")))
-    return (a.select("event_id", "cls", "ts", session.alias("session_key"), full.alias("__full"))
-             .select(F.col("event_id").alias("src_id"), "cls", F.col("ts").alias("src_ts"),
-                     F.col("session_key").cast("binary").alias("key"),
-                     raw.cast("binary").alias("value"),
-                     F.lit("clickstream-events").alias("topic"),
-                     (F.col("event_id") % 6).cast("int").alias("partition"),
-                     F.floor(F.col("event_id") / 6).cast("bigint").alias("offset")))
+    stage_b = ["event_id", "cls", "ts", session.alias("session_key"), full.alias("__full")]
+    stage_c = [F.col("event_id").alias("src_id"), "cls", F.col("ts").alias("src_ts"),
+               F.col("session_key").cast("binary").alias("key"),
+               raw.cast("binary").alias("value"),
+               F.lit("clickstream-events").alias("topic"),
+               (F.col("event_id") % 6).cast("int").alias("partition"),
+               F.floor(F.col("event_id") / 6).cast("bigint").alias("offset")]
+    return stage_a, stage_b, stage_c
 
 
 def raw_records(events: DataFrame) -> DataFrame:
