@@ -192,7 +192,7 @@ def _contract_cte() -> str:
 cr0 AS (SELECT *, {parts} FROM raw WHERE {ok}),
 cr AS (SELECT src_id, cls, src_ts, raw_value, {n} AS n_errors, {reason} AS reason,
   array_to_string(list_sort(list_distinct(list_filter([{', '.join(tags)}], lambda x: x IS NOT NULL))), ',') AS tags FROM cr0),
-cv AS (SELECT r.src_id, r.cls, r.src_ts, r.raw_value,
+cv AS (SELECT r.src_id, r.cls, r.src_ts, r.raw_value, r."partition",
   CASE WHEN cr.src_id IS NULL THEN 'unparseable' WHEN cr.n_errors = 0 THEN 'valid' ELSE 'invalid' END AS contract_status,
   cr.n_errors, CASE WHEN cr.n_errors > 0 THEN cr.reason END AS reason, cr.tags
   FROM raw r LEFT JOIN cr USING (src_id))"""
@@ -248,3 +248,45 @@ cl AS (SELECT window_start, window_end, page_key AS page_url, batch_id,
   CAST(sum(n) OVER w AS BIGINT) AS active_users, CAST(sum(a) OVER w AS BIGINT) AS cart_additions,
   CAST(sum(p) OVER w AS BIGINT) AS purchases, max(u) OVER w AS updated_at FROM cj
   WINDOW w AS (PARTITION BY window_start, window_end, page_key ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+# -- stream health ----------------------------------------------------------
+STEP_US = 15_000_000
+
+SAMPLES = f"""
+smp0 AS (SELECT CAST(ceil(epoch_us(CAST(src_ts AS TIMESTAMP)) / {STEP_US}.0) * {STEP_US} AS BIGINT) AS t,
+   CASE WHEN gate_status = 'accepted' THEN 'producer_events_published_total'
+        ELSE 'producer_events_rejected_total' END AS metric,
+   'producer-' || CAST("partition" % 3 AS VARCHAR) AS pod
+  FROM gate WHERE gate_status IN ('accepted', 'rejected')),
+smp AS (SELECT t, metric, pod, count(*) AS n FROM smp0 GROUP BY ALL),
+samples AS (SELECT make_timestamp(t) AS ts, metric, pod,
+  CAST(sum(n) OVER (PARTITION BY metric, pod ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value
+  FROM smp),
+inc AS (SELECT metric, pod, ts, value, lag(value) OVER w AS pv, lag(ts) OVER w AS pt FROM samples
+  WINDOW w AS (PARTITION BY metric, pod ORDER BY ts)),
+incd AS (SELECT metric, pod, ts, pt, CASE WHEN value >= pv THEN value - pv ELSE value END AS delta
+  FROM inc WHERE pt IS NOT NULL)"""
+
+
+def increase(range_s: int, name: str, metric: str | None = None) -> str:
+    """Steps x sample pairs range join: both samples of a pair in (t-range, t]."""
+    r = range_s * 1_000_000
+    where = f"WHERE metric = '{metric}'" if metric else ""
+    return f"""
+{name}_src AS (SELECT * FROM incd {where}),
+{name}_steps AS (SELECT unnest(generate_series(
+    CAST(ceil(epoch_us(min(ts)) / {STEP_US}.0) * {STEP_US} AS BIGINT),
+    CAST(ceil((epoch_us(max(ts)) + {r}) / {STEP_US}.0) * {STEP_US} AS BIGINT), {STEP_US})) AS t FROM {name}_src),
+{name} AS (SELECT make_timestamp(s.t) AS ts, i.metric, i.pod, sum(i.delta) AS increase
+  FROM {name}_steps s JOIN {name}_src i ON epoch_us(i.ts) <= s.t AND epoch_us(i.pt) > s.t - {r}
+  GROUP BY ALL)"""
+
+
+def sustained_sql(src: str, keys: str, for_s: int) -> str:
+    """Rows of ``src`` (keys, ts) where the condition held at every step of
+    [ts - for, ts]: a RANGE-frame count over the true steps."""
+    n = for_s // 15 + 1
+    part = f"PARTITION BY {keys}" if keys else ""
+    return f"""(SELECT * FROM (SELECT *, count(*) OVER ({part} ORDER BY ts RANGE BETWEEN INTERVAL {for_s} SECONDS PRECEDING AND CURRENT ROW) AS c
+  FROM {src}) WHERE c = {n})"""

@@ -418,3 +418,201 @@ def q_retention(spark, sf):
     rows = SK.to_table_rows(K.metrics(spark, sf))
     as_of = rows.select(F.max("window_date")).scalar()
     return ST.retention_prune(rows, "window_date", as_of, 7)
+
+
+# ---------------------------------------------------------------- 2.7 health
+
+from clickpulse.operators import health as H  # noqa: E402
+
+HS = (O.ADAPTER, O.CONTRACT, O.GATE, O.SAMPLES)
+
+
+def _samples(spark, sf):
+    return H.counter_samples(K.gated(spark, sf))
+
+
+@register("counter_samples", W(*HS) + " SELECT ts, metric, pod, value FROM samples")
+def q_counter_samples(spark, sf):
+    return _samples(spark, sf).select(K.ntz("ts"), "metric", "pod", "value")
+
+
+@register("counter_rate", W(*HS, O.increase(120, "r2")) + """
+SELECT ts, metric, pod, round(increase / 120, 6) AS rate FROM r2""")
+def q_counter_rate(spark, sf):
+    return H.counter_rate(_samples(spark, sf), 120).select(K.ntz("ts"), "metric", "pod", K.r6("rate"))
+
+
+@register("counter_increase", W(*HS, O.increase(300, "r5")) + """
+SELECT ts, metric, pod, round(increase, 6) AS increase FROM r5""")
+def q_counter_increase(spark, sf):
+    return H.counter_increase(_samples(spark, sf), 300).select(K.ntz("ts"), "metric", "pod", K.r6("increase"))
+
+
+@register("sum_by_label", W(*HS, O.increase(120, "r2")) + """
+SELECT ts, pod, round(sum(increase / 120), 6) AS rate FROM r2 GROUP BY ALL""")
+def q_sum_by_label(spark, sf):
+    s = H.sum_by_label(H.counter_rate(_samples(spark, sf), 120), "rate")
+    return s.select(K.ntz("ts"), "pod", K.r6("rate"))
+
+
+@register("gauge_latest", W(*HS) + """
+SELECT metric, pod, max(ts) AS ts, arg_max(value, ts) AS value FROM samples GROUP BY ALL""")
+def q_gauge_latest(spark, sf):
+    s = _samples(spark, sf)
+    return H.gauge_latest(s, s.select(F.max("ts")).scalar()).select("metric", "pod", K.ntz("ts"), "value")
+
+
+def _alert_out(df):
+    return df.select(K.ntz("ts"), *[c for c in df.columns if c not in ("ts",)])
+
+
+@register("alert_high_reject", W(*HS, O.increase(120, "rr", H.REJECTED)) + """,
+hv AS (SELECT ts FROM rr GROUP BY ts HAVING sum(increase / 120) > 1)
+SELECT ts, 'HighDLQRate' AS alertname, 'critical' AS severity FROM """ + O.sustained_sql("hv", "", 60))
+def q_alert_high_reject(spark, sf):
+    return _alert_out(H.alert_high_reject(_samples(spark, sf)))
+
+
+@register("alert_no_publish", W(*HS, O.increase(300, "rp", H.PUBLISHED)) + f""",
+spine AS (SELECT make_timestamp(unnest(generate_series(
+    CAST(ceil(epoch_us(min(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT),
+    CAST(floor(epoch_us(max(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT), {O.STEP_US}))) AS ts FROM samples),
+pv AS (SELECT ts, sum(increase / 300) AS v FROM rp GROUP BY ts),
+zs AS (SELECT s.ts FROM spine s LEFT JOIN pv USING (ts) WHERE coalesce(pv.v, 0) = 0)
+SELECT ts, 'ProducerPublishRateZero' AS alertname, 'warning' AS severity FROM """ + O.sustained_sql("zs", "", 120))
+def q_alert_no_publish(spark, sf):
+    return _alert_out(H.alert_no_publish(_samples(spark, sf)))
+
+
+@register("alert_restarts", W(*HS, O.increase(300, "ri")) + """,
+rv AS (SELECT metric, pod, ts FROM ri WHERE increase > 2)
+SELECT metric, pod, ts, 'ServicePodCrashLooping' AS alertname, 'critical' AS severity FROM """
+          + O.sustained_sql("rv", "metric, pod", 60))
+def q_alert_restarts(spark, sf):
+    return _alert_out(H.alert_restarts(_samples(spark, sf)))
+
+
+@register("sustained", W(*HS, O.increase(120, "r2")) + """,
+cv2 AS (SELECT metric, pod, ts FROM r2 WHERE increase > 0)
+SELECT metric, pod, ts FROM """ + O.sustained_sql("cv2", "metric, pod", 60))
+def q_sustained(spark, sf):
+    """Generic 'for: 1m' over 'rate > 0' per series."""
+    r = H.counter_rate(_samples(spark, sf), 120).filter(F.col("rate") > 0)
+    return H.sustained(r.select("metric", "pod", "ts"), ["metric", "pod"], 60).select("metric", "pod", K.ntz("ts"))
+
+
+@register("alert_groups", W(*HS, O.increase(120, "rr", H.REJECTED), O.increase(300, "rp", H.PUBLISHED),
+                            O.increase(300, "ri")) + f""",
+hv AS (SELECT ts FROM rr GROUP BY ts HAVING sum(increase / 120) > 1),
+spine AS (SELECT make_timestamp(unnest(generate_series(
+    CAST(ceil(epoch_us(min(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT),
+    CAST(floor(epoch_us(max(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT), {O.STEP_US}))) AS ts FROM samples),
+pv AS (SELECT ts, sum(increase / 300) AS v FROM rp GROUP BY ts),
+zs AS (SELECT s.ts FROM spine s LEFT JOIN pv USING (ts) WHERE coalesce(pv.v, 0) = 0),
+rv AS (SELECT metric, pod, ts FROM ri WHERE increase > 2),
+alerts AS (
+  SELECT ts, 'HighDLQRate' AS alertname, 'critical' AS severity FROM {O.sustained_sql("hv", "", 60)}
+  UNION ALL SELECT ts, 'ProducerPublishRateZero', 'warning' FROM {O.sustained_sql("zs", "", 120)}
+  UNION ALL SELECT ts, 'ServicePodCrashLooping', 'critical' FROM {O.sustained_sql("rv", "metric, pod", 60)})
+SELECT alertname, severity, min(ts) AS first_firing, max(ts) AS last_firing, count(*) AS firing_evaluations
+FROM alerts GROUP BY ALL""")
+def q_alert_groups(spark, sf):
+    from clickpulse.session import checkpoint_root
+    checkpoint_root(spark)
+    # three alert rules read the same samples: cut the lineage once (a
+    # reliable checkpoint in the shared checkpoint folder) instead of
+    # re-running validation three times
+    s = _samples(spark, sf).checkpoint()
+    cols = ["ts", "alertname", "severity"]
+    alerts = H.alert_high_reject(s).select(*cols).unionByName(H.alert_no_publish(s).select(*cols)) \
+        .unionByName(H.alert_restarts(s).select(*cols))
+    g = H.alert_groups(alerts)
+    return g.select("alertname", "severity", K.ntz("first_firing"), K.ntz("last_firing"), "firing_evaluations")
+
+
+# ---------------------------------------------------------------- 2.8 documented extras
+
+from clickpulse.plans import insights as I  # noqa: E402
+
+
+@register("gmv_series", W(*EV, O.windows(60, 10)) + """
+SELECT window_start, window_end, round(coalesce(sum(price_inr), 0.0), 6) AS gmv, count(*) AS purchases
+FROM winx WHERE event_type = 'purchase' GROUP BY ALL""")
+def q_gmv(spark, sf):
+    g = I.gmv_series(K.events(spark, sf))
+    return g.select(K.ntz("window_start"), K.ntz("window_end"), K.r6("gmv"), "purchases")
+
+
+@register("dlq_breakdown", W(*SV) + """
+SELECT 'schema_validation_error' AS failure_reason, split_part(validation_error, ':', 1) AS error_class,
+  count(*) AS dead_letters FROM sv WHERE validation_error IS NOT NULL GROUP BY ALL""")
+def q_dlq_breakdown(spark, sf):
+    return D.dlq_breakdown(_dlq(spark, sf))
+
+
+def _batch_close(spark, sf):
+    """Emulated micro-batches (offsets // 50): each closes when its last
+    record arrives; an event is processed when its batch closes."""
+    ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS))
+    close = K.raw(spark, sf).groupBy(F.floor(F.col("offset") / O.BATCH_OFFSETS).alias("batch_id")) \
+        .agg(F.max("src_ts").alias("processed_at"))
+    # one row per micro-batch: rows = offsets / 50, so the broadcast side is
+    # bounded by the batch count, not by the event count
+    return ev.join(F.broadcast(close), "batch_id")
+
+
+@register("latency_percentiles")
+def q_latency(spark, sf):
+    """Rows-only check: percentile_approx is an estimate by design."""
+    return I.latency_percentiles(I.processing_latency(_batch_close(spark, sf), "processed_at"))
+
+
+@register("latency_exact_by_batch", W(*EV) + f""",
+cl AS (SELECT "offset" // {O.BATCH_OFFSETS} AS batch_id, max(src_ts) AS processed_at FROM raw GROUP BY 1)
+SELECT batch_id, round(max(epoch_us(processed_at) - epoch_us(event_time)) / 1e6, 6) AS max_latency_s,
+  count(*) AS events
+FROM ev JOIN cl ON ev."offset" // {O.BATCH_OFFSETS} = cl.batch_id GROUP BY 1""")
+def q_latency_by_batch(spark, sf):
+    """Exact worst processing latency per micro-batch (SQL-checkable twin)."""
+    lat = _batch_close(spark, sf)
+    lat = lat.withColumn("l", (F.unix_micros(F.col("processed_at").cast("timestamp"))
+                               - F.unix_micros("event_time")) / 1e6)
+    return lat.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
+        F.round(F.max("l"), 6).alias("max_latency_s"), F.count(F.lit(1)).alias("events"))
+
+
+@register("consumer_lag", W(*BASE) + """,
+cut AS (SELECT max(src_ts) - INTERVAL 1 DAY AS t FROM raw)
+SELECT "partition", max("offset") + 1 AS end_offset,
+  coalesce(max("offset") FILTER (WHERE src_ts <= (SELECT t FROM cut)) + 1, 0) AS committed_offset,
+  max("offset") + 1 - coalesce(max("offset") FILTER (WHERE src_ts <= (SELECT t FROM cut)) + 1, 0) AS lag
+FROM raw GROUP BY 1""")
+def q_consumer_lag(spark, sf):
+    """Lag per partition if the consumer had stopped one day before the end."""
+    r = K.raw(spark, sf)
+    cut = r.select(F.max("src_ts") - F.expr("INTERVAL 1 DAY")).scalar()
+    offs = r.groupBy("partition").agg(
+        (F.max("offset") + 1).alias("end_offset"),
+        F.coalesce(F.max(F.when(F.col("src_ts") <= cut, F.col("offset"))) + 1, F.lit(0)).alias("committed_offset"))
+    return I.consumer_lag(offs)
+
+
+@register("page_popularity", W(*EV) + """
+SELECT coalesce(nullif(page_url, ''), '/unknown') AS page_url,
+  count(*) FILTER (WHERE event_type = 'page_view') AS views, count(DISTINCT user_id) AS users, count(*) AS events
+FROM ev GROUP BY 1 ORDER BY views DESC, page_url LIMIT 20""")
+def q_page_popularity(spark, sf):
+    return I.page_popularity(K.events(spark, sf), 20)
+
+
+@register("funnel_conversion", W(*EV) + """,
+f AS (SELECT count(*) FILTER (WHERE event_type = 'page_view') AS views,
+  count(*) FILTER (WHERE event_type = 'cart_add') AS cart_adds,
+  count(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM ev)
+SELECT views, cart_adds, purchases, round(cart_adds / nullif(views, 0), 6) AS view_to_cart,
+  round(purchases / nullif(cart_adds, 0), 6) AS cart_to_purchase, round(purchases / nullif(views, 0), 6) AS view_to_purchase
+FROM f""")
+def q_funnel(spark, sf):
+    f = I.funnel_conversion(K.events(spark, sf))
+    return f.select("views", "cart_adds", "purchases", K.r6("view_to_cart"), K.r6("cart_to_purchase"),
+                    K.r6("view_to_purchase"))
