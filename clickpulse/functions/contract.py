@@ -30,6 +30,7 @@ class Rule:
     keyword: str     # JSON-Schema keyword
     error: Column    # message text when violated, else null (or array for items)
     many: bool = False  # error is an array of messages (per-item rules)
+    cond: Column | None = None  # violation condition (cheap boolean)
 
 
 def _py_literal(x) -> str:
@@ -68,41 +69,46 @@ def _msg(path: str, text: Column, kw: str = "") -> Column:
     return F.concat(F.lit(f"{tag}{TAG_SEP}[{path}]: "), text)
 
 
+def _rule(path: str, kw: str, cond: Column, msg: Column) -> Rule:
+    return Rule(path, kw, F.when(cond, msg), cond=cond)
+
+
 def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool,
-                 k: Column | None = None) -> list[Rule]:
+                 k: Column | None = None, sval: Column | None = None) -> list[Rule]:
     """Rules of one (sub)schema applied to the variant ``v`` (null = absent);
-    ``k`` is its precomputed kind."""
+    ``k`` is its precomputed kind, ``sval`` its text when it is a string."""
     rules: list[Rule] = []
     k = J.kind(v) if k is None else k
+    sval = J.as_string(v) if sval is None else sval
     present = v.isNotNull()
     for kw, arg in schema.items():
         if kw == "type":
             types = arg if isinstance(arg, list) else [arg]
             txt = F.lit(VALUE_MARK + " is not of type " + ", ".join(_py_literal(t) for t in types))
-            rules.append(Rule(path, kw, F.when(present & ~_type_ok(k, arg), _msg(path, txt, kw))))
+            rules.append(_rule(path, kw, present & ~_type_ok(k, arg), _msg(path, txt, kw)))
         elif kw == "const":
-            same = (k == "string") & (J.as_string(v) == F.lit(arg)) if isinstance(arg, str) else F.lit(False)
-            rules.append(Rule(path, kw, F.when(present & ~same, _msg(path, F.lit(_py_literal(arg) + " was expected"), kw))))
+            same = F.coalesce(sval == F.lit(arg), F.lit(False)) if isinstance(arg, str) else F.lit(False)
+            rules.append(_rule(path, kw, present & ~same, _msg(path, F.lit(_py_literal(arg) + " was expected"), kw)))
         elif kw == "enum":
-            ok = (k == "string") & J.as_string(v).isin(*arg)
+            ok = F.coalesce(sval.isin(*arg), F.lit(False))
             txt = F.lit(VALUE_MARK + " is not one of " + _py_literal(arg))
-            rules.append(Rule(path, kw, F.when(present & ~ok, _msg(path, txt, kw))))
+            rules.append(_rule(path, kw, present & ~ok, _msg(path, txt, kw)))
         elif kw in ("minLength", "maxLength"):
-            n = F.char_length(J.as_string(v))
+            n = F.char_length(sval)
             bad = (n < arg) if kw == "minLength" else (n > arg)
             if kw == "minLength":
                 word = " should be non-empty" if arg == 1 else " is too short"
             else:
                 word = " is too long"
-            rules.append(Rule(path, kw, F.when(present & (k == "string") & bad,
-                                               _msg(path, F.lit(VALUE_MARK + word), kw))))
+            rules.append(_rule(path, kw, present & (k == "string") & F.coalesce(bad, F.lit(False)),
+                               _msg(path, F.lit(VALUE_MARK + word), kw)))
         elif kw == "minimum":
             num = F.variant_get(v, "$", "double")
             bad = k.isin("integer", "number") & (num < F.lit(arg))
             txt = F.lit(VALUE_MARK + f" is less than the minimum of {arg!r}")
-            rules.append(Rule(path, kw, F.when(present & bad, _msg(path, txt, kw))))
+            rules.append(_rule(path, kw, present & F.coalesce(bad, F.lit(False)), _msg(path, txt, kw)))
         elif kw == "format":
-            s = J.as_string(v)
+            s = sval
             if arg == "uuid":
                 ok = s.rlike(UUID_RE)
             elif arg == "date-time":
@@ -112,7 +118,8 @@ def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool,
             else:
                 continue
             txt = F.lit(VALUE_MARK + f" is not a {arg!r}")
-            rules.append(Rule(path, kw, F.when(present & (k == "string") & ~ok, _msg(path, txt, kw))))
+            rules.append(_rule(path, kw, present & (k == "string") & ~F.coalesce(ok, F.lit(False)),
+                               _msg(path, txt, kw)))
         elif kw == "items":
             # One message per offending item, path "<array> -> <index>".
             items = F.try_variant_get(v, "$", "array<variant>")
@@ -124,7 +131,8 @@ def _value_rules(v: Column, schema: dict, path: str, enforce_datetime: bool,
 
             per_item = make_item_rule(sub, base)
             errs = F.filter(F.transform(items, per_item), lambda e: e.isNotNull())
-            rules.append(Rule(path + " -> *", kw, F.when(present & (k == "array"), errs), many=True))
+            rules.append(Rule(path + " -> *", kw, F.when(present & (k == "array"), errs), many=True,
+                              cond=present & (k == "array") & (F.size(errs) > 0)))
     return rules
 
 
@@ -139,28 +147,36 @@ def _item_error(x, i, sub, base):
     return F.when(~_type_ok(xk, t), F.concat(ipath, txt))
 
 
-def value_columns(contract: dict, doc: Column) -> dict:
-    """Per-property value variants (null when absent or the root is not an
-    object) plus the root kind, to be computed once and fenced."""
-    cols = {"_root_kind": J.kind(doc)}
+def value_columns(contract: dict, doc: Column, raw: Column | None = None) -> dict:
+    """Per-property value variant, kind and string text, plus the root kind,
+    to be computed once and fenced.  The root kind comes from the first
+    character of the raw text when it is given (serializing or typing the
+    whole document would cost more than the parse)."""
+    root = J.kind(doc) if raw is None else F.when(doc.isNotNull(), J.root_kind(raw))
+    cols = {"_root_kind": root}
     for name in contract.get("properties", {}):
-        cols["_v_" + name] = J.field(doc, name)
-        cols["_k_" + name] = J.kind(J.field(doc, name))
+        v = J.field(doc, name)
+        cols["_v_" + name] = v
+        cols["_k_" + name] = J.kind(v)
+        cols["_s_" + name] = F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", "string"))
     return cols
 
 
 def _property_rules(v: Column, sub: dict, name: str, enforce_datetime: bool,
-                    k: Column | None = None) -> list[Rule]:
+                    k: Column | None = None, sval: Column | None = None) -> list[Rule]:
     """Rules of one property with the value repr substituted once."""
-    rules = _value_rules(v, sub, name, enforce_datetime, k)
+    rules = _value_rules(v, sub, name, enforce_datetime, k, sval)
     plain = [r for r in rules if not r.many]
     many = [r for r in rules if r.many]
     if not plain:
         return many
     errs = F.filter(F.array(*[r.error for r in plain]), lambda e: e.isNotNull())
-    shown = F.when(F.size(errs) > 0,
-                   F.transform(errs, lambda e: F.replace(e, F.lit(VALUE_MARK), J.py_repr(v))))
-    return [Rule(name, "*", shown, many=True)] + many
+    # the repr is only rendered inside the lambda, i.e. for error rows
+    shown = F.transform(errs, lambda e: F.replace(e, F.lit(VALUE_MARK), J.py_repr(v)))
+    any_plain = plain[0].cond
+    for r in plain[1:]:
+        any_plain = any_plain | r.cond
+    return [Rule(name, "*", shown, many=True, cond=any_plain)] + many
 
 
 def compile_contract(contract: dict, doc: Column, enforce_datetime: bool = True,
@@ -176,17 +192,18 @@ def compile_contract(contract: dict, doc: Column, enforce_datetime: bool = True,
     for kw, arg in contract.items():
         if kw == "type":
             txt = F.concat(J.py_repr(doc), F.lit(f" is not of type {_py_literal(arg)}"))
-            rules.append(Rule("root", kw, F.when(doc.isNotNull() & (root_kind != arg), _msg("root", txt, kw))))
+            rules.append(_rule("root", kw, doc.isNotNull() & (root_kind != arg), _msg("root", txt, kw)))
         elif kw == "required":
             for f in arg:
                 fv = values.get("_v_" + f, J.field(doc, f))
-                rules.append(Rule("root", kw, F.when(is_obj & fv.isNull(),
-                                                     F.lit(f"root:required{TAG_SEP}[root]: '{f}' is a required property"))))
+                rules.append(_rule("root", kw, is_obj & fv.isNull(),
+                                   F.lit(f"root:required{TAG_SEP}[root]: '{f}' is a required property")))
         elif kw == "properties":
             for name, sub in arg.items():
                 v = F.when(is_obj, values["_v_" + name])
                 k = F.when(is_obj, values["_k_" + name]) if "_k_" + name in values else None
-                rules.extend(_property_rules(v, sub, name, enforce_datetime, k))
+                sv = F.when(is_obj, values["_s_" + name]) if "_s_" + name in values else None
+                rules.extend(_property_rules(v, sub, name, enforce_datetime, k, sv))
         elif kw == "additionalProperties" and arg is False:
             keys = F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>"))
             extra = F.array_except(keys, F.array(*[F.lit(p) for p in props]))
@@ -194,7 +211,7 @@ def compile_contract(contract: dict, doc: Column, enforce_datetime: bool = True,
             listed = F.array_join(F.transform(extra, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
             txt = F.concat(F.lit("Additional properties are not allowed ("), listed,
                            F.when(n == 1, F.lit(" was unexpected)")).otherwise(F.lit(" were unexpected)")))
-            rules.append(Rule("root", kw, F.when(is_obj & (n > 0), _msg("root", txt, kw))))
+            rules.append(_rule("root", kw, is_obj & (n > 0), _msg("root", txt, kw)))
     return rules
 
 
@@ -221,3 +238,14 @@ def contract_errors(contract: dict, doc: Column, enforce_datetime: bool = True,
                     values: dict | None = None) -> Column:
     """ARRAY<STRING> of every violation message (empty = valid)."""
     return messages_of(tagged_errors(contract, doc, enforce_datetime, values))
+
+
+def any_violation(contract: dict, doc: Column, enforce_datetime: bool = True,
+                  values: dict | None = None) -> Column:
+    """One boolean: does the document violate any rule?  Cheap conditions
+    only - messages are assembled just for the rows where this is true."""
+    out = None
+    for r in compile_contract(contract, doc, enforce_datetime, values):
+        c = F.coalesce(r.cond, F.lit(False))
+        out = c if out is None else (out | c)
+    return out

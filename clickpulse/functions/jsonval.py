@@ -46,30 +46,48 @@ def root_kind(raw: Column) -> Column:
             .when(c == "n", "null").otherwise("number"))
 
 
+def wrapped_field(wrapped: Column, name: str) -> Column:
+    """A top-level key of the document inside a ``wrapped_json`` parse,
+    navigated in place (no copy of the whole document)."""
+    return F.variant_get(wrapped, "$[0]['" + name.replace("'", "\\'") + "']", "variant")
+
+
 def field(doc: Column, name: str) -> Column:
     """Variant of a top-level key; SQL NULL when the key is absent, a VOID
     variant when it is present with JSON null."""
     return F.variant_get(doc, "$['" + name.replace("'", "\\'") + "']", "variant")
 
 
-# First character of a value's JSON text -> JSON-Schema type name.
-_KIND_BY_FIRST_CHAR = {'"': "string", "{": "object", "[": "array", "t": "boolean",
-                       "f": "boolean", "n": "null"}
+# Variant type name of a scalar -> JSON-Schema type name.
+_SCALAR_KIND = {"STRING": "string", "BIGINT": "integer", "INTEGER": "integer", "DOUBLE": "number",
+                "FLOAT": "number", "BOOLEAN": "boolean", "VOID": "null"}
 
 
 def kind(v: Column) -> Column:
     """JSON-Schema type name of a variant value; null when ``v`` is null.
 
-    The first character of the value's JSON text decides every kind but
-    numbers; a number is ``integer`` when it has no fractional part (Draft-07
-    counts 1.0 as an integer).  ``v`` appears twice, so nested uses do not
-    blow up the expression, and no type-name string is built per value.
+    Scalars map through a literal lookup of ``schema_of_variant``; only
+    objects, arrays and decimals take the second branch.  A decimal is
+    ``integer`` when its scale is 0 (1.0 and 2999.00 normalize to scale 0;
+    Draft-07 counts them as integers).
     """
-    m = F.create_map(*[F.lit(x) for kv in _KIND_BY_FIRST_CHAR.items() for x in kv])
-    by_char = F.try_element_at(m, F.substring(F.to_json(v), 1, 1))
-    d = F.variant_get(v, "$", "double")
-    num = F.when(v.isNotNull(), F.when(d == F.floor(d), F.lit("integer")).otherwise(F.lit("number")))
-    return F.coalesce(by_char, num)
+    m = F.create_map(*[F.lit(x) for kv in _SCALAR_KIND.items() for x in kv])
+    t = F.schema_of_variant(v)
+    head = F.substring(F.schema_of_variant(v), 1, 3)
+    rest = (F.when(head == "OBJ", F.lit("object")).when(head == "ARR", F.lit("array"))
+            .when(head == "DEC", F.when(F.schema_of_variant(v).endswith(",0)"), F.lit("integer"))
+                  .otherwise(F.lit("number"))))
+    return F.coalesce(F.try_element_at(m, t), rest)
+
+
+def is_present(v: Column) -> Column:
+    """Key present with a non-null value."""
+    return v.isNotNull() & ~F.is_variant_null(v)
+
+
+def string_or_null(v: Column) -> Column:
+    """The text of a string value; null for absent keys and other kinds."""
+    return F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", "string"))
 
 
 def as_string(v: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from clickpulse import contracts as C
 from clickpulse.functions import jsonval as J
 from clickpulse.functions import memo_column, with_fenced
-from clickpulse.functions.contract import messages_of, tagged_errors, tags_of, value_columns
+from clickpulse.functions.contract import any_violation, messages_of, tagged_errors, tags_of, value_columns
 from clickpulse.functions.timefmt import event_time
 
 DOC = "_doc"  # VARIANT of the parsed payload, carried for downstream parsing
@@ -48,43 +48,59 @@ def with_doc(df: DataFrame, raw: str = "raw_value") -> DataFrame:
     return with_fenced(d, **{DOC: doc}).drop("_wrapped")
 
 
-def _required_kinds(doc: Column) -> dict:
-    return {f"_k_{f}": J.kind(J.field(doc, f)) for f in C.REQUIRED_FIELDS}
+_STRING_RULE_FIELDS = ["schema_version", "event_type", "timestamp"]
 
 
-def stream_error(raw: Column, doc: Column, kinds: dict | None = None) -> Column:
+def _field_columns(doc: Column, wrapped: Column | None = None) -> dict:
+    """Per-field facts the rules need, fenced once: presence of each
+    required field and the text of the three string-checked fields.  With
+    ``wrapped`` the fields are read in place from the parse."""
+    fld = (lambda f: J.wrapped_field(wrapped, f)) if wrapped is not None else (lambda f: J.field(doc, f))
+    cols = {f"_p_{f}": J.is_present(fld(f)) for f in C.REQUIRED_FIELDS}
+    cols.update({f"_s_{f}": J.string_or_null(fld(f)) for f in _STRING_RULE_FIELDS})
+    return cols
+
+
+def stream_error(raw: Column, doc: Column, facts: dict | None = None) -> Column:
     """First failing stream rule as text; null when the payload is valid.
 
-    ``kinds`` may map ``_k_<field>`` to precomputed kind columns."""
-    kinds = kinds or _required_kinds(doc)
-    present = {f: J.field(doc, f) for f in C.REQUIRED_FIELDS}
-    missing = F.concat_ws(", ", *[F.when(F.coalesce(kinds[f"_k_{f}"], F.lit("null")) == "null", F.lit(f))
-                                  for f in C.REQUIRED_FIELDS])
-    sv, et, ts = present["schema_version"], present["event_type"], present["timestamp"]
-    sv_ok = (kinds["_k_schema_version"] == "string") & (F.variant_get(sv, "$", "string") == C.SCHEMA_VERSION)
-    et_ok = (kinds["_k_event_type"] == "string") & F.variant_get(et, "$", "string").isin(*C.EVENT_TYPES)
-    ts_ok = (kinds["_k_timestamp"] == "string") & event_time(F.variant_get(ts, "$", "string")).isNotNull()
+    ``facts`` may map the ``_field_columns`` names to precomputed columns."""
+    facts = facts or _field_columns(doc)
+    missing = F.concat_ws(", ", *[F.when(~facts[f"_p_{f}"], F.lit(f)) for f in C.REQUIRED_FIELDS])
+    sv, et, ts = (facts[f"_s_{f}"] for f in _STRING_RULE_FIELDS)
     return (F.when(raw.isNull() | (raw == ""), F.lit(MSG_EMPTY))
             .when(doc.isNull(), F.lit(MSG_PARSE + PARSE_DETAIL))
             .when(J.root_kind(raw) != "object", F.lit(MSG_NOT_OBJECT))
             .when(missing != "", F.concat(F.lit(MSG_MISSING), missing))
-            .when(~sv_ok, F.concat(F.lit(MSG_VERSION), J.py_str(sv)))
-            .when(~et_ok, F.concat(F.lit(MSG_EVENT_TYPE), J.py_str(et)))
-            .when(~ts_ok, F.concat(F.lit(MSG_TIMESTAMP), J.py_str(ts))))
+            .when(F.coalesce(sv != C.SCHEMA_VERSION, F.lit(True)),
+                  F.concat(F.lit(MSG_VERSION), J.py_str(J.field(doc, "schema_version"))))
+            .when(F.coalesce(~et.isin(*C.EVENT_TYPES), F.lit(True)),
+                  F.concat(F.lit(MSG_EVENT_TYPE), J.py_str(J.field(doc, "event_type"))))
+            .when(event_time(ts).isNull(),
+                  F.concat(F.lit(MSG_TIMESTAMP), J.py_str(J.field(doc, "timestamp")))))
 
 
 def with_stream_validation(df: DataFrame, raw: str = "raw_value") -> DataFrame:
-    """Add ``validation_error`` (null = valid) and the parsed ``_doc``."""
-    d = with_doc(df, raw)
+    """Add ``validation_error`` (null = valid) and the parsed ``_doc``.
 
+    The parse and the document are fenced (a filter on a parsed field never
+    re-runs the parse); the per-field facts are a plain projection, where
+    codegen shares common subexpressions; the verdict is fenced again so a
+    filter on it stays above."""
     def build():
-        kinds = _required_kinds(F.col(DOC))
-        err = stream_error(F.col(raw), F.col(DOC), {k: F.col(k) for k in kinds})
-        return kinds, err
-    kinds, err = memo_column(("stream_error", raw), build)
-    d = with_fenced(d, **kinds)
+        w = J.wrapped_json(F.col(raw))
+        doc = J.single_document(F.col("_wrapped"))
+        facts = _field_columns(F.col(DOC), F.col("_wrapped"))
+        err = stream_error(F.col(raw), F.col(DOC), {k: F.col(k) for k in facts})
+        return w, doc, facts, err
+    w, doc, facts, err = memo_column(("stream_validation", raw), build)
+    if DOC in df.columns:
+        d = with_fenced(df, _wrapped=J.wrapped_json(F.col(raw)))
+    else:
+        d = with_fenced(with_fenced(df, _wrapped=w), **{DOC: doc})
+    d = d.select("*", *[c.alias(k) for k, c in facts.items()]).drop("_wrapped")
     d = with_fenced(d, validation_error=err)
-    return d.drop(*kinds)
+    return d.drop(*facts)
 
 
 def error_class(msg: Column) -> Column:
@@ -115,13 +131,21 @@ def with_contract_errors(df: DataFrame, contract: dict = C.EVENT_CONTRACT, raw:
 
     def build():
         doc = F.col(doc_col or DOC)
-        vals = value_columns(contract, doc)
+        vals = value_columns(contract, doc, F.col(raw))
         refs = {k: F.col(k) for k in vals}
-        return vals, F.when(doc.isNotNull(), tagged_errors(contract, doc, enforce_datetime, refs))
-    vals, tagged = memo_column(("contract", contract.get("$id"), doc_col, enforce_datetime), build)
-    d = with_fenced(d, **vals)
+        bad = any_violation(contract, doc, enforce_datetime, refs)
+        tagged = (F.when(doc.isNull(), F.lit(None).cast("array<string>"))
+                  .when(F.col("_bad"), tagged_errors(contract, doc, enforce_datetime, refs))
+                  .otherwise(F.array().cast("array<string>")))
+        return vals, bad, tagged
+    vals, bad, tagged = memo_column(("contract", contract.get("$id"), raw, doc_col, enforce_datetime), build)
+    # a plain projection: codegen evaluates common subexpressions once
+    # (generator arguments get no such elimination); the fences that follow
+    # keep filters from being pushed beneath it
+    d = d.select("*", *[c.alias(k) for k, c in vals.items()])
+    d = d.select("*", bad.alias("_bad"))
     return (with_fenced(d, _tagged=tagged)
-             .drop(*vals)
+             .drop(*vals, "_bad")
              .withColumn("validation_errors", messages_of(F.col("_tagged")))
              .withColumn("violated", tags_of(F.col("_tagged")))
              .drop("_tagged")
