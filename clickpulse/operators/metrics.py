@@ -172,3 +172,33 @@ def events_pipeline(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     from clickpulse.operators.validate import with_stream_validation, route_valid
     v = route_valid(with_stream_validation(raw))
     return with_event_time(parse_events(v, keep=keep))
+
+
+def late_data_audit(events: DataFrame, batch: str = "batch_id", watermark_s: int = 120,
+                    length_s: int = 60, slide_s: int = 10) -> DataFrame:
+    """Which (row, window) pairs a streaming run would drop as late, given
+    the micro-batch each row arrives in.
+
+    The watermark in force during batch b is max(event_time of batches < b)
+    - delay; a pair is dropped iff its window ends at or before it.  Per
+    batch max times form a table of one row per micro-batch; its running
+    max is a window over that small table (bounded by the batch count, not
+    the data), and the join back lets AQE broadcast it at runtime when small.
+    """
+    from pyspark.sql import Window
+    per = events.groupBy(batch).agg(F.max("event_time").alias("_mx"))
+    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
+    wm = per.select(batch, (F.max("_mx").over(w) - F.expr(f"INTERVAL {watermark_s} SECONDS"))
+                    .alias("watermark"))
+    e = events.join(wm, batch)
+    k = length_s // slide_s
+    t = F.unix_micros("event_time")
+    s0 = F.floor(t / (slide_s * 1_000_000)) * (slide_s * 1_000_000)     # newest window start
+    end0 = s0 + length_s * 1_000_000                                      # its end (latest)
+    wmu = F.unix_micros("watermark")
+    # ends are end0 - i*slide for i in 0..k-1; count those <= watermark
+    dropped = F.when(F.col("watermark").isNull(), F.lit(0)).otherwise(
+        F.least(F.lit(k), F.greatest(F.lit(0),
+                F.lit(k) - F.ceil((end0 - wmu) / F.lit(slide_s * 1_000_000)).cast("int"))))
+    return e.select("*", F.lit(k).alias("windows"), dropped.cast("int").alias("windows_dropped")) \
+            .withColumn("late", F.col("windows_dropped") == F.col("windows"))

@@ -39,3 +39,24 @@ def publish_totals(gated: DataFrame) -> DataFrame:
                      F.count_if(s == "rejected").alias("rejected"),
                      F.count_if(s == "refused").alias("refused"),
                      F.count_if(s == "error").alias("errors"))
+
+
+def publish_events(accepted: DataFrame, fmt: str = "kafka", options: dict | None = None,
+                   path: str | None = None, partitions: int | None = None,
+                   doc_col: str = "_doc") -> DataFrame:
+    """Publish accepted events keyed by ``session_id``.
+
+    Kafka partitions by key itself.  For a file sink the rows are
+    hash-partitioned on the key so one session lands in one output
+    partition, as it would in one topic partition.  Returns the written
+    (key, value) frame.
+    """
+    doc = F.col(doc_col)
+    out = accepted.select(F.variant_get(doc, "$.session_id", "string").alias("key"),
+                          F.to_json(doc).alias("value"))
+    if fmt == "kafka":
+        out.write.format("kafka").options(**(options or {})).save()
+        return out
+    n = partitions or out.sparkSession.sparkContext.defaultParallelism
+    out.repartition(n, "key").write.mode("append").format(fmt).options(**(options or {})).save(path)
+    return out

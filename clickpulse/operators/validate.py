@@ -143,15 +143,17 @@ def with_contract_errors(df: DataFrame, contract: dict = C.EVENT_CONTRACT, raw:
     # (generator arguments get no such elimination); the fences that follow
     # keep filters from being pushed beneath it
     d = d.select("*", *[c.alias(k) for k, c in vals.items()])
-    d = d.select("*", bad.alias("_bad"))
-    return (with_fenced(d, _tagged=tagged)
-             .drop(*vals, "_bad")
-             .withColumn("validation_errors", messages_of(F.col("_tagged")))
-             .withColumn("violated", tags_of(F.col("_tagged")))
-             .drop("_tagged")
-             .withColumn("contract_status",
-                         F.when(F.col("validation_errors").isNull(), "unparseable")
-                          .when(F.size("validation_errors") == 0, "valid").otherwise("invalid")))
+    # the verdict bit is fenced: status filters stay above it
+    d = with_fenced(d, _bad=bad)
+    # messages are a plain projection: queries that only need the status
+    # (counters, routing) prune them away and never build them
+    d = d.select("*", tagged.alias("_tagged"))
+    d = d.select(*[c for c in d.columns if c != "_tagged" and c not in vals],
+                 messages_of(F.col("_tagged")).alias("validation_errors"),
+                 tags_of(F.col("_tagged")).alias("violated"))
+    doc = F.col(doc_col or DOC)
+    return d.withColumn("contract_status", F.when(doc.isNull(), "unparseable")
+                        .when(F.col("_bad"), "invalid").otherwise("valid"))
 
 
 def join_errors(errors: Column) -> Column:
@@ -174,7 +176,7 @@ def accept_gate(df: DataFrame, raw: str = "raw_value", enforce_datetime: bool =
     falsy = F.col(raw).isNull() | (F.col(raw) == "") | (
         doc.isNotNull() & F.col(raw).rlike(FALSY_JSON))
     status = (F.when(falsy, "refused").when(doc.isNull(), "error")
-              .when(F.size("validation_errors") > 0, "rejected").otherwise("accepted"))
+              .when(F.col("_bad"), "rejected").otherwise("accepted"))
     return (d.withColumn("gate_status", status)
              .withColumn("reason", F.when(F.col("gate_status") == "rejected",
                                           join_errors(F.col("validation_errors"))))

@@ -268,7 +268,13 @@ from clickpulse.plans import serving as S  # noqa: E402
 
 
 def _served_metrics(spark, sf):
-    return K.metrics(spark, sf)
+    """The metrics the dashboards read.  Each panel reads them up to three
+    times (as_of, latest-window subquery, the panel itself), so lineage is
+    cut once with a reliable checkpoint in the shared checkpoint folder,
+    as the stored table would be."""
+    from clickpulse.session import checkpoint_root
+    checkpoint_root(spark)
+    return K.metrics(spark, sf).checkpoint()
 
 
 def _as_of(m: DataFrame):
@@ -616,3 +622,24 @@ def q_funnel(spark, sf):
     f = I.funnel_conversion(K.events(spark, sf))
     return f.select("views", "cart_adds", "purchases", K.r6("view_to_cart"), K.r6("cart_to_purchase"),
                     K.r6("view_to_purchase"))
+
+
+# ---------------------------------------------------------------- 2.5 batch re-aim
+
+@register("late_data_audit", W(*EV) + f""",
+evb AS (SELECT *, "offset" // {O.BATCH_OFFSETS} AS batch_id FROM ev),
+per AS (SELECT batch_id, max(event_time) AS mx FROM evb GROUP BY 1),
+wm AS (SELECT batch_id, max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - INTERVAL 120 SECONDS AS watermark FROM per),
+pairs AS (SELECT e.src_id, e.batch_id, w.watermark,
+  CAST(time_bucket(INTERVAL '10 seconds', e.event_time, TIMESTAMP '1970-01-01') - i * INTERVAL '10 seconds'
+       + INTERVAL '60 seconds' AS TIMESTAMP) AS window_end
+  FROM evb e JOIN wm w USING (batch_id), range(0, 6) t(i))
+SELECT src_id, batch_id, watermark, CAST(6 AS INT) AS windows,
+  CAST(count(*) FILTER (WHERE window_end <= watermark) AS INT) AS windows_dropped,
+  count(*) FILTER (WHERE window_end <= watermark) = 6 AS late
+FROM pairs GROUP BY src_id, batch_id, watermark""")
+def q_late_data_audit(spark, sf):
+    ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS).cast("bigint"))
+    a = M.late_data_audit(ev)
+    return a.select("src_id", "batch_id", K.ntz("watermark"), "windows", "windows_dropped", "late")
