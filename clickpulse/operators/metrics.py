@@ -179,15 +179,18 @@ def late_data_audit(events: DataFrame, batch: str = "batch_id", watermark_s: int
     """Which (row, window) pairs a streaming run would drop as late, given
     the micro-batch each row arrives in.
 
-    The watermark in force during batch b is max(event_time of batches < b)
-    - delay; a pair is dropped iff its window ends at or before it.  Per
+    Late rows of batch b are judged against the watermark that was in force
+    during batch b - 1, i.e. max(event_time of batches <= b - 2) - delay (the
+    watermark a batch computes only applies for eviction in the next one):
+    a late row arriving in the first batch after the jump is still merged.
+    A pair is dropped iff its window ends at or before that watermark.  Per
     batch max times form a table of one row per micro-batch; its running
     max is a window over that small table (bounded by the batch count, not
     the data), and the join back lets AQE broadcast it at runtime when small.
     """
     from pyspark.sql import Window
     per = events.groupBy(batch).agg(F.max("event_time").alias("_mx"))
-    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -2)
     wm = per.select(batch, (F.max("_mx").over(w) - F.expr(f"INTERVAL {watermark_s} SECONDS"))
                     .alias("watermark"))
     e = events.join(wm, batch)

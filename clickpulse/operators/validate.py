@@ -185,3 +185,20 @@ def accept_gate(df: DataFrame, raw: str = "raw_value", enforce_datetime: bool =
                           .when(F.col("gate_status") == "rejected",
                                 F.concat(F.lit("Schema Validation Failed: "), F.col("reason")))
                           .when(F.col("gate_status") == "accepted", "Event published")))
+
+
+MSG_FUTURE = "Event time too far in the future: "
+
+
+def with_future_guard(df: DataFrame, max_skew: str, now: Column | None = None) -> DataFrame:
+    """Optional extra rule: a valid event whose time is more than ``max_skew``
+    ahead of ``now`` (processing time by default - the micro-batch time on a
+    stream) is rejected, so one poisoned clock cannot push the watermark
+    past all normal traffic.  Off unless asked for (reference semantics)."""
+    now = F.current_timestamp() if now is None else now
+    ts = F.variant_get(F.col(DOC), "$.timestamp", "string")
+    ahead = event_time(ts) > now + F.expr(f"INTERVAL {max_skew}")
+    return df.withColumn("validation_error",
+                         F.when(F.col("validation_error").isNull() & F.coalesce(ahead, F.lit(False)),
+                                F.concat(F.lit(MSG_FUTURE), ts))
+                          .otherwise(F.col("validation_error")))

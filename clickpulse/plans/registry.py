@@ -629,7 +629,7 @@ def q_funnel(spark, sf):
 @register("late_data_audit", W(*EV) + f""",
 evb AS (SELECT *, "offset" // {O.BATCH_OFFSETS} AS batch_id FROM ev),
 per AS (SELECT batch_id, max(event_time) AS mx FROM evb GROUP BY 1),
-wm AS (SELECT batch_id, max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+wm AS (SELECT batch_id, max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
   - INTERVAL 120 SECONDS AS watermark FROM per),
 pairs AS (SELECT e.src_id, e.batch_id, w.watermark,
   CAST(time_bucket(INTERVAL '10 seconds', e.event_time, TIMESTAMP '1970-01-01') - i * INTERVAL '10 seconds'

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.operators.dlq import to_dlq
 from clickpulse.operators.metrics import page_metrics, parse_events, with_event_time
-from clickpulse.operators.validate import split_valid, with_stream_validation
+from clickpulse.operators.validate import split_valid, with_future_guard, with_stream_validation
 from clickpulse.session import checkpoint_root
 from clickpulse.sources.records import decode_records
 from clickpulse.streaming.sink import MetricsSink
@@ -39,6 +39,7 @@ class JobConfig:
     distinct: str = "approx"
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     run: int | None = None
+    max_future_skew: str | None = None     # e.g. "1 hour": far-future events -> DLQ
 
 
 def metrics_stream(validated: DataFrame, cfg: JobConfig) -> DataFrame:
@@ -56,6 +57,8 @@ def start(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> tuple[Streamin
     """Start the DLQ and metrics queries over a Kafka-shaped raw stream."""
     ckpt = cfg.checkpoint or os.path.join(checkpoint_root(spark), "clickpulse")
     validated = with_stream_validation(decode_records(raw))
+    if cfg.max_future_skew:
+        validated = with_future_guard(validated, cfg.max_future_skew)
 
     dlq = dlq_stream(validated).writeStream.outputMode("append") \
         .option("checkpointLocation", os.path.join(ckpt, "dlq")).trigger(**cfg.trigger)

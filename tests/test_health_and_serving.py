@@ -81,6 +81,14 @@ def test_late_audit_matches_stream_rule(spark):
     a = late_data_audit(ev.join(bmap, "src_id")).orderBy("src_id").collect()
     assert [r.windows_dropped for r in a] == [0, 0, 0, 6, 0, 1]
     assert [r.late for r in a] == [False, False, False, True, False, False]
+    # late but still merged: the row arrives in the first batch after the jump
+    batches = [["2026-09-18T10:00:05Z", "2026-09-18T10:00:06Z"], ["2026-09-18T10:10:00Z"],
+               ["2026-09-18T10:00:07Z", "2026-09-18T10:08:30Z"]]
+    flat = [(b, p) for b, ts in enumerate(batches) for p in ts]
+    ev = events_pipeline(rows_of(spark, [pay(t) for _, t in flat]), keep=["src_id"])
+    bmap = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(flat)], "src_id long, batch_id long")
+    a = late_data_audit(ev.join(bmap, "src_id")).orderBy("src_id").collect()
+    assert [r.windows_dropped for r in a] == [0, 0, 0, 0, 0]
 
 
 def test_publish_keyed_by_session(spark, scratch):

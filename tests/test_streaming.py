@@ -129,3 +129,29 @@ def test_partition_calendar(spark):
     cal = ST.partition_calendar(spark, "2026-09-18", 3).orderBy("range_from").collect()
     assert [r.partition for r in cal] == [f"windowed_user_metrics_202609{d}" for d in range(17, 22)]
     assert all((r.range_to - r.range_from).days == 1 for r in cal)
+
+
+@pytest.mark.parametrize("guard", [None, "1 hour"])
+def test_future_poison(spark, scratch, guard):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _write_file(spark, src, 0, [_payload("2099-01-01T00:00:00Z", user="evil")])
+    _write_file(spark, src, 1, [_payload("2026-09-18T09:00:00Z", page="/spacer")])  # spacer batch
+    _write_file(spark, src, 2, [_payload("2026-09-18T10:00:05Z"), _payload("2026-09-18T10:00:15Z", user="u2")])
+    root = os.path.join(scratch, "out")
+    raw = read_records(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=src, stream=True)
+    cfg = JobConfig(metrics_root=os.path.join(root, "store"), dlq_path=os.path.join(root, "dlq"),
+                    checkpoint=os.path.join(scratch, "ck"), distinct="exact",
+                    trigger={"availableNow": True}, max_future_skew=guard)
+    qs = start(spark, raw, cfg)
+    spark.streams.awaitAnyTermination(180)  # dual query: returns when either ends
+    for q in qs:
+        q.awaitTermination(180)
+    got = SK.read_metrics(spark, os.path.join(root, "store"))
+    normal = got.filter((F.col("window_start") < "2030-01-01") & (F.col("page_url") == "/p")).count()
+    if guard:
+        assert normal == 7  # 10:00:05 and 10:00:15 windows, all kept
+        dlq = spark.read.json(os.path.join(root, "dlq")).collect()
+        assert len(dlq) == 1 and "too far in the future" in dlq[0].value
+    else:
+        assert normal == 0  # the poisoned watermark made them late
