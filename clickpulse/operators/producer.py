@@ -48,8 +48,9 @@ def publish_events(accepted: DataFrame, fmt: str = "kafka", options: dict | None
 
     Kafka partitions by key itself.  For a file sink the rows are
     hash-partitioned on the key so one session lands in one output
-    partition, as it would in one topic partition.  Returns the written
-    (key, value) frame.
+    partition, as it would in one topic partition - per-session order is the
+    point of the key, so a very hot session is, by design, one partition's
+    load (as on the broker).  Returns the written (key, value) frame.
     """
     doc = F.col(doc_col)
     out = accepted.select(F.variant_get(doc, "$.session_id", "string").alias("key"),

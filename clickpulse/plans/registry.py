@@ -562,9 +562,9 @@ def _batch_close(spark, sf):
     ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS))
     close = K.raw(spark, sf).groupBy(F.floor(F.col("offset") / O.BATCH_OFFSETS).alias("batch_id")) \
         .agg(F.max("src_ts").alias("processed_at"))
-    # one row per micro-batch: rows = offsets / 50, so the broadcast side is
-    # bounded by the batch count, not by the event count
-    return ev.join(F.broadcast(close), "batch_id")
+    # one row per micro-batch; the count grows with the stream, so no
+    # broadcast hint - AQE broadcasts it at runtime when it is small
+    return ev.join(close, "batch_id")
 
 
 @register("latency_percentiles")

@@ -68,7 +68,9 @@ def upsert_metrics(batch_df: DataFrame, batch_id: int, root: str, run: int = 0)
         if rows.isEmpty():
             return False
         path = os.path.join(root, "changelog", f"run={run}", f"batch_id={batch_id}")
-        (rows.repartition("window_date")
+        # hash on (day, page): a busy day is spread over many writers (AQE
+        # coalesces the partitions again when the batch is small)
+        (rows.repartition("window_date", "page_url")
              .sortWithinPartitions(*C.METRICS_PK)
              .write.mode("overwrite").partitionBy("window_date").parquet(path))
         return True
@@ -128,7 +130,7 @@ def compact_metrics(spark: SparkSession, root: str) -> DataFrame:
     touched = spark.read.parquet(log).select("window_date").distinct()
     current = read_metrics(spark, root).join(touched, "window_date", "left_semi")
     staging = os.path.join(root, "_staging", str(int(time.time() * 1000)))
-    (current.repartition("window_date").sortWithinPartitions(*C.METRICS_PK)
+    (current.repartition("window_date", "page_url").sortWithinPartitions(*C.METRICS_PK)
             .write.mode("overwrite").partitionBy("window_date").parquet(staging))
     staged = spark.read.parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
