@@ -33,12 +33,13 @@ def parse_events(df: DataFrame, keep: list[str] | None = None, method: str = "va
         doc = F.col(DOC)
         cols = []
         for f in C.EVENT_SCHEMA.fields:
-            v = J.field(doc, f.name)
+            path = "$['" + f.name + "']"
             if f.name == "price_inr":
+                v = J.field(doc, f.name)
                 cols.append(F.when(J.kind(v).isin("integer", "number"),
                                    F.variant_get(v, "$", "double")).alias(f.name))
             else:
-                cols.append(F.variant_get(v, "$", "string").alias(f.name))
+                cols.append(F.variant_get(doc, path, "string").alias(f.name))
         return df.select(*keep, *cols)
     data = F.from_json(F.col("raw_value"), C.EVENT_SCHEMA)
     return df.select(*keep, data.alias("_data")).select(*keep, "_data.*")

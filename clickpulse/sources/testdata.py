@@ -51,9 +51,9 @@ def kafka_records(events: DataFrame) -> DataFrame:
     Pure projection: no shuffle, runs in one codegen stage per partition.
     """
     from clickpulse.functions import memo_column
-    stage_a, stage_b, stage_c = memo_column("kafka_records", _adapter_columns)
+    stage_a, stage_a2, stage_b, stage_c = memo_column("kafka_records", _adapter_columns)
     e = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
-    return e.select(*stage_a).select(*stage_b).select(*stage_c)
+    return e.select(*stage_a).select(*stage_a2).select(*stage_b).select(*stage_c)
 
 
 def _adapter_columns():
@@ -72,8 +72,6 @@ def _adapter_columns():
         _damage_class(F.col("event_id")).alias("cls"),
         uid.alias("uid"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("tss"),
-        F.date_format("ts", "yyyy-MM").alias("mon"),
-        F.date_format("ts", "yyyyMMdd").alias("dd"),
         F.get_json_object("props", "$.k").alias("k"),
         mapped.alias("et"),
     ]
@@ -112,6 +110,10 @@ def _adapter_columns():
            .when(cls == "not_object", "[1,2]")
            .when(cls == "trailing", F.concat(F.col("__full"), F.lit(" x")))
            .otherwise(F.col("__full")))
+    stage_a2 = [c for c in ["event_id", "user_id", "value", "ts", "cls", "uid", "tss", "k", "et"]] + [
+        # month and day come from the one formatted text (no second formatter)
+        F.substring("tss", 1, 7).alias("mon"),
+        F.concat(F.substring("tss", 1, 4), F.substring("tss", 6, 2), F.substring("tss", 9, 2)).alias("dd")]
     stage_b = ["event_id", "cls", "ts", session.alias("session_key"), full.alias("__full")]
     stage_c = [F.col("event_id").alias("src_id"), "cls", F.col("ts").alias("src_ts"),
                F.col("session_key").cast("binary").alias("key"),
@@ -119,7 +121,7 @@ def _adapter_columns():
                F.lit("clickstream-events").alias("topic"),
                (F.col("event_id") % 6).cast("int").alias("partition"),
                F.floor(F.col("event_id") / 6).cast("bigint").alias("offset")]
-    return stage_a, stage_b, stage_c
+    return stage_a, stage_a2, stage_b, stage_c
 
 
 def raw_records(events: DataFrame) -> DataFrame:
