@@ -17,17 +17,23 @@ def strict_json(raw: Column) -> Column:
     """VARIANT of ``raw`` if it is exactly one JSON document, else null.
 
     ``try_parse_json`` alone ignores trailing text (``{"a":1} x`` parses).
-    Wrapping the text in ``[ ]`` and requiring exactly one element rejects
-    trailing text, a second document and stray brackets, which makes the
-    acceptance equal to Python's ``json.loads`` except for duplicate keys and
-    bare NaN (rejected here, accepted there).
+    The text is parsed wrapped in ``[ ]`` and must hold exactly one element;
+    that rejects trailing text and a second document.  An extra ``]`` could
+    still close the wrapper early (``0]`` parses as ``[0]``), so the text
+    must also close a ``{"x": ... }`` wrapper correctly: an unmatched closer
+    at depth 0 is ``]`` or ``}``, and each breaks one of the two wrappers.
+    Acceptance then equals Python's ``json.loads`` except for duplicate keys
+    and bare NaN (rejected here, accepted there).
     """
     return single_document(wrapped_json(raw))
 
 
 def wrapped_json(raw: Column) -> Column:
-    """The one parse: ``raw`` wrapped in ``[ ]`` as a VARIANT (or null)."""
-    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    """The one VARIANT parse: ``raw`` wrapped in ``[ ]``, or null when the
+    text is not valid JSON.  The object-wrapper check only tokenizes (no
+    values are built), so the payload is materialized once."""
+    closes = F.json_object_keys(F.concat(F.lit('{"x":'), raw, F.lit("}"))).isNotNull()
+    return F.when(closes, F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))))
 
 
 def single_document(wrapped: Column) -> Column:

@@ -171,3 +171,12 @@ def _no_dups(pairs):
     if len(keys) != len(set(keys)):
         raise ValueError("duplicate key")
     return dict(pairs)
+
+
+def test_strict_json_wrapper_escapes(spark):
+    """Texts that close a single wrapper early (found by the property test)."""
+    cases = {"0]": False, "0}": False, "0}]": False, "0]}": False, '{"a":1}]': False,
+             '{"a":1}}': False, "[1]]": False, "0],[1": False, '{"a":"]"}': True, '"}"': True,
+             " {\"a\":1} ": True, "1,2": False}
+    df = rows_of(spark, list(cases)).select("raw_value", J.strict_json(F.col("raw_value")).isNotNull().alias("ok"))
+    assert {r.raw_value: r.ok for r in df.collect()} == cases
