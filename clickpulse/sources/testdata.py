@@ -138,11 +138,12 @@ def spread(df: DataFrame) -> DataFrame:
     row, so a round-robin rebalance lets every core take part.  On a cluster
     the scan already has thousands of splits and this is a no-op.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. no RDD API on a Connect session
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
