@@ -23,6 +23,9 @@ BASE_CONF = {
 }
 
 
+JIT_HUGE_METHODS = "-XX:-DontCompileHugeMethods"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "clickpulse", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's base settings.
@@ -36,6 +39,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
             conf.setdefault("spark.driver.memory", os.environ.get("CLICKPULSE_DRIVER_MEMORY", "8g"))
+            # generated code for the rule cascades has methods above HotSpot's
+            # 8000-byte JIT limit; without this they run interpreted (2x
+            # slower contract validation).  Clusters: add the same flag to
+            # spark.{driver,executor}.extraJavaOptions in their defaults.
+            conf.setdefault("spark.driver.extraJavaOptions", JIT_HUGE_METHODS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
