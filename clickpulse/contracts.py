@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# These must equal the reference contract for right results.
+# These must equal the original contract for right results.
 # ---------------------------------------------------------------------------
 SCHEMA_VERSION = "1.0"
 EVENT_TYPES = ["page_view", "cart_add", "purchase", "page_exit"]
@@ -22,7 +22,6 @@ FAILURE_REASONS = ["schema_validation_error", "deserialization_error"]
 
 EVENT_CONTRACT = {
     "$schema": "http://json-schema.org/draft-07/schema#",
-    "$id": "kscep.event.v1",
     "type": "object",
     "required": ["schema_version", "event_id", "user_id", "session_id",
                  "event_type", "timestamp"],
@@ -44,7 +43,6 @@ EVENT_CONTRACT = {
 
 DLQ_CONTRACT = {
     "$schema": "http://json-schema.org/draft-07/schema#",
-    "$id": "kscep.dlq.v1",
     "type": "object",
     "required": ["original_payload", "failure_reason", "validation_errors",
                  "failed_at"],

@@ -93,7 +93,7 @@ def page_metrics(events: DataFrame, length: str = "60 seconds", slide: str | Non
     cart_abandonment_rate.  Windows are epoch-aligned ``[start, end)``;
     ``slide=None`` gives tumbling windows.
 
-    distinct: ``approx`` (HLL++, as the reference), ``exact`` (count distinct;
+    distinct: ``approx`` (HLL++, as the original pipeline), ``exact`` (count distinct;
     ``size(collect_set)`` on streams, where count-distinct is rejected).
 
     strategy: ``expand`` lets Catalyst expand each row into its windows and

@@ -24,7 +24,7 @@ from clickpulse.functions.timefmt import event_time
 
 DOC = "_doc"  # VARIANT of the parsed payload, carried for downstream parsing
 
-# Stream verdict message texts (prefixes as the reference).
+# Stream verdict message texts (prefixes as the original pipeline).
 MSG_EMPTY = "Empty payload"
 MSG_PARSE = "JSON parse error: "
 MSG_NOT_OBJECT = "Payload is not a JSON object"
@@ -138,7 +138,8 @@ def with_contract_errors(df: DataFrame, contract: dict = C.EVENT_CONTRACT, raw:
                   .when(F.col("_bad"), tagged_errors(contract, doc, enforce_datetime, refs))
                   .otherwise(F.array().cast("array<string>")))
         return vals, bad, tagged
-    vals, bad, tagged = memo_column(("contract", contract.get("$id"), raw, doc_col, enforce_datetime), build)
+    key = ("contract", tuple(contract.get("properties", {})), raw, doc_col, enforce_datetime)
+    vals, bad, tagged = memo_column(key, build)
     # a plain projection: codegen evaluates common subexpressions once
     # (generator arguments get no such elimination); the fences that follow
     # keep filters from being pushed beneath it
@@ -194,7 +195,7 @@ def with_future_guard(df: DataFrame, max_skew: str, now: Column | None = None) -
     """Optional extra rule: a valid event whose time is more than ``max_skew``
     ahead of ``now`` (processing time by default - the micro-batch time on a
     stream) is rejected, so one poisoned clock cannot push the watermark
-    past all normal traffic.  Off unless asked for (reference semantics)."""
+    past all normal traffic.  Off unless asked for (original semantics)."""
     now = F.current_timestamp() if now is None else now
     ts = F.variant_get(F.col(DOC), "$.timestamp", "string")
     ahead = event_time(ts) > now + F.expr(f"INTERVAL {max_skew}")

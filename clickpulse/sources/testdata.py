@@ -2,7 +2,7 @@
 
 The test tables carry typed events (event_id, ts, user_id, event_type,
 value, props).  This adapter renders them as the JSON payloads the
-reference pipeline consumes, and damages a deterministic share of them
+original pipeline consumes, and damages a deterministic share of them
 (16 classes, first match wins) so every validation rule is exercised.  The
 same transformation is written in DuckDB SQL in ``plans/oracle.py``.
 """

@@ -29,7 +29,7 @@ def verdicts(spark, payloads):
     return [r.validation_error for r in df.orderBy("src_id").collect()]
 
 
-def test_reference_unit_cases(spark):
+def test_original_unit_cases(spark):
     out = verdicts(spark, [
         json.dumps(ev()),
         json.dumps(ev(event_id=_DROP)),
