@@ -184,16 +184,15 @@ def late_data_audit(events: DataFrame, batch: str = "batch_id", watermark_s: int
     during batch b - 1, i.e. max(event_time of batches <= b - 2) - delay (the
     watermark a batch computes only applies for eviction in the next one):
     a late row arriving in the first batch after the jump is still merged.
-    A pair is dropped iff its window ends at or before that watermark.  Per
+    A pair is dropped iff its window ends at or before that watermark.
+
+    The running maximum is computed without a single-partition window (see
+    ``_late_watermarks``), so it scales with the number of micro-batches.  Per
     batch max times form a table of one row per micro-batch; its running
     max is a window over that small table (bounded by the batch count, not
     the data), and the join back lets AQE broadcast it at runtime when small.
     """
-    from pyspark.sql import Window
-    per = events.groupBy(batch).agg(F.max("event_time").alias("_mx"))
-    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -2)
-    wm = per.select(batch, (F.max("_mx").over(w) - F.expr(f"INTERVAL {watermark_s} SECONDS"))
-                    .alias("watermark"))
+    wm = _late_watermarks(events, batch, watermark_s)
     e = events.join(wm, batch)
     k = length_s // slide_s
     t = F.unix_micros("event_time")
@@ -206,3 +205,31 @@ def late_data_audit(events: DataFrame, batch: str = "batch_id", watermark_s: int
                 F.lit(k) - F.ceil((end0 - wmu) / F.lit(slide_s * 1_000_000)).cast("int"))))
     return e.select("*", F.lit(k).alias("windows"), dropped.cast("int").alias("windows_dropped")) \
             .withColumn("late", F.col("windows_dropped") == F.col("windows"))
+
+
+PREFIX_CHUNK = 1024
+
+
+def _late_watermarks(events: DataFrame, batch: str, watermark_s: int) -> DataFrame:
+    """Per batch b: max(event_time of batches <= b - 2) - delay, distributed.
+
+    Each batch's maximum takes effect two batches later, so it is keyed at
+    ``batch + 2`` and the watermark of b is a prefix maximum over keys <= b.
+    Keys are cut into chunks of PREFIX_CHUNK: a running max within each chunk
+    (parallel, one partition per chunk) plus the running max of the chunk
+    totals (a table PREFIX_CHUNK times smaller) gives the prefix.  Query rows
+    (the batches themselves) sort after value rows of the same key.
+    """
+    from pyspark.sql import Window
+    per = events.groupBy(batch).agg(F.max("event_time").alias("mx"))
+    vals = per.select((F.col(batch) + 2).alias("k"), "mx", F.lit(0).alias("q"))
+    qs = per.select(F.col(batch).alias("k"), F.lit(None).cast("timestamp").alias("mx"), F.lit(1).alias("q"))
+    u = vals.unionByName(qs).withColumn("chunk", F.floor(F.col("k") / PREFIX_CHUNK))
+    within = Window.partitionBy("chunk").orderBy("k", "q").rowsBetween(Window.unboundedPreceding, 0)
+    u = u.withColumn("inside", F.max("mx").over(within))
+    totals = vals.groupBy(F.floor(F.col("k") / PREFIX_CHUNK).alias("chunk")).agg(F.max("mx").alias("cmx"))
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("chunk", F.max("cmx").over(before).alias("earlier"))
+    q = u.filter(F.col("q") == 1).join(totals, "chunk", "left")
+    top = F.greatest(F.col("earlier"), F.col("inside"))
+    return q.select(F.col("k").alias(batch), (top - F.expr(f"INTERVAL {watermark_s} SECONDS")).alias("watermark"))

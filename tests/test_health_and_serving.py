@@ -122,3 +122,21 @@ def test_kafka_options():
     assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
     assert o["maxOffsetsPerTrigger"] == "1000"
     assert "kafka.sasl.mechanism" not in kafka_options("b", "t", "PLAINTEXT", "X", "Y")
+
+
+def test_late_watermark_prefix_across_chunks(spark, monkeypatch):
+    import random
+    from clickpulse.operators import metrics as M
+    monkeypatch.setattr(M, "PREFIX_CHUNK", 2)
+    rnd = random.Random(7)
+    ids = sorted(rnd.sample(range(40), 25))  # batch ids with gaps
+    rows = [(b, T0 + dt.timedelta(seconds=rnd.randint(0, 5000))) for b in ids for _ in range(2)]
+    ev = spark.createDataFrame(rows, "batch_id long, event_time timestamp")
+    got = {r.batch_id: r.watermark for r in M._late_watermarks(ev, "batch_id", 120).collect()}
+    mx = {}
+    for b, t in rows:
+        mx[b] = max(mx.get(b, t), t)
+    for b in ids:
+        prior = [mx[j] for j in ids if j <= b - 2]
+        want = (max(prior) - dt.timedelta(seconds=120)) if prior else None
+        assert got[b] == want, b
