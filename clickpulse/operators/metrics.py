@@ -227,7 +227,8 @@ def _late_watermarks(events: DataFrame, batch: str, watermark_s: int) -> DataFra
     u = vals.unionByName(qs).withColumn("chunk", F.floor(F.col("k") / PREFIX_CHUNK))
     within = Window.partitionBy("chunk").orderBy("k", "q").rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("inside", F.max("mx").over(within))
-    totals = vals.groupBy(F.floor(F.col("k") / PREFIX_CHUNK).alias("chunk")).agg(F.max("mx").alias("cmx"))
+    # every chunk that holds values OR queries gets a row (max ignores nulls)
+    totals = u.groupBy("chunk").agg(F.max("mx").alias("cmx"))
     before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("chunk", F.max("cmx").over(before).alias("earlier"))
     q = u.filter(F.col("q") == 1).join(totals, "chunk", "left")
