@@ -48,18 +48,37 @@ def counter_samples(gated: DataFrame, arrival: str = "src_ts", step_s: int = STE
     pod = F.concat(F.lit("producer-"), (F.col("partition") % pods).cast("string"))
     step = _ceil_step(_us(F.col(arrival)), step_s)
     per = g.groupBy(step.alias("t"), metric.alias("metric"), pod.alias("pod")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("metric", "pod").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    return per.select(F.timestamp_micros("t").alias("ts"), "metric", "pod",
-                      F.sum("n").over(w).cast("double").alias("value"))
+    # running sum per series, chunked by day: within-day running sums run in
+    # parallel per (series, day); earlier days add their totals (a table of
+    # one row per series and day)
+    per = per.withColumn("day", F.floor(F.col("t") / (86400 * US)))
+    within = Window.partitionBy("metric", "pod", "day").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    days = per.groupBy("metric", "pod", "day").agg(F.sum("n").alias("dn"))
+    before = Window.partitionBy("metric", "pod").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("metric", "pod", "day", F.coalesce(F.sum("dn").over(before), F.lit(0)).alias("earlier"))
+    out = per.withColumn("inside", F.sum("n").over(within)).join(days, ["metric", "pod", "day"])
+    return out.select(F.timestamp_micros("t").alias("ts"), "metric", "pod",
+                      (F.col("earlier") + F.col("inside")).cast("double").alias("value"))
 
 
 def increments(samples: DataFrame) -> DataFrame:
     """Per sample: increase since the previous sample of its series; a drop
-    means the counter reset, and the new value is the increase."""
-    w = Window.partitionBy("metric", "pod").orderBy("ts")
-    prev_v = F.lag("value").over(w)
-    prev_t = F.lag("ts").over(w)
-    d = samples.select("metric", "pod", "ts", "value", prev_v.alias("prev_value"), prev_t.alias("prev_ts"))
+    means the counter reset, and the new value is the increase.
+
+    The previous sample is found per (series, day) in parallel; the first
+    sample of a day takes the last sample of the series' previous non-empty
+    day (a table of one row per series and day)."""
+    d = samples.withColumn("day", F.to_date("ts"))
+    w = Window.partitionBy("metric", "pod", "day").orderBy("ts")
+    d = d.select("metric", "pod", "day", "ts", "value",
+                 F.lag("value").over(w).alias("pv"), F.lag("ts").over(w).alias("pt"))
+    last = samples.groupBy("metric", "pod", F.to_date("ts").alias("day")).agg(
+        F.max("ts").alias("lt"), F.max_by("value", "ts").alias("lv"))
+    dw = Window.partitionBy("metric", "pod").orderBy("day")
+    last = last.select("metric", "pod", "day", F.lag("lv").over(dw).alias("dpv"), F.lag("lt").over(dw).alias("dpt"))
+    d = d.join(last, ["metric", "pod", "day"])
+    d = d.select("metric", "pod", "ts", "value",
+                 F.coalesce("pv", "dpv").alias("prev_value"), F.coalesce("pt", "dpt").alias("prev_ts"))
     delta = F.when(F.col("value") >= F.col("prev_value"), F.col("value") - F.col("prev_value")) \
         .otherwise(F.col("value"))
     return d.filter(F.col("prev_ts").isNotNull()).withColumn("delta", delta)
