@@ -437,6 +437,15 @@ def _samples(spark, sf):
     return H.counter_samples(K.gated(spark, sf))
 
 
+def _samples_cut(spark, sf):
+    """Samples for operators that read them twice (time spine + rates, as-of
+    + values): cut the lineage once with a reliable checkpoint instead of
+    validating every record twice."""
+    from clickpulse.session import checkpoint_root
+    checkpoint_root(spark)
+    return _samples(spark, sf).checkpoint()
+
+
 @register("counter_samples", W(*HS) + " SELECT ts, metric, pod, value FROM samples")
 def q_counter_samples(spark, sf):
     return _samples(spark, sf).select(K.ntz("ts"), "metric", "pod", "value")
@@ -464,7 +473,7 @@ def q_sum_by_label(spark, sf):
 @register("gauge_latest", W(*HS) + """
 SELECT metric, pod, max(ts) AS ts, arg_max(value, ts) AS value FROM samples GROUP BY ALL""")
 def q_gauge_latest(spark, sf):
-    s = _samples(spark, sf)
+    s = _samples_cut(spark, sf)
     return H.gauge_latest(s, s.select(F.max("ts")).scalar()).select("metric", "pod", K.ntz("ts"), "value")
 
 
@@ -487,7 +496,7 @@ pv AS (SELECT ts, sum(increase / 300) AS v FROM rp GROUP BY ts),
 zs AS (SELECT s.ts FROM spine s LEFT JOIN pv USING (ts) WHERE coalesce(pv.v, 0) = 0)
 SELECT ts, 'ProducerPublishRateZero' AS alertname, 'warning' AS severity FROM """ + O.sustained_sql("zs", "", 120))
 def q_alert_no_publish(spark, sf):
-    return _alert_out(H.alert_no_publish(_samples(spark, sf)))
+    return _alert_out(H.alert_no_publish(_samples_cut(spark, sf)))
 
 
 @register("alert_restarts", W(*HS, O.increase(300, "ri")) + """,
@@ -523,12 +532,8 @@ alerts AS (
 SELECT alertname, severity, min(ts) AS first_firing, max(ts) AS last_firing, count(*) AS firing_evaluations
 FROM alerts GROUP BY ALL""")
 def q_alert_groups(spark, sf):
-    from clickpulse.session import checkpoint_root
-    checkpoint_root(spark)
-    # three alert rules read the same samples: cut the lineage once (a
-    # reliable checkpoint in the shared checkpoint folder) instead of
-    # re-running validation three times
-    s = _samples(spark, sf).checkpoint()
+    # three alert rules read the same samples: cut the lineage once
+    s = _samples_cut(spark, sf)
     cols = ["ts", "alertname", "severity"]
     alerts = H.alert_high_reject(s).select(*cols).unionByName(H.alert_no_publish(s).select(*cols)) \
         .unionByName(H.alert_restarts(s).select(*cols))
