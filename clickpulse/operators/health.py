@@ -51,14 +51,20 @@ def counter_samples(gated: DataFrame, arrival: str = "src_ts", step_s: int = STE
     # running sum per series, chunked by day: within-day running sums run in
     # parallel per (series, day); earlier days add their totals (a table of
     # one row per series and day)
-    per = per.withColumn("day", F.floor(F.col("t") / (86400 * US)))
+    # the per-step table is read by two branches (within-day sums, day
+    # totals); it is small (one row per series and step), so it is persisted
+    # once instead of re-running the upstream twice (lazy, recomputed from
+    # lineage if an executor is lost)
+    per = per.withColumn("day", F.floor(F.col("t") / (86400 * US))).persist()
     within = Window.partitionBy("metric", "pod", "day").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     days = per.groupBy("metric", "pod", "day").agg(F.sum("n").alias("dn"))
     before = Window.partitionBy("metric", "pod").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     days = days.select("metric", "pod", "day", F.coalesce(F.sum("dn").over(before), F.lit(0)).alias("earlier"))
     out = per.withColumn("inside", F.sum("n").over(within)).join(days, ["metric", "pod", "day"])
+    # samples feed operators that read them twice (increments: per-day lags
+    # and day ends); persist the small result for the same reason
     return out.select(F.timestamp_micros("t").alias("ts"), "metric", "pod",
-                      (F.col("earlier") + F.col("inside")).cast("double").alias("value"))
+                      (F.col("earlier") + F.col("inside")).cast("double").alias("value")).persist()
 
 
 def increments(samples: DataFrame) -> DataFrame:
