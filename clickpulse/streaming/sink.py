@@ -150,27 +150,30 @@ def update_mode_changelog(events: DataFrame, batch: str, length: str = "60 secon
     """Batch emulation of the update-mode stream output (no watermark): for
     each micro-batch, every group it touched with its cumulative values.
 
-    Per (group, batch) partial counts, and each user counted in the first
-    batch it appears in for the group, then running sums over batches per
-    group (a window over at most #batches rows per group).
+    Each user is counted in the first batch it appears in for the group
+    (a window per group and user), one aggregate per (group, batch), then
+    running sums over batches per group (a window over at most #batches rows
+    per group).  The events are read once - no branch recomputes them.
     """
     from pyspark.sql import Window
     from clickpulse.operators.metrics import abandonment, page_key
     w = F.window("event_time", length, slide or length)
     e = events.select(w.alias("w"), page_key(F.col("page_url")).alias("page_url"),
                       "user_id", "event_type", "event_time", F.col(batch).alias("batch_id"))
-    g = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "page_url"]
-    per_user = e.groupBy(*g, "user_id").agg(F.min("batch_id").alias("first_batch"))
-    new_users = per_user.groupBy(*C.METRICS_PK, F.col("first_batch").alias("batch_id")) \
-        .agg(F.count(F.lit(1)).alias("new_users"))
-    counts = e.groupBy(*g, "batch_id").agg(
+    e = e.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                 "page_url", "user_id", "event_type", "event_time", "batch_id")
+    # one linear pipeline (the events are read once): mark each user's first
+    # batch within its group, then one aggregate per (group, batch)
+    uw = Window.partitionBy(*C.METRICS_PK, "user_id")
+    e = e.withColumn("first_batch", F.min("batch_id").over(uw))
+    j = e.groupBy(*C.METRICS_PK, "batch_id").agg(
+        F.count_distinct(F.when(F.col("batch_id") == F.col("first_batch"), F.col("user_id"))).alias("new_users"),
         F.sum(F.when(F.col("event_type") == "cart_add", 1).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("p"),
         F.max("event_time").alias("u"))
-    j = counts.join(new_users, [*C.METRICS_PK, "batch_id"], "left")
     ow = Window.partitionBy(*C.METRICS_PK).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     out = j.select(*C.METRICS_PK, "batch_id",
-                   F.sum(F.coalesce("new_users", F.lit(0))).over(ow).cast("bigint").alias("active_users"),
+                   F.sum("new_users").over(ow).cast("bigint").alias("active_users"),
                    F.sum("a").over(ow).cast("bigint").alias("cart_additions"),
                    F.sum("p").over(ow).cast("bigint").alias("purchases"),
                    F.max("u").over(ow).alias("updated_at"))
