@@ -20,6 +20,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.simhash import simhash_components
+    return simhash_components(read_table(spark, sf_dir, "documents")).drop("group_fp")
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.packing import pack_documents
