@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpulse.llm.common import read_table
 
@@ -32,6 +33,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.decontaminate import document_hits
+    hits = document_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.token_files import export_and_read
