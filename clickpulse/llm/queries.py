@@ -16,6 +16,11 @@ def query(fn):
     return fn
 
 
+def word_pattern() -> str:
+    import public_tokenizers
+    return public_tokenizers.PATTERN
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
@@ -33,6 +38,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.url_filter import filter_urls, rule_table
+    return filter_urls(read_table(spark, sf_dir, "pages"), rule_table(spark))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.decontaminate import document_hits
@@ -46,3 +57,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.token_files import export_and_read
     return export_and_read(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.secret_scan import find_secrets
+    return find_secrets(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), word_pattern())
+
+
+def _oracles() -> dict[str, str]:
+    from clickpulse.llm.url_filter import ORACLE
+    return {"op5_url_filter": ORACLE}
+
+
+ORACLES.update(_oracles())
