@@ -65,6 +65,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), word_pattern())
 
 
+@query
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.quality_rules import quality_verdicts, train_field
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_verdicts(docs, train_field(docs, read_table(spark, sf_dir, "labels")))
+
+
 def _oracles() -> dict[str, str]:
     from clickpulse.llm.url_filter import ORACLE
     return {"op5_url_filter": ORACLE}
