@@ -32,12 +32,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read_table(spark, sf_dir, "documents")).drop("group_fp")
 
 
+@query
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.quality_model import score_quality, train_quality
+    docs = read_table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, read_table(spark, sf_dir, "labels")))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.packing import pack_documents
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.language import predict_language, train_language
+    docs = read_table(spark, sf_dir, "documents")
+    return predict_language(docs, train_language(docs))
+
+
 @query
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.url_filter import filter_urls, rule_table
