@@ -58,6 +58,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read_table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+@query
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.licences import scan_licences
+    return scan_licences(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.decontaminate import document_hits
