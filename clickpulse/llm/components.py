@@ -26,7 +26,7 @@ def _stars(arcs: DataFrame, keep) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b), any order, repeats allowed -> (node, component): the
-    smallest vertex reachable, for every vertex that has an edge to another."""
+    smallest vertex reachable, for every vertex but the smallest ones themselves."""
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stored(pairs, "edges")
     if pairs.isEmpty():
