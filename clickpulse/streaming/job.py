@@ -5,40 +5,43 @@
                                                        -> sliding-window metrics -> idempotent sink (update)
 
 Both queries share the operator code used in batch.  Each has its own
-checkpoint under the shared checkpoint root (``spark.checkpoint.dir``), so a
-restart resumes offsets and window state; the process ends when either
-query ends (``awaitAnyTermination``).
+checkpoint under the configured folder, so a restart resumes offsets, window
+state and the run id; the process ends when either query ends
+(``awaitAnyTermination``).
 """
 
 from __future__ import annotations
 
-import os
+import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from clickpulse.operators.dlq import to_dlq
 from clickpulse.operators.metrics import page_metrics, parse_events, with_event_time
 from clickpulse.operators.validate import split_valid, with_future_guard, with_stream_validation
-from clickpulse.session import checkpoint_root
 from clickpulse.sources.records import decode_records
-from clickpulse.streaming.sink import MetricsSink
+from clickpulse.streaming.sink import MetricsSink, run_id
+from clickpulse.streaming.storage import partition_calendar
 
 
 @dataclass
 class JobConfig:
     metrics_root: str
+    checkpoint: str                        # shared folder; a restart names the same one
     dlq_path: str | None = None            # file DLQ (json); None with dlq_kafka
     dlq_kafka: dict | None = None          # kafka sink options (topic, servers, ...)
-    checkpoint: str | None = None          # default: <spark.checkpoint.dir>/clickpulse
     watermark: str = "2 minutes"
     length: str = "60 seconds"
     slide: str | None = "10 seconds"
     distinct: str = "approx"
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
-    run: int | None = None
+    progress_path: str | None = None       # progress rows of every batch (json)
+    calendar_days_ahead: int | None = None  # quarantine windows outside the partition calendar
     max_future_skew: str | None = None     # e.g. "1 hour": far-future events -> DLQ
 
 
@@ -55,24 +58,38 @@ def dlq_stream(validated: DataFrame) -> DataFrame:
 
 def start(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> tuple[StreamingQuery, StreamingQuery]:
     """Start the DLQ and metrics queries over a Kafka-shaped raw stream."""
-    ckpt = cfg.checkpoint or os.path.join(checkpoint_root(spark), "clickpulse")
+    ckpt = cfg.checkpoint.rstrip("/")
     validated = with_stream_validation(decode_records(raw))
     if cfg.max_future_skew:
         validated = with_future_guard(validated, cfg.max_future_skew)
 
-    dlq = dlq_stream(validated).writeStream.outputMode("append") \
-        .option("checkpointLocation", os.path.join(ckpt, "dlq")).trigger(**cfg.trigger)
-    if cfg.dlq_kafka:
-        dlq_q = dlq.format("kafka").options(**cfg.dlq_kafka).start()
-    else:
-        dlq_q = dlq.format("json").start(cfg.dlq_path)
+    dlq = dlq_stream(validated).writeStream.outputMode("append").queryName(_name("dlq")) \
+        .option("checkpointLocation", f"{ckpt}/dlq").trigger(**cfg.trigger)
+    dlq = dlq.format("kafka").options(**cfg.dlq_kafka) if cfg.dlq_kafka else dlq.format("json").option("path", cfg.dlq_path)
 
-    metrics_q = (metrics_stream(validated, cfg).writeStream
-                 .foreachBatch(MetricsSink(cfg.metrics_root, cfg.run))
-                 .outputMode("update")
-                 .option("checkpointLocation", os.path.join(ckpt, "metrics"))
-                 .trigger(**cfg.trigger).start())
-    return dlq_q, metrics_q
+    run = run_id(spark, cfg.metrics_root, ckpt)
+    metrics = (metrics_stream(validated, cfg).writeStream.queryName(_name("metrics"))
+               .foreachBatch(_sink(spark, cfg, run)).outputMode("update")
+               .option("checkpointLocation", f"{ckpt}/metrics").trigger(**cfg.trigger))
+    if cfg.progress_path:
+        spark.streams.addListener(ProgressTable(spark, cfg.progress_path))
+    return dlq.start(), metrics.start()
+
+
+def _name(kind: str) -> str:
+    return f"clickpulse-{kind}-{uuid.uuid4().hex[:8]}"
+
+
+def _sink(spark: SparkSession, cfg: JobConfig, run: int):
+    """The sink of a run; with a calendar, that of the batch's own day."""
+    if cfg.calendar_days_ahead is None:
+        return MetricsSink(cfg.metrics_root, run)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        today = batch.sparkSession.sql("SELECT current_date()").first()[0]
+        calendar = partition_calendar(batch.sparkSession, today, cfg.calendar_days_ahead)
+        MetricsSink(cfg.metrics_root, run, calendar)(batch, batch_id)
+    return write
 
 
 def run_forever(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> None:
@@ -80,32 +97,62 @@ def run_forever(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent micro-batch progress as a DataFrame: batch id, input rows,
-    rows dropped by the watermark, watermark, durations (ms)."""
-    rows = []
-    for p in query.recentProgress:
-        d = p.durationMs or {}
-        dropped = sum((s.numRowsDroppedByWatermark or 0) for s in (p.stateOperators or []))
-        rows.append((p.batchId, p.numInputRows, dropped, (p.eventTime or {}).get("watermark"),
-                     d.get("triggerExecution"), d.get("addBatch")))
-    schema = ("batch_id long, input_rows long, rows_dropped_by_watermark long, watermark string, "
-              "trigger_ms long, add_batch_ms long")
-    return spark.createDataFrame(rows, schema)
-
-
-def offsets_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Per source partition: end offset vs latest available (consumer lag
-    input) from the last progress of a Kafka query."""
-    import json
-    rows = []
-    lp = query.lastProgress
-    for src in (lp.sources if lp else []):
-        end = json.loads(src.endOffset) if isinstance(src.endOffset, str) else (src.endOffset or {})
-        latest = json.loads(src.latestOffset) if isinstance(src.latestOffset, str) else (src.latestOffset or {})
-        for topic, parts in (end or {}).items():
-            if not isinstance(parts, dict):
-                continue
-            for part, off in parts.items():
-                rows.append((topic, int(part), int(off), int((latest or {}).get(topic, {}).get(part, off))))
-    return spark.createDataFrame(rows, "topic string, partition int, committed_offset long, end_offset long")
+PROGRESS_SCHEMA = ("query string, run_id string, batch_id long, input_rows long, rows_dropped_by_watermark long, "
+                   "watermark string, trigger_ms long, add_batch_ms long, sources string")
+
+
+def progress_row(p) -> tuple:
+    """One row of PROGRESS_SCHEMA from a progress report."""
+    d = p.durationMs or {}
+    dropped = sum((s.numRowsDroppedByWatermark or 0) for s in (p.stateOperators or []))
+    sources = [{"description": s.description, "endOffset": _offsets(s.endOffset), "latestOffset": _offsets(s.latestOffset)}
+               for s in (p.sources or [])]
+    return (p.name, str(p.runId), p.batchId, p.numInputRows, dropped, (p.eventTime or {}).get("watermark"),
+            d.get("triggerExecution"), d.get("addBatch"), json.dumps(sources))
+
+
+def _offsets(x):
+    try:
+        return json.loads(x) if isinstance(x, str) else x
+    except ValueError:
+        return x
+
+
+class ProgressTable(StreamingQueryListener):
+    """Appends the progress of every batch of every query to a table, so that
+    none is lost when the engine forgets it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.spark.createDataFrame([progress_row(event.progress)], PROGRESS_SCHEMA).coalesce(1) \
+            .write.mode("append").json(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress_frame(spark: SparkSession, path: str) -> DataFrame:
+    """The recorded progress: batch id, input rows, rows dropped by the
+    watermark, watermark, durations (ms), source offsets."""
+    return spark.read.schema(PROGRESS_SCHEMA).json(path)
+
+
+def offsets_frame(progress: DataFrame) -> DataFrame:
+    """Per source partition, end offset against latest offset (the input of
+    ``consumer_lag``) in the newest recorded batch of each query run."""
+    newest = progress.groupBy("query", "run_id").agg(F.max_by("sources", "batch_id").alias("sources"))
+    kind = "array<struct<endOffset:map<string,map<string,bigint>>,latestOffset:map<string,map<string,bigint>>>>"
+    src = newest.select("query", F.explode(F.from_json("sources", kind)).alias("s"))
+    topics = src.select("query", F.explode("s.endOffset").alias("topic", "ends"), F.col("s.latestOffset").alias("latest"))
+    parts = topics.select("query", "topic", F.explode("ends").alias("p", "committed_offset"), "latest")
+    end = F.try_element_at(F.try_element_at("latest", F.col("topic")), F.col("p"))
+    return parts.select("query", "topic", F.col("p").cast("int").alias("partition"), "committed_offset",
+                        F.coalesce(end, F.col("committed_offset")).alias("end_offset"))

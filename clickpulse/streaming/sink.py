@@ -1,35 +1,119 @@
-"""Idempotent metrics sink and the table as readers see it.
+"""The metrics store: idempotent sink, incremental compaction, pruned reads.
 
 Layout under ``<root>``::
 
-    changelog/run=<run>/batch_id=<n>/window_date=<d>/part-*.parquet
-    metrics/window_date=<d>/part-*.parquet          (compacted)
+    changelog/run=<r>/batch_id=<n>/window_date=<d>/part-*.parquet
+    quarantine/run=<r>/batch_id=<n>/part-*.parquet        rows the table cannot hold
+    table/version=<v>/window_date=<d>/part-*.parquet      compacted days
+    manifest/<v>.json                                     what version v consists of
 
 Each micro-batch overwrites its own ``run/batch_id`` directory, so a retried
-batch replaces what it wrote before (effectively-once).  Readers fold the
-changelog latest-wins over the primary key (window_start, window_end,
-page_url).  ``compact_metrics`` folds the changelog into the day-partitioned
-table with dynamic partition overwrite, touching only the days that changed.
-Writes happen on executors; nothing is collected to the driver.
+or replayed batch replaces what it wrote before; the run id is kept beside the
+stream's checkpoint, so a restart goes on with the same one.  A manifest names
+the version of every compacted day, the batches that are folded into them and
+the window length.  ``compact_metrics`` folds the newer batches only, writes
+new versions of the days they touch, and then the next manifest; a reader
+sees the old manifest or the new one.  Files that a manifest no longer names
+are deleted by the next compaction, so a reader that is under way keeps its
+files.  Rows never pass through the driver; what it lists is directory names
+(one per batch that is not folded yet, and one per day).
 """
 
 from __future__ import annotations
 
-import os
-import time
+import datetime as dt
+import json
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse import contracts as C
 
 VALUE_COLS = ["active_users", "cart_additions", "purchases", "cart_abandonment_rate", "updated_at"]
+#: A batch's version is ``run * RUN_STEP + batch_id + 1``; compacted rows have 0.
+RUN_STEP = 1 << 40
 
 
-def to_table_rows(metrics: DataFrame, stamp: str = "now") -> DataFrame:
+# -- files of the store ------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p, _ = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: to a hidden name first, then renamed."""
+    folder, name = path.rsplit("/", 1)
+    fs, tmp, jvm = _fs(spark, f"{folder}/.{name}.tmp")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    if not fs.rename(tmp, to):
+        raise IOError(f"{path} exists already: two compactions at the same time?")
+
+
+def manifest(spark: SparkSession, root: str) -> dict:
+    """The newest manifest; an empty store has version 0."""
+    versions = [int(m[1]) for m in (re.fullmatch(r"(\d+)\.json", n) for n in _names(spark, f"{root}/manifest")) if m]
+    if not versions:
+        return {"version": 0, "days": {}, "folded": {}, "window_seconds": None, "garbage": []}
+    return json.loads(_read_text(spark, f"{root}/manifest/{max(versions)}.json"))
+
+
+def open_batches(spark: SparkSession, root: str, state: dict) -> list[tuple[int, int]]:
+    """(run, batch) of the changelog that the manifest has not folded."""
+    out = []
+    for r in _names(spark, f"{root}/changelog"):
+        if r.startswith("run="):
+            run = int(r[4:])
+            batches = [int(b[9:]) for b in _names(spark, f"{root}/changelog/{r}") if b.startswith("batch_id=")]
+            out += [(run, b) for b in batches if b > state["folded"].get(str(run), -1)]
+    return sorted(out)
+
+
+def run_id(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The run id of a checkpoint: the one it was given at its first start, or
+    now one above every run that the store has seen.  No clock is involved."""
+    place = f"{checkpoint.rstrip('/')}/run_id"
+    known = _read_text(spark, place)
+    if known is not None:
+        return int(known)
+    seen = [int(n[4:]) for n in _names(spark, f"{root}/changelog") if n.startswith("run=")]
+    run = max([0, *seen, *map(int, manifest(spark, root)["folded"])]) + 1
+    _write_text(spark, place, str(run))
+    return run
+
+
+# -- writing -----------------------------------------------------------------
+
+def to_table_rows(metrics: DataFrame) -> DataFrame:
     """Metrics rows in table shape: PK + values + ``window_date`` (UTC day of
-    window_start).  ``stamp='now'`` sets updated_at to the write time unless
-    the input already carries one."""
+    window_start).  ``updated_at`` is the write time unless the input already
+    carries one."""
     m = metrics
     if "updated_at" not in m.columns:
         m = m.withColumn("updated_at", F.current_timestamp())
@@ -39,143 +123,198 @@ def to_table_rows(metrics: DataFrame, stamp: str = "now") -> DataFrame:
 
 
 class MetricsSink:
-    """``foreachBatch`` callable: ``writeStream.foreachBatch(MetricsSink(root))``.
-
-    ``run`` orders restarts: a new checkpoint gives a new, later run id.
-    Failures propagate so Spark retries the batch.
-    """
+    """``foreachBatch`` callable: ``writeStream.foreachBatch(MetricsSink(root, run))``.
+    Failures propagate so Spark retries the batch."""
 
-    def __init__(self, root: str, run: int | None = None):
-        self.root = root
-        self.run = run if run is not None else int(time.time() * 1000)
-
-    def batch_path(self, batch_id: int) -> str:
-        return os.path.join(self.root, "changelog", f"run={self.run}", f"batch_id={batch_id}")
+    def __init__(self, root: str, run: int, calendar: DataFrame | None = None):
+        self.root, self.run, self.calendar = root.rstrip("/"), run, calendar
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        upsert_metrics(batch_df, batch_id, self.root, self.run)
+        upsert_metrics(batch_df, batch_id, self.root, self.run, self.calendar)
 
 
-def upsert_metrics(batch_df: DataFrame, batch_id: int, root: str, run: int = 0) -> bool:
+def upsert_metrics(batch_df: DataFrame, batch_id: int, root: str, run: int = 1,
+                   calendar: DataFrame | None = None) -> bool:
     """Write one micro-batch of metrics idempotently; False for an empty batch.
 
-    The batch is persisted so the emptiness check and the write share one
-    evaluation of the stateful plan.
+    Rows that no partition of ``calendar`` (none: any day) takes, or whose
+    page_url is too long, go to the quarantine with a reason instead of failing
+    the batch.  The batch is persisted so that the two writes and the
+    emptiness check share one evaluation of the stateful plan.
     """
-    rows = to_table_rows(batch_df.withColumn("updated_at", F.current_timestamp()))
-    rows = rows.persist()
+    from clickpulse.streaming.storage import routing_reason
+    rows = routing_reason(to_table_rows(batch_df), calendar).persist()
     try:
         if rows.isEmpty():
             return False
-        path = os.path.join(root, "changelog", f"run={run}", f"batch_id={batch_id}")
+        at = f"run={run}/batch_id={batch_id}"
+        good = rows.filter(F.col("reason").isNull()).drop("reason")
         # hash on (day, page): a busy day is spread over many writers (AQE
         # coalesces the partitions again when the batch is small)
-        (rows.repartition("window_date", "page_url")
+        (good.repartition("window_date", "page_url")
              .sortWithinPartitions(*C.METRICS_PK)
-             .write.mode("overwrite").partitionBy("window_date").parquet(path))
+             .write.mode("overwrite").partitionBy("window_date").parquet(f"{root}/changelog/{at}"))
+        bad = rows.filter(F.col("reason").isNotNull())
+        if not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{root}/quarantine/{at}")
         return True
     finally:
         rows.unpersist()
 
 
-def latest_metrics(changelog: DataFrame, order: tuple[str, ...] = ("run", "batch_id")) -> DataFrame:
-    """One row per PK: the value of the newest (run, batch_id).
+# -- reading -----------------------------------------------------------------
+
+def latest_metrics(changelog: DataFrame, version: str = "version") -> DataFrame:
+    """One row per PK: the values of the largest ``version`` (a BIGINT).
 
-    A ``max`` over a struct that leads with the version: a hash aggregate with
-    map-side partial aggregation - no sort, no single-task group, whatever the
-    key distribution.
+    ``max_by`` per fixed-width value keeps every aggregate buffer fixed-width:
+    a hash aggregate with map-side partial aggregation - no sort, no
+    single-task group, whatever the key distribution.  ``window_date`` follows
+    from the key and is grouped along, so that a filter on it reaches the
+    scans below.
     """
-    ver = [F.col(c) for c in order]
-    vals = [c for c in changelog.columns if c not in (*C.METRICS_PK, *order, "window_date")]
-    best = F.max(F.struct(*ver, *[F.col(c) for c in vals])).alias("_best")
-    out = changelog.groupBy(*C.METRICS_PK).agg(best)
-    return out.select(*C.METRICS_PK, *[F.col("_best." + c).alias(c) for c in vals])
+    keys = [*C.METRICS_PK, *(["window_date"] if "window_date" in changelog.columns else [])]
+    vals = [c for c in changelog.columns if c not in (*keys, version)]
+    return changelog.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in vals])
 
 
-def read_changelog(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "changelog"))
+def _batch_version(run: int | Column, batch: int | Column):
+    return run * RUN_STEP + batch + 1
 
 
-def read_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """The metrics table as dashboards see it: compacted table overlaid with
-    the newer changelog, latest-wins per PK, with ``window_date`` kept for
-    partition pruning."""
-    parts = []
-    table = os.path.join(root, "metrics")
-    if _exists(spark, table):
-        t = spark.read.parquet(table).withColumn("run", F.lit(-1).cast("bigint")) \
-            .withColumn("batch_id", F.lit(-1).cast("bigint"))
-        parts.append(t)
-    log = os.path.join(root, "changelog")
-    if _exists(spark, log):
-        parts.append(spark.read.parquet(log).select(
-            *C.METRICS_PK, *VALUE_COLS, "window_date",
-            F.col("run").cast("bigint"), F.col("batch_id").cast("bigint")))
-    if not parts:
-        return spark.createDataFrame([], C.METRICS_SCHEMA)
-    allp = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    latest = latest_metrics(allp.select(*C.METRICS_PK, *VALUE_COLS, "window_date", "run", "batch_id"))
-    return latest.withColumn("window_date", F.to_date("window_start"))
-
-
-def compact_metrics(spark: SparkSession, root: str) -> DataFrame:
-    """Fold table + changelog into ``metrics/``: dynamic partition overwrite
-    of the days present in the changelog only.  Returns the days rewritten.
-
-    The folded rows are first written to a staging folder (a written table
-    cuts lineage, so the overwrite never reads the files it replaces)."""
-    log = os.path.join(root, "changelog")
-    if not _exists(spark, log):
-        return spark.createDataFrame([], "window_date date")
-    touched = spark.read.parquet(log).select("window_date").distinct()
-    current = read_metrics(spark, root).join(touched, "window_date", "left_semi")
-    staging = os.path.join(root, "_staging", str(int(time.time() * 1000)))
-    (current.repartition("window_date", "page_url").sortWithinPartitions(*C.METRICS_PK)
-            .write.mode("overwrite").partitionBy("window_date").parquet(staging))
-    staged = spark.read.parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("window_date").parquet(os.path.join(root, "metrics")))
-    return staged.select("window_date").distinct()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def _table_paths(root: str, state: dict, days=None) -> list[str]:
+    return [f"{root}/table/version={v}/window_date={d}" for d, v in sorted(state["days"].items())
+            if days is None or d in days]
 
 
-def update_mode_changelog(events: DataFrame, batch: str, length: str = "60 seconds",
-                          slide: str | None = "10 seconds") -> DataFrame:
-    """Batch emulation of the update-mode stream output (no watermark): for
-    each micro-batch, every group it touched with its cumulative values.
+_STORED = "window_start timestamp, window_end timestamp, page_url string, active_users bigint, cart_additions bigint, " \
+          "purchases bigint, cart_abandonment_rate double, updated_at timestamp, {}window_date date"
 
-    Each user is counted in the first batch it appears in for the group
-    (a window per group and user), one aggregate per (group, batch), then
-    running sums over batches per group (a window over at most #batches rows
-    per group).  The events are read once - no branch recomputes them.
+
+def _parts(spark: SparkSession, root: str, state: dict, batches: list[tuple[int, int]], days=None) -> list[DataFrame]:
+    cols = [*C.METRICS_PK, *VALUE_COLS, "window_date"]
+    out = []
+    paths = _table_paths(root, state, days)
+    if paths:
+        t = spark.read.schema(_STORED.format("version bigint, ")).option("basePath", f"{root}/table").parquet(*paths)
+        out.append(t.select(*cols, F.lit(0).cast("bigint").alias("version")))
+    if batches:
+        log = spark.read.schema(_STORED.format("run bigint, batch_id bigint, ")).option("basePath", f"{root}/changelog") \
+            .parquet(*[f"{root}/changelog/run={r}/batch_id={b}" for r, b in batches])
+        out.append(log.select(*cols, _batch_version(F.col("run"), F.col("batch_id")).alias("version")))
+    return out
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """The metrics table as dashboards see it: the compacted days and the
+    batches after them, latest-wins per PK.
+
+    ``window_date`` is a partition column of both, so a filter on it prunes
+    both scans.  Its metadata carries what the serving queries need to make
+    such filters: the window length and the days the store holds.
     """
-    from pyspark.sql import Window
-    from clickpulse.operators.metrics import abandonment, page_key
-    w = F.window("event_time", length, slide or length)
-    e = events.select(w.alias("w"), page_key(F.col("page_url")).alias("page_url"),
-                      "user_id", "event_type", "event_time", F.col(batch).alias("batch_id"))
-    e = e.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                 "page_url", "user_id", "event_type", "event_time", "batch_id")
-    # one linear pipeline (the events are read once): mark each user's first
-    # batch within its group, then one aggregate per (group, batch)
-    uw = Window.partitionBy(*C.METRICS_PK, "user_id")
-    e = e.withColumn("first_batch", F.min("batch_id").over(uw))
-    j = e.groupBy(*C.METRICS_PK, "batch_id").agg(
-        F.count_distinct(F.when(F.col("batch_id") == F.col("first_batch"), F.col("user_id"))).alias("new_users"),
-        F.sum(F.when(F.col("event_type") == "cart_add", 1).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("p"),
-        F.max("event_time").alias("u"))
-    ow = Window.partitionBy(*C.METRICS_PK).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    out = j.select(*C.METRICS_PK, "batch_id",
-                   F.sum("new_users").over(ow).cast("bigint").alias("active_users"),
-                   F.sum("a").over(ow).cast("bigint").alias("cart_additions"),
-                   F.sum("p").over(ow).cast("bigint").alias("purchases"),
-                   F.max("u").over(ow).alias("updated_at"))
-    return out.withColumn("cart_abandonment_rate", abandonment(F.col("cart_additions"), F.col("purchases"))) \
-              .withColumn("run", F.lit(0).cast("bigint"))
+    root = root.rstrip("/")
+    state = manifest(spark, root)
+    batches = open_batches(spark, root, state)
+    parts = _parts(spark, root, state, batches)
+    if not parts:
+        return spark.createDataFrame([], _STORED.format(""))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    days = sorted({*state["days"], *(d for b in batches for d in _batch_days(spark, root, b))})
+    length = state["window_seconds"] or _window_seconds(parts[-1])
+    return with_store_facts(latest_metrics(rows), length, days)
+
+
+def with_store_facts(metrics: DataFrame, window_seconds: int | None, days: list[str] | None = None) -> DataFrame:
+    """``metrics`` with the facts that serving queries prune by."""
+    facts = {k: v for k, v in (("window_seconds", window_seconds), ("days", days)) if v is not None}
+    return metrics.withMetadata("window_date", facts)
+
+
+def _batch_days(spark: SparkSession, root: str, batch: tuple[int, int]) -> list[str]:
+    names = _names(spark, f"{root}/changelog/run={batch[0]}/batch_id={batch[1]}")
+    return [n[12:] for n in names if n.startswith("window_date=")]
+
+
+def _window_seconds(rows: DataFrame) -> int | None:
+    """The longest window of a part of the store."""
+    return rows.agg(F.max((F.unix_micros("window_end") - F.unix_micros("window_start")) / 1_000_000).cast("bigint")).first()[0]
+
+
+# -- compaction --------------------------------------------------------------
+
+def compact_metrics(spark: SparkSession, root: str) -> list[dt.date]:
+    """Fold the batches that are not folded yet into new versions of the days
+    they touch; other days keep their files.  Returns the days rewritten."""
+    root = root.rstrip("/")
+    state = manifest(spark, root)
+    batches = open_batches(spark, root, state)
+    touched = sorted({d for b in batches for d in _batch_days(spark, root, b)})
+    for path in state["garbage"]:  # named by no manifest since the last compaction
+        _delete(spark, f"{root}/{path}")
+    if not batches and not state["garbage"]:
+        return []
+    version, days, garbage = state["version"] + 1, dict(state["days"]), []
+    length = state["window_seconds"]
+    if touched:
+        parts = _parts(spark, root, state, batches, set(touched))
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        # a part that this version's failed attempt left is replaced whole
+        (latest_metrics(rows).repartition("window_date", "page_url").sortWithinPartitions(*C.METRICS_PK)
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("window_date").parquet(f"{root}/table/version={version}"))
+        length = max(length or 0, _window_seconds(parts[-1]) or 0) or None
+        for d in touched:
+            if d in days:
+                garbage.append(f"table/version={days[d]}/window_date={d}")
+            days[d] = version
+    folded = dict(state["folded"])
+    for run, batch in batches:
+        folded[str(run)] = max(batch, folded.get(str(run), -1))
+        garbage.append(f"changelog/run={run}/batch_id={batch}")
+    _publish(spark, root, version, days, folded, length, garbage)
+    return [dt.date.fromisoformat(d) for d in touched]
+
+
+def _publish(spark, root, version, days, folded, window_seconds, garbage) -> None:
+    _write_text(spark, f"{root}/manifest/{version}.json", json.dumps(
+        {"version": version, "days": days, "folded": folded, "window_seconds": window_seconds, "garbage": garbage}))
+    for n in _names(spark, f"{root}/manifest"):
+        m = re.fullmatch(r"(\d+)\.json", n)
+        if m and int(m[1]) < version - 1:
+            _delete(spark, f"{root}/manifest/{n}")
+
+
+def drop_days(spark: SparkSession, root: str, before: dt.date) -> list[dt.date]:
+    """Retention: days before ``before`` leave the store for good, from the
+    table and from the changelog (which is folded first, so that no later
+    compaction brings them back).  Returns the days dropped."""
+    root = root.rstrip("/")
+    compact_metrics(spark, root)
+    state = manifest(spark, root)
+    gone = sorted(d for d in state["days"] if dt.date.fromisoformat(d) < before)
+    if gone:
+        garbage = state["garbage"] + [f"table/version={state['days'][d]}/window_date={d}" for d in gone]
+        _publish(spark, root, state["version"] + 1, {d: v for d, v in state["days"].items() if d not in gone},
+                 state["folded"], state["window_seconds"], garbage)
+    return [dt.date.fromisoformat(d) for d in gone]
+
+
+def replace_all(spark: SparkSession, root: str, rows: DataFrame) -> None:
+    """The store holds ``rows`` (table shape) and nothing else; batches written
+    so far count as folded."""
+    root = root.rstrip("/")
+    state = manifest(spark, root)
+    version = state["version"] + 1
+    (rows.select(*C.METRICS_PK, *VALUE_COLS, F.to_date("window_start").alias("window_date"))
+        .repartition("window_date", "page_url").sortWithinPartitions(*C.METRICS_PK)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("window_date").parquet(f"{root}/table/version={version}"))
+    days = [n[12:] for n in _names(spark, f"{root}/table/version={version}") if n.startswith("window_date=")]
+    folded, garbage = dict(state["folded"]), list(state["garbage"])
+    for run, batch in open_batches(spark, root, state):
+        folded[str(run)] = max(batch, folded.get(str(run), -1))
+        garbage.append(f"changelog/run={run}/batch_id={batch}")
+    garbage += [f"table/version={v}/window_date={d}" for d, v in state["days"].items()]
+    length = _window_seconds(rows) or state["window_seconds"]
+    _publish(spark, root, version, {d: version for d in days}, folded, length, garbage)

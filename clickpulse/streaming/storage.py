@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,41 +34,64 @@ def partition_calendar_for(run_days: DataFrame, day_col: str = "day", days_ahead
     return _calendar_of(run_days, day_col, days_ahead, prefix)
 
 
-MAX_CALENDAR_ROWS = 100_000  # days; a calendar is tiny by construction
+NO_PARTITION = "no partition for window_start"
+TOO_LONG = "page_url longer than column width"
 
 
-def unroutable_metrics(metrics: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Rows that no partition accepts (window_start day not in the calendar)
-    or whose page_url exceeds the column width: the ones that would make the
-    whole batch fail.  Quarantine them instead.
+def routing_reason(metrics: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """``metrics`` with ``reason``: why no partition takes the row (its day is
+    not in the calendar, or its page_url exceeds the column width), else null.
+    One left join on the day; no calendar takes every day."""
+    wide = F.when(F.char_length("page_url") > C.PAGE_URL_MAX, TOO_LONG)
+    if calendar is None:
+        return metrics.withColumn("reason", wide)
+    cal = calendar.select(F.col("range_from").alias("_day"), F.lit(True).alias("_routed")).distinct()
+    flagged = metrics.withColumn("_day", F.to_date("window_start")).join(cal, "_day", "left")
+    return flagged.withColumn("reason", F.when(F.col("_routed").isNull(), NO_PARTITION).otherwise(wide)) \
+        .drop("_day", "_routed")
 
-    The calendar has one row per day (bounded by the retention span), so it
-    is broadcast; the check is a left-anti equi-join on the day.
-    """
-    cal = calendar.select(F.col("range_from").alias("_day"))
-    by_day = metrics.withColumn("_day", F.to_date("window_start"))
-    no_part = by_day.join(F.broadcast(cal), "_day", "left_anti") \
-        .withColumn("reason", F.lit("no partition for window_start"))
-    too_long = by_day.join(F.broadcast(cal), "_day", "left_semi") \
-        .filter(F.char_length("page_url") > C.PAGE_URL_MAX) \
-        .withColumn("reason", F.lit("page_url longer than column width"))
-    return no_part.unionByName(too_long).drop("_day")
+
+def unroutable_metrics(metrics: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """The rows that would make a whole batch fail, with the reason; the sink
+    puts them into quarantine."""
+    return routing_reason(metrics, calendar).filter(F.col("reason").isNotNull())
 
 
 def snapshot(df: DataFrame, root: str, date: dt.date | str) -> str:
-    """Full dump named by date (``snapshot_date=<d>``), overwriting that day."""
+    """Full dump named by date (``snapshot_date=<d>``), overwriting that day,
+    with its row count and checksum beside it."""
     out = df.withColumn("snapshot_date", F.lit(str(date)).cast("date"))
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-       .partitionBy("snapshot_date").parquet(root)
-    return os.path.join(root, f"snapshot_date={date}")
+       .partitionBy("snapshot_date").parquet(f"{root}/rows")
+    fingerprint(restore(df.sparkSession, root, date)).withColumn("snapshot_date", F.lit(str(date)).cast("date")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("snapshot_date").parquet(f"{root}/checks")
+    return f"{root}/rows/snapshot_date={date}"
 
 
 def restore(spark: SparkSession, root: str, date: dt.date | str) -> DataFrame:
     """Read one snapshot back (partition-pruned to that date)."""
-    return spark.read.parquet(root).filter(F.col("snapshot_date") == F.lit(str(date)).cast("date")) \
+    return spark.read.parquet(f"{root}/rows").filter(F.col("snapshot_date") == F.lit(str(date)).cast("date")) \
         .drop("snapshot_date")
 
 
+def restore_store(spark: SparkSession, root: str, date: dt.date | str, store: str) -> int:
+    """Reload the metrics store from a snapshot and verify the count and the
+    checksum; returns the rows.  The store keeps its old state if the
+    snapshot itself does not match what was recorded with it."""
+    from clickpulse.streaming.sink import read_metrics, replace_all
+    rows = restore(spark, root, date)
+    want = spark.read.parquet(f"{root}/checks").filter(F.col("snapshot_date") == F.lit(str(date)).cast("date")) \
+        .select("rows", "checksum").first()
+    if want is None or fingerprint(rows).first() != want:
+        raise ValueError(f"the snapshot of {date} is missing or damaged")
+    replace_all(spark, store, rows)
+    got = fingerprint(read_metrics(spark, store).select(*rows.columns)).first()
+    if got != want:
+        raise ValueError(f"the restored store differs from the snapshot: {got} instead of {want}")
+    return want["rows"]
+
+
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Row count + order-free checksum, to verify a restore."""
     cols = cols or df.columns
@@ -86,7 +108,9 @@ def retention_prune(df: DataFrame, date_col: str, as_of: dt.date | str | Column,
                               .otherwise("keep"))
 
 
-def apply_retention(df: DataFrame, date_col: str, as_of, days: int = 7) -> DataFrame:
-    """The rows that survive retention (a partition filter)."""
-    a = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
-    return df.filter(F.col(date_col) >= F.date_sub(a, days))
+def apply_retention(spark: SparkSession, store: str, as_of: dt.date | str, days: int = 7) -> list[dt.date]:
+    """Delete the days of the metrics store that are older than ``days`` days at
+    ``as_of``; returns them."""
+    from clickpulse.streaming.sink import drop_days
+    day = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(str(as_of))
+    return drop_days(spark, store, day - dt.timedelta(days=days))

@@ -11,7 +11,7 @@ from clickpulse.sources.records import KAFKA_RECORD_SCHEMA, read_records
 from clickpulse.sources.testdata import kafka_records, load_table
 from clickpulse.streaming import sink as SK
 from clickpulse.streaming import storage as ST
-from clickpulse.streaming.job import JobConfig, progress_frame, start
+from clickpulse.streaming.job import JobConfig, offsets_frame, progress_frame, start
 from conftest import SF0001
 
 KEY = ["window_start", "window_end", "page_url"]
@@ -19,7 +19,7 @@ VALS = ["active_users", "cart_additions", "purchases", "cart_abandonment_rate"]
 
 
 def _payload(t, user="u1", page="/p", et="page_view"):
-    return json.dumps({"schema_version": "1.0", "event_id": "11111111-2222-3333-4444-555555555555",
+    return json.dumps({"schema_version": "1.0", "event_id": "7c9e6679-7425-40de-944b-e07fc1f90ae7",
                        "user_id": user, "session_id": "s1", "event_type": et, "page_url": page,
                        "timestamp": t})
 
@@ -35,11 +35,11 @@ def _write_file(spark, folder, idx, payloads):
     os.utime(dst, (1_700_000_000 + idx, 1_700_000_000 + idx))
 
 
-def _run(spark, src, root, ckpt, distinct="exact", max_files=None):
+def _run(spark, src, root, ckpt, distinct="exact", max_files=None, **more):
     opts = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
     raw = read_records(spark, "parquet", opts, path=src, stream=True)
     cfg = JobConfig(metrics_root=os.path.join(root, "store"), dlq_path=os.path.join(root, "dlq"),
-                    checkpoint=ckpt, distinct=distinct, trigger={"availableNow": True})
+                    checkpoint=ckpt, distinct=distinct, trigger={"availableNow": True}, **more)
     qs = start(spark, raw, cfg)
     for q in qs:
         q.awaitTermination(180)
@@ -58,15 +58,21 @@ def test_late_data_rule(spark, scratch):
     for i, ts in enumerate(files):
         _write_file(spark, src, i, [_payload(t) for t in ts])
     root = os.path.join(scratch, "out")
-    _, mq = _run(spark, src, root, os.path.join(scratch, "ck"), max_files=1)
+    progress = os.path.join(scratch, "progress")
+    _, mq = _run(spark, src, root, os.path.join(scratch, "ck"), max_files=1, progress_path=progress)
     b3 = spark.read.parquet(os.path.join(root, "store", "changelog")).filter("batch_id = 3")
     starts = sorted(r.window_start.strftime("%H:%M:%S") for r in b3.collect())
     assert starts == ["10:07:10", "10:07:20", "10:07:30", "10:07:40", "10:07:50",
                       "10:08:00", "10:08:10", "10:08:20", "10:08:30"]
     counts = {r.window_start.strftime("%H:%M:%S"): r.active_users for r in b3.collect()}
     assert counts["10:07:40"] == 1  # 10:07:59 and 10:08:30 - same user
-    prog = progress_frame(spark, mq)
-    assert prog.filter("rows_dropped_by_watermark > 0").count() >= 1
+    for _ in range(100):  # the listener writes on its own
+        seen = progress_frame(spark, progress).filter(F.col("query") == mq.name) if os.path.exists(progress) else None
+        if seen is not None and seen.filter("batch_id = 3").count():
+            break
+        time.sleep(0.2)
+    assert {r.batch_id for r in seen.collect()} >= {0, 1, 2, 3}
+    assert seen.filter("rows_dropped_by_watermark > 0").count() >= 1
 
 
 def test_stream_batch_parity_restart_and_dlq(spark, scratch):
@@ -98,31 +104,141 @@ def test_stream_batch_parity_restart_and_dlq(spark, scratch):
     assert validate_dlq(dlq).filter("contract_status <> 'valid'").count() == 0
 
 
-def test_replay_is_idempotent_and_compaction(spark, scratch):
+def _rows(df):
+    return sorted(tuple(r[c] for c in KEY + VALS) for r in df.collect())
+
+
+def _metrics(spark):
+    from clickpulse.sources.testdata import load_raw
+    return page_metrics(events_pipeline(load_raw(spark, SF0001)), distinct="exact", updated_at="event_time")
+
+
+def test_replay_is_idempotent_and_compaction_is_incremental(spark, scratch):
     root = os.path.join(scratch, "store")
-    ev = events_pipeline(__import__("clickpulse.sources.testdata", fromlist=["x"]).load_raw(spark, SF0001))
-    m = page_metrics(ev, distinct="exact")
+    m = _metrics(spark)
     assert SK.upsert_metrics(m, 0, root, run=1)
-    before = SK.read_metrics(spark, root).select(*KEY, *VALS).collect()
+    before = _rows(SK.read_metrics(spark, root))
     assert SK.upsert_metrics(m, 0, root, run=1)  # replay of the same batch
-    after = SK.read_metrics(spark, root).select(*KEY, *VALS).collect()
-    assert sorted(before) == sorted(after) and len(after) == m.count()
+    assert _rows(SK.read_metrics(spark, root)) == before == _rows(m)
     assert not SK.upsert_metrics(m.limit(0), 1, root, run=1)  # empty batch: no write
     assert not os.path.exists(os.path.join(root, "changelog", "run=1", "batch_id=1"))
+    all_days = SK.compact_metrics(spark, root)
+    assert len(all_days) > 5 and SK.compact_metrics(spark, root) == []
+    assert _rows(SK.read_metrics(spark, root)) == before
+    # one changed day: one day is rewritten, the others keep their files
+    kept = SK.manifest(spark, root)["days"]
     one = m.orderBy(*KEY).limit(1).withColumn("active_users", F.lit(999).cast("bigint"))
     SK.upsert_metrics(one, 2, root, run=1)
     latest = SK.read_metrics(spark, root)
-    assert latest.filter("active_users = 999").count() == 1 and latest.count() == m.count()
-    days = SK.compact_metrics(spark, root).count()
-    assert days >= 1
-    table = spark.read.parquet(os.path.join(root, "metrics"))
-    assert table.count() == m.count() and table.filter("active_users = 999").count() == 1
-    # snapshot / restore round trip
-    snap = os.path.join(scratch, "snap")
-    ST.snapshot(latest, snap, "2024-02-01")
-    back = ST.restore(spark, snap, "2024-02-01")
-    cols = KEY + VALS
-    assert ST.fingerprint(back, cols).collect() == ST.fingerprint(latest, cols).collect()
+    assert latest.filter("active_users = 999").count() == 1 and latest.count() == len(before)
+    days = SK.compact_metrics(spark, root)
+    now = SK.manifest(spark, root)["days"]
+    assert len(days) == 1 and [d for d in now if now[d] != kept[d]] == [days[0].isoformat()]
+    after = SK.read_metrics(spark, root)
+    assert after.filter("active_users = 999").count() == 1 and after.count() == len(before)
+    # what no manifest names is gone after the next compaction
+    SK.compact_metrics(spark, root)
+    runs = os.path.join(root, "changelog", "run=1")
+    assert not [d for d in os.listdir(runs) if d.startswith("batch_id=")]
+    assert not os.path.exists(os.path.join(root, "table", f"version={kept[days[0].isoformat()]}", f"window_date={days[0]}"))
+    assert after.count() == len(before)
+
+
+def test_a_reader_sees_the_old_state_or_the_new_one(spark, scratch):
+    root = os.path.join(scratch, "store")
+    m = _metrics(spark)
+    SK.upsert_metrics(m, 0, root, run=1)
+    SK.compact_metrics(spark, root)
+    SK.upsert_metrics(m.withColumn("active_users", F.col("active_users") + 1), 1, root, run=1)
+    under_way = SK.read_metrics(spark, root)
+    want = _rows(under_way)
+    SK.compact_metrics(spark, root)  # while the reader holds its plan
+    assert _rows(under_way) == want == _rows(SK.read_metrics(spark, root))
+    # a compaction that dies before its manifest leaves the old state
+    SK.upsert_metrics(m, 2, root, run=1)
+    want = _rows(SK.read_metrics(spark, root))
+    publish, SK._publish = SK._publish, lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        with pytest.raises(RuntimeError):
+            SK.compact_metrics(spark, root)
+    finally:
+        SK._publish = publish
+    assert _rows(SK.read_metrics(spark, root)) == want
+    SK.compact_metrics(spark, root)
+    assert _rows(SK.read_metrics(spark, root)) == want == _rows(m)
+
+
+def test_reader_plan_prunes_every_scan_and_hashes(spark, scratch):
+    root = os.path.join(scratch, "store")
+    m = _metrics(spark)
+    SK.upsert_metrics(m, 0, root, run=1)
+    SK.compact_metrics(spark, root)
+    SK.upsert_metrics(m, 1, root, run=1)
+    day = SK.read_metrics(spark, root).filter("window_date = DATE '2024-01-10'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("PartitionFilters: [isnotnull(window_date") == 2
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert day.count() == m.filter(F.to_date("window_start") == "2024-01-10").count() > 0
+
+
+def test_run_id_is_kept_with_the_checkpoint(spark, scratch):
+    root, m = os.path.join(scratch, "store"), _metrics(spark).orderBy(*KEY).limit(50)
+    first = SK.run_id(spark, root, os.path.join(scratch, "ck1"))
+    assert first == SK.run_id(spark, root, os.path.join(scratch, "ck1")) == 1
+    SK.MetricsSink(root, first)(m, 0)
+    SK.MetricsSink(root, SK.run_id(spark, root, os.path.join(scratch, "ck1")))(m, 0)  # replay after a restart
+    assert os.listdir(os.path.join(root, "changelog")) == ["run=1"]
+    second = SK.run_id(spark, root, os.path.join(scratch, "ck2"))  # a new checkpoint comes later
+    SK.MetricsSink(root, second)(m.withColumn("active_users", F.lit(7).cast("bigint")), 0)
+    assert second == 2 and {r.active_users for r in SK.read_metrics(spark, root).collect()} == {7}
+    SK.compact_metrics(spark, root)
+    assert SK.run_id(spark, root, os.path.join(scratch, "ck3")) == 3
+
+
+def test_rows_without_a_partition_go_to_quarantine(spark, scratch):
+    root, m = os.path.join(scratch, "store"), _metrics(spark)
+    long_page = m.orderBy(*KEY).limit(1).withColumn("page_url", F.lit("/" + "x" * 600))
+    SK.upsert_metrics(m.unionByName(long_page), 0, root, run=1, calendar=ST.partition_calendar(spark, "2024-01-10", 3))
+    bad = spark.read.parquet(os.path.join(root, "quarantine"))
+    good = SK.read_metrics(spark, root)
+    assert good.count() + bad.count() == m.count() + 1 and good.count() > 0
+    assert good.agg(F.min("window_date").cast("string"), F.max("window_date").cast("string")).first()[:] == ("2024-01-09", "2024-01-13")
+    assert {r.reason for r in bad.select("reason").distinct().collect()} <= {ST.NO_PARTITION, ST.TOO_LONG}
+    assert sorted(map(str, bad.select(*KEY, "reason").collect())) == sorted(map(str, ST.unroutable_metrics(
+        m.unionByName(long_page), ST.partition_calendar(spark, "2024-01-10", 3)).select(*KEY, "reason").collect()))
+    SK.upsert_metrics(long_page, 1, root, run=1)
+    assert spark.read.parquet(os.path.join(root, "quarantine")).filter("batch_id = 1").first().reason == ST.TOO_LONG
+
+
+def test_retention_deletes_and_stays_deleted(spark, scratch):
+    root, m = os.path.join(scratch, "store"), _metrics(spark)
+    SK.upsert_metrics(m, 0, root, run=1)
+    SK.compact_metrics(spark, root)
+    SK.upsert_metrics(m, 1, root, run=1)  # old days are in the changelog as well
+    report = {r.partition_date: r.action for r in ST.retention_prune(SK.to_table_rows(m), "window_date", "2024-01-31", 7).collect()}
+    gone = ST.apply_retention(spark, root, "2024-01-31", 7)
+    assert gone == sorted(d for d, a in report.items() if a == "drop") and gone
+    want = _rows(m.filter(F.to_date("window_start") >= "2024-01-24"))
+    assert _rows(SK.read_metrics(spark, root)) == want
+    SK.compact_metrics(spark, root)
+    assert _rows(SK.read_metrics(spark, root)) == want
+    left = {d for _, ds, _ in os.walk(os.path.join(root, "table")) for d in ds if d.startswith("window_date=")}
+    assert min(left) == "window_date=2024-01-24"
+
+
+def test_snapshot_and_restore_into_the_store(spark, scratch):
+    root, snap, m = os.path.join(scratch, "store"), os.path.join(scratch, "snap"), _metrics(spark)
+    SK.upsert_metrics(m, 0, root, run=1)
+    saved = SK.read_metrics(spark, root)
+    ST.snapshot(saved, snap, "2024-02-01")
+    assert ST.fingerprint(ST.restore(spark, snap, "2024-02-01"), KEY + VALS).collect() == ST.fingerprint(saved, KEY + VALS).collect()
+    SK.upsert_metrics(m.withColumn("active_users", F.lit(0).cast("bigint")), 1, root, run=1)  # damage
+    assert ST.restore_store(spark, snap, "2024-02-01", root) == m.count()
+    assert _rows(SK.read_metrics(spark, root)) == _rows(m)
+    SK.compact_metrics(spark, root)
+    assert _rows(SK.read_metrics(spark, root)) == _rows(m)
+    with pytest.raises(ValueError):
+        ST.restore_store(spark, snap, "2024-02-02", root)
 
 
 def test_partition_calendar(spark):
@@ -157,18 +273,44 @@ def test_future_poison(spark, scratch, guard):
         assert normal == 0  # the poisoned watermark made them late
 
 
-def test_compaction_is_repeatable_and_retention(spark, scratch):
-    from clickpulse.sources.testdata import load_raw
-    root = os.path.join(scratch, "store")
-    m = page_metrics(events_pipeline(load_raw(spark, SF0001)), distinct="exact")
-    SK.upsert_metrics(m, 0, root, run=7)
-    SK.compact_metrics(spark, root)
-    first = sorted(spark.read.parquet(os.path.join(root, "metrics")).select(*KEY, *VALS).collect())
-    SK.compact_metrics(spark, root)  # a rerun (e.g. after a lost executor) rewrites the same days
-    second = sorted(spark.read.parquet(os.path.join(root, "metrics")).select(*KEY, *VALS).collect())
-    assert first == second and len(first) == m.count()
-    table = spark.read.parquet(os.path.join(root, "metrics"))
-    kept = ST.apply_retention(table, "window_date", "2024-01-31", 7)
-    report = {r.partition_date.isoformat(): r.action for r in ST.retention_prune(table, "window_date", "2024-01-31", 7).collect()}
-    assert all(v == ("drop" if d < "2024-01-24" else "keep") for d, v in report.items())
-    assert kept.count() == table.filter("window_date >= '2024-01-24'").count()
+def test_default_mode_and_command_line(spark, scratch):
+    """The job as the command starts it: approximate users, progress recorded,
+    a second run goes on where the first ended."""
+    from clickpulse.streaming.__main__ import main, parser
+    from clickpulse.operators.metrics import within_bound
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    times = [f"2026-09-18T10:{i // 60:02d}:{i % 60:02d}Z" for i in range(0, 300, 3)]
+    _write_file(spark, src, 0, [_payload(t, user=f"u{i}") for i, t in enumerate(times)] + ["{bad"])
+    args = ["--source", "parquet", "--source-path", src, "--metrics-root", os.path.join(scratch, "store"),
+            "--checkpoint", os.path.join(scratch, "ck"), "--dlq-path", os.path.join(scratch, "dlq"),
+            "--progress-path", os.path.join(scratch, "progress"), "--available-now"]
+    assert parser().parse_args(args).distinct == "approx"
+    main(args)
+    _write_file(spark, src, 1, [_payload("2026-09-18T10:04:59Z", user="late")])
+    main(args)
+    got = SK.read_metrics(spark, os.path.join(scratch, "store"))
+    raw = spark.read.schema(KAFKA_RECORD_SCHEMA).parquet(src)
+    from clickpulse.sources.records import decode_records
+    exact = page_metrics(events_pipeline(decode_records(raw)), distinct="exact").withColumnRenamed("active_users", "exact")
+    j = got.join(exact.select(*KEY, "exact"), KEY)
+    assert j.count() == got.count() == exact.count()
+    assert j.filter(~within_bound("active_users", "exact")).count() == 0
+    assert spark.read.json(os.path.join(scratch, "dlq")).count() == 1
+    assert os.listdir(os.path.join(scratch, "store", "changelog")) == ["run=1"]
+    for bad in (["--metrics-root", "x", "--checkpoint", "y", "--dlq-path", "z"], ["--source", "parquet", *args[4:]]):
+        with pytest.raises(SystemExit):
+            main(bad)
+
+
+def test_offsets_of_recorded_progress(spark):
+    from clickpulse.plans.insights import consumer_lag
+    from clickpulse.streaming.job import PROGRESS_SCHEMA
+    source = lambda end, latest: json.dumps([{"description": "k", "endOffset": end, "latestOffset": latest}])
+    rows = [("m", "r1", 4, 10, 0, None, 5, 4, source({"t": {"0": 7, "1": 9}}, {"t": {"0": 8, "1": 9}})),
+            ("m", "r1", 5, 10, 0, None, 5, 4, source({"t": {"0": 8, "1": 12}}, {"t": {"0": 20, "1": 12}})),
+            ("files", "r2", 0, 1, 0, None, 5, 4, json.dumps([{"description": "f", "endOffset": {"logOffset": 0}, "latestOffset": None}]))]
+    o = offsets_frame(spark.createDataFrame(rows, PROGRESS_SCHEMA))
+    got = {(r.topic, r.partition): (r.committed_offset, r.end_offset) for r in o.collect()}
+    assert got == {("t", 0): (8, 20), ("t", 1): (12, 12)}
+    assert {r.partition: r.lag for r in consumer_lag(o).collect()} == {0: 12, 1: 0}
