@@ -12,13 +12,8 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # These must equal the original contract for right results.
 # ---------------------------------------------------------------------------
-SCHEMA_VERSION = "1.0"
-EVENT_TYPES = ["page_view", "cart_add", "purchase", "page_exit"]
-REQUIRED_FIELDS = ["schema_version", "event_id", "user_id", "session_id",
-                   "event_type", "timestamp"]
 UNKNOWN_PAGE = "/unknown"
 DLQ_DEFAULT_KEY = "dlq_key"
-FAILURE_REASONS = ["schema_validation_error", "deserialization_error"]
 
 EVENT_CONTRACT = {
     "$schema": "http://json-schema.org/draft-07/schema#",
@@ -60,19 +55,26 @@ DLQ_CONTRACT = {
 }
 # ---------------------------------------------------------------------------
 
-# Typed event as the stream job sees it (never inferred).
-EVENT_SCHEMA = T.StructType([
-    T.StructField("schema_version", T.StringType()),
-    T.StructField("event_id", T.StringType()),
-    T.StructField("user_id", T.StringType()),
-    T.StructField("session_id", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("page_url", T.StringType()),
-    T.StructField("product_id", T.StringType()),
-    T.StructField("product_category", T.StringType()),
-    T.StructField("price_inr", T.DoubleType()),
-    T.StructField("timestamp", T.StringType()),
-])
+SCHEMA_VERSION = EVENT_CONTRACT["properties"]["schema_version"]["const"]
+EVENT_TYPES = EVENT_CONTRACT["properties"]["event_type"]["enum"]
+REQUIRED_FIELDS = EVENT_CONTRACT["required"]
+
+_SPARK_TYPES = {"string": T.StringType(), "number": T.DoubleType(), "integer": T.LongType(),
+                "array": T.ArrayType(T.StringType())}
+
+
+def typed_schema(contract: dict, **other) -> T.StructType:
+    """The Spark schema of a contract's properties, in their order; ``other``
+    names fields with a type of their own."""
+    def kind(sub):
+        names = [sub["type"]] if isinstance(sub["type"], str) else sub["type"]
+        return _SPARK_TYPES[next(n for n in names if n != "null")]
+    return T.StructType([T.StructField(n, other.get(n) or kind(sub)) for n, sub in contract["properties"].items()])
+
+
+# Typed events and dead letters as the jobs see them (never inferred).
+EVENT_SCHEMA = typed_schema(EVENT_CONTRACT)
+DLQ_SCHEMA = typed_schema(DLQ_CONTRACT, source_partition=T.IntegerType())
 
 # Raw record layout after decoding a Kafka (or file) record.
 RAW_SCHEMA = T.StructType([
@@ -96,12 +98,3 @@ METRICS_SCHEMA = T.StructType([
 ])
 METRICS_PK = ["window_start", "window_end", "page_url"]
 PAGE_URL_MAX = 512
-
-DLQ_SCHEMA = T.StructType([
-    T.StructField("original_payload", T.StringType()),
-    T.StructField("failure_reason", T.StringType()),
-    T.StructField("validation_errors", T.ArrayType(T.StringType())),
-    T.StructField("failed_at", T.StringType()),
-    T.StructField("source_partition", T.IntegerType()),
-    T.StructField("source_offset", T.LongType()),
-])

@@ -22,15 +22,18 @@ _MEMO: dict = {}
 
 
 def memo_column(key, build):
-    """Build a (large) Column expression once per SparkContext and reuse it.
+    """Build a (large) Column expression once per application and reuse it.
 
     Expressions here reference columns by name only, so one unresolved
     expression serves every DataFrame; building the rule cascades through
-    Py4J costs seconds, reusing them costs nothing.
+    Py4J costs seconds, reusing them costs nothing.  Expressions of an
+    application that ended belong to a JVM that is gone and are dropped.
     """
     from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    k = (id(sc), key)
-    if k not in _MEMO:
-        _MEMO[k] = build()
-    return _MEMO[k]
+    app = SparkContext._active_spark_context.applicationId
+    if _MEMO.get("app") != app:
+        _MEMO.clear()
+        _MEMO["app"] = app
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]

@@ -1,8 +1,9 @@
 """Strict JSON parsing and JSON value inspection over VARIANT.
 
-A payload is parsed ONCE into a VARIANT; every later check (key presence,
-value kinds, typed extraction) navigates the binary variant instead of
-re-parsing the text.
+A payload is built into a VARIANT once; every later check (key presence,
+value kinds, typed extraction) navigates the binary variant.  Deciding that
+the text is exactly one document takes a second pass that only tokenizes.
+A repeated key keeps its last value (``spark.sql.variant.allowDuplicateKeys``).
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ def strict_json(raw: Column) -> Column:
     still close the wrapper early (``0]`` parses as ``[0]``), so the text
     must also close a ``{"x": ... }`` wrapper correctly: an unmatched closer
     at depth 0 is ``]`` or ``}``, and each breaks one of the two wrappers.
-    Acceptance then equals Python's ``json.loads`` except for duplicate keys
-    and bare NaN (rejected here, accepted there).
+    Acceptance then equals Python's ``json.loads`` except for bare NaN and
+    Infinity (rejected here, accepted there).
     """
     return single_document(wrapped_json(raw))
 

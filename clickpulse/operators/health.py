@@ -1,31 +1,25 @@
-"""Stream-health operators: counter time series, rates, alert rules.
+"""Stream-health operators: sliding event counts and alert rules.
 
-Input is a counter-sample table ``(ts, metric, pod, value)`` - monotone
-counters that may reset to zero.  ``counter_samples`` derives one from the
-gated ingestion stream (published / rejected totals per producer pod,
-scraped every 15 s), so every query grows with the event data.
-
-All operators are groupBy/explode jobs; the only ordered windows are per
-series over the (bounded) sample sequence, never over raw events.
+The rules look at the gated ingestion stream directly: how many events were
+accepted or rejected in ``(t - range, t]`` at every evaluation step t.  Events
+are counted per step first (map-side partial counts), and only these counts
+are spread over the steps whose range they fall into, so the work after the
+first aggregate grows with the number of busy steps, not with the events.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STEP_S = 15  # rule evaluation / scrape interval
+STEP_S = 15  # rule evaluation interval
 US = 1_000_000
 
-# Metric names, alert names and severities of the rules.
-PUBLISHED = "producer_events_published_total"
-REJECTED = "producer_events_rejected_total"
-ALERTS = {
-    "HighDLQRate": "critical",
-    "ProducerPublishRateZero": "warning",
-    "ServicePodCrashLooping": "critical",
-}
-PRODUCER_PODS = 3
+# Names, severities and limits of the rules.
+HIGH_REJECT, NO_PUBLISH = "HighDLQRate", "ProducerPublishRateZero"
+ALERTS = {HIGH_REJECT: "critical", NO_PUBLISH: "warning"}
+REJECTS_PER_SECOND, REJECT_RANGE_S, REJECT_FOR_S = 1.0, 120, 60
+PUBLISH_RANGE_S, PUBLISH_FOR_S = 300, 120
 
 
 def _us(ts: Column) -> Column:
@@ -37,112 +31,47 @@ def _ceil_step(us: Column, step_s: int) -> Column:
     return (F.ceil(us / F.lit(s)) * s).cast("bigint")
 
 
-def counter_samples(gated: DataFrame, arrival: str = "src_ts", step_s: int = STEP_S,
-                    pods: int = PRODUCER_PODS) -> DataFrame:
-    """Cumulative published / rejected counters per producer pod, sampled at
-    each scrape step where they changed.  Counts per (series, step) are
-    aggregated first (map-side partial), then a running sum per series runs
-    over the small per-step table."""
-    g = gated.filter(F.col("gate_status").isin("accepted", "rejected"))
-    metric = F.when(F.col("gate_status") == "accepted", PUBLISHED).otherwise(REJECTED)
-    pod = F.concat(F.lit("producer-"), (F.col("partition") % pods).cast("string"))
-    step = _ceil_step(_us(F.col(arrival)), step_s)
-    per = g.groupBy(step.alias("t"), metric.alias("metric"), pod.alias("pod")).agg(F.count(F.lit(1)).alias("n"))
-    # running sum per series, chunked by day: within-day running sums run in
-    # parallel per (series, day); earlier days add their totals (a table of
-    # one row per series and day)
-    # the per-step table is read by two branches (within-day sums, day
-    # totals); it is small (one row per series and step), so it is persisted
-    # once instead of re-running the upstream twice (lazy, recomputed from
-    # lineage if an executor is lost)
-    per = per.withColumn("day", F.floor(F.col("t") / (86400 * US))).persist()
-    within = Window.partitionBy("metric", "pod", "day").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    days = per.groupBy("metric", "pod", "day").agg(F.sum("n").alias("dn"))
-    before = Window.partitionBy("metric", "pod").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("metric", "pod", "day", F.coalesce(F.sum("dn").over(before), F.lit(0)).alias("earlier"))
-    out = per.withColumn("inside", F.sum("n").over(within)).join(days, ["metric", "pod", "day"])
-    # samples feed operators that read them twice (increments: per-day lags
-    # and day ends); persist the small result for the same reason
-    return out.select(F.timestamp_micros("t").alias("ts"), "metric", "pod",
-                      (F.col("earlier") + F.col("inside")).cast("double").alias("value")).persist()
-
-
-def increments(samples: DataFrame) -> DataFrame:
-    """Per sample: increase since the previous sample of its series; a drop
-    means the counter reset, and the new value is the increase.
-
-    The previous sample is found per (series, day) in parallel; the first
-    sample of a day takes the last sample of the series' previous non-empty
-    day (a table of one row per series and day)."""
-    d = samples.withColumn("day", F.to_date("ts"))
-    w = Window.partitionBy("metric", "pod", "day").orderBy("ts")
-    d = d.select("metric", "pod", "day", "ts", "value",
-                 F.lag("value").over(w).alias("pv"), F.lag("ts").over(w).alias("pt"))
-    last = samples.groupBy("metric", "pod", F.to_date("ts").alias("day")).agg(
-        F.max("ts").alias("lt"), F.max_by("value", "ts").alias("lv"))
-    dw = Window.partitionBy("metric", "pod").orderBy("day")
-    last = last.select("metric", "pod", "day", F.lag("lv").over(dw).alias("dpv"), F.lag("lt").over(dw).alias("dpt"))
-    d = d.join(last, ["metric", "pod", "day"])
-    d = d.select("metric", "pod", "ts", "value",
-                 F.coalesce("pv", "dpv").alias("prev_value"), F.coalesce("pt", "dpt").alias("prev_ts"))
-    delta = F.when(F.col("value") >= F.col("prev_value"), F.col("value") - F.col("prev_value")) \
-        .otherwise(F.col("value"))
-    return d.filter(F.col("prev_ts").isNotNull()).withColumn("delta", delta)
-
-
-def range_increase(samples: DataFrame, range_s: int, step_s: int = STEP_S) -> DataFrame:
-    """``increase(c[range])`` at every evaluation step: the sum of increments
-    between consecutive samples that both lie in ``(t - range, t]`` (no
-    boundary extrapolation).  Each increment is exploded onto the steps whose
-    range holds both of its samples, then summed per (series, step)."""
-    inc = increments(samples)
-    first = _ceil_step(_us(F.col("ts")), step_s)
-    last = _ceil_step(_us(F.col("prev_ts")) + range_s * US, step_s) - step_s * US
-    steps = F.sequence(first, last, F.lit(step_s * US).cast("bigint"))
-    e = inc.filter(last >= first).select("metric", "pod", "delta", F.explode(steps).alias("t"))
-    return e.groupBy("metric", "pod", "t").agg(F.sum("delta").alias("increase")) \
-        .select(F.timestamp_micros("t").alias("ts"), "metric", "pod", "increase")
-
-
-def counter_increase(samples: DataFrame, range_s: int = 300, step_s: int = STEP_S) -> DataFrame:
-    return range_increase(samples, range_s, step_s)
-
-
-def counter_rate(samples: DataFrame, range_s: int = 120, step_s: int = STEP_S) -> DataFrame:
-    """``rate(c[range])`` = increase / range seconds."""
-    inc = range_increase(samples, range_s, step_s)
-    return inc.select("ts", "metric", "pod", (F.col("increase") / range_s).alias("rate"))
-
-
-def sum_by_label(df: DataFrame, value: str, label: str = "pod") -> DataFrame:
-    """``sum by (label)(...)`` at each step."""
-    return df.groupBy("ts", label).agg(F.sum(value).alias(value))
-
-
-def gauge_latest(samples: DataFrame, at: Column | None = None) -> DataFrame:
-    """Instant value per series: the last sample at or before ``at``."""
-    s = samples if at is None else samples.filter(F.col("ts") <= at)
-    return s.groupBy("metric", "pod").agg(F.max("ts").alias("ts"), F.max_by("value", "ts").alias("value"))
-
-
-def time_spine(samples: DataFrame, step_s: int = STEP_S) -> DataFrame:
-    """Every evaluation step between the first and last sample, generated per
-    day so no single task builds the whole range."""
-    b = samples.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+def step_counts(gated: DataFrame, arrival: str = "src_ts", step_s: int = STEP_S) -> DataFrame:
+    """ts, accepted, rejected: gated events of ``(ts - step, ts]`` for every
+    step that has any."""
+    g = gated.filter(F.col("gate_status").isin("accepted", "rejected") & F.col(arrival).isNotNull())
+    t = _ceil_step(_us(F.col(arrival)), step_s)
+    per = g.groupBy(t.alias("t")).agg(F.count_if(F.col("gate_status") == "accepted").alias("accepted"),
+                                      F.count_if(F.col("gate_status") == "rejected").alias("rejected"))
+    return per.select(F.timestamp_micros("t").alias("ts"), "accepted", "rejected")
+
+
+def sliding_counts(counts: DataFrame, range_s: int, step_s: int = STEP_S) -> DataFrame:
+    """ts, accepted, rejected: events of ``(ts - range, ts]`` at every step
+    where there are any.  ``range_s`` is a multiple of the step, so a step's
+    events lie in the range of that step and of the next range / step - 1."""
+    if range_s % step_s:
+        raise ValueError("the range must be a multiple of the step")
+    t = _us(F.col("ts"))
+    ahead = F.sequence(t, t + (range_s - step_s) * US, F.lit(step_s * US).cast("bigint"))
+    e = counts.select("accepted", "rejected", F.explode(ahead).alias("t"))
+    return e.groupBy("t").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")) \
+        .select(F.timestamp_micros("t").alias("ts"), "accepted", "rejected")
+
+
+def time_spine(counts: DataFrame, step_s: int = STEP_S) -> DataFrame:
+    """Every evaluation step from the first to the last in ``counts``,
+    generated per day so no single task builds the whole range."""
+    b = counts.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
     days = b.select("lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("d")).repartition("d")
     day_lo = F.greatest(_us(F.col("lo")), _us(F.col("d").cast("timestamp")))
     day_hi = F.least(_us(F.col("hi")), _us(F.date_add("d", 1).cast("timestamp")) - 1)
     first = _ceil_step(day_lo, step_s)
     last = (F.floor(day_hi / F.lit(step_s * US)) * (step_s * US)).cast("bigint")
-    steps = days.select(F.explode(F.sequence(first, last, F.lit(step_s * US).cast("bigint"))).alias("t"))
+    steps = days.filter(last >= first).select(F.explode(F.sequence(first, last, F.lit(step_s * US).cast("bigint"))).alias("t"))
     return steps.select(F.timestamp_micros("t").alias("ts"))
 
 
 def sustained(cond: DataFrame, keys: list[str], for_s: int, step_s: int = STEP_S) -> DataFrame:
-    """Prometheus ``for:`` - firing at t when the condition held at every
-    evaluation in [t - for, t].  ``cond`` holds the (keys, ts) rows where it
-    was true.  Each true step is exploded onto the next for/step steps and a
-    step fires when all for/step + 1 of them arrived: a parallel groupBy, no
+    """The ``for:`` clause of a rule - firing at t when the condition held at
+    every evaluation in [t - for, t].  ``cond`` holds the (keys, ts) rows where
+    it was true.  Each true step is exploded onto the next for/step steps and
+    a step fires when all for/step + 1 of them arrived: a parallel groupBy, no
     ordered single-partition window."""
     n = for_s // step_s
     e = cond.select(*keys, F.explode(F.sequence(_us(F.col("ts")),
@@ -156,26 +85,18 @@ def _alert(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn("alertname", F.lit(name)).withColumn("severity", F.lit(ALERTS[name]))
 
 
-def alert_high_reject(samples: DataFrame) -> DataFrame:
-    """sum(rate(rejected[2m])) > 1 for 1m."""
-    r = counter_rate(samples.filter(F.col("metric") == REJECTED), 120)
-    s = r.groupBy("ts").agg(F.sum("rate").alias("v")).filter(F.col("v") > 1)
-    return _alert(sustained(s, [], 60), "HighDLQRate")
-
-
-def alert_no_publish(samples: DataFrame) -> DataFrame:
-    """sum(rate(published[5m])) == 0 for 2m; steps without samples count as
-    zero (left join of the time spine)."""
-    r = counter_rate(samples.filter(F.col("metric") == PUBLISHED), 300)
-    s = r.groupBy("ts").agg(F.sum("rate").alias("v"))
-    z = time_spine(samples).join(s, "ts", "left").filter(F.coalesce("v", F.lit(0.0)) == 0).select("ts")
-    return _alert(sustained(z, [], 120), "ProducerPublishRateZero")
+def alert_high_reject(counts: DataFrame, per_second: float = REJECTS_PER_SECOND) -> DataFrame:
+    """More than ``per_second`` rejections a second over 2 min, for 1 min."""
+    high = sliding_counts(counts, REJECT_RANGE_S).filter(F.col("rejected") / REJECT_RANGE_S > per_second)
+    return _alert(sustained(high.select("ts"), [], REJECT_FOR_S), HIGH_REJECT)
 
 
-def alert_restarts(samples: DataFrame, threshold: float = 2) -> DataFrame:
-    """increase(c[5m]) > 2 for 1m, per series."""
-    inc = counter_increase(samples, 300).filter(F.col("increase") > threshold)
-    return _alert(sustained(inc, ["metric", "pod"], 60), "ServicePodCrashLooping")
+def alert_no_publish(counts: DataFrame) -> DataFrame:
+    """No accepted event in the last 5 min, for 2 min, between the first and
+    the last step with any gated event."""
+    some = sliding_counts(counts, PUBLISH_RANGE_S).filter(F.col("accepted") > 0).select("ts")
+    quiet = time_spine(counts).join(some, "ts", "left_anti")
+    return _alert(sustained(quiet, [], PUBLISH_FOR_S), NO_PUBLISH)
 
 
 def alert_groups(alerts: DataFrame) -> DataFrame:

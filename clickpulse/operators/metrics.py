@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse import contracts as C
 from clickpulse.functions import jsonval as J
+from clickpulse.functions.timefmt import event_time
 from clickpulse.operators.validate import DOC
 
 STRING_FIELDS = [f.name for f in C.EVENT_SCHEMA.fields if f.name != "price_inr"]
@@ -46,11 +47,9 @@ def parse_events(df: DataFrame, keep: list[str] | None = None, method: str = "va
 
 
 def with_event_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
-    """``event_time`` TIMESTAMP from the validated timestamp text.
-
-    ``try_cast``: with ANSI on, a bad text must become null, not fail the task.
-    """
-    return df.withColumn("event_time", F.col(col).try_cast("timestamp"))
+    """``event_time`` TIMESTAMP from the validated timestamp text (null, not a
+    failed task, for a bad one)."""
+    return df.withColumn("event_time", event_time(F.col(col)))
 
 
 def page_key(page_url: Column) -> Column:
@@ -80,6 +79,17 @@ def abandonment(adds: Column, purchases: Column) -> Column:
     return F.when(adds > 0, (adds - purchases) / adds).otherwise(F.lit(0.0))
 
 
+#: Relative standard deviation of the estimate, and how many of them (and how
+#: many users, which matters for tiny groups) it may be off.
+HLL_RSD, BOUND_SDS, BOUND_USERS = 0.05, 5, 1
+
+
+def within_bound(estimate: str, exact: str) -> Column:
+    """Is an HLL++ estimate within its error bound of the exact count?"""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(
+        F.lit(float(BOUND_USERS)), F.col(exact) * (HLL_RSD * BOUND_SDS))
+
+
 def _flatten(df: DataFrame) -> DataFrame:
     return df.select(F.col("window.start").alias("window_start"),
                      F.col("window.end").alias("window_end"),
@@ -87,20 +97,21 @@ def _flatten(df: DataFrame) -> DataFrame:
 
 
 def page_metrics(events: DataFrame, length: str = "60 seconds", slide: str | None = "10 seconds",
-                 distinct: str = "approx", strategy: str = "auto",
+                 distinct: str = "approx", strategy: str = "expand",
                  streaming: bool | None = None, updated_at: str | None = None) -> DataFrame:
     """Per (window, page): active_users, cart_additions, purchases,
     cart_abandonment_rate.  Windows are epoch-aligned ``[start, end)``;
     ``slide=None`` gives tumbling windows.
 
     distinct: ``approx`` (HLL++, as the original pipeline), ``exact`` (count distinct;
-    ``size(collect_set)`` on streams, where count-distinct is rejected).
+    ``size(collect_set)`` on streams, where count-distinct is rejected) or, in
+    batch, ``both`` (exact, and the estimate as ``estimated_users``).
 
     strategy: ``expand`` lets Catalyst expand each row into its windows and
-    partially aggregate before the shuffle; ``bucketed`` first aggregates per
-    slide-sized bucket and then expands the (much smaller) bucket rows - the
-    better plan when length/slide is large.  ``auto`` picks bucketed above a
-    ratio of 12 for batch inputs.
+    partially aggregate before the shuffle; ``bucketed`` (batch, exact) works
+    on slide-sized buckets and never multiplies the rows by length/slide - the
+    better plan when that ratio is large.  The caller chooses; both give the
+    same rows.
 
     updated_at: ``None`` (no column), ``'event_time'`` (newest event time of
     the group - deterministic, for replays and oracles) or ``'now'``.
@@ -108,18 +119,19 @@ def page_metrics(events: DataFrame, length: str = "60 seconds", slide: str | Non
     streaming = events.isStreaming if streaming is None else streaming
     slide = slide or length
     L, S = interval_seconds(length), interval_seconds(slide)
-    if strategy == "auto":
-        strategy = "bucketed" if (not streaming and L % S == 0 and L // S > 12) else "expand"
     if strategy == "bucketed":
-        return _page_metrics_bucketed(events, L, S, distinct, updated_at)
+        if streaming or distinct != "exact":
+            raise ValueError("the bucketed strategy is for batch inputs and exact distinct users")
+        return _page_metrics_bucketed(events, L, S, updated_at)
 
     page = page_key(F.col("page_url")).alias("page_url")
-    if distinct == "exact":
+    if distinct in ("exact", "both"):
         users = (F.size(F.collect_set("user_id")) if streaming else F.count_distinct("user_id"))
     else:
         users = F.approx_count_distinct("user_id")
     agg = (events.groupBy(F.window("event_time", length, slide).alias("window"), page)
            .agg(users.cast("bigint").alias("active_users"),
+                *([F.approx_count_distinct("user_id").alias("estimated_users")] if distinct == "both" else []),
                 F.sum(F.when(F.col("event_type") == "cart_add", 1).otherwise(0)).cast("bigint").alias("cart_additions"),
                 F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).cast("bigint").alias("purchases"),
                 *([F.max("event_time").alias("updated_at")] if updated_at == "event_time" else [])))
@@ -129,108 +141,75 @@ def page_metrics(events: DataFrame, length: str = "60 seconds", slide: str | Non
     return _flatten(agg)
 
 
-def _page_metrics_bucketed(events: DataFrame, L: int, S: int, distinct: str,
-                           updated_at: str | None = None) -> DataFrame:
+def _page_metrics_bucketed(events: DataFrame, L: int, S: int, updated_at: str | None = None) -> DataFrame:
+    """Windows of L seconds every S seconds from S-second buckets.
+
+    A window that starts at w covers the buckets w .. w + L - S, so an event
+    of bucket b is in the windows that start from b - L + S to b.  Distinct
+    users: the windows of one (page, user) are the union of such spans; spans
+    that overlap or touch merge, and each merged span adds one user from its
+    first window start on and takes it away after its last.  So a (page, user)
+    gives two rows per visit, however many windows the visit covers.  Running
+    sums over the rows of a page, cut by day, turn them into counts at every
+    window start that has events.  Counts, purchases and the newest event come
+    from (bucket, page) rows that carry no user.
+    """
     if L % S:
         raise ValueError("bucketed strategy needs length to be a multiple of slide")
-    k = L // S
     us = F.unix_micros(F.col("event_time"))
     bucket = (F.floor(us / (S * 1_000_000)) * S).cast("bigint")
-    page = page_key(F.col("page_url"))
-    adds = F.sum(F.when(F.col("event_type") == "cart_add", 1).otherwise(0))
-    purch = F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0))
-    base = events.filter(F.col("event_time").isNotNull())
-    if distinct == "exact":
-        # (bucket, page, user) rows: duplicates within a bucket collapse
-        # map-side before the first shuffle.
-        s1 = base.groupBy(bucket.alias("bucket"), page.alias("page_url"), F.col("user_id")) \
-                 .agg(adds.alias("a"), purch.alias("p"), F.max("event_time").alias("u"))
-    else:
-        s1 = base.groupBy(bucket.alias("bucket"), page.alias("page_url")) \
-                 .agg(adds.alias("a"), purch.alias("p"), F.max("event_time").alias("u"),
-                      # hashed: the sketch skips empty strings, "" is a user
-                      F.hll_sketch_agg(F.xxhash64("user_id")).alias("h"))
-    s2 = s1.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))) \
-           .withColumn("ws", F.col("bucket") - F.col("i") * S)
-    users = (F.count_distinct("user_id") if distinct == "exact"
-             else F.hll_sketch_estimate(F.hll_union_agg("h")))
-    out = (s2.groupBy("ws", "page_url")
-             .agg(users.cast("bigint").alias("active_users"),
-                  F.sum("a").cast("bigint").alias("cart_additions"),
-                  F.sum("p").cast("bigint").alias("purchases"),
-                  F.max("u").alias("updated_at")))
+    base = events.filter(F.col("event_time").isNotNull()).select(
+        bucket.alias("b"), page_key(F.col("page_url")).alias("page_url"), "user_id", "event_type", "event_time")
+    seen = base.groupBy("page_url", "user_id", "b").agg(
+        F.sum(F.when(F.col("event_type") == "cart_add", 1).otherwise(0)).alias("a"),
+        F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("p"),
+        F.max("event_time").alias("u"))
+    # spans of window starts: [b - L + S, b]; a new one begins where the gap
+    # to the user's previous bucket is larger than a window
+    w = Window.partitionBy("page_url", "user_id").orderBy("b")
+    gaps = seen.select("*", F.lag("b").over(w).alias("before"), F.lead("b").over(w).alias("after"))
+    # rows at window starts: d users more or less from t on
+    point = F.array(
+        F.struct((F.col("b") - (L - S)).alias("t"),
+                 F.when(F.col("user_id").isNotNull() & (F.col("before").isNull() | (F.col("b") - F.col("before") > L)), 1).otherwise(0).alias("d")),
+        F.struct((F.col("b") + S).alias("t"),
+                 F.when(F.col("user_id").isNotNull() & (F.col("after").isNull() | (F.col("after") - F.col("b") > L)), -1).otherwise(0).alias("d")))
+    ends = gaps.select("page_url", F.inline(point)).filter("d <> 0").groupBy("page_url", "t").agg(F.sum("d").alias("d"))
+    sums = seen.groupBy("b", "page_url").agg(F.sum("a").alias("a"), F.sum("p").alias("p"), F.max("u").alias("u"))
+    starts = F.sequence(F.col("b") - (L - S), F.col("b"), F.lit(S).cast("bigint"))
+    counts = sums.select("page_url", F.explode(starts).alias("t"), "a", "p", "u") \
+        .groupBy("page_url", "t").agg(F.sum("a").cast("bigint").alias("cart_additions"),
+                                      F.sum("p").cast("bigint").alias("purchases"), F.max("u").alias("updated_at"))
+    users = _running_users(ends, counts.select("page_url", "t"))
+    out = counts.join(users, ["page_url", "t"])
     extra = {"event_time": [F.col("updated_at")], "now": [F.current_timestamp().alias("updated_at")]}
     return out.select(
-        F.timestamp_seconds(F.col("ws")).alias("window_start"),
-        F.timestamp_seconds(F.col("ws") + L).alias("window_end"),
+        F.timestamp_seconds(F.col("t")).alias("window_start"),
+        F.timestamp_seconds(F.col("t") + L).alias("window_end"),
         "page_url", "active_users", "cart_additions", "purchases",
         abandonment(F.col("cart_additions"), F.col("purchases")).alias("cart_abandonment_rate"),
         *extra.get(updated_at, []))
 
 
+def _running_users(ends: DataFrame, wanted: DataFrame) -> DataFrame:
+    """page_url, t, active_users at the ``wanted`` (page_url, t): the sum of
+    all ``d`` of the page up to t.  Summed within days in parallel; a table
+    of one row per page and day carries the earlier days."""
+    day = F.floor(F.col("t") / 86400)
+    u = ends.select("page_url", "t", "d", F.lit(0).alias("q")) \
+        .unionByName(wanted.select("page_url", "t", F.lit(0).cast("bigint").alias("d"), F.lit(1).alias("q"))) \
+        .withColumn("day", day)
+    within = Window.partitionBy("page_url", "day").orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("page_url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = u.groupBy("page_url", "day").agg(F.sum("d").alias("dd")) \
+        .select("page_url", "day", F.coalesce(F.sum("dd").over(before), F.lit(0)).alias("earlier"))
+    inside = u.select("page_url", "t", "q", "day", F.sum("d").over(within).alias("inside")).filter("q = 1")
+    return inside.join(days, ["page_url", "day"]) \
+        .select("page_url", "t", (F.col("inside") + F.col("earlier")).cast("bigint").alias("active_users"))
+
+
 def events_pipeline(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """raw records -> validated, parsed, timed events (the valid branch)."""
     from clickpulse.operators.validate import with_stream_validation, route_valid
     v = route_valid(with_stream_validation(raw))
     return with_event_time(parse_events(v, keep=keep))
-
-
-def late_data_audit(events: DataFrame, batch: str = "batch_id", watermark_s: int = 120,
-                    length_s: int = 60, slide_s: int = 10) -> DataFrame:
-    """Which (row, window) pairs a streaming run would drop as late, given
-    the micro-batch each row arrives in.
-
-    Late rows of batch b are judged against the watermark that was in force
-    during batch b - 1, i.e. max(event_time of batches <= b - 2) - delay (the
-    watermark a batch computes only applies for eviction in the next one):
-    a late row arriving in the first batch after the jump is still merged.
-    A pair is dropped iff its window ends at or before that watermark.
-
-    The running maximum is computed without a single-partition window (see
-    ``_late_watermarks``), so it scales with the number of micro-batches.  Per
-    batch max times form a table of one row per micro-batch; its running
-    max is a window over that small table (bounded by the batch count, not
-    the data), and the join back lets AQE broadcast it at runtime when small.
-    """
-    wm = _late_watermarks(events, batch, watermark_s)
-    e = events.join(wm, batch)
-    k = length_s // slide_s
-    t = F.unix_micros("event_time")
-    s0 = F.floor(t / (slide_s * 1_000_000)) * (slide_s * 1_000_000)     # newest window start
-    end0 = s0 + length_s * 1_000_000                                      # its end (latest)
-    wmu = F.unix_micros("watermark")
-    # ends are end0 - i*slide for i in 0..k-1; count those <= watermark
-    dropped = F.when(F.col("watermark").isNull(), F.lit(0)).otherwise(
-        F.least(F.lit(k), F.greatest(F.lit(0),
-                F.lit(k) - F.ceil((end0 - wmu) / F.lit(slide_s * 1_000_000)).cast("int"))))
-    return e.select("*", F.lit(k).alias("windows"), dropped.cast("int").alias("windows_dropped")) \
-            .withColumn("late", F.col("windows_dropped") == F.col("windows"))
-
-
-PREFIX_CHUNK = 1024
-
-
-def _late_watermarks(events: DataFrame, batch: str, watermark_s: int) -> DataFrame:
-    """Per batch b: max(event_time of batches <= b - 2) - delay, distributed.
-
-    Each batch's maximum takes effect two batches later, so it is keyed at
-    ``batch + 2`` and the watermark of b is a prefix maximum over keys <= b.
-    Keys are cut into chunks of PREFIX_CHUNK: a running max within each chunk
-    (parallel, one partition per chunk) plus the running max of the chunk
-    totals (a table PREFIX_CHUNK times smaller) gives the prefix.  Query rows
-    (the batches themselves) sort after value rows of the same key.
-    """
-    from pyspark.sql import Window
-    per = events.groupBy(batch).agg(F.max("event_time").alias("mx"))
-    vals = per.select((F.col(batch) + 2).alias("k"), "mx", F.lit(0).alias("q"))
-    qs = per.select(F.col(batch).alias("k"), F.lit(None).cast("timestamp").alias("mx"), F.lit(1).alias("q"))
-    u = vals.unionByName(qs).withColumn("chunk", F.floor(F.col("k") / PREFIX_CHUNK))
-    within = Window.partitionBy("chunk").orderBy("k", "q").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("inside", F.max("mx").over(within))
-    # every chunk that holds values OR queries gets a row (max ignores nulls)
-    totals = u.groupBy("chunk").agg(F.max("mx").alias("cmx"))
-    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("chunk", F.max("cmx").over(before).alias("earlier"))
-    q = u.filter(F.col("q") == 1).join(totals, "chunk", "left")
-    top = F.greatest(F.col("earlier"), F.col("inside"))
-    return q.select(F.col("k").alias(batch), (top - F.expr(f"INTERVAL {watermark_s} SECONDS")).alias("watermark"))

@@ -43,8 +43,8 @@ def publish_totals(gated: DataFrame) -> DataFrame:
 
 def publish_events(accepted: DataFrame, fmt: str = "kafka", options: dict | None = None,
                    path: str | None = None, partitions: int | None = None,
-                   doc_col: str = "_doc") -> DataFrame:
-    """Publish accepted events keyed by ``session_id``.
+                   doc_col: str = "_doc", raw: str = "raw_value") -> DataFrame:
+    """Publish accepted events keyed by ``session_id``, the body as received.
 
     Kafka partitions by key itself.  For a file sink the rows are
     hash-partitioned on the key so one session lands in one output
@@ -54,7 +54,7 @@ def publish_events(accepted: DataFrame, fmt: str = "kafka", options: dict | None
     """
     doc = F.col(doc_col)
     out = accepted.select(F.variant_get(doc, "$.session_id", "string").alias("key"),
-                          F.to_json(doc).alias("value"))
+                          F.col(raw).alias("value"))
     if fmt == "kafka":
         out.write.format("kafka").options(**(options or {})).save()
         return out

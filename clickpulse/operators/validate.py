@@ -94,8 +94,9 @@ def with_stream_validation(df: DataFrame, raw: str = "raw_value") -> DataFrame:
         err = stream_error(F.col(raw), F.col(DOC), {k: F.col(k) for k in facts})
         return w, doc, facts, err
     w, doc, facts, err = memo_column(("stream_validation", raw), build)
-    if DOC in df.columns:
-        d = with_fenced(df, _wrapped=J.wrapped_json(F.col(raw)))
+    if DOC in df.columns:  # parsed before: read the fields from the document
+        facts = memo_column("document_facts", lambda: _field_columns(F.col(DOC)))
+        d = df
     else:
         d = with_fenced(with_fenced(df, _wrapped=w), **{DOC: doc})
     d = d.select("*", *[c.alias(k) for k, c in facts.items()]).drop("_wrapped")
@@ -165,17 +166,17 @@ def join_errors(errors: Column) -> Column:
 def accept_gate(df: DataFrame, raw: str = "raw_value", enforce_datetime: bool = True) -> DataFrame:
     """Boundary gate over a table/stream of request bodies.
 
-    ``gate_status``: ``refused`` (falsy body: empty, {}, [], "", 0, false,
-    null - refused as "Missing JSON payload", not counted as a rejection),
-    ``error`` (unparseable body), ``rejected`` (contract violations; ``reason``
-    is the joined message) or ``accepted``.
+    ``gate_status``: ``refused`` (a parsed body that is falsy: {}, [], "", 0,
+    false, null - refused as "Missing JSON payload", not counted as a
+    rejection), ``error`` (a body that does not parse, the empty one too),
+    ``rejected`` (contract violations; ``reason`` is the joined message) or
+    ``accepted``.
     """
     d = with_contract_errors(df, C.EVENT_CONTRACT, raw, enforce_datetime)
     doc = F.col(DOC)
     # Python's ``not body``: {}, [], "", 0, 0.0, false, null.  The text is
     # valid JSON here, so a pattern on the raw text decides it exactly.
-    falsy = F.col(raw).isNull() | (F.col(raw) == "") | (
-        doc.isNotNull() & F.col(raw).rlike(FALSY_JSON))
+    falsy = doc.isNotNull() & F.col(raw).rlike(FALSY_JSON)
     status = (F.when(falsy, "refused").when(doc.isNull(), "error")
               .when(F.col("_bad"), "rejected").otherwise("accepted"))
     return (d.withColumn("gate_status", status)

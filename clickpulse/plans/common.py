@@ -12,13 +12,15 @@ from clickpulse.sources.testdata import load_raw
 LABELS = ["src_id", "cls", "src_ts"]
 
 
-def ensure_utc(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def ensure_settings(spark: SparkSession) -> None:
+    """Settings that the results depend on."""
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.variant.allowDuplicateKeys", "true")):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_utc(spark)
+    ensure_settings(spark)
     return load_raw(spark, sf_dir)
 
 
@@ -39,7 +41,7 @@ def events(spark, sf_dir) -> DataFrame:
 
 
 def metrics(spark, sf_dir, length="60 seconds", slide="10 seconds", distinct="exact",
-            strategy="auto", updated_at="event_time") -> DataFrame:
+            strategy="expand", updated_at="event_time") -> DataFrame:
     """Exact page metrics; ``updated_at`` derived deterministically as the
     newest event time of the group (the live sink stamps wall-clock time)."""
     return page_metrics(events(spark, sf_dir), length, slide, distinct=distinct,

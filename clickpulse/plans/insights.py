@@ -38,13 +38,14 @@ def consumer_lag(offsets: DataFrame) -> DataFrame:
                           (F.col("end_offset") - F.col("committed_offset")).alias("lag"))
 
 
-def page_popularity(events: DataFrame, n: int = 20) -> DataFrame:
-    """Pages by views over the range (top-k; page_url breaks ties)."""
+def page_popularity(events: DataFrame, n: int | None = None) -> DataFrame:
+    """All pages with their views, users and events; with ``n`` the ``n`` pages
+    of most views, in that order (page_url breaks ties)."""
     g = events.groupBy(page_key(F.col("page_url")).alias("page_url")).agg(
         F.count_if(F.col("event_type") == "page_view").alias("views"),
         F.count_distinct("user_id").alias("users"),
         F.count(F.lit(1)).alias("events"))
-    return g.orderBy(F.col("views").desc(), F.col("page_url")).limit(n)
+    return g if n is None else g.orderBy(F.col("views").desc(), F.col("page_url")).limit(n)
 
 
 def funnel_conversion(events: DataFrame) -> DataFrame:

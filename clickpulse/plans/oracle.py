@@ -9,9 +9,16 @@ windows -> metrics -> serving.
 from __future__ import annotations
 
 from clickpulse import contracts as C
-from clickpulse.functions.contract import UUID_RE
-from clickpulse.functions.timefmt import ISO_EVENT_TIME, RFC3339
-from clickpulse.operators.validate import FALSY_JSON, PARSE_DETAIL
+
+# The rules in this file's own words: nothing of the engine's patterns or
+# messages is imported, only the contract itself (it is the input).
+DATE = "\\d\\d\\d\\d-\\d\\d-\\d\\d"
+CLOCK = "\\d\\d:\\d\\d:\\d\\d"
+STREAM_TIME = (f"{DATE}|{DATE}[ T]\\d\\d(:\\d\\d)?|{DATE}[ T]{CLOCK}([.,]\\d+)?|"
+               f"{DATE}[ T](\\d\\d(:\\d\\d)?|{CLOCK}([.,]\\d+)?)(Z|[-+]\\d\\d|[-+]\\d\\d:\\d\\d|[-+]{CLOCK}|[-+]\\d{{4}}|[-+]\\d{{6}})")
+CONTRACT_TIME = f"{DATE}[Tt]{CLOCK}([.]\\d+)?([Zz]|[-+]\\d\\d:\\d\\d)"
+CONTRACT_UUID = "[[:xdigit:]]{8}(-[[:xdigit:]]{4}){3}-[[:xdigit:]]{12}"
+NOT_JSON = "JSON parse error: not a single valid JSON document"
 
 # -- adapter (FIXTURES.md section 2) ---------------------------------------
 ADAPTER = r"""
@@ -91,7 +98,7 @@ def _kind_is_null_or_absent(f: str) -> str:
 STREAM = f"""
 sv AS (SELECT *, CASE
   WHEN raw_value IS NULL OR raw_value = '' THEN 'Empty payload'
-  WHEN NOT json_valid(raw_value) THEN {q('JSON parse error: ' + PARSE_DETAIL)}
+  WHEN NOT json_valid(raw_value) THEN {q(NOT_JSON)}
   WHEN json_type(raw_value) <> 'OBJECT' THEN 'Payload is not a JSON object'
   WHEN concat_ws(', ', {', '.join(f"CASE WHEN {_kind_is_null_or_absent(f)} THEN {q(f)} END" for f in C.REQUIRED_FIELDS)}) <> ''
     THEN 'Missing required fields: ' || concat_ws(', ', {', '.join(f"CASE WHEN {_kind_is_null_or_absent(f)} THEN {q(f)} END" for f in C.REQUIRED_FIELDS)})
@@ -100,7 +107,7 @@ sv AS (SELECT *, CASE
   WHEN NOT ({_jt('$.event_type')} = 'VARCHAR' AND json_extract_string(raw_value, '$.event_type') IN ({', '.join(q(t) for t in C.EVENT_TYPES)}))
     THEN 'Invalid event_type: ' || {pytext('$.event_type', False)}
   WHEN NOT ({_jt('$.timestamp')} = 'VARCHAR'
-            AND regexp_full_match(json_extract_string(raw_value, '$.timestamp'), {q(ISO_EVENT_TIME)})
+            AND regexp_full_match(json_extract_string(raw_value, '$.timestamp'), {q(STREAM_TIME)})
             AND try_cast(json_extract_string(raw_value, '$.timestamp') AS TIMESTAMPTZ) IS NOT NULL)
     THEN 'Invalid ISO timestamp format: ' || {pytext('$.timestamp', False)}
   END AS validation_error FROM raw)"""
@@ -162,7 +169,7 @@ def contract_rules(raw: str = "raw_value", contract: dict = C.EVENT_CONTRACT) ->
             elif kw == "minimum":
                 out.append((f"{name}:minimum", f"CASE WHEN {present} AND {t} IN ('BIGINT','UBIGINT','DOUBLE') AND CAST({s} AS DOUBLE) < {arg} THEN {pre} || {rep} || {q(f' is less than the minimum of {arg!r}')} END"))
             elif kw == "format":
-                pat = UUID_RE if arg == "uuid" else RFC3339
+                pat = CONTRACT_UUID if arg == "uuid" else CONTRACT_TIME
                 extra = "" if arg == "uuid" else f" AND try_cast(upper({s}) AS TIMESTAMPTZ) IS NOT NULL"
                 out.append((f"{name}:format", f"CASE WHEN {present} AND {t} = 'VARCHAR' AND NOT (regexp_full_match({s}, {q(pat)}){extra}) THEN {pre} || {rep} || {q(f' is not a {arg!r}')} END"))
             elif kw == "items":
@@ -200,11 +207,15 @@ cv AS (SELECT r.src_id, r.cls, r.src_ts, r.raw_value, r."partition",
 
 CONTRACT = _contract_cte()
 
-FALSY = FALSY_JSON
+# A parsed body that Python calls false.
+FALSY = """CASE json_type(raw_value) WHEN 'NULL' THEN true WHEN 'OBJECT' THEN len(json_keys(raw_value)) = 0
+  WHEN 'ARRAY' THEN json_array_length(raw_value) = 0 WHEN 'VARCHAR' THEN json_extract_string(raw_value, '$') = ''
+  WHEN 'BOOLEAN' THEN json_extract_string(raw_value, '$') = 'false'
+  ELSE CAST(json_extract_string(raw_value, '$') AS DOUBLE) = 0 END"""
 GATE = f"""
 gate AS (SELECT *, CASE
-   WHEN raw_value IS NULL OR raw_value = '' OR (json_valid(raw_value) AND regexp_full_match(raw_value, {q(FALSY)})) THEN 'refused'
-   WHEN NOT json_valid(raw_value) THEN 'error'
+   WHEN raw_value IS NULL OR raw_value = '' OR NOT json_valid(raw_value) THEN 'error'
+   WHEN {FALSY} THEN 'refused'
    WHEN contract_status = 'invalid' THEN 'rejected' ELSE 'accepted' END AS gate_status FROM cv)"""
 
 
@@ -234,53 +245,28 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-BATCH_OFFSETS = 50  # offsets per emulated micro-batch (per partition)
-
-CHANGELOG = f"""
-evb AS (SELECT *, "offset" // {BATCH_OFFSETS} AS batch_id FROM ev),""" + windows(60, 10, "evb") + """,
-pu AS (SELECT window_start, window_end, page_key, user_id, min(batch_id) AS fb FROM winx GROUP BY ALL),
-nu AS (SELECT window_start, window_end, page_key, fb AS batch_id, count(*) AS n FROM pu GROUP BY ALL),
-cnt AS (SELECT window_start, window_end, page_key, batch_id,
-  sum(CASE WHEN event_type = 'cart_add' THEN 1 ELSE 0 END) AS a,
-  sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS p, max(event_time) AS u FROM winx GROUP BY ALL),
-cj AS (SELECT cnt.*, coalesce(nu.n, 0) AS n FROM cnt LEFT JOIN nu USING (window_start, window_end, page_key, batch_id)),
-cl AS (SELECT window_start, window_end, page_key AS page_url, batch_id,
-  CAST(sum(n) OVER w AS BIGINT) AS active_users, CAST(sum(a) OVER w AS BIGINT) AS cart_additions,
-  CAST(sum(p) OVER w AS BIGINT) AS purchases, max(u) OVER w AS updated_at FROM cj
-  WINDOW w AS (PARTITION BY window_start, window_end, page_key ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
-
-
 # -- stream health ----------------------------------------------------------
 STEP_US = 15_000_000
 
-SAMPLES = f"""
-smp0 AS (SELECT CAST(ceil(epoch_us(CAST(src_ts AS TIMESTAMP)) / {STEP_US}.0) * {STEP_US} AS BIGINT) AS t,
-   CASE WHEN gate_status = 'accepted' THEN 'producer_events_published_total'
-        ELSE 'producer_events_rejected_total' END AS metric,
-   'producer-' || CAST("partition" % 3 AS VARCHAR) AS pod
-  FROM gate WHERE gate_status IN ('accepted', 'rejected')),
-smp AS (SELECT t, metric, pod, count(*) AS n FROM smp0 GROUP BY ALL),
-samples AS (SELECT make_timestamp(t) AS ts, metric, pod,
-  CAST(sum(n) OVER (PARTITION BY metric, pod ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value
-  FROM smp),
-inc AS (SELECT metric, pod, ts, value, lag(value) OVER w AS pv, lag(ts) OVER w AS pt FROM samples
-  WINDOW w AS (PARTITION BY metric, pod ORDER BY ts)),
-incd AS (SELECT metric, pod, ts, pt, CASE WHEN value >= pv THEN value - pv ELSE value END AS delta
-  FROM inc WHERE pt IS NOT NULL)"""
-
-
-def increase(range_s: int, name: str, metric: str | None = None) -> str:
-    """Steps x sample pairs range join: both samples of a pair in (t-range, t]."""
-    r = range_s * 1_000_000
-    where = f"WHERE metric = '{metric}'" if metric else ""
+GATED_EVENTS = f"""
+gts AS (SELECT CAST(src_ts AS TIMESTAMP) AS ts, gate_status,
+   make_timestamp(CAST(ceil(epoch_us(CAST(src_ts AS TIMESTAMP)) / {STEP_US}.0) * {STEP_US} AS BIGINT)) AS step
+  FROM gate WHERE gate_status IN ('accepted', 'rejected'))"""
+
+
+def steps_with(range_s: str, name: str) -> str:
+    """Every step from the first event's on, and the events in (t - range, t]:
+    counted as those up to t less those up to t - range."""
     return f"""
-{name}_src AS (SELECT * FROM incd {where}),
-{name}_steps AS (SELECT unnest(generate_series(
-    CAST(ceil(epoch_us(min(ts)) / {STEP_US}.0) * {STEP_US} AS BIGINT),
-    CAST(ceil((epoch_us(max(ts)) + {r}) / {STEP_US}.0) * {STEP_US} AS BIGINT), {STEP_US})) AS t FROM {name}_src),
-{name} AS (SELECT make_timestamp(s.t) AS ts, i.metric, i.pod, sum(i.delta) AS increase
-  FROM {name}_steps s JOIN {name}_src i ON epoch_us(i.ts) <= s.t AND epoch_us(i.pt) > s.t - {r}
-  GROUP BY ALL)"""
+{name}_t AS (SELECT unnest(generate_series((SELECT min(step) FROM gts), (SELECT max(step) FROM gts) + INTERVAL {range_s} SECONDS,
+    INTERVAL 15 SECONDS)) AS ts),
+{name}_c AS (SELECT ts, count(*) FILTER (WHERE gate_status = 'accepted') AS a, count(*) FILTER (WHERE gate_status = 'rejected') AS r
+  FROM gts GROUP BY ts),
+{name}_s AS (SELECT ts, sum(a) OVER (ORDER BY ts) AS a, sum(r) OVER (ORDER BY ts) AS r FROM {name}_c),
+{name} AS (SELECT t.ts, CAST(coalesce(hi.a, 0) - coalesce(lo.a, 0) AS BIGINT) AS accepted,
+    CAST(coalesce(hi.r, 0) - coalesce(lo.r, 0) AS BIGINT) AS rejected
+  FROM (SELECT ts, ts - INTERVAL {range_s} SECONDS AS back FROM {name}_t) t
+  ASOF LEFT JOIN {name}_s hi ON t.ts >= hi.ts ASOF LEFT JOIN {name}_s lo ON t.back >= lo.ts)"""
 
 
 def sustained_sql(src: str, keys: str, for_s: int) -> str:

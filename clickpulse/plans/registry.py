@@ -4,6 +4,8 @@ the adapter and runs over the whole table."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -15,6 +17,7 @@ from clickpulse.operators import dlq as D
 from clickpulse.operators import metrics as M
 from clickpulse.operators import producer as P
 from clickpulse.operators import validate as V
+from clickpulse.session import checkpoint_path, stored
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -250,36 +253,52 @@ def q_page_metrics_bucketed(spark, sf):
     return _metric_cols(K.metrics(spark, sf, "1 hour", "1 minute", strategy="bucketed"), *ALL_METRICS)
 
 
-@register("active_users_approx")
+def _approx_checked(spark, sf) -> DataFrame:
+    """Exact metrics and whether the HLL++ estimate of the streaming default
+    lies within its bound, from one aggregate over the same windows."""
+    return M.page_metrics(K.events(spark, sf), distinct="both", updated_at=None)
+
+
+@register("active_users_approx", W(*EV, O.metrics(60, 10)) + """
+SELECT window_start, window_end, page_url, active_users, true AS estimate_within_bound FROM m""")
 def q_active_users_approx(spark, sf):
-    """HLL++ estimate (rows-only check; error bound tested in pytest)."""
-    return _metric_cols(K.metrics(spark, sf, distinct="approx", updated_at=None), "active_users")
+    d = _approx_checked(spark, sf)
+    return _metric_cols(d.withColumn("estimate_within_bound", M.within_bound("estimated_users", "active_users")),
+                        "active_users", "estimate_within_bound")
 
 
-@register("page_metrics_approx")
+@register("page_metrics_approx", W(*EV, O.metrics(3600, 600)) + """
+SELECT window_start, window_end, page_url, active_users, cart_additions, purchases,
+  round(cart_abandonment_rate, 6) AS cart_abandonment_rate, true AS estimate_within_bound FROM m""")
 def q_page_metrics_approx(spark, sf):
-    return _metric_cols(K.metrics(spark, sf, distinct="approx", updated_at=None),
-                        "active_users", "cart_additions", "purchases", "cart_abandonment_rate")
+    d = M.page_metrics(K.events(spark, sf), "1 hour", "10 minutes", distinct="both", updated_at=None)
+    return _metric_cols(d.withColumn("estimate_within_bound", M.within_bound("estimated_users", "active_users")),
+                        "active_users", "cart_additions", "purchases", "cart_abandonment_rate", "estimate_within_bound")
 
 
 # ---------------------------------------------------------------- 2.6 serving
 
 from clickpulse.plans import serving as S  # noqa: E402
+from clickpulse.streaming import sink as SK  # noqa: E402
+from clickpulse.streaming import storage as ST  # noqa: E402
 
 
-def _served_metrics(spark, sf):
-    """The metrics the dashboards read.  Each panel reads them up to three
-    times (as_of, latest-window subquery, the panel itself), so lineage is
-    cut once with a reliable checkpoint in the shared checkpoint folder,
-    as the stored table would be."""
-    from clickpulse.session import checkpoint_root
-    checkpoint_root(spark)
-    return K.metrics(spark, sf).checkpoint()
+_STORES: dict = {}
 
 
-def _as_of(m: DataFrame):
-    """Midnight after the newest update: a fixed 'now' for the dashboards."""
-    return m.select(F.date_trunc("day", F.max("updated_at")) + F.expr("INTERVAL 1 DAY")).scalar()
+def _store(spark, sf) -> tuple[DataFrame, dt.datetime]:
+    """The metrics store that the panels read, and their 'now': midnight after
+    its newest update.  Built once per application and input, as the stream
+    builds it once for all dashboards; every panel reads it anew."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        root = checkpoint_path(spark, f"clickpulse-store-{uuid.uuid4().hex}")
+        SK.replace_all(spark, root, SK.to_table_rows(K.metrics(spark, sf)))
+        newest = SK.read_metrics(spark, root).agg(F.max("updated_at").cast("timestamp_ntz")).first()[0]
+        now = None if newest is None else dt.datetime.combine(newest.date() + dt.timedelta(days=1), dt.time())
+        _STORES[key] = (root, now)
+    root, now = _STORES[key]
+    return SK.read_metrics(spark, root), now
 
 
 MS = (O.ADAPTER, O.STREAM, O.EVENTS, O.metrics(60, 10),
@@ -290,8 +309,8 @@ MS = (O.ADAPTER, O.STREAM, O.EVENTS, O.metrics(60, 10),
 
 def _serve(name, fn, sql, **kw):
     def q(spark, sf):
-        m = _served_metrics(spark, sf)
-        out = fn(m, as_of=_as_of(m), **kw)
+        m, now = _store(spark, sf)
+        out = fn(m, as_of=now, **kw)
         return out.select(*[K.ntz(c) if t == "timestamp" else (K.r6(c) if t == "double" else c)
                             for c, t in out.dtypes])
     register(name, W(*MS) + " " + sql)(q)
@@ -324,8 +343,8 @@ _serve("pages_per_window", S.pages_per_window,
 SELECT window_end AS time, round(CAST(sum(cart_additions) - sum(purchases) AS DOUBLE) / nullif(sum(cart_additions), 0), 6)
   AS abandonment FROM rng GROUP BY 1 ORDER BY 1""")
 def q_abandonment_trend(spark, sf):
-    m = _served_metrics(spark, sf)
-    t = S.abandonment_trend(m, as_of=_as_of(m), whole=True)
+    m, now = _store(spark, sf)
+    t = S.abandonment_trend(m, as_of=now, whole=True)
     return t.select(K.ntz("time"), K.r6("abandonment"))
 
 
@@ -333,8 +352,8 @@ def q_abandonment_trend(spark, sf):
 SELECT date_trunc('minute', updated_at) AS time, count(*) AS rows FROM m
 WHERE updated_at <= (SELECT as_of FROM nowt) GROUP BY 1 ORDER BY 1""")
 def q_upserts_per_minute(spark, sf):
-    m = _served_metrics(spark, sf)
-    return S.upserts_per_minute(m, as_of=_as_of(m), whole=True).select(K.ntz("time"), "rows")
+    m, now = _store(spark, sf)
+    return S.upserts_per_minute(m, as_of=now, whole=True).select(K.ntz("time"), "rows")
 
 
 @register("recent_upserts", W(*EV, O.metrics(60, 10)) + """
@@ -342,37 +361,35 @@ SELECT window_start, window_end, page_url, active_users, cart_additions, purchas
   round(cart_abandonment_rate, 6) AS cart_abandonment_rate, updated_at FROM m
 ORDER BY updated_at DESC, window_start DESC, window_end DESC, page_url LIMIT 5""")
 def q_recent_upserts(spark, sf):
-    return _metric_cols(S.recent_upserts(_served_metrics(spark, sf)), *ALL_METRICS)
+    return _metric_cols(S.recent_upserts(_store(spark, sf)[0]), *ALL_METRICS)
 
 
 # ---------------------------------------------------------------- 2.1 storage
 
-from clickpulse.streaming import sink as SK  # noqa: E402
-from clickpulse.streaming import storage as ST  # noqa: E402
-
-
-def _changelog(spark, sf):
-    ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS).cast("bigint"))
-    return SK.update_mode_changelog(ev, "batch_id")
 
-
-@register("metrics_changelog", W(*EV, O.CHANGELOG) + """
-SELECT window_start, window_end, page_url, batch_id, active_users, cart_additions, purchases,
-  round(CASE WHEN cart_additions > 0 THEN (cart_additions - purchases) / cart_additions ELSE 0.0 END, 6)
-  AS cart_abandonment_rate, updated_at FROM cl""")
-def q_metrics_changelog(spark, sf):
-    """Update-mode output per emulated micro-batch (what the sink receives)."""
-    c = _changelog(spark, sf)
-    return c.select(K.ntz("window_start"), K.ntz("window_end"), "page_url", "batch_id",
-                    "active_users", "cart_additions", "purchases", K.r6("cart_abandonment_rate"),
-                    K.ntz("updated_at"))
+def _two_batches(spark, sf, compact: bool) -> str:
+    """A store that the sink wrote in two batches: the groups as they stood
+    after half of the records, and as they stand after all."""
+    root = checkpoint_path(spark, f"clickpulse-batches-{uuid.uuid4().hex}")
+    ev = K.events(spark, sf)
+    early = M.page_metrics(ev.filter(F.col("offset") % 2 == 0), distinct="exact", updated_at="event_time")
+    SK.upsert_metrics(early, 0, root, run=1)
+    if compact:
+        SK.compact_metrics(spark, root)
+    SK.upsert_metrics(M.page_metrics(ev, distinct="exact", updated_at="event_time"), 1, root, run=1)
+    return root
 
 
 @register("metrics_latest", _metric_oracle(60, 10, *ALL_METRICS))
 def q_metrics_latest(spark, sf):
-    """Changelog folded latest-wins per PK == the batch aggregate."""
-    latest = SK.latest_metrics(_changelog(spark, sf))
-    return _metric_cols(latest, *ALL_METRICS)
+    """A changelog of two batches, latest-wins per PK: the batch aggregate."""
+    return _metric_cols(SK.read_metrics(spark, _two_batches(spark, sf, False)), *ALL_METRICS)
+
+
+@register("metrics_reader", _metric_oracle(60, 10, *ALL_METRICS))
+def q_metrics_reader(spark, sf):
+    """Compacted days with a newer batch over them, as a reader sees it."""
+    return _metric_cols(SK.read_metrics(spark, _two_batches(spark, sf, True)), *ALL_METRICS)
 
 
 @register("metrics_table", W(*EV, O.metrics(60, 10)) + """
@@ -399,19 +416,19 @@ def q_partition_calendar(spark, sf):
 
 
 @register("unroutable_metrics", W(*EV, O.metrics(60, 10)) + """,
-d0 AS (SELECT min(CAST(event_time AS DATE)) AS d FROM ev),
-cal AS (SELECT CAST(d + INTERVAL (i) DAY AS DATE) AS range_from FROM d0, range(-1, 4) t(i))
+runs AS (SELECT DISTINCT CAST(event_time AS DATE) AS d FROM ev WHERE date_diff('day', DATE '1970-01-01', CAST(event_time AS DATE)) % 6 = 0),
+cal AS (SELECT DISTINCT CAST(d + INTERVAL (i) DAY AS DATE) AS range_from FROM runs, range(-1, 4) t(i))
 SELECT window_start, window_end, page_url, 'no partition for window_start' AS reason FROM m
 WHERE CAST(window_start AS DATE) NOT IN (SELECT range_from FROM cal)
 UNION ALL
 SELECT window_start, window_end, page_url, 'page_url longer than column width' FROM m
 WHERE CAST(window_start AS DATE) IN (SELECT range_from FROM cal) AND length(page_url) > 512""")
 def q_unroutable(spark, sf):
-    """Windows that would fail the insert if maintenance ran only at start-up
-    (calendar of the first day)."""
+    """Windows that would fail the insert if maintenance had run on every
+    sixth day only (each run ensures five days)."""
     m = K.metrics(spark, sf)
-    first = _run_days(spark, sf).agg(F.min("day").alias("day"))
-    cal = ST.partition_calendar_for(first, "day", 3)
+    runs = _run_days(spark, sf).filter(F.unix_date("day") % 6 == 0)
+    cal = ST.partition_calendar_for(runs, "day", 3)
     return ST.unroutable_metrics(m, cal).select(K.ntz("window_start"), K.ntz("window_end"), "page_url", "reason")
 
 
@@ -430,114 +447,64 @@ def q_retention(spark, sf):
 
 from clickpulse.operators import health as H  # noqa: E402
 
-HS = (O.ADAPTER, O.CONTRACT, O.GATE, O.SAMPLES)
-
-
-def _samples(spark, sf):
-    return H.counter_samples(K.gated(spark, sf))
-
-
-def _samples_cut(spark, sf):
-    """Samples for operators that read them twice (time spine + rates, as-of
-    + values): cut the lineage once with a reliable checkpoint instead of
-    validating every record twice."""
-    from clickpulse.session import checkpoint_root
-    checkpoint_root(spark)
-    return _samples(spark, sf).checkpoint()
-
+HS = (O.ADAPTER, O.CONTRACT, O.GATE, O.GATED_EVENTS)
 
-@register("counter_samples", W(*HS) + " SELECT ts, metric, pod, value FROM samples")
-def q_counter_samples(spark, sf):
-    return _samples(spark, sf).select(K.ntz("ts"), "metric", "pod", "value")
 
+def _counts(spark, sf):
+    """Gated events per step, written once: the spine and the ranges of the
+    alert rules all read this small table."""
+    return stored(H.step_counts(K.gated(spark, sf)), "step_counts")
 
-@register("counter_rate", W(*HS, O.increase(120, "r2")) + """
-SELECT ts, metric, pod, round(increase / 120, 6) AS rate FROM r2""")
-def q_counter_rate(spark, sf):
-    return H.counter_rate(_samples(spark, sf), 120).select(K.ntz("ts"), "metric", "pod", K.r6("rate"))
 
+def _alert_out(df):
+    return df.select(K.ntz("ts"), *[c for c in df.columns if c not in ("ts",)])
 
-@register("counter_increase", W(*HS, O.increase(300, "r5")) + """
-SELECT ts, metric, pod, round(increase, 6) AS increase FROM r5""")
-def q_counter_increase(spark, sf):
-    return H.counter_increase(_samples(spark, sf), 300).select(K.ntz("ts"), "metric", "pod", K.r6("increase"))
 
+@register("sliding_counts", W(*HS, O.steps_with("120", "r2")) + """
+SELECT ts, accepted, rejected FROM r2 WHERE accepted + rejected > 0""")
+def q_sliding_counts(spark, sf):
+    """Accepted and rejected events of the last 2 min at every 15 s step."""
+    c = H.sliding_counts(H.step_counts(K.gated(spark, sf)), 120)
+    return c.select(K.ntz("ts"), "accepted", "rejected")
 
-@register("sum_by_label", W(*HS, O.increase(120, "r2")) + """
-SELECT ts, pod, round(sum(increase / 120), 6) AS rate FROM r2 GROUP BY ALL""")
-def q_sum_by_label(spark, sf):
-    s = H.sum_by_label(H.counter_rate(_samples(spark, sf), 120), "rate")
-    return s.select(K.ntz("ts"), "pod", K.r6("rate"))
 
+@register("sustained", W(*HS, O.steps_with("120", "r2")) + """,
+held AS (SELECT 'accepted' AS gate_status, ts FROM r2 WHERE accepted > 0
+         UNION ALL SELECT 'rejected', ts FROM r2 WHERE rejected > 0)
+SELECT gate_status, ts FROM """ + O.sustained_sql("held", "gate_status", 60))
+def q_sustained(spark, sf):
+    """'for: 1m' over 'some event in the last 2 min', per gate status."""
+    c = H.sliding_counts(H.step_counts(K.gated(spark, sf)), 120)
+    held = c.select("ts", F.inline(F.array(*[F.struct(F.lit(s).alias("gate_status"), F.col(s).alias("n"))
+                                             for s in ("accepted", "rejected")]))).filter("n > 0")
+    return H.sustained(held.select("gate_status", "ts"), ["gate_status"], 60).select("gate_status", K.ntz("ts"))
 
-@register("gauge_latest", W(*HS) + """
-SELECT metric, pod, max(ts) AS ts, arg_max(value, ts) AS value FROM samples GROUP BY ALL""")
-def q_gauge_latest(spark, sf):
-    s = _samples_cut(spark, sf)
-    return H.gauge_latest(s, s.select(F.max("ts")).scalar()).select("metric", "pod", K.ntz("ts"), "value")
 
+ALERT_HIGH = O.steps_with("120", "rr") + ", hv AS (SELECT ts FROM rr WHERE rejected > 120)"
+ALERT_QUIET = O.steps_with("300", "rp") + ", zs AS (SELECT ts FROM rp WHERE accepted = 0 AND ts <= (SELECT max(step) FROM gts))"
 
-def _alert_out(df):
-    return df.select(K.ntz("ts"), *[c for c in df.columns if c not in ("ts",)])
 
-
-@register("alert_high_reject", W(*HS, O.increase(120, "rr", H.REJECTED)) + """,
-hv AS (SELECT ts FROM rr GROUP BY ts HAVING sum(increase / 120) > 1)
+@register("alert_high_reject", W(*HS, ALERT_HIGH) + """
 SELECT ts, 'HighDLQRate' AS alertname, 'critical' AS severity FROM """ + O.sustained_sql("hv", "", 60))
 def q_alert_high_reject(spark, sf):
-    return _alert_out(H.alert_high_reject(_samples(spark, sf)))
+    return _alert_out(H.alert_high_reject(H.step_counts(K.gated(spark, sf))))
 
 
-@register("alert_no_publish", W(*HS, O.increase(300, "rp", H.PUBLISHED)) + f""",
-spine AS (SELECT make_timestamp(unnest(generate_series(
-    CAST(ceil(epoch_us(min(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT),
-    CAST(floor(epoch_us(max(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT), {O.STEP_US}))) AS ts FROM samples),
-pv AS (SELECT ts, sum(increase / 300) AS v FROM rp GROUP BY ts),
-zs AS (SELECT s.ts FROM spine s LEFT JOIN pv USING (ts) WHERE coalesce(pv.v, 0) = 0)
+@register("alert_no_publish", W(*HS, ALERT_QUIET) + """
 SELECT ts, 'ProducerPublishRateZero' AS alertname, 'warning' AS severity FROM """ + O.sustained_sql("zs", "", 120))
 def q_alert_no_publish(spark, sf):
-    return _alert_out(H.alert_no_publish(_samples_cut(spark, sf)))
-
+    return _alert_out(H.alert_no_publish(_counts(spark, sf)))
 
-@register("alert_restarts", W(*HS, O.increase(300, "ri")) + """,
-rv AS (SELECT metric, pod, ts FROM ri WHERE increase > 2)
-SELECT metric, pod, ts, 'ServicePodCrashLooping' AS alertname, 'critical' AS severity FROM """
-          + O.sustained_sql("rv", "metric, pod", 60))
-def q_alert_restarts(spark, sf):
-    return _alert_out(H.alert_restarts(_samples(spark, sf)))
 
-
-@register("sustained", W(*HS, O.increase(120, "r2")) + """,
-cv2 AS (SELECT metric, pod, ts FROM r2 WHERE increase > 0)
-SELECT metric, pod, ts FROM """ + O.sustained_sql("cv2", "metric, pod", 60))
-def q_sustained(spark, sf):
-    """Generic 'for: 1m' over 'rate > 0' per series."""
-    r = H.counter_rate(_samples(spark, sf), 120).filter(F.col("rate") > 0)
-    return H.sustained(r.select("metric", "pod", "ts"), ["metric", "pod"], 60).select("metric", "pod", K.ntz("ts"))
-
-
-@register("alert_groups", W(*HS, O.increase(120, "rr", H.REJECTED), O.increase(300, "rp", H.PUBLISHED),
-                            O.increase(300, "ri")) + f""",
-hv AS (SELECT ts FROM rr GROUP BY ts HAVING sum(increase / 120) > 1),
-spine AS (SELECT make_timestamp(unnest(generate_series(
-    CAST(ceil(epoch_us(min(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT),
-    CAST(floor(epoch_us(max(ts)) / {O.STEP_US}.0) * {O.STEP_US} AS BIGINT), {O.STEP_US}))) AS ts FROM samples),
-pv AS (SELECT ts, sum(increase / 300) AS v FROM rp GROUP BY ts),
-zs AS (SELECT s.ts FROM spine s LEFT JOIN pv USING (ts) WHERE coalesce(pv.v, 0) = 0),
-rv AS (SELECT metric, pod, ts FROM ri WHERE increase > 2),
+@register("alert_groups", W(*HS, ALERT_HIGH, ALERT_QUIET) + f""",
 alerts AS (
   SELECT ts, 'HighDLQRate' AS alertname, 'critical' AS severity FROM {O.sustained_sql("hv", "", 60)}
-  UNION ALL SELECT ts, 'ProducerPublishRateZero', 'warning' FROM {O.sustained_sql("zs", "", 120)}
-  UNION ALL SELECT ts, 'ServicePodCrashLooping', 'critical' FROM {O.sustained_sql("rv", "metric, pod", 60)})
+  UNION ALL SELECT ts, 'ProducerPublishRateZero', 'warning' FROM {O.sustained_sql("zs", "", 120)})
 SELECT alertname, severity, min(ts) AS first_firing, max(ts) AS last_firing, count(*) AS firing_evaluations
 FROM alerts GROUP BY ALL""")
 def q_alert_groups(spark, sf):
-    # three alert rules read the same samples: cut the lineage once
-    s = _samples_cut(spark, sf)
-    cols = ["ts", "alertname", "severity"]
-    alerts = H.alert_high_reject(s).select(*cols).unionByName(H.alert_no_publish(s).select(*cols)) \
-        .unionByName(H.alert_restarts(s).select(*cols))
-    g = H.alert_groups(alerts)
+    c = _counts(spark, sf)
+    g = H.alert_groups(H.alert_high_reject(c).unionByName(H.alert_no_publish(c)))
     return g.select("alertname", "severity", K.ntz("first_firing"), K.ntz("last_firing"), "firing_evaluations")
 
 
@@ -561,59 +528,26 @@ def q_dlq_breakdown(spark, sf):
     return D.dlq_breakdown(_dlq(spark, sf))
 
 
-def _batch_close(spark, sf):
-    """Emulated micro-batches (offsets // 50): each closes when its last
-    record arrives; an event is processed when its batch closes."""
-    ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS))
-    close = K.raw(spark, sf).groupBy(F.floor(F.col("offset") / O.BATCH_OFFSETS).alias("batch_id")) \
-        .agg(F.max("src_ts").alias("processed_at"))
-    # one row per micro-batch; the count grows with the stream, so no
-    # broadcast hint - AQE broadcasts it at runtime when it is small
-    return ev.join(close, "batch_id")
-
-
-@register("latency_percentiles")
-def q_latency(spark, sf):
-    """Rows-only check: percentile_approx is an estimate by design."""
-    return I.latency_percentiles(I.processing_latency(_batch_close(spark, sf), "processed_at"))
-
-
-@register("latency_exact_by_batch", W(*EV) + f""",
-cl AS (SELECT "offset" // {O.BATCH_OFFSETS} AS batch_id, max(src_ts) AS processed_at FROM raw GROUP BY 1)
-SELECT batch_id, round(max(epoch_us(processed_at) - epoch_us(event_time)) / 1e6, 6) AS max_latency_s,
-  count(*) AS events
-FROM ev JOIN cl ON ev."offset" // {O.BATCH_OFFSETS} = cl.batch_id GROUP BY 1""")
-def q_latency_by_batch(spark, sf):
-    """Exact worst processing latency per micro-batch (SQL-checkable twin)."""
-    lat = _batch_close(spark, sf)
-    lat = lat.withColumn("l", (F.unix_micros(F.col("processed_at").cast("timestamp"))
-                               - F.unix_micros("event_time")) / 1e6)
-    return lat.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
-        F.round(F.max("l"), 6).alias("max_latency_s"), F.count(F.lit(1)).alias("events"))
-
-
-@register("consumer_lag", W(*BASE) + """,
-cut AS (SELECT max(src_ts) - INTERVAL 1 DAY AS t FROM raw)
+@register("consumer_lag", W(*SV) + """
 SELECT "partition", max("offset") + 1 AS end_offset,
-  coalesce(max("offset") FILTER (WHERE src_ts <= (SELECT t FROM cut)) + 1, 0) AS committed_offset,
-  max("offset") + 1 - coalesce(max("offset") FILTER (WHERE src_ts <= (SELECT t FROM cut)) + 1, 0) AS lag
-FROM raw GROUP BY 1""")
+  coalesce(max("offset") FILTER (WHERE validation_error IS NULL) + 1, 0) AS committed_offset,
+  max("offset") + 1 - coalesce(max("offset") FILTER (WHERE validation_error IS NULL) + 1, 0) AS lag
+FROM sv GROUP BY 1""")
 def q_consumer_lag(spark, sf):
-    """Lag per partition if the consumer had stopped one day before the end."""
-    r = K.raw(spark, sf)
-    cut = r.select(F.max("src_ts") - F.expr("INTERVAL 1 DAY")).scalar()
-    offs = r.groupBy("partition").agg(
+    """Per partition, how far the newest valid record is behind the newest
+    record: the lag of a consumer of the valid branch."""
+    offs = K.validated(spark, sf).groupBy("partition").agg(
         (F.max("offset") + 1).alias("end_offset"),
-        F.coalesce(F.max(F.when(F.col("src_ts") <= cut, F.col("offset"))) + 1, F.lit(0)).alias("committed_offset"))
+        F.coalesce(F.max(F.when(F.col("validation_error").isNull(), F.col("offset"))) + 1, F.lit(0)).alias("committed_offset"))
     return I.consumer_lag(offs)
 
 
 @register("page_popularity", W(*EV) + """
 SELECT coalesce(nullif(page_url, ''), '/unknown') AS page_url,
   count(*) FILTER (WHERE event_type = 'page_view') AS views, count(DISTINCT user_id) AS users, count(*) AS events
-FROM ev GROUP BY 1 ORDER BY views DESC, page_url LIMIT 20""")
+FROM ev GROUP BY 1""")
 def q_page_popularity(spark, sf):
-    return I.page_popularity(K.events(spark, sf), 20)
+    return I.page_popularity(K.events(spark, sf))
 
 
 @register("funnel_conversion", W(*EV) + """,
@@ -627,24 +561,3 @@ def q_funnel(spark, sf):
     f = I.funnel_conversion(K.events(spark, sf))
     return f.select("views", "cart_adds", "purchases", K.r6("view_to_cart"), K.r6("cart_to_purchase"),
                     K.r6("view_to_purchase"))
-
-
-# ---------------------------------------------------------------- 2.5 batch re-aim
-
-@register("late_data_audit", W(*EV) + f""",
-evb AS (SELECT *, "offset" // {O.BATCH_OFFSETS} AS batch_id FROM ev),
-per AS (SELECT batch_id, max(event_time) AS mx FROM evb GROUP BY 1),
-wm AS (SELECT batch_id, max(mx) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
-  - INTERVAL 120 SECONDS AS watermark FROM per),
-pairs AS (SELECT e.src_id, e.batch_id, w.watermark,
-  CAST(time_bucket(INTERVAL '10 seconds', e.event_time, TIMESTAMP '1970-01-01') - i * INTERVAL '10 seconds'
-       + INTERVAL '60 seconds' AS TIMESTAMP) AS window_end
-  FROM evb e JOIN wm w USING (batch_id), range(0, 6) t(i))
-SELECT src_id, batch_id, watermark, CAST(6 AS INT) AS windows,
-  CAST(count(*) FILTER (WHERE window_end <= watermark) AS INT) AS windows_dropped,
-  count(*) FILTER (WHERE window_end <= watermark) = 6 AS late
-FROM pairs GROUP BY src_id, batch_id, watermark""")
-def q_late_data_audit(spark, sf):
-    ev = K.events(spark, sf).withColumn("batch_id", F.floor(F.col("offset") / O.BATCH_OFFSETS).cast("bigint"))
-    a = M.late_data_audit(ev)
-    return a.select("src_id", "batch_id", K.ntz("watermark"), "windows", "windows_dropped", "late")

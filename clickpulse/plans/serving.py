@@ -7,18 +7,21 @@ literal or a Column (for example a scalar subquery).  ``t_from``/``t_to``
 replace the dashboard time filter; the default range is the dashboards'
 30 minutes before ``as_of``.
 
-"Latest window" is the newest window that has ENDED at ``as_of``:
-``window_end = (SELECT max(window_end) WHERE window_end <= as_of)``; the max
-is an uncorrelated scalar subquery, planned once.  When the table is the
-day-partitioned store, a matching predicate on ``window_date`` lets the scan
-prune partitions (the window_end filter alone cannot).
+"Latest window" is the newest window that has ENDED at ``as_of``.  Its panels
+take one pass: one aggregate per ``window_end``, of which the newest stays.
+
+When the table comes from the store (``streaming.sink.read_metrics``), it is
+partitioned by ``window_date``, the day of ``window_start``, and the column's
+metadata names the window length and the days there are.  From these follow
+exact bounds on ``window_date`` that prune the scan, whatever the length of a
+window; without the length, a partitioned table is an error, not a guess.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_RANGE = dt.timedelta(minutes=30)
@@ -39,27 +42,61 @@ def _as_of(metrics: DataFrame, as_of) -> Column:
     return as_of_default(metrics) if as_of is None else _ts(as_of)
 
 
-def _prune(metrics: DataFrame, lo: Column | None, hi: Column | None, slack_days: int = 1) -> DataFrame:
-    """Add a ``window_date`` range implied by window_end bounds, if the input
-    is the partitioned store (window_start >= window_end - 1 day)."""
+def _facts(metrics: DataFrame) -> dict | None:
+    """Window length (seconds) and days of a store; None without partitions."""
     if "window_date" not in metrics.columns:
+        return None
+    facts = metrics.schema["window_date"].metadata
+    if not facts.get("window_seconds"):
+        raise ValueError("the table is partitioned by window_date but names no window length; "
+                         "read it with read_metrics, or name it with with_store_facts")
+    return facts
+
+
+def _prune(metrics: DataFrame, lo: Column | None, hi: Column | None) -> DataFrame:
+    """Add the ``window_date`` range implied by window_end bounds: a window
+    starts its length before it ends."""
+    facts = _facts(metrics)
+    if facts is None:
         return metrics
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (F.col("window_date") >= F.date_sub(F.to_date(lo), slack_days))
+        first = lo - F.make_dt_interval(secs=F.lit(facts["window_seconds"]))
+        cond = cond & (F.col("window_date") >= F.to_date(first))
     if hi is not None:
         cond = cond & (F.col("window_date") <= F.to_date(hi))
     return metrics.filter(cond)
 
 
-def latest_window_end(metrics: DataFrame, as_of=None) -> Column:
+def _ended(metrics: DataFrame, as_of) -> DataFrame:
+    """The windows that ended at ``as_of``, at least back to the newest.  All
+    windows of a day have ended one window length after its midnight, so the
+    newest such day that the store holds bounds the newest ended window."""
     a = _as_of(metrics, as_of)
-    return _prune(metrics, None, a).filter(F.col("window_end") <= a).select(F.max("window_end")).scalar()
+    facts = _facts(metrics)
+    if facts and facts.get("days") and not isinstance(as_of, Column) and as_of is not None:
+        now = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+        now = now.astimezone(dt.timezone.utc).replace(tzinfo=None) if now.tzinfo else now
+        span = dt.timedelta(days=1, seconds=facts["window_seconds"])
+        over = [d for d in facts["days"] if dt.datetime.fromisoformat(d) + span <= now]
+        if over:
+            metrics = metrics.filter(F.col("window_date") >= F.lit(max(over)).cast("date"))
+    return _prune(metrics, None, a).filter(F.col("window_end") <= a)
+
+
+def _of_latest(metrics: DataFrame, as_of, *values: Column) -> DataFrame:
+    """One row of aggregates over the latest window, or none."""
+    per = _ended(metrics, as_of).groupBy("window_end").agg(*values)
+    return per.orderBy(F.col("window_end").desc()).limit(1)
+
+
+def latest_window_end(metrics: DataFrame, as_of=None) -> Column:
+    return _ended(metrics, as_of).select(F.max("window_end")).scalar()
 
 
 def latest_window(metrics: DataFrame, as_of=None) -> DataFrame:
-    end = latest_window_end(metrics, as_of)
-    return _prune(metrics, end, end).filter(F.col("window_end") == end)
+    """All rows of the latest window."""
+    return _ended(metrics, as_of).filter(F.col("window_end") == latest_window_end(metrics, as_of))
 
 
 def _range(metrics: DataFrame, col: str, as_of=None, t_from=None, t_to=None,
@@ -74,21 +111,23 @@ def _range(metrics: DataFrame, col: str, as_of=None, t_from=None, t_to=None,
 
 # -- executive dashboard ----------------------------------------------------
 
+def _latest_sum(metrics: DataFrame, as_of, column: str, name: str) -> DataFrame:
+    one = _of_latest(metrics, as_of, F.sum(column).alias("n"))
+    return one.agg(F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias(name))
+
+
 def latest_active_users(metrics: DataFrame, as_of=None) -> DataFrame:
     """Sum over pages of active users in the latest window (a user on two
     pages counts twice, as the panel title says)."""
-    return latest_window(metrics, as_of).agg(
-        F.coalesce(F.sum("active_users"), F.lit(0)).cast("bigint").alias("users"))
+    return _latest_sum(metrics, as_of, "active_users", "users")
 
 
 def latest_cart_adds(metrics: DataFrame, as_of=None) -> DataFrame:
-    return latest_window(metrics, as_of).agg(
-        F.coalesce(F.sum("cart_additions"), F.lit(0)).cast("bigint").alias("cart_adds"))
+    return _latest_sum(metrics, as_of, "cart_additions", "cart_adds")
 
 
 def latest_purchases(metrics: DataFrame, as_of=None) -> DataFrame:
-    return latest_window(metrics, as_of).agg(
-        F.coalesce(F.sum("purchases"), F.lit(0)).cast("bigint").alias("purchases"))
+    return _latest_sum(metrics, as_of, "purchases", "purchases")
 
 
 def _ratio(adds: Column, purchases: Column) -> Column:
@@ -97,9 +136,8 @@ def _ratio(adds: Column, purchases: Column) -> Column:
 
 
 def latest_abandonment(metrics: DataFrame, as_of=None) -> DataFrame:
-    lw = latest_window(metrics, as_of)
-    return lw.agg(F.coalesce(_ratio(F.sum("cart_additions"), F.sum("purchases")), F.lit(0.0))
-                  .alias("abandonment"))
+    one = _of_latest(metrics, as_of, _ratio(F.sum("cart_additions"), F.sum("purchases")).alias("r"))
+    return one.agg(F.coalesce(F.max("r"), F.lit(0.0)).alias("abandonment"))
 
 
 def funnel_series(metrics: DataFrame, as_of=None, t_from=None, t_to=None, whole=False) -> DataFrame:
@@ -120,11 +158,14 @@ def abandonment_trend(metrics: DataFrame, as_of=None, t_from=None, t_to=None, wh
 
 def top_pages(metrics: DataFrame, as_of=None, n: int = 15) -> DataFrame:
     """Latest window's pages by active users (page_url breaks ties so the
-    top-k is deterministic)."""
-    lw = latest_window(metrics, as_of)
-    return (lw.select("page_url", "active_users", "cart_additions", "purchases",
-                      F.round("cart_abandonment_rate", 3).alias("abandonment"))
-              .orderBy(F.col("active_users").desc(), F.col("page_url")).limit(n))
+    top-k is deterministic).  The newest window's rows come first in one
+    top-k; where it has fewer than ``n`` pages, older rows fill up and go."""
+    best = _ended(metrics, as_of).select("window_end", "page_url", "active_users", "cart_additions", "purchases",
+                                         F.round("cart_abandonment_rate", 3).alias("abandonment")) \
+        .orderBy(F.col("window_end").desc(), F.col("active_users").desc(), F.col("page_url")).limit(n)
+    newest = F.max("window_end").over(Window.partitionBy())  # over at most n rows
+    return best.withColumn("newest", newest).filter("window_end = newest").drop("newest", "window_end") \
+        .orderBy(F.col("active_users").desc(), F.col("page_url"))
 
 
 # -- engineering dashboard --------------------------------------------------
@@ -136,13 +177,16 @@ def freshness_seconds(metrics: DataFrame, as_of=None) -> DataFrame:
 
 
 def latest_page_count(metrics: DataFrame, as_of=None) -> DataFrame:
-    return latest_window(metrics, as_of).agg(F.count(F.lit(1)).alias("pages"))
+    one = _of_latest(metrics, as_of, F.count(F.lit(1)).alias("n"))
+    return one.agg(F.coalesce(F.max("n"), F.lit(0)).alias("pages"))
 
 
 def rows_last_24h(metrics: DataFrame, as_of=None) -> DataFrame:
     a = _as_of(metrics, as_of)
     lo = a - F.expr("INTERVAL 24 HOURS")
-    return _prune(metrics, lo, None).filter(F.col("window_start") > lo).agg(F.count(F.lit(1)).alias("rows"))
+    if _facts(metrics):
+        metrics = metrics.filter(F.col("window_date") >= F.to_date(lo))
+    return metrics.filter(F.col("window_start") > lo).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def upserts_per_minute(metrics: DataFrame, as_of=None, t_from=None, t_to=None, whole=False) -> DataFrame:

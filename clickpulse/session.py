@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  UTC is required: the metrics table, the
 # dashboards and the oracle all work in UTC.
@@ -20,6 +21,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a repeated key in an event keeps its last value, as in Python
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -55,15 +58,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster sets it to a shared file system.  Only when it is unset (local
-    tests) do we create a scratch folder and register it, so lineage cuts and
-    streaming checkpoints always go to the configured location.
+    Unset, it is an error on a cluster, where executors share no local folder.
+    In local mode (one machine) a scratch folder serves, as in tests.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="clickpulse-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -72,3 +76,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def checkpoint_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df``, written to the shared folder and read again: cuts
+    the lineage, survives lost executors, and is computed once."""
+    path = checkpoint_path(df.sparkSession, f"clickpulse-{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -131,20 +131,13 @@ def raw_records(events: DataFrame) -> DataFrame:
     return decode_records(kafka_records(events))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance an input that arrives in fewer splits than there are cores.
-
-    A single-row-group parquet file is one task; validation is CPU work per
-    row, so a round-robin rebalance lets every core take part.  On a cluster
-    the scan already has thousands of splits and this is a no-op.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. no RDD API on a Connect session
-        return df
-    return df.repartition(cores) if splits < cores else df
+#: A session may name how many partitions the adapter deals its input to.  Off
+#: by default: on a cluster the scan has splits enough.  A single small file of
+#: one row group is one task, and then a caller may want to spread it.
+INPUT_PARTITIONS = "spark.clickpulse.inputPartitions"
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_records(spread(load_table(spark, sf_dir, "events")))
+    events = load_table(spark, sf_dir, "events")
+    parts = spark.conf.get(INPUT_PARTITIONS, None)
+    return raw_records(events.repartition(int(parts)) if parts else events)

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickpulse.operators.metrics import events_pipeline, page_metrics
@@ -20,26 +21,45 @@ def _rows(df, cols):
 def test_bucketed_equals_expand(spark):
     ev = _events(spark)
     cols = KEY + ["active_users", "cart_additions", "purchases", "updated_at"]
-    for length, slide in [("60 seconds", "10 seconds"), ("1 hour", "10 minutes")]:
+    for length, slide in [("60 seconds", "10 seconds"), ("1 hour", "10 minutes"), ("2 days", "1 day"), ("1 hour", None)]:
         a = page_metrics(ev, length, slide, distinct="exact", strategy="expand", updated_at="event_time")
         b = page_metrics(ev, length, slide, distinct="exact", strategy="bucketed", updated_at="event_time")
         assert _rows(a, cols) == _rows(b, cols)
 
 
-def test_approx_within_bound(spark):
+def test_bucketed_counts_users_over_gaps_and_nulls(spark):
+    import datetime as dt
+    t0 = dt.datetime(2025, 1, 1, 23, 59, 0)
+    rows = [(t0 + dt.timedelta(seconds=s), p, u, "page_view") for p, u, at in
+            [("/a", "u", (0, 5, 30, 59, 60, 61, 119, 121, 400)), ("/a", "v", (61,)), ("/a", None, (10, 500)),
+             ("", "u", (0,)), (None, "u", (3,)), ("/b", "w", (0, 60, 120, 180))] for s in at]
+    ev = spark.createDataFrame(rows, "event_time timestamp, page_url string, user_id string, event_type string")
+    cols = KEY + ["active_users", "cart_additions", "purchases"]
+    for length, slide in [("60 seconds", "10 seconds"), ("60 seconds", "60 seconds"), ("2 minutes", "30 seconds")]:
+        a = page_metrics(ev, length, slide, distinct="exact")
+        b = page_metrics(ev, length, slide, distinct="exact", strategy="bucketed")
+        assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_one_estimate_whatever_the_strategy(spark):
     ev = _events(spark)
-    ex = page_metrics(ev, "1 hour", "10 minutes", distinct="exact").select(*KEY, F.col("active_users").alias("ex"))
-    ap = page_metrics(ev, "1 hour", "10 minutes", distinct="approx").select(*KEY, F.col("active_users").alias("ap"))
-    j = ex.join(ap, KEY)
-    assert j.count() == ex.count()
-    worst = j.agg(F.max(F.abs(F.col("ap") - F.col("ex")) / F.col("ex"))).first()[0]
-    assert worst <= 0.5
-    hb = page_metrics(ev, "1 hour", "1 minute", distinct="approx", strategy="bucketed")
-    assert hb.filter("active_users < 1").count() == 0
+    with pytest.raises(ValueError):
+        page_metrics(ev, "1 hour", "1 minute", distinct="approx", strategy="bucketed")
+    from clickpulse.operators.metrics import within_bound
+    both = page_metrics(ev, "1 day", "12 hours", distinct="both")
+    alone = page_metrics(ev, "1 day", "12 hours", distinct="approx")
+    assert _rows(both.select(*KEY, "estimated_users"), KEY + ["estimated_users"]) == \
+        _rows(alone.select(*KEY, "active_users"), KEY + ["active_users"])
+    assert both.filter(~within_bound("estimated_users", "active_users")).count() == 0
+    crowd = spark.range(6000).selectExpr("TIMESTAMP '2025-01-01 10:00:00' + make_interval(0,0,0,0,0,0,id % 3600) AS event_time",
+                                         "'/p' AS page_url", "CAST(id % 3000 AS string) AS user_id", "'page_view' AS event_type")
+    values = {r.active_users for s in ("1 hour", "5 minutes") for r in
+              page_metrics(crowd, "1 hour", s, distinct="approx").filter("window_start = '2025-01-01 10:00:00'").collect()}
+    assert len(values) == 1 and abs(values.pop() - 3000) <= 750
 
 
 def test_blank_and_null_page_merge(spark):
-    base = {"schema_version": "1.0", "event_id": "11111111-2222-3333-4444-555555555555",
+    base = {"schema_version": "1.0", "event_id": "7c9e6679-7425-40de-944b-e07fc1f90ae7",
             "session_id": "s", "event_type": "cart_add", "timestamp": "2026-09-18T10:00:05Z"}
     p = [json.dumps({**base, "user_id": "a", "page_url": ""}), json.dumps({**base, "user_id": "b"})]
     m = page_metrics(events_pipeline(rows_of(spark, p)), distinct="exact")
@@ -49,7 +69,7 @@ def test_blank_and_null_page_merge(spark):
 
 
 def test_abandonment_may_be_negative_and_zero_guarded(spark):
-    base = {"schema_version": "1.0", "event_id": "11111111-2222-3333-4444-555555555555",
+    base = {"schema_version": "1.0", "event_id": "7c9e6679-7425-40de-944b-e07fc1f90ae7",
             "session_id": "s", "user_id": "u", "page_url": "/p", "timestamp": "2026-09-18T10:00:05Z"}
     p = [json.dumps({**base, "event_type": t}) for t in ["cart_add", "purchase", "purchase"]]
     p2 = [json.dumps({**base, "event_type": "page_view", "page_url": "/v"})]
