@@ -144,15 +144,16 @@ def page_metrics(events: DataFrame, length: str = "60 seconds", slide: str | Non
 def _page_metrics_bucketed(events: DataFrame, L: int, S: int, updated_at: str | None = None) -> DataFrame:
     """Windows of L seconds every S seconds from S-second buckets.
 
-    A window that starts at w covers the buckets w .. w + L - S, so an event
-    of bucket b is in the windows that start from b - L + S to b.  Distinct
-    users: the windows of one (page, user) are the union of such spans; spans
-    that overlap or touch merge, and each merged span adds one user from its
-    first window start on and takes it away after its last.  So a (page, user)
-    gives two rows per visit, however many windows the visit covers.  Running
-    sums over the rows of a page, cut by day, turn them into counts at every
-    window start that has events.  Counts, purchases and the newest event come
-    from (bucket, page) rows that carry no user.
+    A bucket b is in the windows that start from b - L + S to b, so it enters
+    at the first of these and leaves at b + S.  A (page, user, bucket) row
+    therefore gives two points, however many windows it is in: what it adds
+    when it enters and takes away when it leaves.  A user counts once while any
+    of its buckets is in the window: its spans that overlap or touch are one,
+    which adds the user at its begin and takes it away at its end.  Running
+    sums over the points of a page, cut by day, give the values from one point
+    to the next; they are the same for all windows that start in between, and
+    only the result is expanded into these.  The newest event of a window is
+    that of the bucket that entered last.
     """
     if L % S:
         raise ValueError("bucketed strategy needs length to be a multiple of slide")
@@ -164,48 +165,45 @@ def _page_metrics_bucketed(events: DataFrame, L: int, S: int, updated_at: str |
         F.sum(F.when(F.col("event_type") == "cart_add", 1).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("p"),
         F.max("event_time").alias("u"))
-    # spans of window starts: [b - L + S, b]; a new one begins where the gap
-    # to the user's previous bucket is larger than a window
-    w = Window.partitionBy("page_url", "user_id").orderBy("b")
-    gaps = seen.select("*", F.lag("b").over(w).alias("before"), F.lead("b").over(w).alias("after"))
-    # rows at window starts: d users more or less from t on
-    point = F.array(
-        F.struct((F.col("b") - (L - S)).alias("t"),
-                 F.when(F.col("user_id").isNotNull() & (F.col("before").isNull() | (F.col("b") - F.col("before") > L)), 1).otherwise(0).alias("d")),
-        F.struct((F.col("b") + S).alias("t"),
-                 F.when(F.col("user_id").isNotNull() & (F.col("after").isNull() | (F.col("after") - F.col("b") > L)), -1).otherwise(0).alias("d")))
-    ends = gaps.select("page_url", F.inline(point)).filter("d <> 0").groupBy("page_url", "t").agg(F.sum("d").alias("d"))
-    sums = seen.groupBy("b", "page_url").agg(F.sum("a").alias("a"), F.sum("p").alias("p"), F.max("u").alias("u"))
-    starts = F.sequence(F.col("b") - (L - S), F.col("b"), F.lit(S).cast("bigint"))
-    counts = sums.select("page_url", F.explode(starts).alias("t"), "a", "p", "u") \
-        .groupBy("page_url", "t").agg(F.sum("a").cast("bigint").alias("cart_additions"),
-                                      F.sum("p").cast("bigint").alias("purchases"), F.max("u").alias("updated_at"))
-    users = _running_users(ends, counts.select("page_url", "t"))
-    out = counts.join(users, ["page_url", "t"])
-    extra = {"event_time": [F.col("updated_at")], "now": [F.current_timestamp().alias("updated_at")]}
-    return out.select(
+    visits = Window.partitionBy("page_url", "user_id").orderBy("b")
+    begins = F.coalesce(F.col("b") - F.lag("b").over(visits) > L, F.lit(True)) & F.col("user_id").isNotNull()
+    ends = F.coalesce(F.lead("b").over(visits) - F.col("b") > L, F.lit(True)) & F.col("user_id").isNotNull()
+    spans = seen.select("*", begins.cast("bigint").alias("begins"), ends.cast("bigint").alias("ends"))
+    enter = F.struct((F.col("b") - (L - S)).alias("t"), F.lit(1).cast("bigint").alias("n"), F.col("begins").alias("users"),
+                     F.col("a"), F.col("p"), F.col("u"))
+    leave = F.struct((F.col("b") + S).alias("t"), F.lit(-1).cast("bigint").alias("n"), (-F.col("ends")).alias("users"),
+                     (-F.col("a")).alias("a"), (-F.col("p")).alias("p"), F.lit(None).cast("timestamp").alias("u"))
+    sums = ["n", "users", "a", "p"]
+    points = spans.select("page_url", F.inline(F.array(enter, leave))).groupBy("page_url", "t").agg(
+        *[F.sum(c).alias(c) for c in sums], F.max("u").alias("u")).withColumn("day", F.floor(F.col("t") / 86400))
+    state = _running(points, sums)
+    lasts = state.filter("n > 0").select(
+        F.explode(F.sequence(F.col("t"), F.col("until") - S, F.lit(S).cast("bigint"))).alias("t"), "page_url", *sums, "u")
+    extra = {"event_time": [F.col("u").alias("updated_at")], "now": [F.current_timestamp().alias("updated_at")]}
+    return lasts.select(
         F.timestamp_seconds(F.col("t")).alias("window_start"),
         F.timestamp_seconds(F.col("t") + L).alias("window_end"),
-        "page_url", "active_users", "cart_additions", "purchases",
-        abandonment(F.col("cart_additions"), F.col("purchases")).alias("cart_abandonment_rate"),
+        "page_url", F.col("users").alias("active_users"), F.col("a").alias("cart_additions"), F.col("p").alias("purchases"),
+        abandonment(F.col("a"), F.col("p")).alias("cart_abandonment_rate"),
         *extra.get(updated_at, []))
 
 
-def _running_users(ends: DataFrame, wanted: DataFrame) -> DataFrame:
-    """page_url, t, active_users at the ``wanted`` (page_url, t): the sum of
-    all ``d`` of the page up to t.  Summed within days in parallel; a table
-    of one row per page and day carries the earlier days."""
-    day = F.floor(F.col("t") / 86400)
-    u = ends.select("page_url", "t", "d", F.lit(0).alias("q")) \
-        .unionByName(wanted.select("page_url", "t", F.lit(0).cast("bigint").alias("d"), F.lit(1).alias("q"))) \
-        .withColumn("day", day)
-    within = Window.partitionBy("page_url", "day").orderBy("t", "q").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("page_url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = u.groupBy("page_url", "day").agg(F.sum("d").alias("dd")) \
-        .select("page_url", "day", F.coalesce(F.sum("dd").over(before), F.lit(0)).alias("earlier"))
-    inside = u.select("page_url", "t", "q", "day", F.sum("d").over(within).alias("inside")).filter("q = 1")
-    return inside.join(days, ["page_url", "day"]) \
-        .select("page_url", "t", (F.col("inside") + F.col("earlier")).cast("bigint").alias("active_users"))
+def _running(points: DataFrame, sums: list[str]) -> DataFrame:
+    """Per point of a page: the running ``sums``, the newest ``u`` so far, and
+    ``until``, the next point.  Days are summed in parallel; a table of one
+    row per page and day carries what the earlier days add up to."""
+    within = Window.partitionBy("page_url", "day").orderBy("t")
+    upto = within.rowsBetween(Window.unboundedPreceding, 0)
+    inside = points.select("page_url", "day", "t", *[F.sum(c).over(upto).alias(c) for c in sums],
+                           F.max("u").over(upto).alias("u"), F.lead("t").over(within).alias("until"))
+    by_day = Window.partitionBy("page_url").orderBy("day")
+    before = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    days = points.groupBy("page_url", "day").agg(*[F.sum(c).alias(c) for c in sums], F.max("u").alias("u"), F.min("t").alias("t"))
+    days = days.select("page_url", "day", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in sums],
+                       F.max("u").over(before).alias("u_before"), F.lead("t").over(by_day).alias("next_day"))
+    return inside.join(days, ["page_url", "day"]).select(
+        "page_url", "t", *[(F.col(c) + F.col(f"{c}_before")).cast("bigint").alias(c) for c in sums],
+        F.greatest("u", "u_before").alias("u"), F.coalesce("until", "next_day").alias("until"))
 
 
 def events_pipeline(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:

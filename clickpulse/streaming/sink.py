@@ -149,9 +149,8 @@ def upsert_metrics(batch_df: DataFrame, batch_id: int, root: str, run: int = 1,
             return False
         at = f"run={run}/batch_id={batch_id}"
         good = rows.filter(F.col("reason").isNull()).drop("reason")
-        # hash on (day, page): a busy day is spread over many writers (AQE
-        # coalesces the partitions again when the batch is small)
-        (good.repartition("window_date", "page_url")
+        # few files per day: small days share a writer, a busy day gets several
+        (good.hint("rebalance", "window_date")
              .sortWithinPartitions(*C.METRICS_PK)
              .write.mode("overwrite").partitionBy("window_date").parquet(f"{root}/changelog/{at}"))
         bad = rows.filter(F.col("reason").isNotNull())
@@ -260,7 +259,7 @@ def compact_metrics(spark: SparkSession, root: str) -> list[dt.date]:
         parts = _parts(spark, root, state, batches, set(touched))
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         # a part that this version's failed attempt left is replaced whole
-        (latest_metrics(rows).repartition("window_date", "page_url").sortWithinPartitions(*C.METRICS_PK)
+        (latest_metrics(rows).hint("rebalance", "window_date").sortWithinPartitions(*C.METRICS_PK)
             .write.mode("overwrite").option("partitionOverwriteMode", "static")
             .partitionBy("window_date").parquet(f"{root}/table/version={version}"))
         length = max(length or 0, _window_seconds(parts[-1]) or 0) or None
@@ -307,7 +306,7 @@ def replace_all(spark: SparkSession, root: str, rows: DataFrame) -> None:
     state = manifest(spark, root)
     version = state["version"] + 1
     (rows.select(*C.METRICS_PK, *VALUE_COLS, F.to_date("window_start").alias("window_date"))
-        .repartition("window_date", "page_url").sortWithinPartitions(*C.METRICS_PK)
+        .hint("rebalance", "window_date").sortWithinPartitions(*C.METRICS_PK)
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("window_date").parquet(f"{root}/table/version={version}"))
     days = [n[12:] for n in _names(spark, f"{root}/table/version={version}") if n.startswith("window_date=")]
