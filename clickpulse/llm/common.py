@@ -64,6 +64,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(df: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` wrote and that nothing will
+    read again.  What is still there when the application ends lies in one
+    folder, ``llm-<application>`` under the shared one, and may go as a whole."""
+    spark = df.sparkSession
+    jvm, ours = spark.sparkContext._jvm, f"/llm-{spark.sparkContext.applicationId}/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if ours in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of few rows, so that a task never holds more
     than one piece as Python objects."""

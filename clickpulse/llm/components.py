@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import stored
+from clickpulse.llm.common import remove, stored
 
 MAX_ROUNDS = 60
 
@@ -33,6 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     before = (0, None)
     for _ in range(MAX_ROUNDS):
+        known = pairs
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
         # large star: a vertex hands its larger neighbours to its minimum
@@ -43,6 +44,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         handed = small.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         pairs = handed.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
         pairs = stored(pairs, "edges")
+        remove(known)
         now = pairs.agg(F.count("*").alias("n"),
                         F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if tuple(now) == before:
