@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickpulse.llm.common import read_table, stored
+from clickpulse.llm.common import read_table, remove, stored
 from clickpulse.llm.decontaminate import decontaminate
 from clickpulse.llm.packing import pack_documents
 from clickpulse.llm.quality_rules import keep_good, train_field
@@ -57,5 +57,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        remove(before)  # of the input table nothing is ours to delete
     return docs
