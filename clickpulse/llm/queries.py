@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import read_table
+from clickpulse.llm.oracles import ORACLES  # noqa: F401  (read by the entry)
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
@@ -90,11 +90,3 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.quality_rules import quality_verdicts, train_field
     docs = read_table(spark, sf_dir, "documents")
     return quality_verdicts(docs, train_field(docs, read_table(spark, sf_dir, "labels")))
-
-
-def _oracles() -> dict[str, str]:
-    from clickpulse.llm.url_filter import ORACLE
-    return {"op5_url_filter": ORACLE}
-
-
-ORACLES.update(_oracles())
