@@ -4,7 +4,8 @@ Every operator is a ``DataFrame -> DataFrame`` function built from native
 Spark expressions, so the same code runs in batch and in Structured
 Streaming.  Sub-packages:
 
-* ``sources``   - record sources (Kafka / files) and the test-data adapter
+* ``sources``   - record sources (Kafka / files); ``fixtures`` renders the
+                  test tables as such records
 * ``functions`` - Column helpers: strict JSON, value rendering, timestamps,
                   the contract-to-Column compiler
 * ``operators`` - validation, dead letters, metrics, producer counters,

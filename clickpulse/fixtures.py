@@ -1,4 +1,4 @@
-"""Adapter: the driver's ``events`` table -> Kafka-shaped raw click records.
+"""Fixtures: the driver's ``events`` table -> Kafka-shaped raw click records.
 
 The test tables carry typed events (event_id, ts, user_id, event_type,
 value, props).  This adapter renders them as the JSON payloads the

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.operators.metrics import events_pipeline, page_metrics
 from clickpulse.operators.validate import with_stream_validation, with_contract_errors, accept_gate
-from clickpulse.sources.testdata import load_raw
+from clickpulse.fixtures import load_raw
 
 LABELS = ["src_id", "cls", "src_ts"]
 

@@ -12,7 +12,7 @@ from clickpulse.operators.validate import accept_gate
 from clickpulse.plans import insights as I
 from clickpulse.plans import serving as S
 from clickpulse.sources.records import kafka_options
-from clickpulse.sources.testdata import load_raw
+from clickpulse.fixtures import load_raw
 from clickpulse.streaming import sink as SK
 from conftest import SF0001, rows_of
 

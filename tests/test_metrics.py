@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickpulse.operators.metrics import events_pipeline, page_metrics
-from clickpulse.sources.testdata import load_raw
+from clickpulse.fixtures import load_raw
 from conftest import SF0001, rows_of
 
 KEY = ["window_start", "window_end", "page_url"]

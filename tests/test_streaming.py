@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.operators.metrics import events_pipeline, page_metrics
 from clickpulse.sources.records import KAFKA_RECORD_SCHEMA, read_records
-from clickpulse.sources.testdata import kafka_records, load_table
+from clickpulse.fixtures import kafka_records, load_table
 from clickpulse.streaming import sink as SK
 from clickpulse.streaming import storage as ST
 from clickpulse.streaming.job import JobConfig, offsets_frame, progress_frame, start
@@ -92,7 +92,7 @@ def test_stream_batch_parity_restart_and_dlq(spark, scratch):
             _run(spark, src, os.path.join(scratch, "out"), os.path.join(scratch, "ck"))
     _run(spark, src, os.path.join(scratch, "out"), os.path.join(scratch, "ck"))  # restart
     got = SK.read_metrics(spark, os.path.join(scratch, "out", "store"))
-    from clickpulse.sources.testdata import raw_records
+    from clickpulse.fixtures import raw_records
     want = page_metrics(events_pipeline(raw_records(ev)), distinct="exact")
     cols = KEY + VALS
     a = sorted(tuple(r[c] for c in cols) for r in got.select(*cols).collect())
@@ -109,7 +109,7 @@ def _rows(df):
 
 
 def _metrics(spark):
-    from clickpulse.sources.testdata import load_raw
+    from clickpulse.fixtures import load_raw
     return page_metrics(events_pipeline(load_raw(spark, SF0001)), distinct="exact", updated_at="event_time")
 
 

@@ -8,7 +8,7 @@ from clickpulse import contracts as C
 from clickpulse.functions import jsonval as J
 from clickpulse.operators import dlq as D
 from clickpulse.operators import validate as V
-from clickpulse.sources.testdata import load_raw
+from clickpulse.fixtures import load_raw
 from conftest import SF0001, rows_of
 
 UUID = "7c9e6679-7425-40de-944b-e07fc1f90ae7"
