@@ -10,7 +10,8 @@ decides.  The score is its share of all corrected counts.
 
 The n-grams of a language are those of a bounded sample of its documents (not
 held out) that are at least ``MIN_SHARE`` as frequent there as in the language
-that has them most.  Every document is looked up whole, and alone; the filter
+that has them most.  They are placed in the filter on the executors, and only
+its slots come to the driver.  Every document is looked up whole, and alone; the filter
 is the only thing sent to the executors, and its size is fixed.
 
 Cases: a null text and one without a letter are ``und`` with score 0; a text
@@ -123,14 +124,17 @@ class LanguageFilter:
         return self.languages[best], float(real[best] / total)
 
 
+def empty_masks(languages: list[str], slot_bits: int) -> np.ndarray:
+    n = len(languages)
+    return np.zeros(1 << slot_bits, np.uint8 if n <= 8 else np.uint16 if n <= 16 else np.uint32 if n <= 32 else np.uint64)
+
+
 def build(grams: list[tuple[int, int]], languages: list[str], default: str, slot_bits: int = SLOT_BITS,
           hashes: int = HASHES) -> LanguageFilter:
     """The filter of (n-gram code, mask of its languages)."""
-    n = len(languages)
-    kind = np.uint8 if n <= 8 else np.uint16 if n <= 16 else np.uint32 if n <= 32 else np.uint64
-    masks = np.zeros(1 << slot_bits, kind)
+    masks = empty_masks(languages, slot_bits)
     code = np.array([g for g, _ in grams], np.int64).view(np.uint64)
-    mask = np.array([m for _, m in grams], np.int64).astype(np.uint64).astype(kind)
+    mask = np.array([m for _, m in grams], np.int64).view(np.uint64).astype(masks.dtype)
     for s in slots(code, slot_bits, hashes) if len(code) else ():
         np.bitwise_or.at(masks, s.astype(np.int64), mask)
     return LanguageFilter(languages, masks, default, slot_bits, hashes)
@@ -173,8 +177,18 @@ def train_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAGE,
     grams = rated.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("rate", "bit")).alias("of")) \
         .select("gram", F.expr(f"aggregate(filter(of, x -> x.rate >= {min_share} * most), 0L, "
                                "(m, x) -> m | shiftleft(1L, x.bit))").alias("mask"))
-    rows = [(r.gram, r["mask"]) for r in grams.collect()]
-    return build(rows, languages, counts[0].lang)
+
+    def place(batches):
+        for b in batches:
+            code = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for s in slots(code):
+                yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int64)), b.column(1)], ["slot", "mask"])
+
+    # one row per filled slot: bounded by the filter's size, whatever was learned
+    filled = map_arrow(grams, place, "slot bigint, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    masks = empty_masks(languages, SLOT_BITS)
+    masks[filled["slot"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64).astype(masks.dtype)
+    return LanguageFilter(languages, masks, counts[0].lang)
 
 
 def predict_language(docs: DataFrame, model: LanguageFilter, *, id_col: str = "doc_id",

@@ -133,7 +133,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE
                 [b.column(0), pa.array([i.astype("<i4").tobytes() for i, _ in got], pa.binary()),
                  pa.array([v.astype("<f4").tobytes() for _, v in got], pa.binary())], ["label", "index", "value"])
 
-    rows = map_arrow(sample.where("label IN (0, 1)").selectExpr("CAST(label AS int) AS label", "text"), run,
+    rows = map_arrow(sample.selectExpr("CAST(label AS int) AS label", "text"), run,
                      "label int, index binary, value binary").collect()
     rows = sorted((r.label, bytes(r["index"]), bytes(r["value"])) for r in rows)
     return fit([(y, np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(float)) for y, i, v in rows],
