@@ -88,9 +88,9 @@ def test_links_find_every_planted_pair(spark):
 
 
 def test_components_of_a_long_chain_and_no_edges(spark):
-    chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(7, 7), (900, 901), (901, 900)], "a long, b long")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(7, 7), (900, 901), (901, 900)], "a long, b long")
     got = {r.node: r.component for r in connected_components(chain).collect()}
-    assert got == {**{i: 0 for i in range(1, 301)}, 901: 900}
+    assert got == {**{i: 0 for i in range(1, 71)}, 901: 900}
     assert connected_components(chain.limit(0)).count() == 0
 
 
