@@ -38,6 +38,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger", default="10 seconds")
     p.add_argument("--available-now", action="store_true", help="take what is there, then end")
     p.add_argument("--distinct", choices=("approx", "exact"), default="approx")
+    p.add_argument("--compact-every", type=int, default=60, help="batches between compactions of the store; 0: never")
     p.add_argument("--max-future-skew", help='for example "1 hour": events further ahead become dead letters')
     p.add_argument("--calendar-days-ahead", type=int, help="quarantine windows outside yesterday .. today + N days")
     return p
@@ -62,7 +63,7 @@ def main(args: list[str] | None = None) -> None:
     cfg = JobConfig(metrics_root=a.metrics_root, checkpoint=a.checkpoint, dlq_path=a.dlq_path, dlq_kafka=dlq_kafka,
                     watermark=a.watermark, length=a.window, slide=a.slide, distinct=a.distinct,
                     trigger={"availableNow": True} if a.available_now else {"processingTime": a.trigger},
-                    progress_path=a.progress_path, calendar_days_ahead=a.calendar_days_ahead,
+                    progress_path=a.progress_path, compact_every=a.compact_every or None, calendar_days_ahead=a.calendar_days_ahead,
                     max_future_skew=a.max_future_skew)
     queries = start(spark, raw, cfg)
     if a.available_now:

@@ -41,6 +41,7 @@ class JobConfig:
     distinct: str = "approx"
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     progress_path: str | None = None       # progress rows of every batch (json)
+    compact_every: int | None = 60         # batches between compactions of the store; None: never
     calendar_days_ahead: int | None = None  # quarantine windows outside the partition calendar
     max_future_skew: str | None = None     # e.g. "1 hour": far-future events -> DLQ
 
@@ -83,12 +84,12 @@ def _name(kind: str) -> str:
 def _sink(spark: SparkSession, cfg: JobConfig, run: int):
     """The sink of a run; with a calendar, that of the batch's own day."""
     if cfg.calendar_days_ahead is None:
-        return MetricsSink(cfg.metrics_root, run)
+        return MetricsSink(cfg.metrics_root, run, None, cfg.compact_every)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         today = batch.sparkSession.sql("SELECT current_date()").first()[0]
         calendar = partition_calendar(batch.sparkSession, today, cfg.calendar_days_ahead)
-        MetricsSink(cfg.metrics_root, run, calendar)(batch, batch_id)
+        MetricsSink(cfg.metrics_root, run, calendar, cfg.compact_every)(batch, batch_id)
     return write
 
 

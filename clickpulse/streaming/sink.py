@@ -33,6 +33,8 @@ from clickpulse import contracts as C
 VALUE_COLS = ["active_users", "cart_additions", "purchases", "cart_abandonment_rate", "updated_at"]
 #: A batch's version is ``run * RUN_STEP + batch_id + 1``; compacted rows have 0.
 RUN_STEP = 1 << 40
+#: Tasks (and files) that a batch has for each day it touches.
+WRITERS_PER_DAY = 4
 
 
 # -- files of the store ------------------------------------------------------
@@ -84,15 +86,16 @@ def manifest(spark: SparkSession, root: str) -> dict:
     return json.loads(_read_text(spark, f"{root}/manifest/{max(versions)}.json"))
 
 
+def _batches(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """(run, batch) of every directory of the changelog."""
+    runs = [n for n in _names(spark, f"{root}/changelog") if n.startswith("run=")]
+    return sorted((int(r[4:]), int(b[9:])) for r in runs for b in _names(spark, f"{root}/changelog/{r}")
+                  if b.startswith("batch_id="))
+
+
 def open_batches(spark: SparkSession, root: str, state: dict) -> list[tuple[int, int]]:
     """(run, batch) of the changelog that the manifest has not folded."""
-    out = []
-    for r in _names(spark, f"{root}/changelog"):
-        if r.startswith("run="):
-            run = int(r[4:])
-            batches = [int(b[9:]) for b in _names(spark, f"{root}/changelog/{r}") if b.startswith("batch_id=")]
-            out += [(run, b) for b in batches if b > state["folded"].get(str(run), -1)]
-    return sorted(out)
+    return [(r, b) for r, b in _batches(spark, root) if b > state["folded"].get(str(r), -1)]
 
 
 def run_id(spark: SparkSession, root: str, checkpoint: str) -> int:
@@ -124,13 +127,16 @@ def to_table_rows(metrics: DataFrame) -> DataFrame:
 
 class MetricsSink:
     """``foreachBatch`` callable: ``writeStream.foreachBatch(MetricsSink(root, run))``.
-    Failures propagate so Spark retries the batch."""
+    Failures propagate so Spark retries the batch.  With ``compact_every`` the
+    changelog is folded after every so many batches, so it stays short."""
 
-    def __init__(self, root: str, run: int, calendar: DataFrame | None = None):
-        self.root, self.run, self.calendar = root.rstrip("/"), run, calendar
+    def __init__(self, root: str, run: int, calendar: DataFrame | None = None, compact_every: int | None = None):
+        self.root, self.run, self.calendar, self.compact_every = root.rstrip("/"), run, calendar, compact_every
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         upsert_metrics(batch_df, batch_id, self.root, self.run, self.calendar)
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            compact_metrics(batch_df.sparkSession, self.root)
 
 
 def upsert_metrics(batch_df: DataFrame, batch_id: int, root: str, run: int = 1,
@@ -149,8 +155,9 @@ def upsert_metrics(batch_df: DataFrame, batch_id: int, root: str, run: int = 1,
             return False
         at = f"run={run}/batch_id={batch_id}"
         good = rows.filter(F.col("reason").isNull()).drop("reason")
-        # few files per day: small days share a writer, a busy day gets several
-        (good.hint("rebalance", "window_date")
+        # a day is written by several tasks at once, but not by all of them
+        writer = F.pmod(F.hash("page_url"), F.lit(WRITERS_PER_DAY))
+        (good.repartition("window_date", writer)
              .sortWithinPartitions(*C.METRICS_PK)
              .write.mode("overwrite").partitionBy("window_date").parquet(f"{root}/changelog/{at}"))
         bad = rows.filter(F.col("reason").isNotNull())
@@ -251,6 +258,8 @@ def compact_metrics(spark: SparkSession, root: str) -> list[dt.date]:
     touched = sorted({d for b in batches for d in _batch_days(spark, root, b)})
     for path in state["garbage"]:  # named by no manifest since the last compaction
         _delete(spark, f"{root}/{path}")
+    for run, batch in set(_batches(spark, root)) - set(batches):  # folded, then replayed: the same rows again
+        _delete(spark, f"{root}/changelog/run={run}/batch_id={batch}")
     if not batches and not state["garbage"]:
         return []
     version, days, garbage = state["version"] + 1, dict(state["days"]), []

@@ -136,7 +136,10 @@ def test_replay_is_idempotent_and_compaction_is_incremental(spark, scratch):
     assert len(days) == 1 and [d for d in now if now[d] != kept[d]] == [days[0].isoformat()]
     after = SK.read_metrics(spark, root)
     assert after.filter("active_users = 999").count() == 1 and after.count() == len(before)
-    # what no manifest names is gone after the next compaction
+    # a folded batch that is replayed changes nothing, and what no manifest
+    # names is gone after the next compaction
+    SK.upsert_metrics(one, 2, root, run=1)
+    assert after.count() == SK.read_metrics(spark, root).count() == len(before)
     SK.compact_metrics(spark, root)
     runs = os.path.join(root, "changelog", "run=1")
     assert not [d for d in os.listdir(runs) if d.startswith("batch_id=")]
@@ -284,7 +287,7 @@ def test_default_mode_and_command_line(spark, scratch):
     _write_file(spark, src, 0, [_payload(t, user=f"u{i}") for i, t in enumerate(times)] + ["{bad"])
     args = ["--source", "parquet", "--source-path", src, "--metrics-root", os.path.join(scratch, "store"),
             "--checkpoint", os.path.join(scratch, "ck"), "--dlq-path", os.path.join(scratch, "dlq"),
-            "--progress-path", os.path.join(scratch, "progress"), "--available-now"]
+            "--progress-path", os.path.join(scratch, "progress"), "--compact-every", "1", "--available-now"]
     assert parser().parse_args(args).distinct == "approx"
     main(args)
     _write_file(spark, src, 1, [_payload("2026-09-18T10:04:59Z", user="late")])
@@ -298,6 +301,8 @@ def test_default_mode_and_command_line(spark, scratch):
     assert j.filter(~within_bound("active_users", "exact")).count() == 0
     assert spark.read.json(os.path.join(scratch, "dlq")).count() == 1
     assert os.listdir(os.path.join(scratch, "store", "changelog")) == ["run=1"]
+    state = SK.manifest(spark, os.path.join(scratch, "store"))
+    assert state["version"] >= 2 and SK.open_batches(spark, os.path.join(scratch, "store"), state) == []
     for bad in (["--metrics-root", "x", "--checkpoint", "y", "--dlq-path", "z"], ["--source", "parquet", *args[4:]]):
         with pytest.raises(SystemExit):
             main(bad)
