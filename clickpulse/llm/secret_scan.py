@@ -1,11 +1,14 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
 A byte-pair vocabulary writes natural words in few tokens and random strings
-in many.  Long runs of key characters that hold letters and digits are
-tokenized; where a token covers fewer than ``MAX_CHARS_PER_TOKEN`` characters
-on average, the run is random.  Digests of usual lengths, UUIDs, dates and
-other known identifiers are not secrets and left out.  Runs that touch a span
-of the fixed patterns are theirs already.
+in many.  Long runs of key characters that hold a letter are tokenized; where
+a token covers fewer than ``MAX_CHARS_PER_TOKEN`` characters on average, the
+run is random.  As words glued to a key raise that average, the pieces of a
+run between its separators are tested as well, the long ones first.  Letters
+of one case have ``ONE_CASE`` of the limit, as rare words in capitals come
+near it; without a digit, separators do not count.  Digests of usual lengths, UUIDs, dates, numbers, alphabets and
+patterns of few letters are not secrets and left out.  What touches a span of
+the fixed patterns is theirs already.
 
 Every row is handled alone, so nothing is shuffled.  Cases: a null or empty
 text has no span; equal spans of different kinds are all reported; repeated
@@ -27,14 +30,20 @@ from clickpulse.llm.common import map_arrow, slices
 
 KINDS = ("assign", "access", "hex", "random")
 MAX_CHARS_PER_TOKEN = 2.0
+ONE_CASE = 0.95
 MIN_RANDOM = 20
+#: A random string without digits has more different letters, and words of
+#: more letters between its separators.
+MIN_LETTERS = 8
 MASK = "[secret]"
 
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that are long enough
 _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RANDOM},}}")
-_MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
+_LETTER, _DIGIT, _WORDS = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]"), re.compile(r"[A-Za-z]+")
+#: The pieces of a run between its separators, the long ones first.
+_PIECES = [re.compile(rf"[A-Za-z0-9+{inner}]{{{MIN_RANDOM},}}") for inner in ("_-", "/=", "")]
 #: Digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512 in either case),
 #: UUIDs, numbers with a short prefix (ISBN-978-3-16-148410-0), and times.
 _KNOWN = re.compile(
@@ -68,18 +77,50 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def listed_letters(run: str) -> bool:
+    """Letters that mostly follow each other in the alphabet, or few of them."""
+    steps = sum(b == a + 1 for a, b in zip(run.encode(), run.encode()[1:]))
+    return len(set(run)) < MIN_LETTERS or 2 * steps >= len(run) - 1
+
+
+def is_random(run: str, encoding, max_ratio: float) -> bool:
+    if not _LETTER.search(run) or _KNOWN.fullmatch(run):
+        return False
+    if _DIGIT.search(run):
+        return len(run) < max_ratio * len(encoding.encode_ordinary(run))
+    # separators between short words cost tokens, so only the letters count
+    words = _WORDS.findall(run)
+    letters = "".join(words)
+    if len(letters) < MIN_LETTERS * len(words) or listed_letters(letters):
+        return False
+    if letters.islower() or letters.isupper():
+        max_ratio *= ONE_CASE
+    return len(letters) < max_ratio * sum(len(encoding.encode_ordinary(w)) for w in words)
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]], encoding, max_ratio: float) -> list[tuple[int, int, int]]:
-    """Runs that the vocabulary covers badly and no base span touches."""
+    """Runs, and pieces of runs, that the vocabulary covers badly and no base
+    span touches; of overlapping ones the first tested."""
     out = []
     for m in _RUN.finditer(text):
-        run = m[0]
-        if not _MIXED.match(run) or _KNOWN.fullmatch(run):
-            continue
-        if any(a < m.end() and m.start() < b for a, _, b in base):
+        if _KNOWN.fullmatch(m[0]):
             continue
-        if len(run) < max_ratio * len(encoding.encode_ordinary(run)):
-            out.append((m.start(), 3, m.end()))
-    return out
+        taken = [(a, b) for a, _, b in base if a < m.end() and m.start() < b]
+        for a, b in _candidates(m):
+            if any(c < b and a < d for c, d in taken):
+                continue
+            if is_random(text[a:b], encoding, max_ratio):
+                taken.append((a, b))
+                out.append((a, 3, b))
+    return sorted(out)
+
+
+def _candidates(run: re.Match) -> dict[tuple[int, int], None]:
+    found = {run.span(): None}
+    for pieces in _PIECES:
+        for m in pieces.finditer(run.string, *run.span()):
+            found[m.span()] = None
+    return found
 
 
 def _listed(spans) -> str:

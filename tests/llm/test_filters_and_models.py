@@ -1,7 +1,9 @@
 import collections
 import hashlib
 import itertools
+import random
 import re
+import string
 import zlib
 
 import duckdb
@@ -94,6 +96,25 @@ def test_token_efficiency_finds_random_strings_only():
         assert not found(text)
 
 
+def test_random_strings_without_digits_and_behind_words():
+    enc = secret_scan._encoding(TIKTOKEN, public_tokenizers.PATTERN)
+    rng = random.Random(6)
+
+    def share(letters, n, before="", after=""):
+        keys = ["".join(rng.choices(letters, k=n)) for _ in range(200)]
+        found = [secret_scan.random_spans(before + k + after, [], enc, 2.0) for k in keys]
+        return np.mean([any(a <= len(before) and b >= len(before) + n for a, _, b in f) for f in found])
+
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    for n in (20, 32, 40):
+        for letters, least in ((low, 0.85), (up, 0.95), (low + up, 0.98), (low + up + digits, 0.98)):
+            for before in ("", "/static/content/download/attachments/", "customer_service_account_", "session="):
+                assert share(letters, n, before, " end") >= least
+    for text in ["ARROW_LEGACY_IPC_FORMAT NOT_BOOL_OR_DICT_OR_FLOAT_OR_INT_OR_STR", "/opt/rocm/libexec/rocm_smi", "=" * 40,
+                 "Kraftfahrzeughaftpflichtversicherung ANTICONSTITUTIONNELLEMENT", "abcdefghijklmnopqrstuvwxyz", "XVXVXVXVXVXVXVXVXVXVXVXV"]:
+        assert not secret_scan.random_spans(text, [], enc, 2.0)
+
+
 def test_redaction_masks_and_keeps_rows(spark):
     rows = [(i, t, None, None, 0) for i, t in enumerate(SECRETS)]
     docs = clashing(frame(spark, rows))
