@@ -12,11 +12,12 @@ any benchmark; each part is one more pass over the documents.  Words that no
 item holds end every match, so only runs of known words that are as long as the
 shortest window are walked.
 
-Cases: a null or empty text has no words and is clean; an item without words or
-without an id never occurs; items of equal text are all reported; repeated
-rows are judged one by one; empty tables give no rows or clean documents;
-other columns of the documents pass through untouched, whatever their names,
-and other columns of the benchmark are not read.
+Cases: a null or empty text has no words and is clean; an item without words
+never occurs; items without an id hit like others and are one null among the
+items, which op7 counts but does not name; items of equal text are all
+reported; repeated rows are judged one by one; empty tables give no rows or
+clean documents; other columns of the documents pass through untouched,
+whatever their names, and other columns of the benchmark are not read.
 """
 
 from __future__ import annotations
@@ -129,6 +130,10 @@ def _machine(items: list, window: int) -> SuffixAutomaton:
     return _machines["is"]
 
 
+def _sorted(items: set) -> list:
+    return sorted(items, key=lambda i: (i is None, i or ""))
+
+
 def _spans(raw: bytes) -> list[list[int]]:
     return np.frombuffer(raw, "<i4").reshape(-1, 2).tolist()
 
@@ -163,13 +168,13 @@ def _run(docs, benchmark, text_col, window, item_col, item_text_col, part_words,
     def add(b, texts, found):
         cols, names = _columns(b, {width})
         rows = [{"n_words": h.n_words, "n_hit": h.n_hit, "spans": np.array(h.spans, "<i4").tobytes(),
-                 "items": sorted(h.items)} for h in found]
+                 "items": _sorted(h.items)} for h in found]
         return pa.RecordBatch.from_arrays([*cols, pa.array(rows, _ARROW)], [*names, hits])
 
     for k, part in enumerate(parts):
         last = k == len(parts) - 1
         items = docs.sparkSession.sparkContext.broadcast(
-            [(r.item_id, words_of(r.text.encode())) for r in part.where("text IS NOT NULL AND item_id IS NOT NULL").collect()])
+            [(r.item_id, words_of(r.text.encode())) for r in part.where("text IS NOT NULL").collect()])
         hits_at = width if k else None
         fn = finish if last else add
         out = map_arrow(out, lambda it, items=items, hits_at=hits_at, fn=fn:
@@ -183,7 +188,7 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                   part_words: int = PART_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, spans (word ranges, pairs
-    of 32-bit integers) and items (ids as text, sorted)."""
+    of 32-bit integers) and items (ids as text, sorted; a null for those without one)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([rows.schema["doc_id"], *_KIND.fields])
 
@@ -191,7 +196,7 @@ def document_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
         return pa.RecordBatch.from_arrays(
             [b.column(0), pa.array([h.n_words for h in found], pa.int64()), pa.array([h.n_hit for h in found], pa.int64()),
              pa.array([np.array(h.spans, "<i4").tobytes() for h in found], pa.binary()),
-             pa.array([sorted(h.items) for h in found], pa.list_(pa.string()))], schema.names)
+             pa.array([_sorted(h.items) for h in found], pa.list_(pa.string()))], schema.names)
 
     return _run(rows, benchmark, "text", window, item_col, item_text_col, part_words, finish, schema)
 

@@ -159,6 +159,28 @@ def test_hits_over_the_tables_match_brute_force(spark):
     assert sum(w[2] > 0 for w in want) > 0
 
 
+@pytest.mark.parametrize("part_words", [10**6, 20])
+def test_items_without_an_id_hit_as_in_the_sql(spark, monkeypatch, part_words):
+    import duckdb
+    import pandas as pd
+    from clickpulse.llm import decontaminate as module, oracles, queries
+    passage, other = (" ".join(f"{c}{i}" for i in range(14)) for c in "qr")
+    docs = [(1, f"before {passage} after", "en", "s", 0), (2, f"{other} {passage}", "en", "s", 0), (3, "nothing of it", "en", "s", 0)]
+    items = [(None, passage), (None, passage + " more"), (7, other), (8, " ".join(f"z{i}" for i in range(40)))]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([d[:2] for d in docs], columns=["doc_id", "text"]))
+    con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]).astype({"item_id": "Int64"}))
+    tables = {"documents": frame(spark, docs), "benchmark": spark.createDataFrame(items, "item_id long, text string")}
+    monkeypatch.setattr(queries, "read_table", lambda spark, sf_dir, name: tables[name])
+    cut = module.document_hits
+    monkeypatch.setattr(module, "document_hits", lambda *a: cut(*a, part_words=part_words))
+    got = queries.QUERIES["op7_decontaminate"](spark, None)
+    assert sorted(map(tuple, got.collect())) == sorted(con.sql(oracles.DECONTAMINATE).fetchall())
+    assert {r.doc_id: r.n_hit for r in got.collect()} == {1: 14, 2: 28, 3: 0}
+    left = {r.doc_id: r.text for r in decontaminate(tables["documents"], tables["benchmark"], max_coverage=0.9, part_words=part_words).collect()}
+    assert left == {1: "before  after", 3: "nothing of it"}
+
+
 def test_decontamination_cuts_spans_and_keeps_the_rest(spark):
     passage = " ".join(f"q{i}" for i in range(12))
     rows = [(1, f"Clean words that stand before it: {passage}! and clean words after it\nnext line, too", "en", "s", 0),
