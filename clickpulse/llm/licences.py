@@ -8,6 +8,12 @@ from ``t / (2 - t)`` to ``(2 - t) / t`` of the template's, so other templates
 are pruned; and a unit whose own bigrams are known to too few templates is
 left out before it is compared at all.
 
+So that a licence of several paragraphs, or inside a line, is found too, every
+run of as many words as a template has is compared with it, whatever the lines:
+the shared bigrams are counted while the window slides, only where enough of
+its bigrams are the template's.  Of windows that overlap each other or a unit
+with a licence, the one with the best coefficient counts.
+
 Every row is scanned alone, so nothing is shuffled.  Cases: a null or empty
 text has no licence; a template of one word has no bigram and never matches;
 of equal coefficients the larger template wins, then the name that sorts
@@ -19,7 +25,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,26 +122,62 @@ class Templates:
     def __init__(self, templates: dict[str, tuple[str, ...]]):
         self.all = sorted(((bigrams(words_of(t)), name) for name, texts in templates.items() for t in texts),
                           key=lambda x: (-x[0].total(), x[1]))
-        self.known = frozenset(g for b, _ in self.all for g in b)
+        self.ids = {g: i for i, g in enumerate(dict.fromkeys(g for b, _ in self.all for g in b))}
         self.sizes = [b.total() for b, _ in self.all]
-
-    def best(self, words: list[str], least: float) -> tuple[float, str] | None:
-        """The template of largest coefficient, if that is ``least`` or more."""
+        #: per template, how often it has each known bigram; the last is for all others
+        self.counts = [np.zeros(len(self.ids) + 1, np.int32) for _ in self.all]
+        for count, (b, _) in zip(self.counts, self.all):
+            for g, n in b.items():
+                count[self.ids[g]] = n
+
+    def known(self, words: list[str]) -> np.ndarray:
+        """Per bigram of the words its number, -1 for an unknown one."""
+        return np.fromiter(map(self.ids.get, zip(words, words[1:]), repeat(-1)), np.int64, max(0, len(words) - 1))
+
+    def best(self, words: list[str], n_known: int, least: float) -> tuple[float, int] | None:
+        """Coefficient and number of the best template, if that is ``least`` or more."""
         n = len(words) - 1
         if n < 1 or not self.all:
             return None
         need = least / (2 - least)
         low, high = need * n - 1e-9, n / need + 1e-9
-        if low > self.sizes[0] or sum(map(self.known.__contains__, zip(words, words[1:]))) < low:
+        if low > self.sizes[0] or n_known < low:
             return None
-        sized = [x for x, size in zip(self.all, self.sizes) if low <= size <= high]
         mine = bigrams(words)
-        score, name = 0.0, None
-        for b, candidate in sized:
-            d = dice(mine, b)
-            if d > score:
-                score, name = d, candidate
-        return (score, name) if score >= least else None
+        score, which = 0.0, 0
+        for k, size in enumerate(self.sizes):
+            if low <= size <= high:
+                d = dice(mine, self.all[k][0])
+                if d > score:
+                    score, which = d, k
+        return (score, which) if score >= least else None
+
+    def windows(self, grams: np.ndarray, least: float):
+        """(coefficient, template, start, end) of the windows of the templates'
+        sizes with ``least`` or more."""
+        total = int(np.count_nonzero(grams >= 0))
+        for k, n in enumerate(self.sizes):
+            if not 0 < n <= len(grams) or total < least * n - 1e-9:
+                continue
+            sums = np.concatenate(([0], np.cumsum(self.counts[k][grams] > 0)))
+            starts = np.flatnonzero(sums[n:] - sums[:-n] >= least * n - 1e-9)
+            left, shared, at = None, 0, -1
+            for s in starts.tolist():
+                if at < 0 or s - at >= n:  # start anew
+                    left = self.counts[k].copy()
+                    inner, outer = grams[s:s + n].tolist(), ()
+                    shared = 0
+                else:
+                    inner, outer = grams[at + n:s + n].tolist(), grams[at:s].tolist()
+                for g in inner:
+                    shared += left[g] > 0
+                    left[g] -= 1
+                for g in outer:
+                    left[g] += 1
+                    shared -= left[g] > 0
+                at = s
+                if shared / n >= least:
+                    yield float(shared / n), k, s, s + n
 
 
 def licences(text: str | None, templates: Templates, least: float = MIN_DICE) -> dict[str, float]:
@@ -142,16 +186,39 @@ def licences(text: str | None, templates: Templates, least: float = MIN_DICE) ->
     if not text:
         return out
     lines = [words_of(x) for x in text.split("\n")]
-    units = list(lines)
+    words = [w for x in lines for w in x]
+    grams = templates.known(words)
+    sums = np.concatenate(([0], np.cumsum(grams >= 0))).tolist()
+    if not sums[-1]:
+        return out
+    units, at = [], 0  # (first word, words)
+    for x in lines:
+        units.append((at, x))
+        at += len(x)
     blocks = _BLANK.split(text)
     if len(lines) > 1:
-        units.append([w for x in lines for w in x])
+        units.append((0, words))
         if len(blocks) > 1:
-            units += [words_of(x) for x in blocks if "\n" in x]
-    for words in units:
-        found = templates.best(words, least)
-        if found and found[0] > out.get(found[1], 0.0):
-            out[found[1]] = found[0]
+            at = 0
+            for x in blocks:
+                n = len(words_of(x))
+                if "\n" in x:
+                    units.append((at, words[at:at + n]))
+                at += n
+    found = []  # (coefficient, template, first bigram, end, is it a unit?)
+    for a, x in units:
+        if len(x) > 1:
+            b = a + len(x) - 1
+            got = templates.best(x, sums[b] - sums[a], least)
+            if got:
+                found.append((*got, a, b, True))
+    found += [(*w, False) for w in templates.windows(grams, least)]
+    taken = np.zeros(len(grams), bool)
+    for score, k, a, b, unit in sorted(found, key=lambda f: (-f[0], f[1], not f[4], f[2])):
+        if unit or not taken[a:b].any():
+            name = templates.all[k][1]
+            out[name] = max(score, out.get(name, 0.0))
+            taken[a:b] = True
     return out
 
 

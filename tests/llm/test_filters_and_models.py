@@ -299,3 +299,43 @@ def test_licences_match_brute_force_without_pruning(spark):
     by = {r.doc_id - 50_000: r.licence for r in got if r.doc_id}
     assert [by[i] for i in range(8)] == ["mit", "mit", "mit", None, "mit", "all-rights-reserved", "cc-by-4.0", by[7]]
     assert licences.scan_licences(frame(spark).limit(0)).count() == 0
+
+
+def test_licences_are_found_across_paragraphs_and_inside_lines():
+    known = licences.Templates(licences.TEMPLATES)
+    mit, bsd, apache = (licences.TEMPLATES[n][1] for n in ("mit", "bsd-2-clause", "apache-2.0"))
+    prose = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(60))
+
+    def layout(text, *before):
+        for x in before:
+            text = text.replace(x, "\n\n" + x)
+        return f"{prose}\n\nCopyright (c) 2021 Example Corp.\n\n{text}\n\n{prose}"
+
+    for name, text in (("mit", layout(mit, "The above copyright", "THE SOFTWARE IS")),
+                       ("bsd-2-clause", layout(bsd, "1. Redis", "2. Redis", "THIS SOFTWARE")),
+                       ("apache-2.0", layout(apache, "http://", "Unless required"))):
+        got = licences.licences(text, known)
+        assert list(got) == [name] and got[name] > 0.99
+    both = licences.licences(layout(mit, "THE SOFTWARE IS") + "\n\n" + layout(bsd, "THIS SOFTWARE"), known)
+    assert sorted(both) == ["bsd-2-clause", "mit"]
+    for text, want in (("Copyright 2020 Foo Inc. All rights reserved.", {"all-rights-reserved": 1.0}),
+                       ("Copyright (c) 2021 Example Corp. Released under the MIT License.", {"mit": 1.0}),
+                       ("This library is released under the MIT License.", {"mit": 1.0}),
+                       (prose + " rights reserved", {}), (mit[:len(mit) // 2] + prose, {})):
+        assert licences.licences(text, known) == want
+
+
+def test_licence_windows_match_brute_force():
+    rng = random.Random(8)
+    templates = {n: (" ".join(rng.choices("abcd", k=k)),) for n, k in (("x", 3), ("y", 7), ("z", 12))}
+    known = licences.Templates(templates)
+    for _ in range(150):
+        words = rng.choices("abcde", k=rng.randint(0, 60))
+        want = set()
+        for k, (b, _) in enumerate(known.all):
+            n = b.total()
+            for s in range(len(words) - n):
+                d = licences.dice(licences.bigrams(words[s:s + n + 1]), b)
+                if d >= 0.8:
+                    want.add((round(d, 9), k, s, s + n))
+        assert {(round(d, 9), *x) for d, *x in known.windows(known.known(words), 0.8)} == want
