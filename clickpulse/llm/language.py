@@ -1,7 +1,8 @@
 """Language identification with a bit-sliced Bloom filter of n-grams.
 
 One filter serves all languages: each of its slots holds a bit mask with one
-bit per language.  An n-gram hashes to ``HASHES`` slots, and the AND of their
+bit per language, in as many words of 64 bits as the languages need (one
+narrower word where that is enough).  An n-gram hashes to ``HASHES`` slots, and the AND of their
 masks is the set of languages that hold it.  A text's windows of ``N``
 characters are looked up, and the hits of every language are counted from the
 masks.  A language whose slice is filled to the share q gets false hits at a
@@ -10,14 +11,16 @@ decides.  The score is its share of all corrected counts.
 
 The n-grams of a language are those of a bounded sample of its documents (not
 held out) that are at least ``MIN_SHARE`` as frequent there as in the language
-that has them most.  They are placed in the filter on the executors, and only
+that has them most, and in ``MIN_DOCS`` documents of it where the sample has
+at least ``MANY_DOCS``: with fewer, every n-gram counts.  They are placed in the filter on the executors, and only
 its slots come to the driver.  Every document is looked up whole, and alone; the filter
-is the only thing sent to the executors, and its size is fixed.
+is the only thing sent to the executors, and its size is fixed by the number
+of languages: 8 MB for each 64.
 
 Cases: a null text and one without a letter are ``und`` with score 0; a text
 with letters but no known n-gram gets the largest language of the sample with
 score 0; so does any text if nothing was learned, as ``und``; ties go to the
-language that sorts first; up to 64 languages are learned, the largest; equal
+language that sorts first; every language with a document is learned; equal
 rows are looked up one by one; an empty table gives no rows; other columns
 are not read.
 """
@@ -33,7 +36,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse.llm.common import held_out, map_arrow, slices
-from clickpulse.llm.sampling import bounded_sample
 
 N = 4
 SLOT_BITS = 20
@@ -42,6 +44,8 @@ HASHES = 3
 SAMPLE_PER_LANGUAGE = 800
 MIN_SHARE = 0.2
 MIN_DOCS = 2
+#: Sampled documents of a language from which on ``MIN_DOCS`` holds.
+MANY_DOCS = 20
 UNKNOWN = "und"
 #: Code points of a text that are looked up at one time.
 CHUNK = 1 << 20
@@ -93,11 +97,17 @@ class LanguageFilter:
     hashes: int = HASHES
 
     def __post_init__(self):
-        self.false_rate = np.array([float(np.mean(self.masks >> self.masks.dtype.type(i) & self.masks.dtype.type(1))) ** self.hashes
+        self.false_rate = np.array([float(np.mean(self.has(self.masks, i))) ** self.hashes
                                     for i in range(len(self.languages))])
 
+    @staticmethod
+    def has(masks: np.ndarray, i: int) -> np.ndarray:
+        """Per row of masks, is language ``i`` among them?"""
+        word = masks if masks.ndim == 1 else masks[:, i // 64]
+        return (word & word.dtype.type(1 << i % 64)) != 0
+
     def lookup(self, code: np.ndarray) -> np.ndarray:
-        """Per n-gram, the mask of the languages that hold it."""
+        """Per n-gram, the mask (or its words) of the languages that hold it."""
         got = None
         for s in slots(code, self.slot_bits, self.hashes):
             m = self.masks[s.astype(np.int64)]
@@ -110,12 +120,11 @@ class LanguageFilter:
         if not self.languages:
             return self.default, 0.0
         n, hits = 0, np.zeros(len(self.languages))
-        one = self.masks.dtype.type(1)
         for code in windows(text):
             got = self.lookup(code)
             n += len(got)
             for i in range(len(hits)):
-                hits[i] += np.count_nonzero(got & (one << self.masks.dtype.type(i)))
+                hits[i] += np.count_nonzero(self.has(got, i))
         real = np.maximum(0.0, (hits - n * self.false_rate) / (1 - self.false_rate))
         total = real.sum()
         if total <= 0:
@@ -126,6 +135,8 @@ class LanguageFilter:
 
 def empty_masks(languages: list[str], slot_bits: int) -> np.ndarray:
     n = len(languages)
+    if n > 64:
+        return np.zeros((1 << slot_bits, -(-n // 64)), np.uint64)
     return np.zeros(1 << slot_bits, np.uint8 if n <= 8 else np.uint16 if n <= 16 else np.uint32 if n <= 32 else np.uint64)
 
 
@@ -134,9 +145,11 @@ def build(grams: list[tuple[int, int]], languages: list[str], default: str, slot
     """The filter of (n-gram code, mask of its languages)."""
     masks = empty_masks(languages, slot_bits)
     code = np.array([g for g, _ in grams], np.int64).view(np.uint64)
-    mask = np.array([m for _, m in grams], np.int64).view(np.uint64).astype(masks.dtype)
-    for s in slots(code, slot_bits, hashes) if len(code) else ():
-        np.bitwise_or.at(masks, s.astype(np.int64), mask)
+    for w in range(-(-len(languages) // 64)):
+        mask = np.array([m >> 64 * w & (1 << 64) - 1 for _, m in grams], np.uint64).astype(masks.dtype)
+        word = masks if masks.ndim == 1 else masks[:, w]
+        for s in slots(code, slot_bits, hashes) if len(code) else ():
+            np.bitwise_or.at(word, s.astype(np.int64), mask)
     return LanguageFilter(languages, masks, default, slot_bits, hashes)
 
 
@@ -146,13 +159,18 @@ def train_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAGE,
     """Learn from the texts and languages of documents that are not held out."""
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).cast("string").alias("text")) \
-        .where("lang IS NOT NULL").where(~held_out("doc_id"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()
+        .where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).where(~held_out("doc_id"))
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     languages = sorted(r.lang for r in counts)
     if not languages:
         return build([], [], UNKNOWN)
-    sample = bounded_sample(known.where(F.col("lang").isin(languages)), "doc_id", "lang", per_language) \
-        .where("text IS NOT NULL")
+    n = {r.lang: r["count"] for r in counts}
+    # a row per language, joined rather than written into expressions, which many languages would make deep
+    about = F.broadcast(docs.sparkSession.createDataFrame(
+        [(x, i // 64, i % 64, float(min(n[x], per_language)), min_docs if n[x] >= MANY_DOCS else 1,
+          min(1.0, per_language / n[x]) * float(1 << 32)) for i, x in enumerate(languages)],
+        "lang string, word int, bit int, used double, least int, below double"))
+    sample = known.join(about, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < F.col("below"))
 
     def run(batches):
         for b in slices(batches):
@@ -166,28 +184,26 @@ def train_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAGE,
                  pa.array(list(count.values()), pa.int64())], ["lang", "gram", "n"])
 
     held = map_arrow(sample.select("lang", "text"), run, "lang string, gram bigint, n bigint") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
-    used = {r.lang: min(r["count"], per_language) for r in counts}
-    rate = F.lit(0.0)
-    bit = F.lit(0)
-    for i, lang in enumerate(languages):
-        rate = F.when(F.col("lang") == lang, F.col("n") / used[lang]).otherwise(rate)
-        bit = F.when(F.col("lang") == lang, i).otherwise(bit)
-    rated = held.select("gram", rate.alias("rate"), F.expr("1L").alias("one"), bit.cast("int").alias("bit"))
-    grams = rated.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("rate", "bit")).alias("of")) \
-        .select("gram", F.expr(f"aggregate(filter(of, x -> x.rate >= {min_share} * most), 0L, "
-                               "(m, x) -> m | shiftleft(1L, x.bit))").alias("mask"))
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).join(about, "lang").where("n >= least")
+    rated = held.select("gram", F.struct((F.col("n") / F.col("used")).alias("rate"), "word", "bit").alias("x"))
+    grams = rated.groupBy("gram").agg(F.max("x.rate").alias("most"), F.collect_list("x").alias("of")) \
+        .select("gram", F.expr(f"filter(of, x -> x.rate >= {min_share} * most)").alias("of")) \
+        .select("gram", "of", F.explode(F.expr("array_distinct(transform(of, x -> x.word))")).alias("word")) \
+        .select("gram", "word", F.expr("aggregate(of, 0L, (m, x) -> "
+                                       "if(x.word = word, m | shiftleft(1L, x.bit), m))").alias("mask"))
 
     def place(batches):
         for b in batches:
             code = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for s in slots(code):
-                yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int64)), b.column(1)], ["slot", "mask"])
+                yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int64)), b.column(1), b.column(2)], ["slot", "word", "mask"])
 
-    # one row per filled slot: bounded by the filter's size, whatever was learned
-    filled = map_arrow(grams, place, "slot bigint, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    # one row per filled slot and word: bounded by the filter's size, whatever was learned
+    filled = map_arrow(grams, place, "slot bigint, word int, mask bigint") \
+        .groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
     masks = empty_masks(languages, SLOT_BITS)
-    masks[filled["slot"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64).astype(masks.dtype)
+    at = filled["slot"].to_numpy() if masks.ndim == 1 else (filled["slot"].to_numpy(), filled["word"].to_numpy())
+    masks[at] = filled["mask"].to_numpy().view(np.uint64).astype(masks.dtype)
     return LanguageFilter(languages, masks, counts[0].lang)
 
 

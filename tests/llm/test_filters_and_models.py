@@ -257,6 +257,20 @@ def test_filter_returns_every_language_of_a_gram():
         assert np.mean(other >> i & 1) == pytest.approx(model.false_rate[i], rel=0.3, abs=1e-3)
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(3)
+    words = {f"l{i:03}": ["".join(rng.choices(string.ascii_lowercase, k=9)) for _ in range(30)] for i in range(150)}
+    rows = []
+    for i, (lang, own) in enumerate(words.items()):  # from one document of a language to thirty
+        ids = [d for d in range(1000 * i, 1000 * i + 200) if not held(d)][:1 if i % 3 else 30]
+        rows += [(d, " ".join(own if len(ids) == 1 else rng.choices(own, k=20)), lang, "s", 0) for d in ids]
+    model = language.train_language(frame(spark, rows))
+    assert model.languages == sorted(words)
+    texts = [(i, " ".join(own[:20]), None, "s", 0) for i, own in enumerate(words.values())]
+    got = {r.doc_id: r.lang_pred for r in language.predict_language(frame(spark, texts), model).collect()}
+    assert got == {i: lang for i, lang in enumerate(words)}
+
+
 def test_windows_do_not_depend_on_chunks(monkeypatch):
     text = "The quick, brown Ünder fox 12 jumps " * 5
     whole = np.concatenate(list(language.windows(text)))
