@@ -34,12 +34,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse.llm.common import map_arrow, slices
+from clickpulse.llm.licence_texts import TEXTS
 
 MIN_DICE = 0.8
 
 #: Public licence texts and the notices that name them.
 TEMPLATES = {
     "all-rights-reserved": ("All rights reserved.",),
+    "agpl-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of
+        the GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
@@ -62,12 +71,44 @@ TEMPLATES = {
         GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
         THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
         ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    "bsd-3-clause": (
+        "Released under the BSD 3-Clause License.",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+        that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must
+        reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor
+        the names of its contributors may be used to endorse or promote products derived from this software without
+        specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+        LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+        IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+        GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+        THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+        ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
     "cc-by-4.0": ("Licensed under CC BY 4.0.",
                   "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "cc-by-nc-4.0": ("Licensed under CC BY-NC 4.0.",
                      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     "cc-by-sa-4.0": ("Licensed under CC BY-SA 4.0.",
                      "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "cc0-1.0": ("Released under CC0 1.0.",
+                "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    "gpl-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version 2 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU General Public License for more details. You should have received a copy of
+        the GNU General Public License along with this program; if not, write to the Free Software
+        Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.""",
+        """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version 2 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU General Public License for more details. You should have received a copy of
+        the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
@@ -85,6 +126,29 @@ TEMPLATES = {
         FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS
         OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING
         OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    "lgpl-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or
+        (at your option) any later version. This library is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of
+        the GNU Lesser General Public License along with this library; if not, write to the Free Software
+        Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA.""",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or
+        (at your option) any later version. This library is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of
+        the GNU Lesser General Public License along with this library. If not, see <https://www.gnu.org/licenses/>."""),
+    "lgpl-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but
+        WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR
+        PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of
+        the GNU Lesser General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""),
     "mit": (
         "Released under the MIT License.",
         """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -97,7 +161,36 @@ TEMPLATES = {
         PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR
         ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
         OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    "mpl-2.0": (
+        "Licensed under the Mozilla Public License, Version 2.0.",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+        not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    "unlicense": (
+        "Released under the Unlicense.",
+        """This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or
+        distribute this software, either in source code form or as a compiled
+        binary, for any purpose, commercial or non-commercial, and by any
+        means.
+        In jurisdictions that recognize copyright laws, the author or authors
+        of this software dedicate any and all copyright interest in the
+        software to the public domain. We make this dedication for the benefit
+        of the public at large and to the detriment of our heirs and
+        successors. We intend this dedication to be an overt act of
+        relinquishment in perpetuity of all present and future rights to this
+        software under copyright law.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+        EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+        IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR
+        OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+        OTHER DEALINGS IN THE SOFTWARE.
+        For more information, please refer to <http://unlicense.org/>"""),
 }
+for _name, _text in TEXTS.items():
+    TEMPLATES[_name] += (_text,)
+
 
 _WORD = re.compile(r"[^\W_]+")
 _BLANK = re.compile(r"\n[^\S\n]*\n\s*")

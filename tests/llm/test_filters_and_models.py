@@ -353,3 +353,15 @@ def test_licence_windows_match_brute_force():
                 if d >= 0.8:
                     want.add((round(d, 9), k, s, s + n))
         assert {(round(d, 9), *x) for d, *x in known.windows(known.known(words), 0.8)} == want
+
+
+def test_relatives_of_a_licence_get_their_own_name():
+    assert {"gpl-2.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0", "mpl-2.0", "bsd-3-clause", "cc0-1.0", "unlicense"} < set(licences.TEMPLATES)
+    known = licences.Templates(licences.TEMPLATES)
+    prose = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(60))
+    for name, texts in licences.TEMPLATES.items():
+        for text in texts:
+            assert licences.licences(text, known) == {name: 1.0}
+            assert licences.licences(f"{prose}\n\n{text}\n\n{prose}", known) == {name: 1.0}
+    holder = licences.TEMPLATES["bsd-3-clause"][1].replace("the copyright holder nor", "the University of Somewhere nor")
+    assert list(licences.licences(holder, known)) == ["bsd-3-clause"]
