@@ -64,4 +64,13 @@ def licences() -> str:
     return _LICENCES.replace("@VALUES@", quoted)
 
 
-ORACLES = {"op5_url_filter": URL_FILTER, "op6_licences": licences(), "op7_decontaminate": DECONTAMINATE}
+# Of equal texts the row of largest id stays; ids are unique in the tables.
+EXACT_DEDUP = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
+  row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(text) AS text_sha256
+FROM docs
+"""
+
+ORACLES = {"op5_url_filter": URL_FILTER, "op6_licences": licences(), "op7_decontaminate": DECONTAMINATE,
+           "op11_exact_dedup": EXACT_DEDUP}

@@ -90,3 +90,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickpulse.llm.quality_rules import quality_verdicts, train_field
     docs = read_table(spark, sf_dir, "documents")
     return quality_verdicts(docs, train_field(docs, read_table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from clickpulse.llm.exact_dedup import exact_copies
+    return exact_copies(read_table(spark, sf_dir, "documents"))
