@@ -58,7 +58,9 @@ def time_spine(counts: DataFrame, step_s: int = STEP_S) -> DataFrame:
     """Every evaluation step from the first to the last in ``counts``,
     generated per day so no single task builds the whole range."""
     b = counts.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    days = b.select("lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("d")).repartition("d")
+    days = b.select("lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("d"))
+    # the number is named: the days are few bytes, and would be put into one task
+    days = days.repartition(int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "d")
     day_lo = F.greatest(_us(F.col("lo")), _us(F.col("d").cast("timestamp")))
     day_hi = F.least(_us(F.col("hi")), _us(F.date_add("d", 1).cast("timestamp")) - 1)
     first = _ceil_step(day_lo, step_s)

@@ -15,6 +15,10 @@ partitioned by ``window_date``, the day of ``window_start``, and the column's
 metadata names the window length and the days there are.  From these follow
 exact bounds on ``window_date`` that prune the scan, whatever the length of a
 window; without the length, a partitioned table is an error, not a guess.
+The metadata also holds the store's zone map, least and greatest ``updated_at``
+of every day: freshness is read from it alone, and the panels on ``updated_at``
+read only the days it cannot rule out.  (An update never takes a row's time
+back, so the greatest time of a day's files is that of its rows.)
 """
 
 from __future__ import annotations
@@ -33,8 +37,39 @@ def _ts(x) -> Column:
     return F.lit(x).cast("timestamp")
 
 
+def _zones(metrics: DataFrame) -> list[dict] | None:
+    """The store's zone map: day, lo, hi (microseconds) and rows (at least)."""
+    if "window_date" not in metrics.columns:
+        return None
+    return metrics.schema["window_date"].metadata.get("zones") or None
+
+
+def _micros(x) -> int | None:
+    """A literal time in microseconds; None for a Column."""
+    if x is None or isinstance(x, Column):
+        return None
+    t = x if isinstance(x, dt.datetime) else dt.datetime.fromisoformat(str(x))
+    t = t.replace(tzinfo=dt.timezone.utc) if t.tzinfo is None else t
+    return (t - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+
+
+def _updated_within(metrics: DataFrame, lo: int | None, hi: int | None) -> DataFrame:
+    """The days that may hold an ``updated_at`` of [lo, hi]."""
+    zones = _zones(metrics)
+    if zones is None or (lo is None and hi is None):
+        return metrics
+    days = [z["day"] for z in zones if (lo is None or z["hi"] >= lo) and (hi is None or z["lo"] <= hi)]
+    if len(days) == len(zones):
+        return metrics
+    if not days:
+        return metrics.filter(F.lit(False))
+    return metrics.filter(F.col("window_date").isin([dt.date.fromisoformat(d) for d in days]))
+
+
 def as_of_default(metrics: DataFrame) -> Column:
-    """Newest update in the table (scalar subquery)."""
+    """Newest update in the table: from the zone map, or a scalar subquery."""
+    if zones := _zones(metrics):
+        return F.timestamp_micros(F.lit(max(z["hi"] for z in zones)))
     return metrics.select(F.max("updated_at")).scalar()
 
 
@@ -102,6 +137,12 @@ def latest_window(metrics: DataFrame, as_of=None) -> DataFrame:
 def _range(metrics: DataFrame, col: str, as_of=None, t_from=None, t_to=None,
            whole: bool = False) -> DataFrame:
     hi = _ts(t_to) if t_to is not None else _as_of(metrics, as_of)
+    if col == "updated_at":
+        end = _micros(t_to if t_to is not None else as_of)
+        if end is None and t_to is None and as_of is None and _zones(metrics):
+            end = max(z["hi"] for z in _zones(metrics))
+        begin = _micros(t_from) if t_from is not None else None if whole or end is None else end - DEFAULT_RANGE // dt.timedelta(microseconds=1)
+        metrics = _updated_within(metrics, begin, end)
     if whole and t_from is None:
         return metrics.filter(F.col(col) <= hi)
     lo = _ts(t_from) if t_from is not None else hi - F.expr("INTERVAL 30 MINUTES")
@@ -171,7 +212,11 @@ def top_pages(metrics: DataFrame, as_of=None, n: int = 15) -> DataFrame:
 # -- engineering dashboard --------------------------------------------------
 
 def freshness_seconds(metrics: DataFrame, as_of=None) -> DataFrame:
+    """Seconds since the newest update; with a zone map no row is read."""
     a = _as_of(metrics, as_of)
+    if zones := _zones(metrics):
+        lag = (F.unix_micros(a) - F.lit(max(z["hi"] for z in zones))) / 1e6
+        return metrics.sparkSession.range(1).select(lag.alias("seconds"))
     lag = (F.unix_micros(a) - F.unix_micros(F.max("updated_at"))) / 1e6
     return metrics.agg(F.coalesce(lag, F.lit(0.0)).alias("seconds"))
 
@@ -204,6 +249,15 @@ def pages_per_window(metrics: DataFrame, as_of=None, t_from=None, t_to=None, who
 
 
 def recent_upserts(metrics: DataFrame, n: int = 5) -> DataFrame:
-    """Operator check: the ``n`` most recently updated rows (PK breaks ties)."""
+    """Operator check: the ``n`` most recently updated rows (PK breaks ties).
+    With a zone map, days are taken from the newest down until they hold ``n``
+    rows; a day whose newest update is older than all of theirs is not read."""
+    have, least = 0, None
+    for z in sorted(_zones(metrics) or [], key=lambda z: (-z["hi"], z["day"])):
+        if have >= n:
+            break
+        have, least = have + z["rows"], z["lo"] if least is None else min(least, z["lo"])
+    if have >= n:
+        metrics = _updated_within(metrics, least, None)
     return metrics.orderBy(F.col("updated_at").desc(), F.col("window_start").desc(),
                            F.col("window_end").desc(), F.col("page_url")).limit(n)

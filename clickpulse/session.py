@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -84,3 +85,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = checkpoint_path(df.sparkSession, f"clickpulse-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for operators
+    whose state is kept by Python code."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    out = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="clickpulse-zip-"), "clickpulse_stream"), "zip",
+                              os.path.dirname(top), os.path.basename(top))
+    sc.addPyFile(out)
+    _shipped.add(sc.applicationId)

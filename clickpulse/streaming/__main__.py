@@ -32,6 +32,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dlq-path", help="folder of a file dead-letter sink")
     p.add_argument("--dlq-topic", help="Kafka topic of dead letters")
     p.add_argument("--progress-path", help="folder of the progress table")
+    p.add_argument("--alerts-path", help="folder of the live alert rules' transitions")
+    p.add_argument("--late-path", help="folder of the rows that the watermark drops")
+    p.add_argument("--totals-path", help="folder of running totals and newest rejections")
+    p.add_argument("--latency-path", help="folder of latency sketches per day")
     p.add_argument("--window", default="60 seconds")
     p.add_argument("--slide", default="10 seconds")
     p.add_argument("--watermark", default="2 minutes")
@@ -64,7 +68,8 @@ def main(args: list[str] | None = None) -> None:
                     watermark=a.watermark, length=a.window, slide=a.slide, distinct=a.distinct,
                     trigger={"availableNow": True} if a.available_now else {"processingTime": a.trigger},
                     progress_path=a.progress_path, compact_every=a.compact_every or None, calendar_days_ahead=a.calendar_days_ahead,
-                    max_future_skew=a.max_future_skew)
+                    max_future_skew=a.max_future_skew, alerts_path=a.alerts_path, late_path=a.late_path,
+                    totals_path=a.totals_path, latency_path=a.latency_path)
     queries = start(spark, raw, cfg)
     if a.available_now:
         for q in queries:

@@ -13,6 +13,8 @@ state and the run id; the process ends when either query ends
 from __future__ import annotations
 
 import json
+import sys
+import threading
 import uuid
 from dataclasses import dataclass, field
 
@@ -23,10 +25,15 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from clickpulse.operators.dlq import to_dlq
 from clickpulse.operators.metrics import page_metrics, parse_events, with_event_time
-from clickpulse.operators.validate import split_valid, with_future_guard, with_stream_validation
+from clickpulse.operators.validate import accept_gate, split_valid, with_future_guard, with_stream_validation
 from clickpulse.sources.records import decode_records
-from clickpulse.streaming.sink import MetricsSink, run_id
+from clickpulse.streaming.alerts import start_alerts
+from clickpulse.streaming.late import start_late
+from clickpulse.streaming.latency import start_latency
+from clickpulse.streaming.sink import MetricsSink, _delete, _fs, _names, run_id
 from clickpulse.streaming.storage import partition_calendar
+from clickpulse.streaming.totals import start_totals
+from clickpulse.streaming.users import exact_page_metrics
 
 
 @dataclass
@@ -41,6 +48,10 @@ class JobConfig:
     distinct: str = "approx"
     trigger: dict = field(default_factory=lambda: {"processingTime": "10 seconds"})
     progress_path: str | None = None       # progress rows of every batch (json)
+    alerts_path: str | None = None         # transitions of the live alert rules
+    late_path: str | None = None           # rows that the watermark drops
+    totals_path: str | None = None         # running totals and newest rejections
+    latency_path: str | None = None        # latency sketches per day
     compact_every: int | None = 60         # batches between compactions of the store; None: never
     calendar_days_ahead: int | None = None  # quarantine windows outside the partition calendar
     max_future_skew: str | None = None     # e.g. "1 hour": far-future events -> DLQ
@@ -49,6 +60,8 @@ class JobConfig:
 def metrics_stream(validated: DataFrame, cfg: JobConfig) -> DataFrame:
     valid, _ = split_valid(validated)
     events = with_event_time(parse_events(valid)).withWatermark("event_time", cfg.watermark)
+    if cfg.distinct == "exact":
+        return exact_page_metrics(events, cfg.length, cfg.slide)
     return page_metrics(events, cfg.length, cfg.slide, distinct=cfg.distinct, streaming=True)
 
 
@@ -57,8 +70,9 @@ def dlq_stream(validated: DataFrame) -> DataFrame:
     return to_dlq(invalid)
 
 
-def start(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the DLQ and metrics queries over a Kafka-shaped raw stream."""
+def start(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> tuple[StreamingQuery, ...]:
+    """Start the DLQ and metrics queries over a Kafka-shaped raw stream, and
+    behind them the queries beside the job that the configuration names."""
     ckpt = cfg.checkpoint.rstrip("/")
     validated = with_stream_validation(decode_records(raw))
     if cfg.max_future_skew:
@@ -74,7 +88,26 @@ def start(spark: SparkSession, raw: DataFrame, cfg: JobConfig) -> tuple[Streamin
                .option("checkpointLocation", f"{ckpt}/metrics").trigger(**cfg.trigger))
     if cfg.progress_path:
         spark.streams.addListener(ProgressTable(spark, cfg.progress_path))
-    return dlq.start(), metrics.start()
+    return dlq.start(), metrics.start(), *_beside(raw, validated, cfg, run)
+
+
+def _beside(raw: DataFrame, validated: DataFrame, cfg: JobConfig, run: int) -> list[StreamingQuery]:
+    ckpt, out = cfg.checkpoint.rstrip("/"), []
+    if cfg.alerts_path or cfg.totals_path:
+        # a record is known by its place in the source
+        place = F.concat_ws("-", F.lpad(F.col("partition").cast("string"), 10, "0"), F.lpad(F.col("offset").cast("string"), 19, "0"))
+        gated = accept_gate(decode_records(raw.withColumns({"received_at": F.col("timestamp"), "src_id": place})))
+    if cfg.alerts_path:
+        out.append(start_alerts(gated, cfg.alerts_path, f"{ckpt}/alerts", trigger=cfg.trigger, name=_name("alerts")))
+    if cfg.totals_path:
+        out.append(start_totals(gated, cfg.totals_path, f"{ckpt}/totals", "received_at", trigger=cfg.trigger, name=_name("totals")))
+    events = with_event_time(parse_events(split_valid(validated)[0]))
+    if cfg.late_path:
+        out.append(start_late(events, cfg.late_path, f"{ckpt}/late", cfg.length, cfg.slide, cfg.watermark, cfg.trigger, _name("late"),
+                              own_batch=cfg.distinct == "exact"))
+    if cfg.latency_path:
+        out.append(start_latency(events, cfg.latency_path, f"{ckpt}/latency", run, trigger=cfg.trigger, name=_name("latency")))
+    return out
 
 
 def _name(kind: str) -> str:
@@ -120,30 +153,91 @@ def _offsets(x):
 
 
 class ProgressTable(StreamingQueryListener):
-    """Appends the progress of every batch of every query to a table, so that
-    none is lost when the engine forgets it."""
+    """Keeps the progress of every batch of every query in a table by date.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    The listener only takes a row into a buffer; a thread of its own writes the
+    buffer as one file per date (every ``flush_rows`` rows or ``flush_s``
+    seconds, and when a query ends) and merges a date's files when there are
+    more than ``max_files``.  A merge leaves rows twice at worst, which reading
+    drops; a driver that dies loses at most the buffer."""
+
+    def __init__(self, spark: SparkSession, path: str, flush_rows: int = 100, flush_s: float = 60, max_files: int = 20):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.flush_rows, self.flush_s, self.max_files = flush_rows, flush_s, max_files
+        self._rows: list[tuple] = []
+        self._lock, self._writing, self._wake = threading.Lock(), threading.Lock(), threading.Event()
+        threading.Thread(target=self._run, daemon=True, name="clickpulse-progress").start()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.spark.createDataFrame([progress_row(event.progress)], PROGRESS_SCHEMA).coalesce(1) \
-            .write.mode("append").json(self.path)
+        self.add(progress_row(event.progress), event.progress.timestamp[:10])
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self._wake.set()
+
+    def add(self, row: tuple, date: str) -> None:
+        with self._lock:
+            self._rows.append((*row, date))
+            full = len(self._rows) >= self.flush_rows
+        if full:
+            self._wake.set()
+
+    def _run(self) -> None:
+        while True:
+            self._wake.wait(self.flush_s)
+            self._wake.clear()
+            try:
+                self.flush()
+            except Exception as e:  # the rows are still held; the next round tries again
+                if self.spark.sparkContext._jsc is None:
+                    return
+                print(f"progress table: {e}", file=sys.stderr)
+
+    def flush(self) -> None:
+        """Write what is buffered, and merge dates of many files."""
+        with self._writing:
+            with self._lock:
+                rows, self._rows = self._rows, []
+            if not rows:
+                return
+            try:
+                self.spark.createDataFrame(rows, PROGRESS_SCHEMA + ", date string").coalesce(1) \
+                    .write.mode("append").partitionBy("date").json(self.path)
+            except BaseException:
+                with self._lock:
+                    self._rows = rows + self._rows
+                raise
+            for date in {r[-1] for r in rows}:
+                self._merge(f"{self.path}/date={date}")
+
+    def _merge(self, folder: str) -> None:
+        fs, p, jvm = _fs(self.spark, folder)
+        old = [n for n in _names(self.spark, folder) if n.endswith(".json")]
+        if len(old) <= self.max_files:
+            return
+        tmp = f"{self.path}/_merge-{uuid.uuid4().hex}"
+        _distinct(self.spark.read.schema(PROGRESS_SCHEMA).json([f"{folder}/{n}" for n in old])).coalesce(1).write.json(tmp)
+        for n in _names(self.spark, tmp):
+            if n.endswith(".json"):
+                fs.rename(jvm.org.apache.hadoop.fs.Path(f"{tmp}/{n}"), jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}"))
+        for n in old:
+            _delete(self.spark, f"{folder}/{n}")
+        _delete(self.spark, tmp)
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    return rows.dropDuplicates(["query", "run_id", "batch_id"])
 
 
 def progress_frame(spark: SparkSession, path: str) -> DataFrame:
     """The recorded progress: batch id, input rows, rows dropped by the
-    watermark, watermark, durations (ms), source offsets."""
-    return spark.read.schema(PROGRESS_SCHEMA).json(path)
+    watermark, watermark, durations (ms), source offsets, date."""
+    return _distinct(spark.read.schema(PROGRESS_SCHEMA + ", date string").json(path))
 
 
 def offsets_frame(progress: DataFrame) -> DataFrame:

@@ -88,6 +88,12 @@ def test_time_spine_spans_days(spark):
     assert spine.select(F.countDistinct("ts")).first()[0] == spine.count()
 
 
+def test_the_spine_of_two_years_is_built_by_many_tasks(spark):
+    ends = spark.sql("SELECT * FROM VALUES (TIMESTAMP '2024-01-01'), (TIMESTAMP '2025-12-31') AS t(ts)").selectExpr("ts", "1L AS accepted", "0L AS rejected")
+    per_task = [r["n"] for r in H.time_spine(ends).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_task) == 730 * 5760 + 1 and max(per_task) < 3 * sum(per_task) / 8
+
+
 def test_publish_keyed_by_session_and_unchanged(spark, scratch):
     acc = accept_gate(load_raw(spark, SF0001)).filter("gate_status = 'accepted'")
     out = os.path.join(scratch, "pub")

@@ -213,14 +213,14 @@ def test_rows_without_a_partition_go_to_quarantine(spark, scratch):
     assert spark.read.parquet(os.path.join(root, "quarantine")).filter("batch_id = 1").first().reason == ST.TOO_LONG
 
 
-def test_retention_deletes_and_stays_deleted(spark, scratch):
+def test_metric_days_are_deleted_only_when_named(spark, scratch):
     root, m = os.path.join(scratch, "store"), _metrics(spark)
     SK.upsert_metrics(m, 0, root, run=1)
     SK.compact_metrics(spark, root)
     SK.upsert_metrics(m, 1, root, run=1)  # old days are in the changelog as well
-    report = {r.partition_date: r.action for r in ST.retention_prune(SK.to_table_rows(m), "window_date", "2024-01-31", 7).collect()}
-    gone = ST.apply_retention(spark, root, "2024-01-31", 7)
-    assert gone == sorted(d for d, a in report.items() if a == "drop") and gone
+    days = {r.window_date for r in SK.to_table_rows(m).select("window_date").distinct().collect()}
+    gone = ST.delete_metric_days(spark, root, "2024-01-24")
+    assert gone == sorted(d for d in days if d < dt.date(2024, 1, 24)) and gone
     want = _rows(m.filter(F.to_date("window_start") >= "2024-01-24"))
     assert _rows(SK.read_metrics(spark, root)) == want
     SK.compact_metrics(spark, root)
@@ -229,19 +229,143 @@ def test_retention_deletes_and_stays_deleted(spark, scratch):
     assert min(left) == "window_date=2024-01-24"
 
 
-def test_snapshot_and_restore_into_the_store(spark, scratch):
-    root, snap, m = os.path.join(scratch, "store"), os.path.join(scratch, "snap"), _metrics(spark)
+def _files(folder):
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns for d, _, ns in os.walk(folder) for n in ns if n.endswith(".parquet")}
+
+
+def test_snapshots_copy_changed_days_only(spark, scratch):
+    root, dumps, m = os.path.join(scratch, "store"), os.path.join(scratch, "dumps"), _metrics(spark)
     SK.upsert_metrics(m, 0, root, run=1)
-    saved = SK.read_metrics(spark, root)
-    ST.snapshot(saved, snap, "2024-02-01")
-    assert ST.fingerprint(ST.restore(spark, snap, "2024-02-01"), KEY + VALS).collect() == ST.fingerprint(saved, KEY + VALS).collect()
-    SK.upsert_metrics(m.withColumn("active_users", F.lit(0).cast("bigint")), 1, root, run=1)  # damage
-    assert ST.restore_store(spark, snap, "2024-02-01", root) == m.count()
-    assert _rows(SK.read_metrics(spark, root)) == _rows(m)
+    copied = ST.snapshot(spark, root, dumps, "2024-02-01")
+    assert copied == sorted(SK.manifest(spark, root)["days"]) and len(copied) > 5
+    first, files = _rows(SK.read_metrics(spark, root)), _files(dumps)
+    one = m.orderBy(*KEY).limit(1).withColumn("active_users", F.lit(999).cast("bigint"))
+    SK.upsert_metrics(one, 1, root, run=1)
+    day = one.select(F.to_date("window_start").cast("string")).first()[0]
+    assert ST.snapshot(spark, root, dumps, "2024-02-02") == [day]  # the second night copies one day
+    second = _rows(SK.read_metrics(spark, root))
+    assert first != second and files.items() <= _files(dumps).items()
+    assert ST.snapshot(spark, root, dumps, "2024-02-03") == []
+    for date, want in (("2024-02-01", first), ("2024-02-02", second)):
+        assert _rows(ST.restore(spark, dumps, date)) == want
+        assert ST.restore_store(spark, dumps, date, root) == len(want)
+        assert _rows(SK.read_metrics(spark, root)) == want
+        SK.compact_metrics(spark, root)
+        assert _rows(SK.read_metrics(spark, root)) == want
+    with pytest.raises(ValueError):
+        ST.restore_store(spark, dumps, "2024-03-01", root)
+    # old dumps go, and with them only the files that no younger dump names
+    assert ST.prune_snapshots(spark, dumps, "2024-02-08") == ([], [])
+    old, gone = ST.prune_snapshots(spark, dumps, "2024-02-09")
+    assert old == ["2024-02-01"] and [os.path.basename(p) for p in gone] == [f"window_date={day}"]
+    assert _rows(ST.restore(spark, dumps, "2024-02-02")) == second
+    assert not ST._differs(ST.restore(spark, dumps, "2024-02-02"), ST.snapshots(spark, dumps)["2024-02-02"]["checks"])
+    with pytest.raises(ValueError):
+        ST.restore(spark, dumps, "2024-02-01")
+
+
+def test_a_damaged_snapshot_leaves_the_store_alone(spark, scratch):
+    root, dumps, m = os.path.join(scratch, "store"), os.path.join(scratch, "dumps"), _metrics(spark)
+    SK.upsert_metrics(m, 0, root, run=1)
+    ST.snapshot(spark, root, dumps, "2024-02-01")
+    os.remove(sorted(_files(dumps))[0])
+    SK.upsert_metrics(m.withColumn("active_users", F.lit(5).cast("bigint")), 1, root, run=1)
+    with pytest.raises(ValueError):
+        ST.restore_store(spark, dumps, "2024-02-01", root)
+    assert {r.active_users for r in SK.read_metrics(spark, root).select("active_users").distinct().collect()} == {5}
+
+
+def test_quarantined_rows_return_once_and_newer_values_stay(spark, scratch):
+    root, m = os.path.join(scratch, "store"), _metrics(spark)
+    long_page = m.orderBy(*KEY).limit(1).withColumn("page_url", F.lit("/" + "x" * 600))
+    SK.upsert_metrics(m.unionByName(long_page), 0, root, run=1, calendar=ST.partition_calendar(spark, "2024-01-10", 3))
+    held = spark.read.parquet(os.path.join(root, "quarantine")).filter(F.col("reason") == ST.NO_PARTITION)
+    n = held.count()
+    newer = m.filter(F.to_date("window_start") == "2024-01-20").withColumn("active_users", F.lit(77).cast("bigint"))
+    SK.upsert_metrics(newer, 1, root, run=1)  # its day exists by now
     SK.compact_metrics(spark, root)
+    part = ST.partition_calendar(spark, "2024-01-20", 3)
+    back = held.filter(F.to_date("window_start").between(F.lit("2024-01-19").cast("date"), F.lit("2024-01-23").cast("date"))).count()
+    assert ST.replay_quarantine(spark, root, part) == back > 0
+    assert ST.replay_quarantine(spark, root, part) == 0  # marked in the manifest
+
+    def right(days):
+        want = m.filter(F.to_date("window_start").isin([dt.date(2024, 1, d) for d in days]))
+        want = want.withColumn("active_users", F.when(F.to_date("window_start") == "2024-01-20", F.lit(77)).otherwise(F.col("active_users")))
+        assert _rows(SK.read_metrics(spark, root)) == _rows(want)
+
+    right([*range(9, 14), *range(19, 24)])
+    assert ST.replay_quarantine(spark, root) == n - back  # every day exists: the rest returns
+    right(range(1, 32))
+    SK.compact_metrics(spark, root)
+    right(range(1, 32))
+    SK.compact_metrics(spark, root)
+    assert ST.replay_quarantine(spark, root) == 0 and not os.listdir(os.path.join(root, "returned"))
+    right(range(1, 32))  # the overlong page never returns
+
+
+def test_every_part_of_the_two_batch_store_is_needed(spark):
+    """metrics_latest and metrics_reader: without batch 0, batch 1 or the
+    compacted days the answer is another one."""
+    from clickpulse.plans import registry as R
+    want = _rows(_metrics(spark))
+    for compact in (False, True):
+        root = R._two_batches(spark, SF0001, compact)
+        state = SK.manifest(spark, root)
+        batches = SK.open_batches(spark, root, state)
+        assert _rows(SK.read_metrics(spark, root)) == want
+        parts = SK._parts(spark, root, state, batches)
+        if compact:
+            assert state["days"] and batches == [(1, 1)] and len(parts) == 2
+            alone = [[p] for p in parts]
+        else:
+            assert not state["days"] and batches == [(1, 0), (1, 1)]
+            alone = [SK._parts(spark, root, state, [b]) for b in batches]
+        for part in alone:
+            rows = SK.latest_metrics(SK._union(part))
+            assert 0 < rows.count() < len(want) or _rows(rows) != want
+        newest = SK.latest_metrics(SK._union(alone[-1]))
+        assert 0 < newest.count() < len(want)  # batch 1 holds the changed groups only
+
+
+def test_a_batch_of_one_day_has_as_many_writers_as_it_needs(spark, scratch, monkeypatch):
+    root, m = os.path.join(scratch, "store"), _metrics(spark).filter(F.to_date("window_start") == "2024-01-10")
+    monkeypatch.setattr(SK, "ROWS_PER_WRITER", 10)
+    SK.upsert_metrics(m, 0, root, run=1)
+    n = m.count()
+    assert len(_files(os.path.join(root, "changelog"))) > min(8, n // 20)
     assert _rows(SK.read_metrics(spark, root)) == _rows(m)
-    with pytest.raises(ValueError):
-        ST.restore_store(spark, snap, "2024-02-02", root)
+
+
+def test_zone_map_prunes_the_panels_on_update_times(spark, scratch):
+    from clickpulse.plans import serving as S
+    root, m = os.path.join(scratch, "store"), _metrics(spark)
+    days = F.to_date("window_start")
+    SK.upsert_metrics(m.filter(days < "2024-01-20"), 0, root, run=1)
+    SK.compact_metrics(spark, root)
+    SK.upsert_metrics(m.filter(days >= "2024-01-20"), 1, root, run=1)
+    store = SK.read_metrics(spark, root)
+    plain = m.withColumn("window_date", days).drop("window_date")
+    now = plain.agg(F.max("updated_at").cast("timestamp_ntz")).first()[0] + dt.timedelta(minutes=7)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    fresh = S.freshness_seconds(store, now)
+    assert "FileScan" not in plan(fresh) and fresh.first() == S.freshness_seconds(plain, now).first()
+    for got, want in ((S.upserts_per_minute(store, now), S.upserts_per_minute(plain, now)),
+                      (S.recent_upserts(store), S.recent_upserts(plain)),
+                      (S.upserts_per_minute(store, "2024-01-15 12:00:00"), S.upserts_per_minute(plain, "2024-01-15 12:00:00")),
+                      (S.upserts_per_minute(store, now, whole=True), S.upserts_per_minute(plain, now, whole=True))):
+        assert [tuple(r[c] for c in want.columns) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    for pruned in (S.upserts_per_minute(store, now), S.recent_upserts(store)):
+        text = plan(pruned)
+        assert "PartitionFilters: [" in text and "window_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert S.upserts_per_minute(store, "2023-01-01").count() == 0
+    # zones that a store does not have: the panels read the rows
+    state = SK.manifest(spark, root)
+    SK._publish(spark, root, {**state, "version": state["version"] + 1, "zones": {}})
+    assert S.freshness_seconds(SK.read_metrics(spark, root), now).first() == S.freshness_seconds(plain, now).first()
 
 
 def test_partition_calendar(spark):
