@@ -84,6 +84,11 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield b.slice(i, rows)
 
 
+def texts_of(column: pa.Array) -> list[str | None]:
+    """The strings of a column; bytes that are no UTF-8 become U+FFFD."""
+    return [None if raw is None else raw.decode("utf-8", "replace") for raw in column.cast(pa.binary()).to_pylist()]
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)

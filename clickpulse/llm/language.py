@@ -9,11 +9,9 @@ masks.  A language whose slice is filled to the share q gets false hits at a
 rate of ``q**HASHES``; the counts are corrected for them, and the largest
 decides.  The score is its share of all corrected counts.
 
-The n-grams of a language are those of a bounded sample of its documents (not
-held out) that are at least ``MIN_SHARE`` as frequent there as in the language
-that has them most, and in ``MIN_DOCS`` documents of it where the sample has
-at least ``MANY_DOCS``: with fewer, every n-gram counts.  They are placed in the filter on the executors, and only
-its slots come to the driver.  Every document is looked up whole, and alone; the filter
+The n-grams of a language are all those of a bounded sample of its documents
+(not held out): the filter denies none that was learned.  They are placed in
+the filter on the executors, and only its slots come to the driver.  Every document is looked up whole, and alone; the filter
 is the only thing sent to the executors, and its size is fixed by the number
 of languages: 8 MB for each 64.
 
@@ -21,7 +19,8 @@ Cases: a null text and one without a letter are ``und`` with score 0; a text
 with letters but no known n-gram gets the largest language of the sample with
 score 0; so does any text if nothing was learned, as ``und``; ties go to the
 language that sorts first; every language with a document is learned; equal
-rows are looked up one by one; an empty table gives no rows; other columns
+rows are looked up one by one; bytes that are no UTF-8 count as U+FFFD, which
+is no letter; an empty table gives no rows; other columns
 are not read.
 """
 
@@ -35,17 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import held_out, map_arrow, slices
+from clickpulse.llm.common import held_out, map_arrow, slices, texts_of
 
 N = 4
 SLOT_BITS = 20
 HASHES = 3
 #: Documents of each language that n-grams are learned from, about.
 SAMPLE_PER_LANGUAGE = 800
-MIN_SHARE = 0.2
-MIN_DOCS = 2
-#: Sampled documents of a language from which on ``MIN_DOCS`` holds.
-MANY_DOCS = 20
 UNKNOWN = "und"
 #: Code points of a text that are looked up at one time.
 CHUNK = 1 << 20
@@ -153,9 +148,8 @@ def build(grams: list[tuple[int, int]], languages: list[str], default: str, slot
     return LanguageFilter(languages, masks, default, slot_bits, hashes)
 
 
-def train_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAGE, min_share: float = MIN_SHARE,
-                   min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text",
-                   lang_col: str = "lang") -> LanguageFilter:
+def train_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id",
+                   text_col: str = "text", lang_col: str = "lang") -> LanguageFilter:
     """Learn from the texts and languages of documents that are not held out."""
     known = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"),
                         F.col(text_col).cast("string").alias("text")) \
@@ -167,30 +161,25 @@ def train_language(docs: DataFrame, *, per_language: int = SAMPLE_PER_LANGUAGE,
     n = {r.lang: r["count"] for r in counts}
     # a row per language, joined rather than written into expressions, which many languages would make deep
     about = F.broadcast(docs.sparkSession.createDataFrame(
-        [(x, i // 64, i % 64, float(min(n[x], per_language)), min_docs if n[x] >= MANY_DOCS else 1,
-          min(1.0, per_language / n[x]) * float(1 << 32)) for i, x in enumerate(languages)],
-        "lang string, word int, bit int, used double, least int, below double"))
-    sample = known.join(about, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < F.col("below"))
+        [(x, i // 64, i % 64, min(1.0, per_language / n[x]) * float(1 << 32)) for i, x in enumerate(languages)],
+        "lang string, word int, bit int, below double"))
+    # rows without an id are told apart by their text
+    own = F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")))
+    sample = known.join(about, "lang").where(F.pmod(own, F.lit(1 << 32)) < F.col("below"))
 
     def run(batches):
         for b in slices(batches):
-            count: dict = {}
-            langs = b.column(0).to_pylist()
-            for lang, text in zip(langs, b.column(1).to_pylist()):
+            found: dict = {}
+            for word, bit, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2))):
                 for g in np.unique(np.concatenate([np.zeros(0, np.uint64), *windows(text)])).view(np.int64).tolist():
-                    count[lang, g] = count.get((lang, g), 0) + 1
+                    found[g, word] = found.get((g, word), 0) | 1 << bit
+            masks = np.array(list(found.values()), np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in count], pa.string()), pa.array([k[1] for k in count], pa.int64()),
-                 pa.array(list(count.values()), pa.int64())], ["lang", "gram", "n"])
-
-    held = map_arrow(sample.select("lang", "text"), run, "lang string, gram bigint, n bigint") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).join(about, "lang").where("n >= least")
-    rated = held.select("gram", F.struct((F.col("n") / F.col("used")).alias("rate"), "word", "bit").alias("x"))
-    grams = rated.groupBy("gram").agg(F.max("x.rate").alias("most"), F.collect_list("x").alias("of")) \
-        .select("gram", F.expr(f"filter(of, x -> x.rate >= {min_share} * most)").alias("of")) \
-        .select("gram", "of", F.explode(F.expr("array_distinct(transform(of, x -> x.word))")).alias("word")) \
-        .select("gram", "word", F.expr("aggregate(of, 0L, (m, x) -> "
-                                       "if(x.word = word, m | shiftleft(1L, x.bit), m))").alias("mask"))
+                [pa.array([k[0] for k in found], pa.int64()), pa.array([k[1] for k in found], pa.int32()),
+                 pa.array(masks, pa.int64())], ["gram", "word", "mask"])
+
+    grams = map_arrow(sample.select("word", "bit", "text"), run, "gram bigint, word int, mask bigint") \
+        .groupBy("gram", "word").agg(F.bit_or("mask").alias("mask"))
 
     def place(batches):
         for b in batches:
@@ -219,7 +208,7 @@ def predict_language(docs: DataFrame, model: LanguageFilter, *, id_col: str = "d
     def run(batches):
         m = sent.value
         for b in slices(batches):
-            got = [m.predict(t) for t in b.column(2).to_pylist()]
+            got = [m.predict(t) for t in texts_of(b.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([x for x, _ in got], pa.string()),
                  pa.array([s for _, s in got], pa.float64())], schema.names)
