@@ -25,9 +25,11 @@ def labelled_documents(docs: DataFrame, labels: DataFrame, label_col: str, per_c
                        id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id") -> DataFrame:
     """label (0 or 1), text of a bounded sample of the labelled documents that
     are not held out.  The sample of the labels is small, so it is what gets sent to
-    the documents."""
+    the documents; of documents that share an id one is taken (the least
+    text), so that the sample is as bounded as the labels."""
     known = labels.select(F.col(label_id).alias("label_id"), F.col(label_col).alias("label")) \
         .where("label IN (0, 1) AND label_id IS NOT NULL").where(~held_out("label_id")).distinct()
     picked = bounded_sample(known, "label_id", "label", per_class)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .join(F.broadcast(picked), F.col("doc_id") == F.col("label_id")).select("doc_id", "label", "text")
+        .join(F.broadcast(picked), F.col("doc_id") == F.col("label_id")) \
+        .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
