@@ -1,9 +1,11 @@
 """Connected components of a large edge list, by alternating star steps.
 
 Each step is a grouped minimum and a join on one vertex, both spread over the
-cluster; a vertex with very many edges is pre-aggregated for the minimum and
-split by the skew join.  The edge list is written to the shared folder after
-each round, so lost executors cost one round at most.
+cluster.  A vertex with very many edges is pre-aggregated for the minimum; the
+minima are written before they are joined, so that both sides of the join are
+plain tables and the skew join can split such a vertex.  Every step's result
+lies in the shared folder, so lost executors cost one step at most.  Steps go
+on until nothing changes.
 """
 
 from __future__ import annotations
@@ -13,15 +15,9 @@ from pyspark.sql import functions as F
 
 from clickpulse.llm.common import remove, stored
 
-MAX_ROUNDS = 60
-
-
-def _stars(arcs: DataFrame, keep) -> DataFrame:
-    """Arcs (u, v) of both directions that ``keep`` selects: link v and u to
-    the smallest vertex around u."""
-    least = arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    near = arcs.where(keep).join(least, "u")
-    return near.select(F.col("v").alias("a"), F.col("m").alias("b"))
+def _handed(arcs: DataFrame, least: DataFrame) -> DataFrame:
+    """Arcs (u, v) as edges (v, m): what is around u goes to its minimum m."""
+    return arcs.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,25 +25,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     smallest vertex reachable, for every vertex but the smallest ones themselves."""
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = stored(pairs, "edges")
-    if pairs.isEmpty():
-        return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     before = (0, None)
-    for _ in range(MAX_ROUNDS):
+    while not pairs.isEmpty():
         known = pairs
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             pairs.select(F.col("b").alias("u"), F.col("a").alias("v")))
         # large star: a vertex hands its larger neighbours to its minimum
-        large = _stars(both, F.col("v") > F.col("u")).where("a <> b").distinct()
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = stored(_handed(both.where("v > u"), least).where("a <> b").distinct(), "star")
         # small star: a vertex hands its smaller neighbours, and itself, over
         small = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        least = small.groupBy("u").agg(F.min("v").alias("m"))
-        handed = small.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        pairs = handed.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
-        pairs = stored(pairs, "edges")
-        remove(known)
-        now = pairs.agg(F.count("*").alias("n"),
-                        F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if tuple(now) == before:
-            return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = tuple(now)
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+        lower = stored(small.groupBy("u").agg(F.min("v").alias("m")), "least")
+        pairs = stored(_handed(small, lower).union(lower.select(F.col("u").alias("a"), F.col("m").alias("b")))
+                       .where("a <> b").distinct(), "edges")
+        for used in (known, least, large, lower):
+            remove(used)
+        now = tuple(pairs.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first())
+        if now == before:
+            break
+        before = now
+    return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))

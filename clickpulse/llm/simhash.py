@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import free_name, map_arrow, slices, stored
+from clickpulse.llm.common import free_name, map_arrow, remove, slices, stored
 from clickpulse.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -163,13 +163,14 @@ def _links(batches, max_bits):
         yield solve(held)
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, many: DataFrame | None = None) -> DataFrame:
     """Distinct ``fps`` (fp) -> (a, b) links whose components are those of all
-    pairs at ``max_bits`` or fewer differing bits."""
+    pairs at ``max_bits`` or fewer differing bits.  ``many``: the written
+    ``frequent`` of the same fingerprints."""
     if max_bits >= 2 * len(SEGMENTS):
         raise ValueError("with three segments, at most 5 bits may differ")
     keyed = variants(fps)
-    many = stored(frequent(fps, block), "frequent")
+    many = stored(frequent(fps, block), "frequent") if many is None else many
     n = many.count()
     group = [F.lit(0).cast("long").alias("pair")]
     if n:
@@ -191,14 +192,20 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     value for the documents of a component) and the columns of ``also``."""
     prints = stored(fingerprints(docs, id_col, text_col, words, also), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    parts = connected_components(links(distinct.select("fp"), max_bits, block))
-    by_fp = distinct.join(parts, distinct["fp"] == parts["node"], "left") \
-        .select("fp", "first", F.coalesce("component", "fp").alias("group_fp"))
-    least = by_fp.groupBy("group_fp").agg(F.min("first").alias("component_id"))
+    many = stored(frequent(distinct.select("fp"), block), "frequent")
+    parts = connected_components(links(distinct.select("fp"), max_bits, block, many))
+    by_fp = stored(distinct.join(parts, distinct["fp"] == parts["node"], "left")
+                   .select("fp", "first", F.coalesce("component", "fp").alias("group_fp")), "groups")
+    # written first: a group of very many fingerprints, and a fingerprint of
+    # very many documents, meet plain tables and are split
+    least = stored(by_fp.groupBy("group_fp").agg(F.min("first").alias("component_id")), "least")
     named = by_fp.select("fp", "group_fp").join(least, "group_fp")
-    return prints.join(named, "fp").select(
+    out = stored(prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group_fp",
-        *(also or {}))
+        *(also or {})), "components")
+    for used in (prints, distinct, many, parts, by_fp, least):
+        remove(used)
+    return out
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
