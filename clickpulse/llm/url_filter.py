@@ -7,7 +7,9 @@ The expressions meet the rules on the first ``PREFIX_HEX`` digits of a SHA-256
 digest, full digests confirm, and the longest rule wins.
 
 Distinct (host, path) pairs are expanded, not pages, so a URL that fills a
-third of the table is looked up once.  A rule list of up to ``BROADCAST_RULES``
+third of the table is looked up once.  The winners are written before the pages
+meet them, so that both sides of that join are plain tables and a hot URL is
+split over tasks; pages without a host are judged without it.  A rule list of up to ``BROADCAST_RULES``
 is broadcast; a longer one is joined by a shuffle with the rules repeated over
 ``SALTS`` salts, as short expressions (a top-level domain) are shared by very
 many URLs.
@@ -24,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.llm.common import stored
+
 #: (host, path, verdict) of the production list.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -99,9 +103,12 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id",
     """One row per page: page_id, host, path, rule (null: none fits), verdict."""
     host, path = url_host_path(F.col(url_col).cast("string"))
     parts = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    won = match_rules(parts.select("host", "path").distinct(), rules, **options)
-    return parts.join(won, ["host", "path"], "left").select(
-        "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    known = parts.where("host <> ''")
+    won = stored(match_rules(known.select("host", "path").distinct(), rules, **options), "winners")
+    named = known.join(won, ["host", "path"], "left").select("page_id", "host", "path", "rule", "verdict")
+    none = F.lit(None).cast("string")
+    rest = parts.where("host = ''").select("page_id", "host", "path", none.alias("rule"), none.alias("verdict"))
+    return named.unionByName(rest).withColumn("verdict", F.coalesce("verdict", F.lit(default)))
 
 
 #: DuckDB twin of the registered query.
