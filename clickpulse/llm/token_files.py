@@ -14,7 +14,8 @@ ids before a part is a prefix sum over the manifest.  A task writes under a
 name of its own attempt and only the manifest makes a file valid, so retries
 and lost executors leave no half-written part behind.
 
-Cases: null and empty texts hold the end id only; null ids come first (the
+Cases: null and empty texts hold the end id only; bytes that are no UTF-8
+count as U+FFFD; null ids come first (the
 manifest counts them); equal ids are ordered by a hash of their text; an
 empty table gives an empty manifest; other columns are not read.
 """
@@ -29,7 +30,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import map_arrow, new_folder, ship, slices
+from clickpulse.llm.common import map_arrow, new_folder, ship, slices, texts_of
 from clickpulse.llm.encoders import encoder
 
 #: Documents that one reading task takes from a part.
@@ -59,7 +60,7 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, *, kind: st
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
         for b in slices(batches):
             ids = b.column(0)
-            raws = [encode(t) + end for t in b.column(1).to_pylist()]
+            raws = [encode(t) + end for t in texts_of(b.column(1))]
             if files is None:
                 store, path = _place(folder)
                 store.create_dir(path, recursive=True)
@@ -127,8 +128,9 @@ def read_token_files(manifest: DataFrame, folder: str, read_docs: int = READ_DOC
                         [pa.array(ids, pa.int64(), mask=null), pa.array(at[:-1] + r["base"]),
                          pa.array(np.diff(at)), pa.array(crc, pa.int64())], schema=out)
 
-    ranges = with_bases(manifest).withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_docs") - 1, F.lit(read_docs).cast("bigint")))) \
-        .repartition("file", "first")
+    ranges = with_bases(manifest).withColumn("first", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_docs") - 1, F.lit(read_docs).cast("bigint"))))
+    # the number is named, as the rows themselves are so small that they would be put into one task
+    ranges = ranges.repartition(max(1, ranges.count()), "file", "first")
     return map_arrow(ranges, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
