@@ -6,16 +6,19 @@ to here that some item holds.  Runs of ``window`` words or more (and whole
 items that are shorter) are hit spans.  Removal takes the hit spans out of the
 text, and drops the document where they cover more than ``max_coverage``.
 
-The benchmark is cut into parts of at most ``part_words`` words, by a running
-sum, and each part has its own automaton, so what a task holds is bounded for
-any benchmark; each part is one more pass over the documents.  Words that no
-item holds end every match, so only runs of known words that are as long as the
-shortest window are walked.
+The benchmark is cut into parts of about ``part_words`` words, by a running
+sum, and each part has its own automaton.  A longer item is cut into pieces
+that overlap by all but one word of a window, so what a task holds is bounded
+for any benchmark.  With one part the documents are walked and finished in one
+pass.  With more, each part is a pass that writes the hits only, under a digest
+of the text, and in the last step documents meet the hits of all parts.  Words
+that no item holds end every match, so only runs of known words that are as
+long as the shortest window are walked.
 
 Cases: a null or empty text has no words and is clean; an item without words
 never occurs; items without an id hit like others and are one null among the
 items, which op7 counts but does not name; items of equal text are all
-reported; repeated rows are judged one by one; empty tables give no rows or
+reported; bytes that are no UTF-8 count as U+FFFD; repeated rows are judged one by one; empty tables give no rows or
 clean documents; other columns of the documents pass through untouched,
 whatever their names, and other columns of the benchmark are not read.
 """
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpulse.llm.automaton import SuffixAutomaton
-from clickpulse.llm.common import free_name, map_arrow, slices, stored
+from clickpulse.llm.common import free_name, map_arrow, remove, slices, stored, texts_of
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -96,20 +99,35 @@ def without_spans(raw: bytes, spans: list[list[int]]) -> bytes:
     return b"".join([*out, raw[done:]])
 
 
-def benchmark_parts(benchmark: DataFrame, part_words: int, item_col: str, text_col: str) -> list[DataFrame]:
-    """The items (item_id text, words of at least one) in parts of bounded size.
+def _pieces(batches, part_words, window):
+    """Items as their words, cut where they are longer than a part."""
+    step = max(part_words, window) - window + 1
+    for b in slices(batches, 16):
+        ids, texts = [], []
+        for name, text in zip(b.column(0).to_pylist(), texts_of(b.column(1))):
+            words = words_of(text.encode() if text else None)
+            for i in range(0, max(1, len(words) - window + 1), step):
+                ids.append(name)
+                texts.append(b" ".join(words[i:i + step + window - 1]).decode())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["item_id", "text"])
+
+
+def benchmark_parts(benchmark: DataFrame, part_words: int, item_col: str, text_col: str, window: int) -> list[DataFrame]:
+    """The items (item_id, words joined by a space) in parts of bounded size.
     The running sum goes over one number per item, in groups of item hashes."""
-    items = stored(benchmark.select(F.col(item_col).cast("string").alias("item_id"),
-                                    F.col(text_col).cast("string").alias("text")), "items")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")) \
+        .where("text IS NOT NULL")
+    items = stored(map_arrow(items, lambda it: _pieces(it, part_words, window), "item_id string, text string"), "items")
     size = F.length("text")
     total = items.agg(F.sum(size)).first()[0] or 0
     if total <= part_words * 2:  # a word is at least a letter and a separator
         return [items]
-    n = -(-total // part_words)
+    n = -(-total // (part_words * 2))
     marked = items.withColumn("group", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     longest = marked.withColumn("before", F.sum(size).over(
         Window.partitionBy("group").orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, -1)))
     marked = stored(longest.withColumn("part", F.floor(F.coalesce("before", F.lit(0)) / (part_words * 2))), "items")
+    remove(items)
     keys = marked.select("group", "part").distinct().orderBy("group", "part").collect()
     return [marked.where((F.col("group") == k.group) & (F.col("part") == k.part)).select("item_id", "text")
             for k in keys]
@@ -117,9 +135,6 @@ def benchmark_parts(benchmark: DataFrame, part_words: int, item_col: str, text_c
 
 _KIND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
                       T.StructField("spans", T.BinaryType()), T.StructField("items", T.ArrayType(T.StringType()))])
-_ARROW = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("spans", pa.binary()),
-                    ("items", pa.list_(pa.string()))])
-
 _machines: dict = {}
 
 
@@ -138,50 +153,57 @@ def _spans(raw: bytes) -> list[list[int]]:
     return np.frombuffer(raw, "<i4").reshape(-1, 2).tolist()
 
 
-def _pass(batches, items, window, text_at, hits_at, finish):
-    """Adds the hits of one automaton to rows; ``finish`` makes the batch."""
+def _walked(batches, items, window, text_at, finish):
+    """The hits of one automaton; ``finish`` makes the batch of them."""
     machine = _machine(items.value, window)
     for b in slices(batches):
-        texts = b.column(text_at).to_pylist()
-        earlier = b.column(hits_at).to_pylist() if hits_at is not None else [None] * len(texts)
-        found = []
-        for text, old in zip(texts, earlier):
-            h = find_hits(words_of(text.encode() if text else None), machine)
-            if old:
-                h = Hits(h.n_words, h.spans + _spans(old["spans"]), h.items | set(old["items"]))
-            found.append(h)
+        texts = texts_of(b.column(text_at))
+        yield finish(b, texts, [find_hits(words_of(t.encode() if t else None), machine) for t in texts])
+
+
+def _met(batches, text_at, finish):
+    """Rows with the hits of all parts in two last columns."""
+    for b in slices(batches):
+        texts = texts_of(b.column(text_at))
+        spans, items = (b.column(b.num_columns - k).to_pylist() for k in (2, 1))
+        found = [Hits(len(words_of(t.encode() if t else None)), [tuple(x) for raw in s or () for x in _spans(raw)],
+                      {x for some in i or () for x in some}) for t, s, i in zip(texts, spans, items)]
         yield finish(b, texts, found)
 
 
-def _columns(b: pa.RecordBatch, leave: set) -> tuple[list, list]:
-    at = [i for i in range(b.num_columns) if i not in leave]
-    return [b.column(i) for i in at], [b.schema.names[i] for i in at]
+def _hit_rows(b, texts, found):
+    at = [k for k, h in enumerate(found) if h.n_hit]
+    return pa.RecordBatch.from_arrays(
+        [b.column(1).take(pa.array(at, pa.int64())), pa.array([np.array(found[k].spans, "<i4").tobytes() for k in at], pa.binary()),
+         pa.array([_sorted(found[k].items) for k in at], pa.list_(pa.string()))], ["digest", "spans", "items"])
 
 
 def _run(docs, benchmark, text_col, window, item_col, item_text_col, part_words, finish, schema):
-    """All passes over ``docs``; the last one ends with ``finish``."""
-    parts = benchmark_parts(benchmark, part_words, item_col, item_text_col)
-    hits = free_name(docs, "hits")
-    out, text_at, width = docs, docs.columns.index(text_col), len(docs.columns)
-    middle = T.StructType([*docs.schema.fields, T.StructField(hits, _KIND)])
-
-    def add(b, texts, found):
-        cols, names = _columns(b, {width})
-        rows = [{"n_words": h.n_words, "n_hit": h.n_hit, "spans": np.array(h.spans, "<i4").tobytes(),
-                 "items": _sorted(h.items)} for h in found]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(rows, _ARROW)], [*names, hits])
-
-    for k, part in enumerate(parts):
-        last = k == len(parts) - 1
-        items = docs.sparkSession.sparkContext.broadcast(
-            [(r.item_id, words_of(r.text.encode())) for r in part.where("text IS NOT NULL").collect()])
-        hits_at = width if k else None
-        fn = finish if last else add
-        out = map_arrow(out, lambda it, items=items, hits_at=hits_at, fn=fn:
-                        _pass(it, items, window, text_at, hits_at, fn), schema if last else middle)
-        if not last:  # one automaton at a time in a task
-            out = stored(out, "hits")
-    return out
+    """The hits of all parts over ``docs``, ended with ``finish``."""
+    spark, text = docs.sparkSession, F.col(f"`{text_col}`").cast("string")
+    parts = benchmark_parts(benchmark, part_words, item_col, item_text_col, window)
+
+    def sent(part):
+        return spark.sparkContext.broadcast([(r.item_id, words_of(r.text.encode())) for r in part.collect()])
+
+    text_at = docs.columns.index(text_col)
+    if len(parts) == 1:
+        items = sent(parts[0])
+        return map_arrow(docs, lambda it: _walked(it, items, window, text_at, finish), schema)
+    rows = docs.select(text.alias("text"), F.sha2(text.cast("binary"), 256).alias("digest"))
+    found = None
+    for part in parts:  # one automaton at a time in a task; a text's copies have the same hits
+        items = sent(part)
+        hits = stored(map_arrow(rows, lambda it, items=items: _walked(it, items, window, 0, _hit_rows),
+                                "digest string, spans binary, items array<string>").dropDuplicates(["digest"]), "hits")
+        found = hits if found is None else found.unionByName(hits)
+    digest, spans, items = (free_name(docs, n) for n in ("digest", "spans", "items"))
+    # few texts have hits; written first, so that a text of very many copies is split
+    merged = stored(found.groupBy(F.col("digest").alias(digest)).agg(F.collect_list("spans").alias(spans),
+                                                                     F.collect_list("items").alias(items)), "hits")
+    met = docs.withColumn(digest, F.sha2(text.cast("binary"), 256)).join(merged, digest, "left") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns], spans, items)
+    return map_arrow(met, lambda it: _met(it, text_at, finish), schema)
 
 
 def document_hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, id_col: str = "doc_id",
