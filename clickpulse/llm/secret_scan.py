@@ -6,12 +6,13 @@ a token covers fewer than ``MAX_CHARS_PER_TOKEN`` characters on average, the
 run is random.  As words glued to a key raise that average, the pieces of a
 run between its separators are tested as well, the long ones first.  Letters
 of one case have ``ONE_CASE`` of the limit, as rare words in capitals come
-near it; without a digit, separators do not count.  Digests of usual lengths, UUIDs, dates, numbers, alphabets and
-patterns of few letters are not secrets and left out.  What touches a span of
+near it; without a digit, separators do not count.  Digests of usual lengths, UUIDs, dates, numbers, alphabets,
+patterns of few letters, and paths, versions and names made of short plain
+pieces are not secrets and left out.  What touches a span of
 the fixed patterns is theirs already.
 
 Every row is handled alone, so nothing is shuffled.  Cases: a null or empty
-text has no span; equal spans of different kinds are all reported; repeated
+text has no span; bytes that are no UTF-8 count as U+FFFD; equal spans of different kinds are all reported; repeated
 rows are scanned one by one; an empty table gives no rows; other columns pass
 through ``redact`` untouched, whatever their names.
 """
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import map_arrow, slices
+from clickpulse.llm.common import map_arrow, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "random")
 MAX_CHARS_PER_TOKEN = 2.0
@@ -52,6 +53,10 @@ _KNOWN = re.compile(
     r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
     r"|[A-Za-z]{0,8}[-_=]?[0-9]+(?:[-_/][0-9]+)*"
     r"|\d{4}-\d\d-\d\dT[0-9]*Z?)")
+#: Paths, versions, names of systems and punycode: short pieces, each of
+#: letters, of digits, or of letters with a number behind or before them.
+_PIECE = r"(?:[A-Za-z]{1,15}|[0-9]{1,8}|[A-Za-z]{1,12}[0-9]{1,4}|[0-9]{1,4}[A-Za-z]{1,4}|[a-z]{1,4}[0-9]{1,2}[a-z]{1,2})"
+_NAMED = re.compile(rf"(?:xn--[a-z0-9]{{1,20}}|[/_=+-]*{_PIECE})(?:[/_=+-]+{_PIECE}){{2,}}[/_=+-]*")
 
 _encodings: dict = {}
 
@@ -84,7 +89,7 @@ def listed_letters(run: str) -> bool:
 
 
 def is_random(run: str, encoding, max_ratio: float) -> bool:
-    if not _LETTER.search(run) or _KNOWN.fullmatch(run):
+    if not _LETTER.search(run) or _KNOWN.fullmatch(run) or _NAMED.fullmatch(run):
         return False
     if _DIGIT.search(run):
         return len(run) < max_ratio * len(encoding.encode_ordinary(run))
@@ -140,7 +145,7 @@ def find_secrets(docs: DataFrame, vocabulary: str, pattern: str, *, id_col: str
         enc = _encoding(vocabulary, pattern)
         for b in slices(batches):
             cols: list[list] = [[] for _ in range(6)]
-            for text in b.column(1).to_pylist():
+            for text in texts_of(b.column(1)):
                 base = base_spans(text or "")
                 more = random_spans(text or "", base, enc, max_chars_per_token)
                 n = [sum(s[1] == k for s in base) for k in range(3)]
@@ -172,7 +177,7 @@ def redact(docs: DataFrame, vocabulary: str, pattern: str, *, text_col: str = "t
     def run(batches):
         enc = _encoding(vocabulary, pattern)
         for b in slices(batches):
-            texts = b.column(at).to_pylist()
+            texts = texts_of(b.column(at))
             for i, text in enumerate(texts):
                 if text:
                     base = base_spans(text)
