@@ -8,12 +8,17 @@ algorithm, and the share of words on content lines decides whether the
 document stays.  The field is trained by maximum likelihood (forward-backward
 gradients) on a bounded sample of labelled documents that are not held out:
 the lines of documents of quality 1 are content, those of quality 0
-boilerplate.
+boilerplate.  Of a sampled document at most ``STRETCHES`` stretches of
+``STRETCH`` lines, evenly spaced, are taken, each as a sequence of its own, so
+that training is bounded for documents of any length.  As no document has both
+labels, stretches of both kinds are also joined in pairs, so that changes of
+label are learned.
 
 Every row is judged alone, so nothing but the sample is shuffled.  Cases: a
 null or empty text has no words and fails the base rules; without labelled
 documents of both classes the base rules decide alone; repeated rows are
-judged one by one; an empty table gives no rows; other columns pass through
+judged one by one; bytes that are no UTF-8 count as U+FFFD; an empty table
+gives no rows; other columns pass through
 ``keep_good`` untouched, whatever their names.
 """
 
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import map_arrow, slices
+from clickpulse.llm.common import map_arrow, slices, texts_of
 from clickpulse.llm.sampling import labelled_documents
 
 MIN_WORDS = 50
@@ -35,6 +40,12 @@ MIN_CONTENT_SHARE = 0.5
 #: Documents of each label that the field is trained on, about.
 SAMPLE_PER_CLASS = 1000
 ITERATIONS = 80
+#: Lines of a training sequence, and sequences of one sampled document at most.
+STRETCH = 256
+STRETCHES = 16
+#: Joined pairs, and lines that either side gives at most.
+JOINED = 300
+JOINED_LINES = 32
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -176,22 +187,25 @@ class LineField:
             out.append(label)
         return out[::-1]
 
-    def train(self, docs: list[tuple[int, np.ndarray]], iterations: int = ITERATIONS, rate: float = 0.3,
+    def train(self, docs: list[tuple], iterations: int = ITERATIONS, rate: float = 0.3,
               decay: float = 1e-3) -> "LineField":
         """Adagrad on the mean log-likelihood per line; ``docs``: (label of all
-        lines, bins of the lines)."""
+        lines or array of their labels, bins of the lines)."""
         docs = sorted((d for d in docs if len(d[1])), key=lambda d: -len(d[1]))
         if not docs:
             return self
         lengths = np.array([len(b) for _, b in docs])
-        gold = np.array([y for y, _ in docs], float)
+        gold = [np.broadcast_to(np.asarray(y, np.int64), len(b)) for y, b in docs]
         n, steps = len(docs), int(lengths[0])
         live = [int((lengths > t).sum()) for t in range(steps)]
         flat = np.concatenate([b[t:t + 1] for t in range(steps) for _, b in docs[:live[t]]])
         at = np.concatenate(([0], np.cumsum(live)))
         total = len(flat)
         cols = np.arange(len(BINS))
-        target = np.concatenate([gold[:live[t]] for t in range(steps)])
+        target = np.array([g[t] for t in range(steps) for g in gold[:live[t]]], float)
+        kept = np.zeros((2, 2))
+        for g in gold:
+            np.add.at(kept, (g[:-1], g[1:]), 1)
         sums = [np.full_like(self.emit, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
         for _ in range(iterations):
             e = self.scores(flat)
@@ -225,7 +239,6 @@ class LineField:
             grad = np.zeros_like(self.emit)
             for k in cols:
                 grad[k] = np.bincount(flat[:, k], weights=gap, minlength=_WIDTH)[:_WIDTH]
-            kept = np.array([[(lengths - 1)[gold == 0].sum(), 0], [0, (lengths - 1)[gold == 1].sum()]], float)
             grads = [grad - decay * self.emit / total, gap[:n].sum(), (kept - moved) / total - decay * self.move / total]
             for i, g in enumerate(grads):
                 sums[i] = sums[i] + np.square(g)
@@ -235,6 +248,27 @@ class LineField:
         return self
 
 
+def stretches(bins: np.ndarray) -> list[np.ndarray]:
+    """The training sequences of a document's lines."""
+    n = len(bins)
+    if n <= STRETCH * STRETCHES:
+        return [bins[i:i + STRETCH] for i in range(0, max(n, 1), STRETCH)]
+    return [bins[i:i + STRETCH] for i in np.linspace(0, n - STRETCH, STRETCHES).astype(int)]
+
+
+def joined(docs: list[tuple[int, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Content before boilerplate and the other way round, in turn."""
+    kinds = [[b[:JOINED_LINES] for y, b in docs if y == k and len(b)] for k in (0, 1)]
+    n = min(JOINED, *map(len, kinds))
+    # evenly spaced, as the documents are sorted by their lines
+    pairs = [[k[int(i)] for i in np.linspace(0, len(k) - 1, n)] if n else [] for k in kinds]
+    out = []
+    for i, two in enumerate(zip(*pairs)):
+        order = (i % 2, 1 - i % 2)
+        out.append((np.concatenate([np.full(len(two[k]), k) for k in order]), np.concatenate([two[k] for k in order])))
+    return out
+
+
 def train_field(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_PER_CLASS,
                 iterations: int = ITERATIONS, id_col: str = "doc_id", text_col: str = "text",
                 label_col: str = "quality") -> LineField | None:
@@ -243,15 +277,17 @@ def train_field(docs: DataFrame, labels: DataFrame, *, per_class: int = SAMPLE_P
 
     def run(batches):
         for b in slices(batches):
-            bins = [describe(t)[2].tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bins, pa.binary())], ["label", "bins"])
+            got = [(y, s.tobytes()) for y, t in zip(b.column(0).to_pylist(), texts_of(b.column(1)))
+                   for s in stretches(describe(t)[2])]
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in got], pa.int32()), pa.array([s for _, s in got], pa.binary())],
+                                             ["label", "bins"])
 
     rows = map_arrow(sample.selectExpr("CAST(label AS int) AS label", "text"), run, "label int, bins binary").collect()
     got = [(int(r.label), np.frombuffer(bytes(r.bins), np.uint8).reshape(-1, len(BINS))) for r in rows]
     got = sorted(((y, b) for y, b in got if y in (0, 1)), key=lambda d: (d[0], len(d[1]), d[1].tobytes()))
     if {y for y, b in got if len(b)} != {0, 1}:
         return None
-    return LineField().train(got, iterations)
+    return LineField().train(got + joined(got), iterations)
 
 
 def judge(text: str | None, field: LineField | None, min_share: float) -> tuple[Counts, float, bool]:
@@ -276,7 +312,7 @@ def quality_verdicts(docs: DataFrame, field: LineField | None, *, min_share: flo
 
     def run(batches):
         for b in slices(batches):
-            got = [judge(t, field, min_share) for t in b.column(1).to_pylist()]
+            got = [judge(t, field, min_share) for t in texts_of(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array([getattr(c, n) for c, _, _ in got], pa.int64()) for n in names),
                  pa.array([c.base_failed for c, _, _ in got]), pa.array([s for _, s, _ in got], pa.float64()),
@@ -292,6 +328,6 @@ def keep_good(docs: DataFrame, field: LineField | None, *, min_share: float = MI
 
     def run(batches):
         for b in slices(batches):
-            yield b.filter(pa.array([judge(t, field, min_share)[2] for t in b.column(at).to_pylist()], pa.bool_()))
+            yield b.filter(pa.array([judge(t, field, min_share)[2] for t in texts_of(b.column(at))], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)
