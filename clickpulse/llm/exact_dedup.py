@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from clickpulse.llm.common import free_name, map_arrow, slices, stored
 
 #: Bytes that a table holds: texts, and ``OVERHEAD`` for each of them.
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 32 << 20
 OVERHEAD = 256
 #: Documents of a part, and parts of a text that meet in one task.
 MEMBERS = 1 << 16

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import map_arrow, slices
+from clickpulse.llm.common import map_arrow, slices, texts_of
 from clickpulse.llm.licence_texts import TEXTS
 
 MIN_DICE = 0.8
@@ -332,7 +332,7 @@ def scan_licences(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPL
             _compiled[key] = Templates(templates)
         known = _compiled[key]
         for b in slices(batches):
-            found = [licences(t, known, least) for t in b.column(1).to_pylist()]
+            found = [licences(t, known, least) for t in texts_of(b.column(1))]
             best = [min(((-d, n) for n, d in f.items()), default=(None, None)) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([n for _, n in best], pa.string()),
