@@ -6,7 +6,8 @@ a token covers fewer than ``MAX_CHARS_PER_TOKEN`` characters on average, the
 run is random.  As words glued to a key raise that average, the pieces of a
 run between its separators are tested as well, the long ones first.  Letters
 of one case have ``ONE_CASE`` of the limit, as rare words in capitals come
-near it; without a digit, separators do not count.  Digests of usual lengths, UUIDs, dates, numbers, alphabets,
+near it; without a digit, separators do not count.  Runs of fewer than
+``LONG_RUN`` characters need a digit and a lower ratio.  Digests of usual lengths, UUIDs, dates, numbers, alphabets,
 patterns of few letters, and paths, versions and names made of short plain
 pieces are not secrets and left out.  What touches a span of
 the fixed patterns is theirs already.
@@ -32,7 +33,9 @@ from clickpulse.llm.common import map_arrow, slices, texts_of
 KINDS = ("assign", "access", "hex", "random")
 MAX_CHARS_PER_TOKEN = 2.0
 ONE_CASE = 0.95
-MIN_RANDOM = 20
+MIN_RANDOM = 16
+#: Runs of fewer characters hold a digit and have ``SHORT`` of the limit.
+LONG_RUN, SHORT = 20, 0.8
 #: A random string without digits has more different letters, and words of
 #: more letters between its separators.
 MIN_LETTERS = 8
@@ -45,10 +48,10 @@ _RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{MIN_RANDOM},}}")
 _LETTER, _DIGIT, _WORDS = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]"), re.compile(r"[A-Za-z]+")
 #: The pieces of a run between its separators, the long ones first.
 _PIECES = [re.compile(rf"[A-Za-z0-9+{inner}]{{{MIN_RANDOM},}}") for inner in ("_-", "/=", "")]
-#: Digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512 in either case),
+#: Digests (64-bit ones, MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512 in either case),
 #: UUIDs, numbers with a short prefix (ISBN-978-3-16-148410-0), and times.
 _KNOWN = re.compile(
-    r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
+    r"(?:[0-9a-f]{16}|[0-9A-F]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128}"
     r"|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128}"
     r"|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
     r"|[A-Za-z]{0,8}[-_=]?[0-9]+(?:[-_/][0-9]+)*"
@@ -91,6 +94,8 @@ def listed_letters(run: str) -> bool:
 def is_random(run: str, encoding, max_ratio: float) -> bool:
     if not _LETTER.search(run) or _KNOWN.fullmatch(run) or _NAMED.fullmatch(run):
         return False
+    if len(run) < LONG_RUN:
+        return bool(_DIGIT.search(run)) and len(run) < SHORT * max_ratio * len(encoding.encode_ordinary(run))
     if _DIGIT.search(run):
         return len(run) < max_ratio * len(encoding.encode_ordinary(run))
     # separators between short words cost tokens, so only the letters count

@@ -204,3 +204,30 @@ def test_op7_digest_columns(spark):
     want = [(d, n, h, len(i.split(",")) if i else 0, hashlib.sha256(i.encode()).hexdigest(), h > 0)
             for d, n, h, i in brute_hits(docs, items, 10)]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_long_items_and_many_parts_leave_no_copies_of_texts(spark):
+    from clickpulse.llm.common import shared_root
+    import os
+    rng = random.Random(8)
+    item = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(3000)]
+    benchmark = spark.createDataFrame([("long", " ".join(item)), *[(f"s{i}", f"only {i} of these words") for i in range(300)]], "item_id string, text string")
+    docs = [(i, " ".join(["before", *item[a:a + 40], "behind", f"only {i} of these words", "filler " * 300]), None, None, 0)
+            for i, a in enumerate(range(0, 2960, 37))]
+    docs += [(1000 + i, docs[0][1], None, None, 0) for i in range(50)] + [(5000, None, None, None, 0), (5001, "clean text", None, None, 0)]
+    df = clashing(frame(spark, docs))
+    root = shared_root(spark)
+    before = {os.path.join(d, n) for d, _, ns in os.walk(root) for n in ns}
+    many = {r.doc_id: r for r in document_hits(df, benchmark, part_words=250).collect()}
+    new = [p for d, _, ns in os.walk(root) for n in ns if (p := os.path.join(d, n)) not in before and n.endswith(".parquet")]
+    assert sum(os.path.getsize(p) for p in new) < sum(len(d[1] or "") for d in docs)  # hits, no texts
+    one = {r.doc_id: r for r in document_hits(df, benchmark).collect()}
+    assert many == one and one[0].n_hit == 45 and one[1049].items == ["long", "s0"] and one[5000].n_words == 0
+    kept = sorted((r.doc_id, r.text or "") for r in decontaminate(df, benchmark, part_words=250).collect())
+    assert kept == sorted((r.doc_id, r.text or "") for r in decontaminate(df, benchmark).collect())
+
+
+def test_components_of_a_hub(spark):
+    edges = spark.range(1, 4000).selectExpr("IF(id % 2 = 0, 0L, id) AS a", "IF(id % 2 = 0, id, 0L) AS b")
+    got = connected_components(edges)
+    assert got.count() == 3999 and got.where("component <> 0").count() == 0

@@ -12,6 +12,7 @@ import pandas as pd
 import pytest
 import public_tokenizers
 
+from clickpulse.llm.common import held_out
 from clickpulse.llm import language, licences, quality_model, quality_rules, secret_scan, url_filter
 from clickpulse.llm.common import read_table
 
@@ -115,6 +116,18 @@ def test_random_strings_without_digits_and_behind_words():
         assert not secret_scan.random_spans(text, [], enc, 2.0)
 
 
+def test_short_random_strings_and_plain_names():
+    enc = secret_scan._encoding(TIKTOKEN, public_tokenizers.PATTERN)
+    rng, letters = random.Random(9), string.ascii_letters + string.digits
+    for n in (16, 17, 18, 19):
+        keys = ["".join(rng.choices(letters, k=n)) for _ in range(200)]
+        assert np.mean([bool(secret_scan.random_spans(f"x {k} y", [], enc, 2.0)) for k in keys]) >= 0.8
+    for name in ("/usr/lib/x86_64-linux-gnu/libstdc++", "v1_0_0_rc1_2024_01_01_build_77", "xn--fiqs8s-1234-abcd-efgh",
+                 "/opt/app/releases/2024-01-02/bin", "python3-numpy-1_26_4-cp312-linux_x86_64", "arm64-v8a/lib/armeabi-v7a",
+                 "00f067aa0ba902b7", "einpfauaueinchpf", "Donaudampfschiff"):
+        assert not secret_scan.random_spans(name, [], enc, 2.0)
+
+
 def test_redaction_masks_and_keeps_rows(spark):
     rows = [(i, t, None, None, 0) for i, t in enumerate(SECRETS)]
     docs = clashing(frame(spark, rows))
@@ -365,3 +378,121 @@ def test_relatives_of_a_licence_get_their_own_name():
             assert licences.licences(f"{prose}\n\n{text}\n\n{prose}", known) == {name: 1.0}
     holder = licences.TEMPLATES["bsd-3-clause"][1].replace("the copyright holder nor", "the University of Somewhere nor")
     assert list(licences.licences(holder, known)) == ["bsd-3-clause"]
+
+
+# ---- no hidden cuts, bytes, bounds
+
+def test_every_learned_gram_is_in_the_filter(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train_language(docs)
+    learned = docs.where("lang IS NOT NULL").where(~held_out("doc_id")).select("lang", "text").collect()
+    n = 0
+    for lang, text in learned:
+        i = model.languages.index(lang)
+        for code in language.windows(text):
+            assert model.has(model.lookup(code), i).all()
+            n += len(code)
+    assert n > 100_000
+
+
+def test_language_scores_match_sets_of_grams(spark):
+    """The whole query against plain sets of windows, without a filter."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang", held_out("doc_id").alias("out")).collect()
+    sets = {}
+    for r in rows:
+        if r.lang is not None and not r.out:
+            for code in language.windows(r.text):
+                sets.setdefault(r.lang, set()).update(code.tolist())
+    langs = sorted(sets)
+    got = {r.doc_id: r for r in language.predict_language(docs, language.train_language(docs)).collect()}
+    for r in rows:
+        codes = [c for code in language.windows(r.text or "") for c in code.tolist()]
+        hits = [sum(c in sets[x] for c in codes) for x in langs]
+        if not any(hits):
+            continue
+        assert abs(got[r.doc_id].score - max(hits) / sum(hits)) < 0.02
+        if sorted(hits)[-1] - sorted(hits)[-2] > 0.02 * len(codes):
+            assert got[r.doc_id].lang_pred == langs[hits.index(max(hits))]
+
+
+def test_quality_scores_match_a_plain_sum(spark):
+    """Scores from dictionaries of n-grams, and words that differ late."""
+    long = "x" * 70
+    texts = ["One two two. 3 !!", f"{long}A b", f"{long}9 b", "", None, "a b a b"]
+    model = quality_model.Model(np.random.default_rng(3).normal(size=1 << 12).astype(np.float32), 0.25, 12)
+
+    def shape(w):
+        out = []
+        for c in w:
+            s = "x" if c.islower() else "X" if c.isupper() else "9" if c.isdigit() else c
+            if not out or out[-1] != s:
+                out.append(s)
+        return "".join(out)
+
+    import xxhash
+
+    def plain(text):
+        words = (text or "").split()
+        mix, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+        w = [xxhash.xxh32_intdigest(x.lower()) for x in words]
+        s = [xxhash.xxh32_intdigest(shape(x), 1) for x in words]
+        grams = w + [(a * 0xC2B2AE3D27D4EB4F + b * 0x165667B19E3779F9) & mask for a, b in zip(w, w[1:])] + [x + (1 << 33) for x in s] \
+            + [(a * 0x100000001B3 + b * 2 + (c == d) + (1 << 62)) & mask for a, b, c, d in zip(s, s[1:], w, w[1:])]
+        count = {}
+        for g in grams:
+            i = (g * mix & mask) >> 52
+            count[i] = count.get(i, 0) + 1
+        norm = sum(count.values()) ** 0.5
+        x = 0.25 + sum(model.weights[i] * n ** 0.5 for i, n in count.items()) / norm if count else 0.25
+        return 1 / (1 + np.exp(-x))
+
+    docs = frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])
+    got = {r.doc_id: r.score for r in quality_model.score_quality(docs, model).collect()}
+    for i, t in enumerate(texts):
+        assert abs(got[i] - plain(t)) < 1e-5
+    assert quality_model._words[(long + "A").encode()] != quality_model._words[(long + "9").encode()]
+
+
+def test_training_is_bounded_for_repeated_ids_and_very_long_documents(spark):
+    import time
+    from clickpulse.llm.sampling import labelled_documents
+    docs = spark.range(20).selectExpr("id AS doc_id", "explode(sequence(1, 500)) AS n").selectExpr("doc_id", "concat('text ', n) AS text")
+    labels = spark.range(20).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    assert labelled_documents(docs, labels, "quality", 5).count() <= 20
+    bins = np.random.default_rng(1).integers(0, 2, (1_000_000, len(quality_rules.BINS))).astype(np.uint8)
+    pieces = quality_rules.stretches(bins)
+    assert len(pieces) == quality_rules.STRETCHES and all(len(p) == quality_rules.STRETCH for p in pieces)
+    t = time.time()
+    quality_rules.LineField().train([(1, p) for p in pieces] + [(0, p + 1) for p in pieces])
+    assert time.time() - t < 30
+
+
+def test_changes_of_label_are_learned(spark):
+    content, bars = "Plain words stand in this line of text.\n" * 12, "| Home | About | Login | #tag |\n" * 12
+    docs = [(1, quality_rules.describe(content)[2])] * 40 + [(0, quality_rules.describe(bars)[2])] * 40
+    field = quality_rules.LineField().train(docs + quality_rules.joined(docs))
+    assert field.decode(quality_rules.describe(content + bars + content)[2]) == [1] * 12 + [0] * 12 + [1] * 12
+
+
+def test_bytes_that_are_no_utf8_end_no_query(spark):
+    from clickpulse.llm import decontaminate, packing, queries, token_files
+    from clickpulse.llm.common import new_folder
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(X'ff61202062fe0a63' AS STRING) AS text UNION ALL SELECT 2L, 'ok text'")
+    sample = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    byte, word = queries.vocabulary("byte_bpe_50k.json"), queries.vocabulary("word_bpe_49k.json")
+    results = [
+        quality_model.score_quality(docs, quality_model.train_quality(sample, labels)), language.predict_language(docs, language.train_language(sample)),
+        packing.pack_documents(docs, byte), licences.scan_licences(docs),
+        decontaminate.document_hits(docs, spark.read.parquet(f"{SF}/benchmark.parquet")),
+        token_files.read_token_files(token_files.write_token_files(docs, word, f := new_folder(spark, "bytes")), f),
+        secret_scan.find_secrets(docs, TIKTOKEN, public_tokenizers.PATTERN), quality_rules.quality_verdicts(docs, None)]
+    for r in results:
+        assert {x.doc_id for x in r.collect()} == {1, 2}
+
+
+def test_a_hot_url_is_spread(spark):
+    pages = spark.range(3000).selectExpr("id AS page_id", "IF(id % 3 = 0, 'http://a.net/hot', IF(id % 3 = 1, NULL, concat('http://h', id, '.org/fr/x'))) AS url")
+    got = url_filter.filter_urls(pages, url_filter.rule_table(spark)).groupBy("verdict", "rule").count().collect()
+    assert sorted(map(tuple, got), key=repr) == [("allow", None, 1000), ("allow", "org/fr/", 1000), ("block", "net/", 1000)]

@@ -93,6 +93,24 @@ def test_packed_documents_are_whole_and_sequences_gapless(spark, group):
     assert padding == 0
 
 
+def test_small_partitions_leave_few_stubs(spark):
+    docs = spark.range(0, 1000, 1, 200).selectExpr("id AS doc_id", "repeat(concat('some words of text ', id, ' '), CAST(5 + id % 40 AS INT)) AS text")
+    got = pack_documents(docs, BYTE)
+    sizes = [r["n"] for r in got.groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
+    assert sum(n < 1024 for n in sizes) <= max(10, 0.02 * len(sizes)) and all(n & (n - 1) == 0 for n in sizes)
+    whole = got.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t"))
+    assert whole.count() == 1000 and whole.where("n <> t").count() == 0
+
+
+def test_ranges_are_read_by_many_tasks(spark):
+    docs = spark.range(0, 400, 1, 4).selectExpr("id AS doc_id", "concat('words ', id) AS text")
+    folder = new_folder(spark, "ranges")
+    manifest = write_token_files(docs, WORD, folder)
+    read = read_token_files(manifest, folder, read_docs=10)
+    per_task = [r["n"] for r in read.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(per_task) == 400 and len(per_task) > 8 and max(per_task) < 0.3 * 400
+
+
 def test_packing_of_an_empty_table_and_of_repeats(spark):
     docs = frame(spark)
     assert pack_documents(docs.limit(0), BYTE).count() == 0
