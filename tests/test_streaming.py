@@ -50,7 +50,8 @@ def _batch_rows(spark, folder):
     return spark.read.parquet(folder).collect()
 
 
-def test_late_data_rule(spark, scratch):
+@pytest.mark.parametrize("distinct", ["approx", "exact"])
+def test_late_data_rule(spark, scratch, distinct):
     src = os.path.join(scratch, "in")
     os.makedirs(src)
     files = [["2026-09-18T10:00:05Z"], ["2026-09-18T10:10:00Z"], ["2026-09-18T10:10:01Z"],
@@ -59,7 +60,7 @@ def test_late_data_rule(spark, scratch):
         _write_file(spark, src, i, [_payload(t) for t in ts])
     root = os.path.join(scratch, "out")
     progress = os.path.join(scratch, "progress")
-    _, mq = _run(spark, src, root, os.path.join(scratch, "ck"), max_files=1, progress_path=progress)
+    _, mq = _run(spark, src, root, os.path.join(scratch, "ck"), distinct, max_files=1, progress_path=progress)
     b3 = spark.read.parquet(os.path.join(root, "store", "changelog")).filter("batch_id = 3")
     starts = sorted(r.window_start.strftime("%H:%M:%S") for r in b3.collect())
     assert starts == ["10:07:10", "10:07:20", "10:07:30", "10:07:40", "10:07:50",
@@ -72,7 +73,8 @@ def test_late_data_rule(spark, scratch):
             break
         time.sleep(0.2)
     assert {r.batch_id for r in seen.collect()} >= {0, 1, 2, 3}
-    assert seen.filter("rows_dropped_by_watermark > 0").count() >= 1
+    if distinct == "approx":  # the engine drops rows; exact users judge them window by window
+        assert seen.filter("rows_dropped_by_watermark > 0").count() >= 1
 
 
 def test_stream_batch_parity_restart_and_dlq(spark, scratch):
@@ -295,7 +297,7 @@ def test_quarantined_rows_return_once_and_newer_values_stay(spark, scratch):
         assert _rows(SK.read_metrics(spark, root)) == _rows(want)
 
     right([*range(9, 14), *range(19, 24)])
-    assert ST.replay_quarantine(spark, root) == n - back  # every day exists: the rest returns
+    assert ST.replay_quarantine(spark, root) == n - back - 1  # every day exists: the rest returns, but for the overlong page
     right(range(1, 32))
     SK.compact_metrics(spark, root)
     right(range(1, 32))
