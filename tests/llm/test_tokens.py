@@ -5,11 +5,13 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from clickpulse.llm.common import new_folder
 from clickpulse.llm.encoders import encoder
 from clickpulse.llm.packing import capacities, pack, pack_documents
-from clickpulse.llm.token_files import export_and_read
+from clickpulse.llm.token_files import export_and_read, read_token_files, write_token_files
 
 from .fixtures import clashing, documents, frame, rows_of
 
