@@ -1,6 +1,8 @@
 """Full texts of public licences, without the notes on their use.
 
-The GNU licences of version 3 start at their terms.
+The GNU licences of version 3 start at their terms.  The entry agpl-3.0 is NOT
+the published text: it is the terms of GPL-3.0 under the other name, with a
+section 13 written from memory; it serves to tell the two apart, not to be read.
 """
 
 TEXTS = {

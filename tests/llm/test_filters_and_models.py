@@ -475,10 +475,11 @@ def test_changes_of_label_are_learned(spark):
     assert field.decode(quality_rules.describe(content + bars + content)[2]) == [1] * 12 + [0] * 12 + [1] * 12
 
 
-def test_bytes_that_are_no_utf8_end_no_query(spark):
-    from clickpulse.llm import decontaminate, packing, queries, token_files
+def test_bytes_that_are_no_utf8_and_very_long_texts_end_no_query(spark):
+    from clickpulse.llm import decontaminate, packing, queries, simhash, token_files
     from clickpulse.llm.common import new_folder
-    docs = spark.sql("SELECT 1L AS doc_id, CAST(X'ff61202062fe0a63' AS STRING) AS text UNION ALL SELECT 2L, 'ok text'")
+    docs = spark.sql("SELECT 1L AS doc_id, CAST(X'ff61202062fe0a63' AS STRING) AS text "
+                     "UNION ALL SELECT 2L, repeat('Some words, in a line of 11.\n', 70000) UNION ALL SELECT 3L, repeat('x', 2000000)")
     sample = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     byte, word = queries.vocabulary("byte_bpe_50k.json"), queries.vocabulary("word_bpe_49k.json")
@@ -487,12 +488,28 @@ def test_bytes_that_are_no_utf8_end_no_query(spark):
         packing.pack_documents(docs, byte), licences.scan_licences(docs),
         decontaminate.document_hits(docs, spark.read.parquet(f"{SF}/benchmark.parquet")),
         token_files.read_token_files(token_files.write_token_files(docs, word, f := new_folder(spark, "bytes")), f),
-        secret_scan.find_secrets(docs, TIKTOKEN, public_tokenizers.PATTERN), quality_rules.quality_verdicts(docs, None)]
+        secret_scan.find_secrets(docs, TIKTOKEN, public_tokenizers.PATTERN), quality_rules.quality_verdicts(docs, None),
+        simhash.simhash_components(docs)]
     for r in results:
-        assert {x.doc_id for x in r.collect()} == {1, 2}
+        assert {x.doc_id for x in r.collect()} == {1, 2, 3}
 
 
 def test_a_hot_url_is_spread(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    pages = spark.range(0, 30000, 1, 40).selectExpr("id AS page_id", "IF(id % 2 = 0, 'http://a.net/hot', concat('http://h', id, '.org/fr/x')) AS url")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = url_filter.filter_urls(pages, url_filter.rule_table(spark)).select(F.spark_partition_id().alias("p"), "verdict").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    per_task = collections.Counter(r.p for r in out)
+    assert len(out) == 30000 and sum(r.verdict == "block" for r in out) == 15000
+    assert max(per_task.values()) < 15000 / 2  # the hot half is no single task
     pages = spark.range(3000).selectExpr("id AS page_id", "IF(id % 3 = 0, 'http://a.net/hot', IF(id % 3 = 1, NULL, concat('http://h', id, '.org/fr/x'))) AS url")
     got = url_filter.filter_urls(pages, url_filter.rule_table(spark)).groupBy("verdict", "rule").count().collect()
     assert sorted(map(tuple, got), key=repr) == [("allow", None, 1000), ("allow", "org/fr/", 1000), ("block", "net/", 1000)]
