@@ -218,12 +218,12 @@ def test_long_items_and_many_parts_leave_no_copies_of_texts(spark):
     df = clashing(frame(spark, docs))
     root = shared_root(spark)
     before = {os.path.join(d, n) for d, _, ns in os.walk(root) for n in ns}
-    many = {r.doc_id: r for r in document_hits(df, benchmark, part_words=250).collect()}
+    many = {r.doc_id: r for r in document_hits(df, benchmark, part_words=2000).collect()}
     new = [p for d, _, ns in os.walk(root) for n in ns if (p := os.path.join(d, n)) not in before and n.endswith(".parquet")]
     assert sum(os.path.getsize(p) for p in new) < sum(len(d[1] or "") for d in docs)  # hits, no texts
     one = {r.doc_id: r for r in document_hits(df, benchmark).collect()}
     assert many == one and one[0].n_hit == 45 and one[1049].items == ["long", "s0"] and one[5000].n_words == 0
-    kept = sorted((r.doc_id, r.text or "") for r in decontaminate(df, benchmark, part_words=250).collect())
+    kept = sorted((r.doc_id, r.text or "") for r in decontaminate(df, benchmark, part_words=2000).collect())
     assert kept == sorted((r.doc_id, r.text or "") for r in decontaminate(df, benchmark).collect())
 
 
