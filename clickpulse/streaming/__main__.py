@@ -55,6 +55,8 @@ def main(args: list[str] | None = None) -> None:
         p.error("a kafka source needs --bootstrap, a file source --source-path")
     if bool(a.dlq_path) == bool(a.dlq_topic):
         p.error("name one of --dlq-path and --dlq-topic")
+    if a.available_now and a.alerts_path:
+        p.error("alerts are rules over time: they need a job that goes on")
     spark = get_spark(a.master, app="clickpulse-stream")
     if a.source == "kafka":
         options = kafka_options(a.bootstrap, a.topic, a.security_protocol, a.sasl_mechanism, a.jaas_config,

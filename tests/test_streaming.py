@@ -413,7 +413,8 @@ def test_default_mode_and_command_line(spark, scratch):
     _write_file(spark, src, 0, [_payload(t, user=f"u{i}") for i, t in enumerate(times)] + ["{bad"])
     args = ["--source", "parquet", "--source-path", src, "--metrics-root", os.path.join(scratch, "store"),
             "--checkpoint", os.path.join(scratch, "ck"), "--dlq-path", os.path.join(scratch, "dlq"),
-            "--progress-path", os.path.join(scratch, "progress"), "--compact-every", "1", "--available-now"]
+            "--progress-path", os.path.join(scratch, "progress"), "--compact-every", "1", "--available-now",
+            *(x for n in ("late", "totals", "latency") for x in (f"--{n}-path", os.path.join(scratch, n)))]
     assert parser().parse_args(args).distinct == "approx"
     main(args)
     _write_file(spark, src, 1, [_payload("2026-09-18T10:04:59Z", user="late")])
@@ -429,7 +430,13 @@ def test_default_mode_and_command_line(spark, scratch):
     assert os.listdir(os.path.join(scratch, "store", "changelog")) == ["run=1"]
     state = SK.manifest(spark, os.path.join(scratch, "store"))
     assert state["version"] >= 2 and SK.open_batches(spark, os.path.join(scratch, "store"), state) == []
-    for bad in (["--metrics-root", "x", "--checkpoint", "y", "--dlq-path", "z"], ["--source", "parquet", *args[4:]]):
+    from clickpulse.streaming.latency import latency_quantiles, read_latency
+    from clickpulse.streaming.totals import read_totals
+    assert read_totals(spark, os.path.join(scratch, "totals"), "totals").first()[:] == (101, 0, 0, 1)
+    assert latency_quantiles(read_latency(spark, os.path.join(scratch, "latency"))).first()["events"] == 101
+    assert spark.read.parquet(os.path.join(scratch, "late")).count() == 0  # nothing came late
+    for bad in (["--metrics-root", "x", "--checkpoint", "y", "--dlq-path", "z"], ["--source", "parquet", *args[4:]],
+                [*args, "--alerts-path", "a"]):
         with pytest.raises(SystemExit):
             main(bad)
 
