@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import free_name, map_arrow, remove, slices, stored
+from clickpulse.llm.common import files_for, free_name, map_arrow, remove, slices, stored
 from clickpulse.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -184,28 +184,36 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, many: Da
     return map_arrow(rows, lambda it: _links(it, max_bits), "a bigint, b bigint")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, block: int = BLOCK,
-                       also: dict | None = None) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id
-    (smallest id reachable over links, its own included), group_fp (the same
-    value for the documents of a component) and the columns of ``also``."""
+def _marked(docs, id_col, text_col, words=SHINGLE_WORDS, max_bits=MAX_BITS, block=BLOCK, also=None) -> tuple[DataFrame, int]:
+    """The rows of ``simhash_components``, and a number of partitions that
+    suits rows of ``docs``: as many as they were read in, but work for every core."""
     prints = stored(fingerprints(docs, id_col, text_col, words, also), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct", files_for(prints.count()))
+    n = distinct.count()
     many = stored(frequent(distinct.select("fp"), block), "frequent")
-    parts = connected_components(links(distinct.select("fp"), max_bits, block, many))
+    parts = connected_components(links(distinct.select("fp"), max_bits, block, many), n)
     by_fp = stored(distinct.join(parts, distinct["fp"] == parts["node"], "left")
-                   .select("fp", "first", F.coalesce("component", "fp").alias("group_fp")), "groups")
+                   .select("fp", "first", F.coalesce("component", "fp").alias("group_fp")), "groups", files_for(n))
     # written first: a group of very many fingerprints, and a fingerprint of
     # very many documents, meet plain tables and are split
-    least = stored(by_fp.groupBy("group_fp").agg(F.min("first").alias("component_id")), "least")
+    least = stored(by_fp.groupBy("group_fp").agg(F.min("first").alias("component_id")), "least", files_for(n))
     named = by_fp.select("fp", "group_fp").join(least, "group_fp")
+    read_in = max(len(prints.inputFiles()), docs.sparkSession.sparkContext.defaultParallelism)
     out = stored(prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group_fp",
-        *(also or {})), "components")
+        *(also or {})), "components", read_in)
     for used in (prints, distinct, many, parts, by_fp, least):
         remove(used)
-    return out
+    return out, read_in
+
+
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, block: int = BLOCK,
+                       also: dict | None = None) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id
+    (smallest id reachable over links, its own included), group_fp (the same
+    value for the documents of a component) and the columns of ``also``."""
+    return _marked(docs, id_col, text_col, words, max_bits, block, also)[0]
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -213,13 +221,13 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (nulls last), then smallest text hash.  Returns the columns of ``docs``."""
     hashed = F.xxhash64(F.col(text_col).cast("string"))
     kept_id, kept_hash = free_name(docs, "kept_id"), free_name(docs, "kept_hash")
-    marked = simhash_components(docs, id_col, text_col, also={"text_hash": hashed}, **options)
+    marked, read_in = _marked(docs, id_col, text_col, also={"text_hash": hashed}, **options)
     keep = marked.groupBy("group_fp").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash")).alias("k")) \
         .select(F.col("k.doc_id").alias(kept_id), F.col("k.text_hash").alias(kept_hash))
     stay = docs.join(keep, F.col(id_col).eqNullSafe(F.col(kept_id)) & (hashed == F.col(kept_hash)), "left_semi")
     # rows repeated in id and text: one of them stays
     repeated = marked.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return stay
-    return stay.withColumn(kept_hash, hashed).dropDuplicates([id_col, kept_hash]).drop(kept_hash)
+    if repeated:
+        stay = stay.withColumn(kept_hash, hashed).dropDuplicates([id_col, kept_hash]).drop(kept_hash)
+    return stay.coalesce(read_in)

@@ -231,3 +231,24 @@ def test_components_of_a_hub(spark):
     edges = spark.range(1, 4000).selectExpr("IF(id % 2 = 0, 0L, id) AS a", "IF(id % 2 = 0, id, 0L) AS b")
     got = connected_components(edges)
     assert got.count() == 3999 and got.where("component <> 0").count() == 0
+
+
+def test_small_tables_have_few_files(spark):
+    """However many partitions a shuffle has: components of 300 edges and the
+    rows of 200 documents are not written to hundreds of files."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        edges = spark.createDataFrame([(3 * i + j, 3 * i + j + 1) for i in range(150) for j in (0, 1)], "a long, b long")
+        parts = connected_components(edges)
+        assert rows_of(parts) == sorted([(3 * i + j, 3 * i) for i in range(150) for j in (1, 2)], key=repr)
+        assert len(parts.inputFiles()) == 1
+        cores = spark.sparkContext.defaultParallelism
+        docs = frame(spark)
+        assert len(simhash_components(docs).inputFiles()) <= max(3, cores)
+        assert one_per_group(docs.dropDuplicates(["doc_id", "text"]).repartition(3)).rdd.getNumPartitions() <= max(3, cores)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
