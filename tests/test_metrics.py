@@ -99,3 +99,28 @@ def test_validation_computed_once(spark):
     v = route_valid(with_stream_validation(load_raw(spark, SF0001)))
     plan = v._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+@pytest.mark.parametrize("distinct", ["exact", "approx", "both"])
+def test_no_scan_task_holds_groups(spark, distinct):
+    """Hardly any two rows share window, page and user: an aggregate before the
+    shuffle would hold all windows of an input split."""
+    ev = spark.createDataFrame([("2024-01-01 00:00:05", "/a", "u", "cart_add"), ("2024-01-01 00:00:06", "/a", "u", "purchase"),
+                                ("2024-01-01 00:00:07", "/a", None, "purchase"), (None, "/a", "v", "purchase")],
+                               "event_time string, page_url string, user_id string, event_type string") \
+        .withColumn("event_time", F.to_timestamp("event_time"))
+    m = page_metrics(ev, distinct=distinct, updated_at="event_time")
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange hashpartitioning") > plan.rindex("Aggregate")
+    assert {tuple(r) for r in m.select("active_users", "cart_additions", "purchases").collect()} == {(1, 1, 2)}
+    assert m.count() == 6
+
+
+def test_no_scan_task_of_the_table_holds_its_keys(spark):
+    from clickpulse.streaming.sink import latest_metrics
+    log = spark.createDataFrame([(1, 2, "/a", 5, 1), (1, 2, "/a", 6, 2), (1, 2, "/b", 7, 1)],
+                                "window_start long, window_end long, page_url string, active_users long, version long")
+    latest = latest_metrics(log)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange hashpartitioning") > plan.rindex("Aggregate")
+    assert sorted(map(tuple, latest.collect())) == [(1, 2, "/a", 6), (1, 2, "/b", 7)]
