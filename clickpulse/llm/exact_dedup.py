@@ -3,9 +3,9 @@ until each bucket fits an open-addressing table that compares whole texts.
 
 1. A task reads its share of the documents through a table of bounded size and
    writes, to the shared folder, one *part* per distinct text that it holds (the
-   text, its count and the row that stays) and one narrow row per document that
-   names its part.  A part closes after ``MEMBERS`` documents, and all parts
-   close when the table is full, so neither copies nor memory pile up.
+   text, deflated, its count and the row that stays) and one narrow row per
+   document that names its part.  A part closes after ``MEMBERS`` documents, and
+   all parts close when the table is full, so neither copies nor memory pile up.
 2. Parts are dealt to buckets by hash and each bucket goes through one table.
    A table that is full takes no new text: parts of texts that it does not hold
    are spilled, and the spilled ones are dealt out again by another hash, until
@@ -26,7 +26,9 @@ than the id and the text are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
+import zlib
 from array import array
 
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpulse.llm.common import free_name, map_arrow, slices, stored
+from clickpulse.llm.common import free_name, map_arrow, slices, small_batches, stored
 
 #: Bytes that a table holds: texts, and ``OVERHEAD`` for each of them.
 TABLE_BYTES = 32 << 20
@@ -43,6 +45,13 @@ OVERHEAD = 256
 #: Documents of a part, and parts of a text that meet in one task.
 MEMBERS = 1 << 16
 FAN = 1 << 10
+#: Deflated texts need no second compression nor a dictionary, and small pages
+#: need no large buffers.
+PACKED = {"compression": "uncompressed", "parquet.page.size": 1 << 17, "parquet.enable.dictionary#packed": False}
+#: Buckets that a task takes, one after the other, and answers in one file.
+TASK_BUCKETS = 4
+#: Answers of a bucket that go out in one batch, whatever texts they are of.
+ANSWERS = 1 << 12
 #: Hashes of texts in very many parts are broadcast up to this number of rows.
 BROADCAST_ROWS = 50_000
 
@@ -89,7 +98,7 @@ def _best(a: tuple, b: tuple) -> tuple:
     return max(a, b, key=lambda x: (x[0] is not None, x[0] if x[0] is not None else 0, x[1]))
 
 
-_PART = ["part", "keep_id", "keep_row", "n", "bytes", "h", "raw"]
+_PART = ["part", "keep_id", "keep_row", "n", "bytes", "h", "packed"]
 
 
 def _fields(id_type) -> list:
@@ -104,7 +113,7 @@ def _merge(batches, table_bytes, members, schema, fresh):
     seq = (TaskContext.get().partitionId() << 33) if TaskContext.get() else 0
 
     def closed(entries):
-        cols = zip(*[(p[0], p[1][0], p[1][1], p[2], len(raw) + OVERHEAD, h, raw) for p, h, raw in entries])
+        cols = zip(*[(p[0], p[1][0], p[1][1], p[2], len(raw) + OVERHEAD, h, zlib.compress(raw, 1)) for p, h, raw in entries])
         cols = list(map(list, cols)) or [[]] * 7
         none = [None] * len(cols[0])
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([none, none, *cols], schema)], schema=schema)
@@ -122,8 +131,8 @@ def _merge(batches, table_bytes, members, schema, fresh):
                 seq += 1
                 keep = (i, row)
             else:
-                row, k, r, n, _, h, raw = rec
-                i, keep = None, (k, r)
+                row, k, r, n, _, h, packed = rec
+                i, keep, raw = None, (k, r), zlib.decompress(packed)
             e = table.find(h, raw)
             if e < 0:
                 if table.bytes + len(raw) > table_bytes and parts:
@@ -152,7 +161,8 @@ def _solve(batches, table_bytes, schema):
     table, best = ContentTable(), []
     for b in slices(batches):
         spilled = []
-        for at, (part, k, r, n, _, h, raw) in enumerate(zip(*[b.column(c).to_pylist() for c in _PART])):
+        for at, (part, k, r, n, _, h, packed) in enumerate(zip(*[b.column(c).to_pylist() for c in _PART])):
+            raw = zlib.decompress(packed)
             e = table.find(h, raw)
             if e < 0 and table.bytes + len(raw) > table_bytes and best:
                 spilled.append(at)
@@ -168,13 +178,16 @@ def _solve(batches, table_bytes, schema):
             rest = b.take(pa.array(spilled))
             yield pa.RecordBatch.from_arrays(
                 [*[rest.column(c).cast(schema.field(c).type) for c in _PART], pa.nulls(len(spilled), pa.binary())], schema=schema)
-    for e in range(len(best)):
-        (k, r), n, own = best[e]
-        sha = hashlib.sha256(table.texts[e]).digest()
-        for i in range(0, len(own), 4096):
-            m = len(own[i:i + 4096])
-            cols = [own[i:i + 4096].tolist(), [k] * m, [r] * m, [n] * m, [None] * m, [None] * m, [None] * m, [sha] * m]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    def answers():
+        for raw, ((k, r), n, own) in zip(table.texts, best):
+            sha = hashlib.sha256(raw).digest()
+            for part in own:
+                yield part, k, r, n, None, None, None, sha
+
+    rows = answers()
+    while some := list(itertools.islice(rows, ANSWERS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
 
 
 def _arrow(schema: T.StructType):
@@ -182,12 +195,17 @@ def _arrow(schema: T.StructType):
     return to_arrow_schema(schema)
 
 
+def _computed(df: DataFrame, fn, schema: T.StructType, name: str, files: int | None = None) -> DataFrame:
+    with small_batches(df.sparkSession):
+        return stored(map_arrow(df, fn, schema), name, files, PACKED)
+
+
 def _merged(rows: DataFrame, id_type, table_bytes: int, members: int, fresh: bool) -> tuple[DataFrame, DataFrame]:
     """(id, row, part) of every record, and the parts; one written table."""
     schema = T.StructType([T.StructField("id", id_type), T.StructField("row", T.LongType()), *_fields(id_type)])
     arrow = _arrow(schema)
-    out = stored(map_arrow(rows, lambda it: _merge(it, table_bytes, members, arrow, fresh), schema), "parts")
-    return out.where("row IS NOT NULL").select("id", "row", "part"), out.where("raw IS NOT NULL").select(_PART)
+    out = _computed(rows, lambda it: _merge(it, table_bytes, members, arrow, fresh), schema, "parts")
+    return out.where("row IS NOT NULL").select("id", "row", "part"), out.where("h IS NOT NULL").select(_PART)
 
 
 def _thinned(parts: DataFrame, id_type, table_bytes: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -225,12 +243,13 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         total = parts.agg(F.sum("bytes")).first()[0]
         if not total:
             break
-        buckets = max(math.ceil(2 * total / table_bytes), docs.sparkSession.sparkContext.defaultParallelism)
+        cores = docs.sparkSession.sparkContext.defaultParallelism
+        buckets = max(math.ceil(2 * total / table_bytes), cores)
         dealt = parts.repartition(buckets, F.xxhash64("h", F.lit(level)))
-        out = stored(map_arrow(dealt, lambda it: _solve(it, table_bytes, arrow), schema), "buckets")
-        found = out.where("raw IS NULL").select("part", "keep_id", "keep_row", "n", "sha")
+        out = _computed(dealt, lambda it: _solve(it, table_bytes, arrow), schema, "buckets", max(buckets // TASK_BUCKETS, cores))
+        found = out.where("h IS NULL").select("part", "keep_id", "keep_row", "n", "sha")
         answers = found if answers is None else answers.unionByName(found)
-        parts, level = out.where("raw IS NOT NULL").select(_PART), level + 1
+        parts, level = out.where("h IS NOT NULL").select(_PART), level + 1
     if answers is None:
         return documents.select(F.col("id").alias("doc_id"), F.col("id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"),
                                 F.lit(True).alias("kept"), F.lit("").alias("text_sha256"))

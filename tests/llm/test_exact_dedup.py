@@ -1,8 +1,11 @@
 import collections
 import hashlib
 
+import pyarrow as pa
 import pytest
 
+from clickpulse.llm import exact_dedup
+from clickpulse.llm.common import BATCH_BYTES, SLICE_ROWS, small_batches
 from clickpulse.llm.exact_dedup import ContentTable, drop_copies, exact_copies
 
 from .fixtures import clashing, documents, frame, rows_of
@@ -65,3 +68,60 @@ def test_a_hot_text_is_no_large_task(spark):
     out = exact_copies(docs, members=64, fan=8)
     assert out.where("keep_id = 8997 AND group_size = 3000").count() == 3000
     assert out.where("kept").count() == 6001
+
+
+BATCH_KEYS = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+
+
+def test_a_file_has_the_answers_of_several_buckets(spark, monkeypatch):
+    """Every file costs two processes on the local file system, and a bucket has few answers."""
+    seen = []
+
+    def spy(df, name, files=None, options=None, kept=exact_dedup.stored):
+        out = kept(df, name, files, options)
+        seen.append((name, len(out.inputFiles()), tuple(map(spark.conf.get, BATCH_KEYS))))
+        return out
+
+    monkeypatch.setattr(exact_dedup, "stored", spy)
+    before = [spark.conf.get(k, None) for k in BATCH_KEYS]
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "CAST(id % 1500 AS STRING) AS text")
+    out = exact_copies(docs, table_bytes=20_000)
+    assert out.where("kept").count() == 1500 and out.count() == 2000
+    buckets = -(-2 * sum(len(str(i)) + exact_dedup.OVERHEAD for i in range(1500)) // 20_000)
+    assert buckets // 8 < max(n for name, n, _ in seen if name == "buckets") <= buckets // 2
+    assert {b for name, _, b in seen if name != "hot"} == {(str(BATCH_BYTES), str(SLICE_ROWS))}
+    assert [spark.conf.get(k, None) for k in BATCH_KEYS] == before
+
+
+def test_answers_go_out_together(spark):
+    from pyspark.sql import types as T
+    kind = T.LongType()
+    part, solved = (exact_dedup._arrow(T.StructType([*f, *exact_dedup._fields(kind), *g])) for f, g in (
+        ([T.StructField("id", kind), T.StructField("row", kind)], []), ([], [T.StructField("sha", T.BinaryType())])))
+    docs = pa.RecordBatch.from_pydict({"id": list(range(3000)), "h": list(range(3000)), "raw": [b"%d" % i for i in range(3000)]})
+    parts = [b.filter(b["h"].is_valid()) for b in exact_dedup._merge([docs], 1 << 24, 9, part, True)]
+    answers = list(exact_dedup._solve((b for b in parts if b.num_rows), 1 << 24, solved))
+    assert len(answers) == 1
+    assert collections.Counter(answers[0]["keep_id"].to_pylist()) == collections.Counter(range(3000))
+    assert set(answers[0]["sha"].to_pylist()) == {hashlib.sha256(b"%d" % i).digest() for i in range(3000)}
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    texts = spark.range(0, 400, 1, 1).selectExpr("repeat('x', 10000) AS t")
+    with small_batches(spark, 100_000):
+        got = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) == 400 and max(got) <= 20
+
+
+def test_parts_are_deflated(spark):
+    from pyspark.sql import types as T
+    text = b"the same words " * 1000
+    docs = pa.RecordBatch.from_pydict({"id": [1, 2], "h": [7, 7], "raw": [text, text]})
+    schema = exact_dedup._arrow(T.StructType([T.StructField("id", T.LongType()), T.StructField("row", T.LongType()), *exact_dedup._fields(T.LongType())]))
+    out = pa.Table.from_batches(list(exact_dedup._merge([docs], 1 << 20, 9, schema, True)))
+    assert out.nbytes < len(text) // 10
+    assert [p["n"] for p in out.to_pylist() if p["h"] is not None] == [2]
